@@ -143,10 +143,174 @@ ORDER BY {MONEY_SUM} DESC, "Clasificacion"
 """
 
 
+# --- conversation pipeline ------------------------------------------------------
+
+from cxlake.functions import text as _txt  # noqa: E402
+
+AS_OF = "2024-01-31"
+DAYS = 31
+RECENT_DAYS = 10
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+
+
+def _half_up(num: str, den: str, scale: int) -> str:
+    """round(num / den, scale) half-up (away from zero), exact, as DOUBLE."""
+    f = 10**scale
+    x = f"CAST(({num}) AS HUGEINT) * {f}"
+    d = f"CAST(({den}) AS HUGEINT)"
+    return f"CAST(sign({x}) * ((2 * abs({x}) + {d}) // (2 * {d})) AS DOUBLE) / {f}.0"
+
+
+ISN_NUMERATOR = (
+    "(sum(CASE WHEN eval_ia IN (6, 7) THEN 1 ELSE 0 END)"
+    " - sum(CASE WHEN eval_ia BETWEEN 1 AND 4 THEN 1 ELSE 0 END)) * 100"
+)
+
+
+def _conv_ctes(days: int = DAYS) -> str:
+    start = f"DATE '{AS_OF}' - {days}"
+    a, r, c, g, e = (_txt.ASKED_FOR_DATA, _txt.CLAIM_CREATION_REQUEST, _txt.CASE_ID,
+                     _txt.CASE_ID_GROUP, _txt.CLAIM_CREATION_ERROR)
+    return f"""
+mensajes AS (
+  SELECT session_id, balancer_mongo_id, role, content, message_timestamp,
+    CAST(message_timestamp AS DATE) AS message_date, conversation_expires_at, conversation_updated_at,
+    sum(CASE WHEN regexp_matches(lower(content), '{a}') THEN 1 ELSE 0 END) AS pidio_datos,
+    sum(CASE WHEN regexp_matches(lower(content), '{r}') THEN 1 ELSE 0 END) AS ss_creacion_reclamo,
+    max(CASE WHEN regexp_matches(content, '{c}') THEN 1 ELSE 0 END) AS genero_caso,
+    max(regexp_extract(content, '{g}', 1)) AS id_reclamo,
+    sum(CASE WHEN regexp_matches(lower(content), '{e}') THEN 1 ELSE 0 END) AS error_reclamos
+  FROM messages WHERE CAST(message_timestamp AS DATE) >= {start}
+  GROUP BY ALL
+),
+encuestas AS (
+  SELECT CAST("IdUsuario" AS VARCHAR) AS id, "Fecha",
+    CASE WHEN regexp_matches("EvalIA", '{INTEGER_TEXT}') THEN try_cast(trim("EvalIA") AS INTEGER) END AS eval_ia,
+    CASE WHEN regexp_matches("EvalAcceso", '{INTEGER_TEXT}') THEN try_cast(trim("EvalAcceso") AS INTEGER) END AS eval_acceso,
+    "EvalResolvReq" AS resolucion, event_id,
+    CAST(row_number() OVER (PARTITION BY CAST("IdUsuario" AS VARCHAR) ORDER BY "Fecha", event_id) AS INTEGER) AS orden_enc
+  FROM surveys
+  WHERE "Fecha" >= {start} AND "AtencionIA" = 'Si' AND "OperadorAbre" = 'robot'
+    AND "OperadorCierra" = 'robot' AND "EvalIA" IS NOT NULL AND trim("EvalIA") <> ''
+),
+conversaciones AS (
+  SELECT session_id, message_date, max(balancer_mongo_id) AS id,
+    max(conversation_expires_at) AS expires_raw, max(conversation_updated_at) AS updated_raw,
+    list(struct_pack(role := role, content := content, "timestamp" := CAST(message_timestamp AS VARCHAR))
+         ORDER BY message_timestamp NULLS FIRST, role NULLS FIRST, content NULLS FIRST) AS h
+  FROM mensajes GROUP BY session_id, message_date
+),
+conv_final AS (
+  SELECT session_id, CAST(id AS VARCHAR) AS id, message_date,
+    CAST(expires_raw AS TIMESTAMP) AS expires_at, CAST(updated_raw AS TIMESTAMP) AS updated_at,
+    CAST(to_json(h) AS VARCHAR) AS history,
+    CAST(to_json(list_filter(h, lambda x: x.role = 'user')) AS VARCHAR) AS si,
+    h[1]."timestamp" AS primer_timestamp, h[-1]."timestamp" AS ultimo_timestamp,
+    CAST(h[1]."timestamp" AS TIMESTAMP) AS fecha_inicio, CAST(h[-1]."timestamp" AS TIMESTAMP) AS fecha_fin,
+    CAST(len(h) AS INTEGER) AS cantidad_mensajes,
+    CAST(len(list_filter(h, lambda x: x.role = 'user')) AS INTEGER) AS mensajes_usuario,
+    CAST(len(list_filter(h, lambda x: x.role = 'assistant')) AS INTEGER) AS mensajes_bot,
+    CAST(len(h) AS DOUBLE) / 2.0 AS turnos_conversacion,
+    CASE WHEN len(list_filter(h, lambda x: x.role = 'user')) = 1 THEN 'Abandono' ELSE 'Conversacion' END AS tipo_sesion,
+    CAST(floor(epoch_us(CAST(h[-1]."timestamp" AS TIMESTAMP)) / 1000000) AS BIGINT)
+      - CAST(floor(epoch_us(CAST(h[1]."timestamp" AS TIMESTAMP)) / 1000000) AS BIGINT) AS duracion_segundos
+  FROM conversaciones
+),
+conv_ord AS (
+  SELECT *, {_half_up("duracion_segundos", "60", 2)} AS duracion_minutos,
+    CAST(row_number() OVER (PARTITION BY id ORDER BY fecha_fin, session_id, message_date) AS INTEGER) AS orden_conv
+  FROM conv_final
+),
+isn_day AS (
+  SELECT "Fecha" AS isn_fecha,
+    {_half_up(ISN_NUMERATOR, "count(*)", 2)} AS isn
+  FROM encuestas WHERE eval_ia BETWEEN 1 AND 7 GROUP BY "Fecha"
+),
+reclamos AS (
+  SELECT message_date, session_id, max(id_reclamo) AS id_reclamo,
+    CAST(sum(pidio_datos) AS BIGINT) AS pidio_datos,
+    CAST(sum(ss_creacion_reclamo) AS BIGINT) AS solicitud_creacion_reclamo,
+    max(genero_caso) AS genero_caso, CAST(sum(error_reclamos) AS BIGINT) AS error_reclamos,
+    CASE WHEN max(genero_caso) = 1 THEN 'RECLAMO_CREADO'
+         WHEN sum(ss_creacion_reclamo) > 0 AND max(genero_caso) = 0 THEN 'RECLAMO_INCONCLUSO'
+         WHEN sum(pidio_datos) > 0 AND max(genero_caso) = 0 THEN 'RECLAMO_EN_PROCESO'
+         ELSE 'SIN_RECLAMO' END AS estado_reclamo
+  FROM mensajes GROUP BY message_date, session_id
+),
+dashboard AS (
+  SELECT c.session_id, c.id, c.message_date, c.expires_at, c.updated_at, c.history,
+    c.primer_timestamp, c.ultimo_timestamp, c.fecha_inicio, c.fecha_fin, c.cantidad_mensajes,
+    c.mensajes_usuario, c.mensajes_bot, c.turnos_conversacion, c.tipo_sesion, c.duracion_minutos,
+    c.duracion_segundos, c.orden_conv, e.orden_enc, e."Fecha" AS fecha_encuesta, e.eval_ia,
+    e.eval_acceso, e.resolucion, r.id_reclamo, r.pidio_datos, r.solicitud_creacion_reclamo,
+    r.genero_caso, r.error_reclamos, r.estado_reclamo, i.isn
+  FROM conv_ord c
+  LEFT JOIN isn_day i ON c.message_date = i.isn_fecha
+  LEFT JOIN encuestas e ON c.id = e.id AND c.orden_conv = e.orden_enc
+  LEFT JOIN reclamos r ON c.session_id = r.session_id AND c.message_date = r.message_date
+)"""
+
+
+def _conv(select: str, days: int = DAYS) -> str:
+    return _with(MESSAGES, SURVEYS, _conv_ctes(days)) + "\n" + select.strip()
+
+
+MSG_FLAG_SELECT = f"""
+SELECT session_id, balancer_mongo_id, role, content, message_timestamp, conversation_expires_at,
+  conversation_updated_at, CAST(message_timestamp AS DATE) AS message_date,
+  CASE WHEN regexp_matches(lower(content), '{_txt.ASKED_FOR_DATA}') THEN 1 ELSE 0 END AS pidio_datos,
+  CASE WHEN regexp_matches(lower(content), '{_txt.CLAIM_CREATION_REQUEST}') THEN 1 ELSE 0 END AS ss_creacion_reclamo,
+  CASE WHEN regexp_matches(content, '{_txt.CASE_ID}') THEN 1 ELSE 0 END AS genero_caso,
+  regexp_extract(content, '{_txt.CASE_ID_GROUP}', 1) AS id_reclamo,
+  CASE WHEN regexp_matches(lower(content), '{_txt.CLAIM_CREATION_ERROR}') THEN 1 ELSE 0 END AS error_reclamos
+FROM messages
+"""
+
+SESSION_METRIC_COLUMNS = """session_id, message_date, primer_timestamp, ultimo_timestamp, fecha_inicio, fecha_fin,
+  cantidad_mensajes, mensajes_usuario, mensajes_bot, turnos_conversacion, duracion_minutos, duracion_segundos"""
+
+CONVERSATION_STATEMENTS = {
+    "message_scan": _with(MESSAGES) + "\nSELECT * FROM messages",
+    "survey_scan": _with(SURVEYS) + "\nSELECT * FROM surveys",
+    "lookback": _with(MESSAGES)
+    + f"\nSELECT * FROM messages WHERE CAST(message_timestamp AS DATE) >= DATE '{AS_OF}' - {RECENT_DAYS}",
+    "msg_flags": _with(MESSAGES) + MSG_FLAG_SELECT,
+    "case_id": _with(MESSAGES)
+    + f"\nSELECT session_id, message_timestamp, role, regexp_extract(content, '{_txt.CASE_ID_GROUP}', 1) AS id_reclamo FROM messages",
+    "msg_dedup": _conv("SELECT * FROM mensajes"),
+    "survey_clean": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id FROM encuestas'),
+    "survey_order": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id, orden_enc FROM encuestas'),
+    "satisfaction_daily": _conv('SELECT isn_fecha AS "Fecha", isn FROM isn_day'),
+    "session_day": _conv("SELECT session_id, message_date, id, expires_at, updated_at FROM conv_final"),
+    "session_history": _conv("SELECT session_id, message_date, history FROM conv_final"),
+    "session_metrics": _conv(f"SELECT {SESSION_METRIC_COLUMNS} FROM conv_ord"),
+    "session_user_msgs": _conv("SELECT session_id, message_date, si FROM conv_final"),
+    "session_type": _conv("SELECT session_id, message_date, mensajes_usuario, tipo_sesion FROM conv_final"),
+    "session_order": _conv("SELECT session_id, message_date, id, fecha_fin, orden_conv FROM conv_ord"),
+    "claim_status": _conv("SELECT * FROM reclamos"),
+    "join_index": _conv(
+        "SELECT c.session_id, c.message_date, i.isn FROM conv_ord c LEFT JOIN isn_day i ON c.message_date = i.isn_fecha"
+    ),
+    "fifo_match": _conv(
+        'SELECT session_id, message_date, id, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion FROM dashboard'
+    ),
+    "join_status": _conv(
+        "SELECT session_id, message_date, id_reclamo, pidio_datos, solicitud_creacion_reclamo, genero_caso, "
+        "error_reclamos, estado_reclamo FROM dashboard"
+    ),
+    "dashboard_base": _conv("SELECT * FROM dashboard"),
+    "dashboard_recent": _conv(
+        "SELECT session_id, id, message_date, history, fecha_inicio, fecha_fin, cantidad_mensajes, mensajes_usuario, "
+        f"mensajes_bot, tipo_sesion, duracion_minutos, isn FROM dashboard WHERE message_date >= DATE '{AS_OF}' - {RECENT_DAYS}"
+    ),
+}
+
+
 def oracle_statements() -> dict[str, str]:
     return {
         "claim_detail": CLAIM_DETAIL,
         "claim_summary": CLAIM_SUMMARY,
         "claim_evolution": CLAIM_EVOLUTION,
         "claim_top": CLAIM_TOP,
+        **CONVERSATION_STATEMENTS,
     }

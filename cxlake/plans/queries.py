@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cxlake.operators import claims
+from cxlake.operators import claims, dashboard, messages, sessions, surveys
 from cxlake.session import ensure_session_defaults
 from cxlake.sources import fixtures as fx
 
@@ -41,10 +42,189 @@ def q_claim_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_top(_detail(spark, sf_dir))
 
 
+# --- conversation pipeline ------------------------------------------------------
+
+AS_OF = fx.FIXTURE_AS_OF
+# Lookback for the dashboard queries: reaches back before the first message
+# of the fixtures (no upper bound), so whole tables are processed.
+DAYS = 31
+# Lookback used by the queries whose feature *is* the lookback filter.
+RECENT_DAYS = 10
+JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
+def _as_json(df: DataFrame, column: str) -> DataFrame:
+    """Arrays are compared as JSON text (one text field per element)."""
+    return df.withColumn(column, F.to_json(F.col(column), JSON_OPTIONS))
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_session_defaults(spark)
+    return fx.messages(spark, sf_dir)
+
+
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent = messages.lookback(_messages(spark, sf_dir), "message_timestamp", AS_OF, DAYS)
+    return messages.flag_messages(recent)
+
+
+def _days(spark: SparkSession, sf_dir: str, include_history: bool) -> DataFrame:
+    return sessions.session_days(_flagged(spark, sf_dir), include_history=include_history)
+
+
+def _clean_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_session_defaults(spark)
+    return surveys.clean_surveys(fx.surveys(spark, sf_dir), AS_OF, DAYS)
+
+
+def _dashboard(spark: SparkSession, sf_dir: str, include_history: bool = True) -> DataFrame:
+    ensure_session_defaults(spark)
+    return dashboard.dashboard_base(
+        fx.messages(spark, sf_dir), fx.surveys(spark, sf_dir), AS_OF, DAYS, include_history=include_history
+    )
+
+
+def q_message_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _messages(spark, sf_dir)
+
+
+def q_survey_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_session_defaults(spark)
+    return fx.surveys(spark, sf_dir)
+
+
+def q_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages.lookback(_messages(spark, sf_dir), "message_timestamp", AS_OF, RECENT_DAYS)
+
+
+def q_msg_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages.flag_messages(_messages(spark, sf_dir))
+
+
+def q_case_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_msg_flags(spark, sf_dir).select("session_id", "message_timestamp", "role", "id_reclamo")
+
+
+def q_msg_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages.dedup_messages(_flagged(spark, sf_dir))
+
+
+def q_survey_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_surveys(spark, sf_dir)
+
+
+def q_survey_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surveys.order_surveys(_clean_surveys(spark, sf_dir))
+
+
+def q_satisfaction_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surveys.satisfaction_daily(_clean_surveys(spark, sf_dir))
+
+
+def q_session_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _days(spark, sf_dir, False).select("session_id", "message_date", "id", "expires_at", "updated_at")
+
+
+def q_session_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_json(_days(spark, sf_dir, True).select("session_id", "message_date", "history"), "history")
+
+
+def q_session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _days(spark, sf_dir, False).select(
+        "session_id",
+        "message_date",
+        "primer_timestamp",
+        "ultimo_timestamp",
+        "fecha_inicio",
+        "fecha_fin",
+        "cantidad_mensajes",
+        "mensajes_usuario",
+        "mensajes_bot",
+        "turnos_conversacion",
+        "duracion_minutos",
+        "duracion_segundos",
+    )
+
+
+def q_session_user_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_json(sessions.user_messages(_days(spark, sf_dir, True)), "si")
+
+
+def q_session_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _days(spark, sf_dir, False).select("session_id", "message_date", "mensajes_usuario", "tipo_sesion")
+
+
+def q_session_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = sessions.order_sessions(_days(spark, sf_dir, False))
+    return ordered.select("session_id", "message_date", "id", "fecha_fin", "orden_conv")
+
+
+def q_claim_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _days(spark, sf_dir, False).select("message_date", "session_id", *sessions.STATUS_COLUMNS)
+
+
+def q_join_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _days(spark, sf_dir, False)
+    index = surveys.satisfaction_daily(_clean_surveys(spark, sf_dir))
+    return dashboard.join_index(days, index).select("session_id", "message_date", "isn")
+
+
+def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = sessions.order_sessions(_days(spark, sf_dir, False))
+    enc = surveys.order_surveys(_clean_surveys(spark, sf_dir))
+    return dashboard.fifo_match(days, enc).select(
+        "session_id",
+        "message_date",
+        "id",
+        "orden_conv",
+        "orden_enc",
+        "fecha_encuesta",
+        "eval_ia",
+        "eval_acceso",
+        "resolucion",
+    )
+
+
+def q_join_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dashboard(spark, sf_dir, include_history=False).select(
+        "session_id", "message_date", *sessions.STATUS_COLUMNS
+    )
+
+
+def q_dashboard_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_json(_dashboard(spark, sf_dir), "history")
+
+
+def q_dashboard_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent = dashboard.dashboard_recent(_dashboard(spark, sf_dir), AS_OF, RECENT_DAYS)
+    return _as_json(recent, "history")
+
+
 def registry() -> dict[str, Query]:
     return {
         "claim_detail": q_claim_detail,
         "claim_summary": q_claim_summary,
         "claim_evolution": q_claim_evolution,
         "claim_top": q_claim_top,
+        "message_scan": q_message_scan,
+        "survey_scan": q_survey_scan,
+        "lookback": q_lookback,
+        "msg_flags": q_msg_flags,
+        "case_id": q_case_id,
+        "msg_dedup": q_msg_dedup,
+        "survey_clean": q_survey_clean,
+        "survey_order": q_survey_order,
+        "satisfaction_daily": q_satisfaction_daily,
+        "session_day": q_session_day,
+        "session_history": q_session_history,
+        "session_metrics": q_session_metrics,
+        "session_user_msgs": q_session_user_msgs,
+        "session_type": q_session_type,
+        "session_order": q_session_order,
+        "claim_status": q_claim_status,
+        "join_index": q_join_index,
+        "fifo_match": q_fifo_match,
+        "join_status": q_join_status,
+        "dashboard_base": q_dashboard_base,
+        "dashboard_recent": q_dashboard_recent,
     }

@@ -42,9 +42,11 @@ def _norm(v):
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime().replace(tzinfo=None).isoformat()
+        v = v.to_pydatetime()
     if isinstance(v, dt.datetime):
-        return v.replace(tzinfo=None).isoformat()
+        v = v.replace(tzinfo=None)
+        # engines differ in how a DATE reaches pandas (date vs midnight timestamp)
+        return v.date().isoformat() if v.time() == dt.time() else v.isoformat()
     if isinstance(v, dt.date):
         return v.isoformat()
     if hasattr(v, "item"):
@@ -76,8 +78,8 @@ def compare(spark_df, sql: str, con) -> dict:
         out["oracle_columns"] = dcols
     elif not out["values_match"]:
         sset, dset = set(srows), set(drows)
-        out["only_spark"] = list(sset - dset)[:3]
-        out["only_oracle"] = list(dset - sset)[:3]
+        out["only_spark"] = [tuple(str(x)[:60] for x in r) for r in list(sset - dset)[:2]]
+        out["only_oracle"] = [tuple(str(x)[:60] for x in r) for r in list(dset - sset)[:2]]
     return out
 
 
