@@ -39,6 +39,45 @@ def _col_or_null(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
     return F.lit(None).cast(T.StringType()), T.NullType()
 
 
+def event_date(logs: DataFrame, date_field: str = "created_at", fallback_date_field: str = "fecha_escaneo") -> Column:
+    """Resolved event time of each log (see ``resolve_event_date``)."""
+    created, created_t = _col_or_null(logs, date_field)
+    scanned, scanned_t = _col_or_null(logs, fallback_date_field)
+    return resolve_event_date(created, created_t, scanned, scanned_t)
+
+
+def valid_ot(logs: DataFrame) -> Column:
+    """OT present and not empty (whitespace-only is kept)."""
+    ot_col, _ = _col_or_null(logs, "ot")
+    ot_text = ot_col.cast(T.StringType())
+    return ot_text.isNotNull() & (ot_text != F.lit(""))
+
+
+def not_excluded_user(logs: DataFrame, excluded_users: Sequence[str]) -> Column:
+    """True unless ANY user field holds an excluded name (NULL is kept)."""
+    keep = F.lit(True)
+    if excluded_users:
+        excluded = list(excluded_users)
+        for name in (c for c in USER_FIELDS if c in logs.columns):
+            keep = keep & ~F.coalesce(F.col(name).cast(T.StringType()).isin(excluded), F.lit(False))
+    return keep
+
+
+def declared_value(logs: DataFrame, value_field: str = "valor_declarado") -> Column:
+    value_col, value_t = _col_or_null(logs, value_field)
+    return number_or_zero(value_col, value_t)
+
+
+def class_or_default(logs: DataFrame) -> Column:
+    cls_col, _ = _col_or_null(logs, "clasificacion")
+    return F.coalesce(cls_col.cast(T.StringType()), F.lit(NO_CLASS))
+
+
+def user_or_default(logs: DataFrame) -> Column:
+    chain = [F.col(c).cast(T.StringType()) for c in USER_FIELDS if c in logs.columns]
+    return F.coalesce(*chain, F.lit(NO_USER))
+
+
 def claim_candidates(
     logs: DataFrame,
     excluded_users: Sequence[str] = (),
@@ -54,34 +93,19 @@ def claim_candidates(
     breaker (when given). Order of the steps matters and follows the source:
     date -> OT -> excluded users -> defaults -> excluded classes.
     """
-    created, created_t = _col_or_null(logs, date_field)
-    scanned, scanned_t = _col_or_null(logs, fallback_date_field)
-    event_ts = resolve_event_date(created, created_t, scanned, scanned_t)
-
     ot_col, _ = _col_or_null(logs, "ot")
-    ot_text = ot_col.cast(T.StringType())
-
-    df = logs.withColumn("_event_ts", event_ts).where(F.col("_event_ts").isNotNull())
-    # NULL and "" are dropped; whitespace-only OTs are kept.
-    df = df.where(ot_text.isNotNull() & (ot_text != F.lit("")))
-
-    users = [c for c in USER_FIELDS if c in logs.columns]
-    if excluded_users:
-        excluded = list(excluded_users)
-        for name in users:
-            # NULL / missing is kept: coalesce the unknown result to "not excluded"
-            df = df.where(~F.coalesce(F.col(name).cast(T.StringType()).isin(excluded), F.lit(False)))
-
-    value_col, value_t = _col_or_null(logs, value_field)
-    cls_col, _ = _col_or_null(logs, "clasificacion")
-    user_chain = [F.col(c).cast(T.StringType()) for c in users] + [F.lit(NO_USER)]
-
+    df = (
+        logs.withColumn("_event_ts", event_date(logs, date_field, fallback_date_field))
+        .where(F.col("_event_ts").isNotNull())
+        .where(valid_ot(logs))
+        .where(not_excluded_user(logs, excluded_users))
+    )
     df = df.select(
-        ot_text.alias("ot"),
+        ot_col.cast(T.StringType()).alias("ot"),
         F.col("_event_ts").alias("event_ts"),
-        F.coalesce(cls_col.cast(T.StringType()), F.lit(NO_CLASS)).alias("clasificacion"),
-        number_or_zero(value_col, value_t).alias("valor"),
-        F.coalesce(*user_chain).alias("usuario"),
+        class_or_default(logs).alias("clasificacion"),
+        declared_value(logs, value_field).alias("valor"),
+        user_or_default(logs).alias("usuario"),
         *([F.col(tie_breaker)] if tie_breaker else []),
     )
     if excluded_classes:

@@ -70,7 +70,9 @@ surveys AS (
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def _claim_ctes(excluded_users: tuple[str, ...] = ("u3", "u7"), date_cutoff: str | None = None) -> str:
+def _claim_ctes(
+    excluded_users: tuple[str, ...] = ("u3", "u7"), date_cutoff: str | None = None, prefix: str = ""
+) -> str:
     if excluded_users:
         lst = ", ".join(f"'{u}'" for u in excluded_users)
         user_filter = " ".join(
@@ -79,30 +81,33 @@ def _claim_ctes(excluded_users: tuple[str, ...] = ("u3", "u7"), date_cutoff: str
     else:
         user_filter = ""
     cutoff = f"AND ev < TIMESTAMP '{date_cutoff}'" if date_cutoff else ""
+    p = prefix
     return f"""
-claim_dated AS (
+{p}claim_dated AS (
   SELECT *, CASE WHEN created_at IS NOT NULL THEN try_cast(created_at AS TIMESTAMP)
                  WHEN fecha_escaneo IS NOT NULL THEN try_cast(fecha_escaneo AS TIMESTAMP) END AS ev
   FROM usage_logs
 ),
-claim_cand AS (
+{p}claim_cand AS (
   SELECT ot, ev AS event_ts, coalesce(clasificacion, 'Sin clasificación') AS clasificacion,
     coalesce(CASE WHEN regexp_matches(valor_declarado, '{DECIMAL_TEXT}') THEN try_cast(valor_declarado AS DOUBLE) END, 0.0) AS valor,
     coalesce("user", usuario, username, user_id, 'Sin usuario') AS usuario, log_id
-  FROM claim_dated
+  FROM {p}claim_dated
   WHERE ev IS NOT NULL AND ot IS NOT NULL AND ot <> '' {user_filter} {cutoff}
 ),
-claim_first AS (
+{p}claim_kept AS (
+  SELECT * FROM {p}claim_cand WHERE clasificacion NOT IN ('n/a', 'N/A', 'N/a', 'n/A')
+),
+{p}claim_first AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY ot ORDER BY event_ts, log_id) AS rn
-    FROM claim_cand WHERE clasificacion NOT IN ('n/a', 'N/A', 'N/a', 'n/A')
+    SELECT *, row_number() OVER (PARTITION BY ot ORDER BY event_ts, log_id) AS rn FROM {p}claim_kept
   ) WHERE rn = 1
 ),
-claim_detail AS (
+{p}claim_detail AS (
   SELECT strftime(event_ts, '%Y-%m') AS "Mes", clasificacion AS "Clasificacion", ot AS "OT",
     round(valor, 3) AS "Valor_Declarado_CLP", date_trunc('second', event_ts) AS "Fecha_Creacion",
     usuario AS "Usuario"
-  FROM claim_first
+  FROM {p}claim_first
 )"""
 
 
@@ -306,11 +311,82 @@ CONVERSATION_STATEMENTS = {
 }
 
 
+# --- claim steps, table operations, sources and sinks ---------------------------
+
+EVENT_TS = """CASE WHEN created_at IS NOT NULL THEN try_cast(created_at AS TIMESTAMP)
+                 WHEN fecha_escaneo IS NOT NULL THEN try_cast(fecha_escaneo AS TIMESTAMP) END"""
+USER_KEEP = " AND ".join(
+    f"NOT coalesce({c} IN ('u3', 'u7'), false)" for c in ('"user"', "usuario", "username", "user_id")
+)
+PREVIOUS_CUTOFF = "1998-01-01"
+LOADS = f"""
+prev_load AS (SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS fecha_carga FROM prev_claim_detail),
+cur_load AS (SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS fecha_carga FROM claim_detail)"""
+MERGED = """
+SELECT * FROM cur_load
+UNION ALL
+SELECT p.* FROM prev_load p
+WHERE NOT EXISTS (SELECT 1 FROM cur_load c
+                  WHERE c."Mes" = p."Mes" AND c."Clasificacion" = p."Clasificacion" AND c."OT" = p."OT")"""
+
+
+def _claims(select: str) -> str:
+    return _with(USAGE_LOGS, _claim_ctes()) + "\n" + select.strip()
+
+
+def _two_loads(select: str) -> str:
+    return (
+        _with(USAGE_LOGS, _claim_ctes(), _claim_ctes((), PREVIOUS_CUTOFF, "prev_"), LOADS)
+        + "\n"
+        + select.strip()
+    )
+
+
+SUMMARY_SELECT = CLAIM_SUMMARY[CLAIM_SUMMARY.index("\nSELECT"):]
+
+STEP_STATEMENTS = {
+    "usage_log_scan": _with(USAGE_LOGS) + "\nSELECT * FROM usage_logs",
+    "claim_event_date": _with(USAGE_LOGS) + f"\nSELECT log_id, {EVENT_TS} AS event_ts FROM usage_logs",
+    "claim_valid": _with(USAGE_LOGS)
+    + f"\nSELECT log_id, ot, event_ts FROM (SELECT *, {EVENT_TS} AS event_ts FROM usage_logs)"
+    " WHERE event_ts IS NOT NULL AND ot IS NOT NULL AND ot <> ''",
+    "claim_user_exclusion": _with(USAGE_LOGS)
+    + f'\nSELECT log_id, "user", usuario, username, user_id FROM usage_logs WHERE {USER_KEEP}',
+    "claim_month": _claims(
+        "SELECT log_id, CAST(year(event_ts) AS INTEGER) AS year_num, CAST(month(event_ts) AS INTEGER) AS month_num,"
+        " strftime(event_ts, '%Y-%m') AS \"Mes\" FROM claim_kept"
+    ),
+    "claim_class": _claims("SELECT log_id, clasificacion FROM claim_kept"),
+    "claim_value": _with(USAGE_LOGS)
+    + f"\nSELECT log_id, coalesce(CASE WHEN regexp_matches(valor_declarado, '{DECIMAL_TEXT}')"
+    " THEN try_cast(valor_declarado AS DOUBLE) END, 0.0) AS valor FROM usage_logs",
+    "claim_user": _with(USAGE_LOGS)
+    + "\nSELECT log_id, coalesce(\"user\", usuario, username, user_id, 'Sin usuario') AS usuario FROM usage_logs",
+    "claim_first_per_ot": _claims("SELECT ot, log_id, event_ts FROM claim_first"),
+    "claim_sorted": _claims('SELECT * FROM claim_detail ORDER BY "Mes", "Clasificacion", "OT"'),
+    "with_load_ts": _two_loads("SELECT * FROM cur_load"),
+    "table_merge": _two_loads(MERGED),
+    "table_append": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
+    "table_compact": _two_loads(MERGED),
+    "parquet_scan": "SELECT * FROM orders",
+    "sql_limit": _claims('SELECT * FROM claim_detail ORDER BY "OT" LIMIT 20'),
+    "sql_file_source": _claims(SUMMARY_SELECT),
+    "clean_columns": _claims(SUMMARY_SELECT),
+    "json_export": _claims(
+        """SELECT CAST(to_json(struct_pack("Mes" := "Mes", "Clasificacion" := "Clasificacion", "OT" := "OT",
+             "Valor_Declarado_CLP" := "Valor_Declarado_CLP",
+             "Fecha_Creacion" := strftime("Fecha_Creacion", '%Y-%m-%dT%H:%M:%S.%f'),
+             "Usuario" := "Usuario")) AS VARCHAR) AS json FROM claim_detail"""
+    ),
+}
+
+
 def oracle_statements() -> dict[str, str]:
     return {
         "claim_detail": CLAIM_DETAIL,
         "claim_summary": CLAIM_SUMMARY,
         "claim_evolution": CLAIM_EVOLUTION,
         "claim_top": CLAIM_TOP,
+        **STEP_STATEMENTS,
         **CONVERSATION_STATEMENTS,
     }

@@ -13,9 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cxlake.operators import claims, dashboard, messages, sessions, surveys
+from cxlake.operators import claims, dashboard, merge, messages, sessions, surveys
+from cxlake.plans.catalog import DETAIL_KEY
+from cxlake.plans.job import with_load_ts
 from cxlake.session import ensure_session_defaults
+from cxlake.sinks import files
 from cxlake.sources import fixtures as fx
+from cxlake.sources import scans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +38,68 @@ def q_claim_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_summary(_detail(spark, sf_dir))
 
 
+def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_session_defaults(spark)
+    return fx.usage_logs(spark, sf_dir)
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.claim_candidates(_logs(spark, sf_dir), excluded_users=fx.FIXTURE_EXCLUDED_USERS)
+
+
+def q_usage_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _logs(spark, sf_dir)
+
+
+def q_claim_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    return logs.select("log_id", claims.event_date(logs).alias("event_ts"))
+
+
+def q_claim_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    dated = logs.withColumn("event_ts", claims.event_date(logs))
+    return dated.where(F.col("event_ts").isNotNull() & claims.valid_ot(logs)).select("log_id", "ot", "event_ts")
+
+
+def q_claim_user_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    kept = logs.where(claims.not_excluded_user(logs, fx.FIXTURE_EXCLUDED_USERS))
+    return kept.select("log_id", *claims.USER_FIELDS)
+
+
+def q_claim_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ts = F.col("event_ts")
+    return _candidates(spark, sf_dir).select(
+        "log_id",
+        F.year(ts).alias("year_num"),
+        F.month(ts).alias("month_num"),
+        F.date_format(ts, "yyyy-MM").alias("Mes"),
+    )
+
+
+def q_claim_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _candidates(spark, sf_dir).select("log_id", "clasificacion")
+
+
+def q_claim_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    return logs.select("log_id", claims.declared_value(logs).alias("valor"))
+
+
+def q_claim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    return logs.select("log_id", claims.user_or_default(logs).alias("usuario"))
+
+
+def q_claim_first_per_ot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.first_per_ot(_candidates(spark, sf_dir)).select("ot", "log_id", "event_ts")
+
+
+def q_claim_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.sorted_detail(_detail(spark, sf_dir))
+
+
 def q_claim_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_evolution(_detail(spark, sf_dir))
 
@@ -42,6 +108,82 @@ def q_claim_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_top(_detail(spark, sf_dir))
 
 
+# --- table operations, as the DataFrames that would be written ---------------
+
+# The previous load saw only documents dated before the cutoff, and did not
+# exclude users yet; the current load sees everything with the exclusions.
+PREVIOUS_CUTOFF = "1998-01-01"
+PREVIOUS_LOAD_TS = "2024-01-01 00:00:00"
+CURRENT_LOAD_TS = "2024-02-01 00:00:00"
+
+
+def previous_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cand = claims.claim_candidates(_logs(spark, sf_dir), excluded_users=())
+    cand = cand.where(F.col("event_ts") < F.lit(PREVIOUS_CUTOFF).cast("timestamp"))
+    return claims.to_detail(claims.first_per_ot(cand))
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    prev = with_load_ts(previous_detail(spark, sf_dir), PREVIOUS_LOAD_TS)
+    cur = with_load_ts(_detail(spark, sf_dir), CURRENT_LOAD_TS)
+    return prev, cur
+
+
+def q_with_load_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loads(spark, sf_dir)[1]
+
+
+def q_table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prev, cur = _loads(spark, sf_dir)
+    return merge.merge_frames(prev, cur, DETAIL_KEY)
+
+
+def q_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prev, cur = _loads(spark, sf_dir)
+    return merge.append_frames(prev, cur)
+
+
+def q_table_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the compaction plan: same rows, fewer and larger files
+    return q_table_merge(spark, sf_dir).repartition(2)
+
+
+# --- sources and sinks -----------------------------------------------------------
+
+DETAIL_VIEW = "cx_claim_detail"
+SQL_LIMIT_QUERY = f"%sql SELECT * FROM {DETAIL_VIEW} ORDER BY OT"
+SQL_LIMIT_ROWS = 20
+DISPLAY_NAMES = ("Mes", "Clasificación", "Cantidad", "Suma Total (CLP)", "Promedio (CLP)")
+
+
+def q_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.parquet_scan(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+
+
+def q_sql_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _detail(spark, sf_dir).createOrReplaceTempView(DETAIL_VIEW)
+    return scans.run_sql(spark, SQL_LIMIT_QUERY, limit=SQL_LIMIT_ROWS)
+
+
+def q_sql_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _detail(spark, sf_dir).createOrReplaceTempView(DETAIL_VIEW)
+    return scans.sql_file_source(spark, "claim_summary.sql", source_table=DETAIL_VIEW)
+
+
+def q_table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _detail(spark, sf_dir).createOrReplaceTempView(DETAIL_VIEW)
+    return scans.table_sample(spark, DETAIL_VIEW)
+
+
+def q_clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    display = claims.claim_summary(_detail(spark, sf_dir)).toDF(*DISPLAY_NAMES)
+    return files.clean_columns(display)
+
+
+def q_json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.json_rows(_detail(spark, sf_dir))
+
+
 # --- conversation pipeline ------------------------------------------------------
 
 AS_OF = fx.FIXTURE_AS_OF
@@ -206,6 +348,26 @@ def registry() -> dict[str, Query]:
         "claim_summary": q_claim_summary,
         "claim_evolution": q_claim_evolution,
         "claim_top": q_claim_top,
+        "usage_log_scan": q_usage_log_scan,
+        "claim_event_date": q_claim_event_date,
+        "claim_valid": q_claim_valid,
+        "claim_user_exclusion": q_claim_user_exclusion,
+        "claim_month": q_claim_month,
+        "claim_class": q_claim_class,
+        "claim_value": q_claim_value,
+        "claim_user": q_claim_user,
+        "claim_first_per_ot": q_claim_first_per_ot,
+        "claim_sorted": q_claim_sorted,
+        "with_load_ts": q_with_load_ts,
+        "table_merge": q_table_merge,
+        "table_append": q_table_append,
+        "table_compact": q_table_compact,
+        "parquet_scan": q_parquet_scan,
+        "sql_limit": q_sql_limit,
+        "sql_file_source": q_sql_file_source,
+        "table_sample": q_table_sample,
+        "clean_columns": q_clean_columns,
+        "json_export": q_json_export,
         "message_scan": q_message_scan,
         "survey_scan": q_survey_scan,
         "lookback": q_lookback,
