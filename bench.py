@@ -18,7 +18,6 @@ import time
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
-from cxlake.operators import claims  # noqa: E402
 from cxlake.plans import queries as Q  # noqa: E402
 from cxlake.plans.catalog import DETAIL_DDL, DETAIL_KEY  # noqa: E402
 from cxlake.plans.job import with_load_ts  # noqa: E402
@@ -40,11 +39,20 @@ def timed(fn) -> float:
     return time.perf_counter() - t0
 
 
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+
+
+def median(values: list[float]) -> float:
+    v = sorted(values)
+    return v[len(v) // 2]
+
+
 def bench_merge(spark, sf_dir: str) -> float:
-    """Previous load in the table, then time the merge of the current load."""
+    """Previous load in the table, then time the merge of the current load
+    (a fresh table per repetition, so every run does the same work)."""
     store = TableStore(spark)
     tdef = TableDef(
-        name=f"bench_detail_{int(time.time())}",
+        name=f"bench_detail_{time.time_ns()}",
         origin="python",
         python_source="claim_detail",
         mode="merge",
@@ -71,16 +79,14 @@ def main() -> None:
         },
     )
     reg = Q.registry()
-    # warm-up: JVM, codegen caches, file listing (not timed)
-    run_noop(claims.claim_summary(Q._detail(spark, sf_dir)))
-    run_noop(reg["dashboard_base"](spark, sf_dir))
-
     times: dict[str, float] = {}
     for name in HEADLINE + EXTRA:
         if name == "table_merge":
-            times[name] = bench_merge(spark, sf_dir)
+            run = lambda: bench_merge(spark, sf_dir)
         else:
-            times[name] = timed(lambda: run_noop(reg[name](spark, sf_dir)))
+            run = lambda: timed(lambda: run_noop(reg[name](spark, sf_dir)))
+        run()  # warm-up (JIT, codegen cache, file listing), not timed
+        times[name] = median([run() for _ in range(REPEAT)])
     headline = sum(times[n] for n in HEADLINE)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
@@ -92,6 +98,8 @@ def main() -> None:
                 "queries": {k: round(v, 3) for k, v in times.items()},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                "repeat": REPEAT,
+                "stat": "median",
             }
         )
     )

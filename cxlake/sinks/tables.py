@@ -128,8 +128,12 @@ class TableStore:
         path = self._new_version(tdef)
         writer = df.write.mode("errorifexists")
         if tdef.partition_by:
-            # one open file per task and partition value
-            writer = df.sortWithinPartitions(tdef.partition_by).write.mode("errorifexists")
+            # REBALANCE on the partition column: rows of one value meet in one
+            # task, so each task writes a few large files instead of every
+            # task writing one small file per value. AQE sizes the tasks at
+            # run time: a value holding a third of the rows is split over
+            # many tasks, small values are coalesced (no sampling pass).
+            writer = df.hint("rebalance", tdef.partition_by).write.mode("errorifexists")
             writer = writer.partitionBy(tdef.partition_by)
         writer.parquet(path)
         metrics = obs.get
