@@ -14,14 +14,14 @@ import os
 import sys
 import tempfile
 import time
+from dataclasses import replace
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
 from cxlake.plans import queries as Q  # noqa: E402
-from cxlake.plans.catalog import DETAIL_DDL, DETAIL_KEY  # noqa: E402
+from cxlake.plans.catalog import default_table_defs  # noqa: E402
 from cxlake.plans.job import with_load_ts  # noqa: E402
-from cxlake.plans.tabledef import TableDef  # noqa: E402
 from cxlake.session import get_or_create_session  # noqa: E402
 from cxlake.sinks.tables import TableStore  # noqa: E402
 
@@ -51,15 +51,7 @@ def bench_merge(spark, sf_dir: str) -> float:
     """Previous load in the table, then time the merge of the current load
     (a fresh table per repetition, so every run does the same work)."""
     store = TableStore(spark)
-    tdef = TableDef(
-        name=f"bench_detail_{time.time_ns()}",
-        origin="python",
-        python_source="claim_detail",
-        mode="merge",
-        primary_key=DETAIL_KEY,
-        schema_ddl=DETAIL_DDL,
-        partition_by="Mes",
-    )
+    tdef = replace(default_table_defs()["claim_detail"], name=f"bench_detail_{time.time_ns()}")
     previous = with_load_ts(Q.previous_detail(spark, sf_dir), Q.PREVIOUS_LOAD_TS)
     store.save(previous, tdef)
     current = with_load_ts(Q._detail(spark, sf_dir), Q.CURRENT_LOAD_TS)

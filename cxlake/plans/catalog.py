@@ -30,7 +30,8 @@ def default_table_defs(database: str | None = None) -> dict[str, TableDef]:
             schema_ddl=DETAIL_DDL,
             mode="merge",
             primary_key=DETAIL_KEY,
-            partition_by="Mes",
+            cluster_by=("Mes", "Clasificacion"),
+            layout_clause="CLUSTER BY AUTO",
             lookback_days=3,
             description="First classified record per work order",
         ),

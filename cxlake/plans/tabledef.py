@@ -17,8 +17,11 @@ class TableDef:
     ``partition_by`` is a column name used when writing; the source product's
     single field mixed a DDL clause with a column name, so the clause text
     (meaningful only to table formats that accept it) lives in
-    ``layout_clause`` instead. ``lookback_days`` is passed to SQL-origin
-    queries as the named parameter ``:dias``.
+    ``layout_clause`` instead. ``cluster_by`` sorts rows inside each written
+    file, so parquet row-group statistics are tight on those columns and
+    filters on them skip data (a file-level analogue of table clustering).
+    ``lookback_days`` is passed to SQL-origin queries as the named parameter
+    ``:dias``.
     """
 
     name: str
@@ -31,6 +34,7 @@ class TableDef:
     query_sql_path: str | None = None
     schema_ddl: str | None = None
     partition_by: str | None = None
+    cluster_by: tuple[str, ...] = ()
     layout_clause: str | None = None
     lookback_days: int | None = None
     description: str = ""
@@ -68,6 +72,7 @@ def load_table_defs(path: str | Path) -> dict[str, TableDef]:
     for item in raw.get("tables", []):
         item = dict(item)
         item["primary_key"] = tuple(item.get("primary_key") or ())
+        item["cluster_by"] = tuple(item.get("cluster_by") or ())
         d = TableDef(**item)
         defs[d.name] = d
     return defs

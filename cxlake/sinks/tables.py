@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from urllib.parse import unquote
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -53,6 +54,19 @@ def _quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def _sql_text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+# Characters that Spark escapes (as %XX) in partition directory names.
+_PATH_ESCAPES = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def escape_path_name(value: str) -> str:
+    """Directory-name form of a partition value, as Spark writes it."""
+    return "".join(f"%{ord(c):02X}" if c in _PATH_ESCAPES or ord(c) < 0x20 else c for c in value)
+
+
 class TableStore:
     """Saves DataFrames into catalog tables according to a ``TableDef``."""
 
@@ -78,19 +92,56 @@ class TableStore:
     def _new_version(self, tdef: TableDef) -> str:
         return f"{self._table_root(tdef)}/v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
 
-    def _point_table_at(self, tdef: TableDef, path: str, schema: T.StructType) -> None:
+    def _point_table_at(
+        self, tdef: TableDef, path: str, schema: T.StructType, written: list | None = None, full: bool = True
+    ) -> None:
+        """Make the table read the version at ``path``.
+
+        Unpartitioned: one ``SET LOCATION``. Partitioned: each written
+        partition is pointed at its directory in the new version; with
+        ``full`` the table location moves too and partitions that were not
+        written are dropped from the catalog (their files stay in the old
+        version for readers that already listed them).
+        """
         name = _quote(tdef.full_name)
-        if self.exists(tdef):
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        else:
+        if not self.exists(tdef):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             part = f" PARTITIONED BY (`{tdef.partition_by}`)" if tdef.partition_by else ""
             self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part} LOCATION '{path}'")
-        if tdef.partition_by:
-            # partitioned tables track their partitions in the catalog
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            if tdef.partition_by:
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        elif not tdef.partition_by:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        else:
+            if full:
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            self._sync_partitions(tdef, path, written or [], drop_others=full)
         self.spark.catalog.refreshTable(tdef.full_name)
 
+    def _partitions(self, tdef: TableDef) -> set[str]:
+        """Partition values registered in the catalog (metadata only)."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {_quote(tdef.full_name)}").collect()
+        return {unquote(r[0].split("=", 1)[1]) for r in rows}
+
+    def _sync_partitions(self, tdef: TableDef, path: str, written: list, drop_others: bool) -> None:
+        name, col = _quote(tdef.full_name), tdef.partition_by
+        if any(v is None for v in written):
+            # NULL partition values: let Spark discover the directories
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            written = [v for v in written if v is not None]
+        existing = self._partitions(tdef)
+        values = {str(v) for v in written}
+        for v in sorted(values):
+            spec = f"PARTITION (`{col}` = '{_sql_text(v)}')"
+            loc = f"{path}/{col}={escape_path_name(v)}"
+            if v in existing:
+                self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{loc}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {name} ADD {spec} LOCATION '{loc}'")
+        if drop_others:
+            for v in sorted(existing - values):
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{col}` = '{_sql_text(v)}')")
+
     def create(self, tdef: TableDef, schema: T.StructType | str | None = None) -> None:
         """Create the table (empty) if it does not exist yet."""
         if self.exists(tdef):
@@ -123,9 +174,17 @@ class TableStore:
             return self.merge(df, tdef)
         raise ValueError(f"mode {tdef.mode!r} not supported")
 
-    def _publish(self, df: DataFrame, tdef: TableDef, obs: Observation, counted: str) -> tuple[str, dict]:
-        """Write ``df`` as a new version; swap only when the row check passes."""
+    def _publish(
+        self, df: DataFrame, tdef: TableDef, obs: Observation, counted: str, full: bool = True
+    ) -> tuple[str, dict]:
+        """Write ``df`` as a new version; swap only when the row check passes.
+
+        ``obs`` must observe ``counted`` and, for partitioned tables,
+        ``parts`` (the set of partition values written).
+        """
         path = self._new_version(tdef)
+        if tdef.cluster_by:
+            df = df.sortWithinPartitions(*tdef.cluster_by)
         writer = df.write.mode("errorifexists")
         if tdef.partition_by:
             # REBALANCE on the partition column: rows of one value meet in one
@@ -139,9 +198,15 @@ class TableStore:
         metrics = obs.get
         if tdef.fail_if_empty and not metrics.get(counted):
             raise EmptyResultError(f"table {tdef.full_name}: the result has no rows; table left unchanged")
-        self._point_table_at(tdef, path, df.schema)
+        self._point_table_at(tdef, path, df.schema, written=list(metrics.get("parts") or []), full=full)
         return path, metrics
 
+    @staticmethod
+    def _part_metrics(tdef: TableDef) -> list:
+        # the written partition values: one per value, bounded by the table's
+        # partition count (e.g. months), gathered in the same job
+        return [F.collect_set(tdef.partition_by).alias("parts")] if tdef.partition_by else []
+
     def overwrite(self, df: DataFrame, tdef: TableDef) -> SaveResult:
         if self.table_format == "delta":  # pragma: no cover
             writer = df.write.format("delta").mode("overwrite")
@@ -150,7 +215,7 @@ class TableStore:
             writer.saveAsTable(tdef.full_name)
             return SaveResult(tdef.full_name, "overwrite", -1, -1)
         obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *self._part_metrics(tdef))
         path, m = self._publish(observed, tdef, obs, "rows")
         return SaveResult(tdef.full_name, "overwrite", m["rows"], m["rows"], path)
 
@@ -188,6 +253,15 @@ class TableStore:
             )
             return SaveResult(tdef.full_name, "merge", -1, -1)
         target = self.spark.table(tdef.full_name)
+        part = tdef.partition_by
+        incremental = bool(part) and part in tdef.primary_key
+        if incremental:
+            # Rows can only match inside a partition value the source has
+            # (the value is part of the key), so only those partitions are
+            # read, merged and rewritten; the others keep their files. The
+            # broadcast side holds one row per touched value (e.g. month).
+            touched = df.select(part).distinct()
+            target = target.join(F.broadcast(touched), on=part, how="left_semi")
         merged = merge_frames(target, df, tdef.primary_key, action_column=_ACTION)
         obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
         action = F.col(_ACTION)
@@ -198,8 +272,9 @@ class TableStore:
             F.count_if(action == ACTION_UPDATED).alias("updated"),
             F.count_if(action == ACTION_COPIED).alias("copied"),
             F.count_if(action != ACTION_COPIED).alias("source_rows"),
+            *self._part_metrics(tdef),
         ).drop(_ACTION)
-        path, m = self._publish(observed, tdef, obs, "source_rows")
+        path, m = self._publish(observed, tdef, obs, "source_rows", full=not incremental)
         return SaveResult(
             tdef.full_name,
             "merge",
@@ -225,5 +300,6 @@ class TableStore:
         df = df.repartition(n)
         relaxed = replace(tdef, fail_if_empty=False)
         obs = Observation(f"compact_{uuid.uuid4().hex[:8]}")
-        path, m = self._publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), relaxed, obs, "rows")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *self._part_metrics(tdef))
+        path, m = self._publish(observed, relaxed, obs, "rows")
         return SaveResult(tdef.full_name, "compact", m["rows"], m["rows"], path)

@@ -150,3 +150,47 @@ def test_table_def_validation():
     with pytest.raises(ValueError):
         TableDef(name="x", origin="python", python_source="f", mode="merge")
     assert TableDef(name="t", origin="sql", query_sql_path="q.sql", catalog="c", database="d").full_name == "c.d.t"
+
+
+def _locations(spark, name):
+    out = {}
+    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        v = r[0].split("=", 1)[1]
+        loc = spark.sql(f"DESCRIBE FORMATTED {name} PARTITION (m = '{v}')").where("col_name = 'Location'")
+        out[v] = loc.collect()[0][1]
+    return out
+
+
+def test_incremental_merge_rewrites_only_touched_partitions(spark):
+    store = TableStore(spark)
+    tdef = TableDef(
+        name="t_incr",
+        origin="python",
+        python_source="x",
+        mode="merge",
+        primary_key=("m", "k"),
+        schema_ddl=SCHEMA,
+        partition_by="m",
+    )
+    store.save(mk(spark, [("a", "1", 1.0), ("b", "2", 2.0), ("c", "3", 3.0)]), tdef)
+    before = _locations(spark, "t_incr")
+    r = store.save(mk(spark, [("b", "2", 20.0), ("d", "4", 4.0)]), tdef)
+    assert (r.inserted, r.updated, r.copied) == (1, 1, 0)  # partitions 1 and 3 were not even read
+    after = _locations(spark, "t_incr")
+    assert after["1"] == before["1"] and after["3"] == before["3"]
+    assert after["2"] != before["2"] and "4" in after
+    assert rows(spark.table("t_incr").select("k", "m", "v")) == rows(
+        mk(spark, [("a", "1", 1.0), ("b", "2", 20.0), ("c", "3", 3.0), ("d", "4", 4.0)])
+    )
+    # a full overwrite drops partitions that are no longer present
+    ow = TableDef(name="t_incr", origin="python", python_source="x", mode="overwrite", partition_by="m")
+    store.save(mk(spark, [("z", "9", 9.0), ("y", "1", 8.0)]), ow)
+    assert set(_locations(spark, "t_incr")) == {"1", "9"}
+    assert rows(spark.table("t_incr").select("k", "m", "v")) == rows(mk(spark, [("y", "1", 8.0), ("z", "9", 9.0)]))
+
+
+def test_escape_path_name():
+    from cxlake.sinks.tables import escape_path_name
+
+    assert escape_path_name("2024-01") == "2024-01"
+    assert escape_path_name("a/b:c") == "a%2Fb%3Ac"
