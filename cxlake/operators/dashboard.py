@@ -6,7 +6,8 @@ Joins of the dashboard:
   calendar day (bounded by the lookback / the data's day span, a few hundred
   rows per year), so it is broadcast.
 * session-day -> survey, FIFO: the n-th conversation of a user id takes the
-  n-th survey of that id (left join on id and ordinal).
+  n-th survey of that id (left join on id and ordinal), computed on narrow
+  rows and joined back to the wide session-day rows without moving them.
 * claim status is not a join: it comes out of the same session-day
   aggregate (see ``cxlake.operators.sessions``).
 """
@@ -15,13 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cxlake.functions.text import MessagePatterns
-from cxlake.operators.messages import flag_messages, lookback
-from cxlake.operators.sessions import STATUS_COLUMNS, order_sessions, session_days
-from cxlake.operators.surveys import clean_surveys, order_surveys, satisfaction_daily
+from cxlake.operators.messages import lookback, with_message_date
+from cxlake.operators.sessions import JOIN_KEY, STATUS_COLUMNS, session_days, session_ends
+from cxlake.operators.surveys import clean_surveys, satisfaction_daily
 
 SESSION_COLUMNS = (
     "session_id",
@@ -68,7 +70,11 @@ def join_index(days: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def fifo_match(ordered_days: DataFrame, ordered_surveys: DataFrame) -> DataFrame:
-    """Left join on (id, ordinal): the n-th conversation gets the n-th survey."""
+    """Left join on (id, ordinal): the n-th conversation gets the n-th survey.
+
+    Direct form over already-numbered inputs; ``dashboard_base`` uses
+    ``fifo_pairs``, which numbers and pairs both sides on one shuffle.
+    """
     enc = ordered_surveys.where(F.col("id").isNotNull()).select(
         F.col("id").alias("_enc_id"),
         F.col("orden_enc"),
@@ -81,6 +87,73 @@ def fifo_match(ordered_days: DataFrame, ordered_surveys: DataFrame) -> DataFrame
     return ordered_days.join(enc, cond, "left").drop("_enc_id")
 
 
+def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None = "event_id") -> DataFrame:
+    """Number conversations and surveys per user id and pair n-th with n-th.
+
+    ``ends``: one row per session-day with ``JOIN_KEY``, session_id, id and
+    fecha_fin (see ``session_ends``). ``clean``: cleaned surveys.
+
+    Both sides are tagged and unioned, then hash-partitioned ONCE on the user
+    id. Numbering (a window per id and side) and pairing (a window per id and
+    ordinal) both run on that partitioning, so the whole FIFO match costs one
+    shuffle of narrow rows, instead of two numbering shuffles plus a shuffle
+    of both sides on (id, ordinal) for the join. Conversations with a NULL id
+    are numbered among themselves and never paired; surveys with a NULL id are
+    not candidates.
+
+    Output: ``JOIN_KEY`` + orden_conv, orden_enc, fecha_encuesta, eval_ia,
+    eval_acceso, resolucion (one row per conversation).
+    """
+    tie_type = clean.schema[survey_tie_breaker].dataType if survey_tie_breaker else T.LongType()
+    tie_col = F.col(survey_tie_breaker) if survey_tie_breaker else F.lit(None).cast(tie_type)
+    conv = ends.select(
+        "id",
+        F.lit("c").alias("_side"),
+        F.col("fecha_fin").alias("_o1"),
+        F.col("session_id").alias("_o2"),
+        F.col("message_date").alias("_o3"),
+        F.lit(None).cast(tie_type).alias("_o4"),
+        *[F.col(c) for c in JOIN_KEY],
+        F.lit(None).cast(T.DateType()).alias("fecha_encuesta"),
+        F.lit(None).cast(T.IntegerType()).alias("eval_ia"),
+        F.lit(None).cast(T.IntegerType()).alias("eval_acceso"),
+        F.lit(None).cast(T.StringType()).alias("resolucion"),
+    )
+    surv = clean.where(F.col("id").isNotNull()).select(
+        "id",
+        F.lit("s").alias("_side"),
+        F.col("Fecha").cast(T.TimestampType()).alias("_o1"),
+        F.lit(None).cast(T.StringType()).alias("_o2"),
+        F.lit(None).cast(T.DateType()).alias("_o3"),
+        tie_col.alias("_o4"),
+        F.lit(None).cast(T.StringType()).alias("_sk"),
+        F.lit(None).cast(T.BooleanType()).alias("_sn"),
+        F.lit(None).cast(T.DateType()).alias("message_date"),
+        F.to_date("Fecha").alias("fecha_encuesta"),
+        "eval_ia",
+        "eval_acceso",
+        "resolucion",
+    )
+    both = conv.unionByName(surv).repartition("id")
+    numbered = both.withColumn(
+        "_n", F.row_number().over(Window.partitionBy("id", "_side").orderBy("_o1", "_o2", "_o3", "_o4"))
+    )
+    pair = Window.partitionBy("id", "_n")
+    is_survey = F.col("_side") == F.lit("s")
+
+    def from_survey(c: str) -> Column:
+        return F.first(F.when(is_survey, F.col(c)), ignorenulls=True).over(pair)
+
+    paired = numbered.select(
+        "_side",
+        *[F.col(c) for c in JOIN_KEY],
+        F.col("_n").alias("orden_conv"),
+        F.first(F.when(is_survey, F.col("_n")), ignorenulls=True).over(pair).alias("orden_enc"),
+        *[from_survey(c).alias(c) for c in SURVEY_COLUMNS],
+    )
+    return paired.where(F.col("_side") == F.lit("c")).drop("_side")
+
+
 def dashboard_base(
     messages: DataFrame,
     surveys: DataFrame,
@@ -90,15 +163,22 @@ def dashboard_base(
     include_history: bool = True,
     survey_tie_breaker: str | None = "event_id",
 ) -> DataFrame:
-    """Per session-day dashboard row (27 or 28 columns with history)."""
-    flagged = flag_messages(lookback(messages, "message_timestamp", as_of, days), patterns)
-    sd = order_sessions(session_days(flagged, include_history=include_history))
+    """Per session-day dashboard row (28 columns with history, 27 without).
+
+    Shuffles: messages once on the session-day key (text and history never
+    move again); a narrow re-scan of three message columns plus the surveys
+    once on the user id (FIFO numbering and pairing); the paired narrow rows
+    once on the session-day key to meet the wide rows, which are already
+    partitioned that way; the daily index is broadcast.
+    """
+    dated = with_message_date(lookback(messages, "message_timestamp", as_of, days))
+    wide = session_days(dated, include_history=include_history, patterns=patterns, keep_join_key=True)
 
     clean = clean_surveys(surveys, as_of, days, tie_breaker=survey_tie_breaker)
-    enc = order_surveys(clean, tie_breaker=survey_tie_breaker)
+    pairs = fifo_pairs(session_ends(dated), clean, survey_tie_breaker)
     isn = satisfaction_daily(clean)
 
-    out = join_index(fifo_match(sd, enc), isn)
+    out = join_index(wide.join(pairs, on=list(JOIN_KEY), how="left"), isn)
     cols = [c for c in DASHBOARD_COLUMNS if include_history or c != "history"]
     return out.select(*cols)
 

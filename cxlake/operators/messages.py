@@ -70,16 +70,31 @@ def flag_messages(messages: DataFrame, patterns: MessagePatterns = MessagePatter
     )
 
 
-def dedup_messages(flagged: DataFrame) -> DataFrame:
-    """Collapse exact duplicate messages.
+def with_message_date(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("message_date", F.to_date("message_timestamp"))
+
+
+def dedup_messages(
+    dated: DataFrame, patterns: MessagePatterns = MessagePatterns(), extra_keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """Collapse exact duplicate messages; flags per distinct message.
 
     Sum-type flags count the copies, max-type flags do not (a message sent
-    twice that asks for data counts twice).
+    twice that asks for data counts twice). Every flag is a function of the
+    text, which is part of the dedup key, so the dedup itself only counts
+    copies (a hash aggregate with a fixed-width buffer and map-side combine)
+    and each pattern runs once per distinct message, not once per copy.
     """
-    return flagged.groupBy(*DEDUP_KEY).agg(
-        F.sum("pidio_datos").alias("pidio_datos"),
-        F.sum("ss_creacion_reclamo").alias("ss_creacion_reclamo"),
-        F.max("genero_caso").alias("genero_caso"),
-        F.max("id_reclamo").alias("id_reclamo"),
-        F.sum("error_reclamos").alias("error_reclamos"),
+    keys = (*DEDUP_KEY, *extra_keys)
+    counted = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    content = F.col("content")
+    low = F.lower(content)
+    copies = F.col("_copies")
+    return counted.select(
+        *keys,
+        (flag(low, patterns.asked_for_data) * copies).alias("pidio_datos"),
+        (flag(low, patterns.claim_creation_request) * copies).alias("ss_creacion_reclamo"),
+        flag(content, patterns.case_id).alias("genero_caso"),
+        F.regexp_extract(content, patterns.case_id_group, 1).alias("id_reclamo"),
+        (flag(low, patterns.claim_creation_error) * copies).alias("error_reclamos"),
     )

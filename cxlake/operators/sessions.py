@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import dedup_messages
 
 # Role names, session types and claim states.
@@ -32,6 +33,11 @@ CLAIM_IN_PROGRESS = "RECLAMO_EN_PROCESO"
 NO_CLAIM = "SIN_RECLAMO"
 
 SESSION_KEY = ("session_id", "message_date")
+# Null-free form of the session-day key: (text of session_id or "", whether
+# session_id is NULL, day). Grouping and joining on it keeps a NULL session
+# as its own group and lets a later equi-join find it again without turning
+# the join into a null-safe one (which would re-shuffle the joined side).
+JOIN_KEY = ("_sk", "_sn", "message_date")
 STATUS_COLUMNS = (
     "id_reclamo",
     "pidio_datos",
@@ -55,8 +61,18 @@ def history_expr(ts: str = "message_timestamp") -> F.Column:
     )
 
 
-def session_days(flagged: DataFrame, include_history: bool = True) -> DataFrame:
-    """Flagged messages -> one row per (session_id, message_date).
+def with_join_key(df: DataFrame) -> DataFrame:
+    sid = F.col("session_id").cast(T.StringType())
+    return df.withColumn("_sk", F.coalesce(sid, F.lit(""))).withColumn("_sn", sid.isNull())
+
+
+def session_days(
+    dated: DataFrame,
+    include_history: bool = True,
+    patterns: MessagePatterns = MessagePatterns(),
+    keep_join_key: bool = False,
+) -> DataFrame:
+    """Messages (with ``message_date``) -> one row per (session_id, message_date).
 
     With ``include_history`` the messages are hash-partitioned once on the
     session-day key; the dedup and the session-day aggregate then run in the
@@ -64,9 +80,16 @@ def session_days(flagged: DataFrame, include_history: bool = True) -> DataFrame:
     dedup shuffles on the full message key with map-side combining and the
     session-day aggregate receives only partial aggregates, which keeps a very
     large session-day from landing in one task.
+
+    The output stays hash-partitioned on ``JOIN_KEY``; with ``keep_join_key``
+    those columns are kept so a later join on them needs no shuffle here.
     """
-    src = flagged.repartition(*SESSION_KEY) if include_history else flagged
-    dedup = dedup_messages(src)
+    src = with_join_key(dated)
+    if include_history:
+        src = src.repartition(*JOIN_KEY)
+    # the join-key columns are part of the dedup key, so the partitioning on
+    # them satisfies both aggregates (one exchange)
+    dedup = dedup_messages(src, patterns, extra_keys=("_sk", "_sn"))
 
     role = F.col("role")
     aggs = [
@@ -86,11 +109,32 @@ def session_days(flagged: DataFrame, include_history: bool = True) -> DataFrame:
     ]
     if include_history:
         aggs.append(history_expr().alias("history"))
-    agg = dedup.groupBy(*SESSION_KEY).agg(*aggs)
-    return _session_metrics(agg, include_history)
+    agg = dedup.groupBy(*JOIN_KEY).agg(*aggs)
+    agg = agg.withColumn("session_id", F.when(~F.col("_sn"), F.col("_sk")))
+    out = _session_metrics(agg, include_history, keep_join_key)
+    return out
+
+
+def session_ends(dated: DataFrame) -> DataFrame:
+    """Per session-day: join key, session_id, user id and end time only.
+
+    Reads just three narrow columns of the messages (the scan prunes the
+    text), so ordering conversations per user never moves the history.
+    Exact duplicates do not change a max, so no dedup is needed.
+    """
+    slim = with_join_key(dated.select("session_id", "balancer_mongo_id", "message_timestamp", "message_date"))
+    agg = slim.groupBy(*JOIN_KEY).agg(
+        F.max("balancer_mongo_id").alias("id"), F.max("message_timestamp").alias("_last_ts")
+    )
+    return agg.select(
+        *JOIN_KEY,
+        F.when(~F.col("_sn"), F.col("_sk")).alias("session_id"),
+        F.col("id").cast(T.StringType()).alias("id"),
+        F.col("_last_ts").cast(T.TimestampType()).alias("fecha_fin"),
+    )
 
 
-def _session_metrics(agg: DataFrame, include_history: bool) -> DataFrame:
+def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool = False) -> DataFrame:
     first_ts = F.col("_first_ts").cast(T.TimestampType())
     last_ts = F.col("_last_ts").cast(T.TimestampType())
     seconds = F.unix_timestamp(last_ts) - F.unix_timestamp(first_ts)
@@ -138,6 +182,8 @@ def _session_metrics(agg: DataFrame, include_history: bool) -> DataFrame:
         status_col(F.col("_error"), "error_reclamos"),
         status_col(status, "estado_reclamo"),
     ]
+    if keep_join_key:
+        cols += [F.col(c) for c in JOIN_KEY if c != "message_date"]
     return agg.select(*cols)
 
 

@@ -205,13 +205,13 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.messages(spark, sf_dir)
 
 
-def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = messages.lookback(_messages(spark, sf_dir), "message_timestamp", AS_OF, DAYS)
-    return messages.flag_messages(recent)
+    return messages.with_message_date(recent)
 
 
 def _days(spark: SparkSession, sf_dir: str, include_history: bool) -> DataFrame:
-    return sessions.session_days(_flagged(spark, sf_dir), include_history=include_history)
+    return sessions.session_days(_dated(spark, sf_dir), include_history=include_history)
 
 
 def _clean_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +248,7 @@ def q_case_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_msg_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.dedup_messages(_flagged(spark, sf_dir))
+    return messages.dedup_messages(_dated(spark, sf_dir))
 
 
 def q_survey_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,9 +312,10 @@ def q_join_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = sessions.order_sessions(_days(spark, sf_dir, False))
-    enc = surveys.order_surveys(_clean_surveys(spark, sf_dir))
-    return dashboard.fifo_match(days, enc).select(
+    dated = _dated(spark, sf_dir)
+    ends = sessions.session_ends(dated)
+    pairs = dashboard.fifo_pairs(ends, _clean_surveys(spark, sf_dir))
+    return ends.join(pairs, on=list(sessions.JOIN_KEY)).select(
         "session_id",
         "message_date",
         "id",
