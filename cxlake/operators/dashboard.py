@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import lookback, with_message_date
+from cxlake.operators.ranking import skew_safe_row_number
 from cxlake.operators.sessions import JOIN_KEY, STATUS_COLUMNS, session_days, session_ends
 from cxlake.operators.surveys import clean_surveys, satisfaction_daily
 
@@ -87,19 +88,33 @@ def fifo_match(ordered_days: DataFrame, ordered_surveys: DataFrame) -> DataFrame
     return ordered_days.join(enc, cond, "left").drop("_enc_id")
 
 
-def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None = "event_id") -> DataFrame:
+# A user id with more session-days + surveys than this is numbered with the
+# skew-safe row number (see ``cxlake.operators.ranking``); at most
+# rows / HOT_ID_THRESHOLD ids can be that large, which bounds the broadcasts.
+HOT_ID_THRESHOLD = 1_000_000
+
+
+def fifo_pairs(
+    ends: DataFrame,
+    clean: DataFrame,
+    survey_tie_breaker: str | None = "event_id",
+    hot_id_threshold: int | None = HOT_ID_THRESHOLD,
+) -> DataFrame:
     """Number conversations and surveys per user id and pair n-th with n-th.
 
     ``ends``: one row per session-day with ``JOIN_KEY``, session_id, id and
     fecha_fin (see ``session_ends``). ``clean``: cleaned surveys.
 
-    Both sides are tagged and unioned, then hash-partitioned ONCE on the user
-    id. Numbering (a window per id and side) and pairing (a window per id and
-    ordinal) both run on that partitioning, so the whole FIFO match costs one
-    shuffle of narrow rows, instead of two numbering shuffles plus a shuffle
-    of both sides on (id, ordinal) for the join. Conversations with a NULL id
-    are numbered among themselves and never paired; surveys with a NULL id are
-    not candidates.
+    Both sides are tagged and unioned. With ``hot_id_threshold=None`` the
+    union is hash-partitioned ONCE on the user id and numbering (a window per
+    id and side) and pairing (a window per id and ordinal) both run on that
+    partitioning: one shuffle of narrow rows instead of two numbering
+    shuffles plus a shuffle of both sides on (id, ordinal) for a join. By
+    default the numbering is skew-safe instead: ids above the threshold are
+    split into ordered buckets, so an id holding a third of all rows is still
+    numbered by many tasks, and pairing partitions on (id, ordinal).
+    Conversations with a NULL id are numbered among themselves and never
+    paired; surveys with a NULL id are not candidates.
 
     Output: ``JOIN_KEY`` + orden_conv, orden_enc, fecha_encuesta, eval_ia,
     eval_acceso, resolucion (one row per conversation).
@@ -134,10 +149,14 @@ def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None
         "eval_acceso",
         "resolucion",
     )
-    both = conv.unionByName(surv).repartition("id")
-    numbered = both.withColumn(
-        "_n", F.row_number().over(Window.partitionBy("id", "_side").orderBy("_o1", "_o2", "_o3", "_o4"))
-    )
+    both = conv.unionByName(surv)
+    order = ["_o1", "_o2", "_o3", "_o4"]
+    if hot_id_threshold is None:
+        numbered = both.repartition("id").withColumn(
+            "_n", F.row_number().over(Window.partitionBy("id", "_side").orderBy(*order))
+        )
+    else:
+        numbered = skew_safe_row_number(both, ["id", "_side"], order, "_n", hot_id_threshold)
     pair = Window.partitionBy("id", "_n")
     is_survey = F.col("_side") == F.lit("s")
 
@@ -162,6 +181,7 @@ def dashboard_base(
     patterns: MessagePatterns = MessagePatterns(),
     include_history: bool = True,
     survey_tie_breaker: str | None = "event_id",
+    hot_id_threshold: int | None = HOT_ID_THRESHOLD,
 ) -> DataFrame:
     """Per session-day dashboard row (28 columns with history, 27 without).
 
@@ -175,7 +195,7 @@ def dashboard_base(
     wide = session_days(dated, include_history=include_history, patterns=patterns, keep_join_key=True)
 
     clean = clean_surveys(surveys, as_of, days, tie_breaker=survey_tie_breaker)
-    pairs = fifo_pairs(session_ends(dated), clean, survey_tie_breaker)
+    pairs = fifo_pairs(session_ends(dated), clean, survey_tie_breaker, hot_id_threshold)
     isn = satisfaction_daily(clean)
 
     out = join_index(wide.join(pairs, on=list(JOIN_KEY), how="left"), isn)
