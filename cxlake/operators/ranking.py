@@ -10,14 +10,15 @@ same numbers with the hot groups spread over many tasks:
    ``total_rows / hot_threshold`` hot groups, which bounds the broadcasts
    below;
 2. ordinary groups are numbered with the plain window;
-3. for hot groups, ``buckets - 1`` approximate quantiles of the first order
-   column split each group into ordered buckets; rows are numbered inside
-   (group, bucket) in parallel, and each bucket's offset (rows in the earlier
-   buckets of its group, an exact count) is added. Rows with equal first
-   order value always share a bucket, so the full order is respected.
+3. for hot groups, the range of the first order column (from the same
+   aggregate) is cut into ``buckets`` equal-width, ordered buckets; rows are
+   numbered inside (group, bucket) in parallel, and each bucket's offset
+   (rows in the earlier buckets of its group, an exact count) is added. Rows
+   with equal first order value always share a bucket, so the full order is
+   respected.
 
-The numbers are exact; only the bucket boundaries are approximate, which
-changes how evenly the work is split, never the result.
+The numbers are exact; the bucket widths only decide how evenly the work is
+split, never the result.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -37,6 +39,17 @@ def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -
     return cond
 
 
+def _as_number(col: Column, dtype: T.DataType) -> Column:
+    """Order-preserving numeric form of the first order column."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast(T.TimestampType())).cast(T.DoubleType())
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col).cast(T.DoubleType())
+    if isinstance(dtype, T.NumericType):
+        return col.cast(T.DoubleType())
+    raise TypeError(f"skew_safe_row_number: first order column must be numeric, date or timestamp, not {dtype}")
+
+
 def skew_safe_row_number(
     df: DataFrame,
     partition_cols: Sequence[str],
@@ -51,11 +64,18 @@ def skew_safe_row_number(
     if hot_threshold < 1 or buckets < 2:
         raise ValueError("hot_threshold must be >= 1 and buckets >= 2")
     hp = [f"_h_{c}" for c in part]
+    first = order[0]
+    x = _as_number(F.col(first), df.schema[first].dataType)
 
-    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_group_rows"))
+    # one aggregate: group sizes and the range of the first order value
+    sizes = df.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_group_rows"), F.min(x).alias("_lo"), F.max(x).alias("_hi")
+    )
     # bounded: at most total_rows / hot_threshold groups
     hot = F.broadcast(
-        sizes.where(F.col("_group_rows") > hot_threshold).select(*[F.col(c).alias(h) for c, h in zip(part, hp)])
+        sizes.where(F.col("_group_rows") > hot_threshold).select(
+            *[F.col(c).alias(h) for c, h in zip(part, hp)], "_lo", "_hi"
+        )
     )
     is_hot = _same(df, hot, list(zip(part, hp)))
 
@@ -63,28 +83,24 @@ def skew_safe_row_number(
         out_col, F.row_number().over(Window.partitionBy(*part).orderBy(*order))
     )
 
-    first = order[0]
-    hot_rows = df.join(hot, is_hot, "left_semi")
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = F.broadcast(
-        hot_rows.groupBy(*[F.col(c).alias(h) for c, h in zip(part, hp)]).agg(
-            F.percentile_approx(first, probs, 10000).alias("_bounds")
-        )
-    )
-    bucket: Column = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(first)))
-    bucketed = (
-        hot_rows.join(bounds, _same(hot_rows, bounds, list(zip(part, hp))))
-        .withColumn("_bucket", bucket)
-        .drop("_bounds", *hp)
+    # Equal-width buckets of the first order value, monotone in it (NULLs,
+    # which sort first, get bucket -1); equal values share a bucket.
+    lo, hi = F.col("_lo"), F.col("_hi")
+    scaled = F.floor((x - lo) / (hi - lo) * F.lit(float(buckets)))
+    bucket = (
+        F.when(x.isNull(), F.lit(-1))
+        .when(hi == lo, F.lit(0))
+        .otherwise(F.least(scaled.cast(T.IntegerType()), F.lit(buckets - 1)))
     )
+    bucketed = df.join(hot, is_hot, "inner").withColumn("_bucket", bucket).drop("_lo", "_hi", *hp)
     local = bucketed.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*part, "_bucket").orderBy(*order))
     )
-    counts = bucketed.groupBy(*[F.col(c).alias(h) for c, h in zip(part, hp)], F.col("_bucket").alias("_h_bucket")).agg(
-        F.count(F.lit(1)).alias("_bucket_rows")
-    )
+    counts = bucketed.groupBy(
+        *[F.col(c).alias(h) for c, h in zip(part, hp)], F.col("_bucket").alias("_h_bucket")
+    ).agg(F.count(F.lit(1)).alias("_bucket_rows"))
     earlier = Window.partitionBy(*hp).orderBy("_h_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # bounded: hot groups x buckets rows
+    # bounded: hot groups x (buckets + 1) rows
     offsets = F.broadcast(
         counts.withColumn("_offset", F.coalesce(F.sum("_bucket_rows").over(earlier), F.lit(0))).drop(
             "_bucket_rows"
