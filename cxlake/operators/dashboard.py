@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import lookback, with_message_date
-from cxlake.operators.ranking import skew_safe_row_number
+from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
 from cxlake.operators.sessions import JOIN_KEY, STATUS_COLUMNS, session_days, session_ends
 from cxlake.operators.surveys import clean_surveys, satisfaction_daily
 
@@ -91,7 +91,7 @@ def fifo_match(ordered_days: DataFrame, ordered_surveys: DataFrame) -> DataFrame
 # A user id with more session-days + surveys than this is numbered with the
 # skew-safe row number (see ``cxlake.operators.ranking``); at most
 # rows / HOT_ID_THRESHOLD ids can be that large, which bounds the broadcasts.
-HOT_ID_THRESHOLD = 1_000_000
+HOT_ID_THRESHOLD = HOT_GROUP_THRESHOLD
 
 
 def fifo_pairs(

@@ -30,6 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Default size above which a group counts as hot: at most total_rows / this
+# many groups can exceed it, which bounds every broadcast of hot groups.
+HOT_GROUP_THRESHOLD = 1_000_000
+
+
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality on column pairs (a NULL group is a group too)."""
     cond = None

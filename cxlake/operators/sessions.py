@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import dedup_messages
+from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
 
 # Role names, session types and claim states.
 ROLE_USER = "user"
@@ -195,14 +196,15 @@ def user_messages(days: DataFrame) -> DataFrame:
     )
 
 
-def order_sessions(days: DataFrame) -> DataFrame:
+def order_sessions(days: DataFrame, hot_threshold: int | None = HOT_GROUP_THRESHOLD) -> DataFrame:
     """Add ``orden_conv``: 1, 2, ... per user id by end time.
 
     Ties (same end time) are broken by session id, then day, so the FIFO
     pairing with surveys is repeatable. NULL ids are numbered too; they never
-    pair with a survey.
+    pair with a survey. Ids with more than ``hot_threshold`` session-days are
+    numbered with the skew-safe row number.
     """
-    w = Window.partitionBy("id").orderBy(
-        F.col("fecha_fin").asc(), F.col("session_id").asc(), F.col("message_date").asc()
-    )
-    return days.withColumn("orden_conv", F.row_number().over(w))
+    order = ["fecha_fin", "session_id", "message_date"]
+    if hot_threshold is not None:
+        return skew_safe_row_number(days, ["id"], order, "orden_conv", hot_threshold)
+    return days.withColumn("orden_conv", F.row_number().over(Window.partitionBy("id").orderBy(*order)))

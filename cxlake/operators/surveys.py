@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cxlake.functions.casts import guarded_int
 from cxlake.operators.messages import lookback
+from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
 
 # Which surveys count (answered with the assistant, opened and
 # closed by the robot) and the rating bands of the index.
@@ -50,9 +51,17 @@ def clean_surveys(
     )
 
 
-def order_surveys(clean: DataFrame, tie_breaker: str | None = "event_id") -> DataFrame:
-    """Add ``orden_enc``: 1, 2, ... per user id by date (then tie breaker)."""
-    order = [F.col("Fecha").asc()] + ([F.col(tie_breaker).asc()] if tie_breaker else [])
+def order_surveys(
+    clean: DataFrame, tie_breaker: str | None = "event_id", hot_threshold: int | None = HOT_GROUP_THRESHOLD
+) -> DataFrame:
+    """Add ``orden_enc``: 1, 2, ... per user id by date (then tie breaker).
+
+    Ids with more than ``hot_threshold`` surveys are numbered with the
+    skew-safe row number (``None``: always the plain window).
+    """
+    order = ["Fecha"] + ([tie_breaker] if tie_breaker else [])
+    if hot_threshold is not None:
+        return skew_safe_row_number(clean, ["id"], order, "orden_enc", hot_threshold)
     w = Window.partitionBy("id").orderBy(*order)
     return clean.withColumn("orden_enc", F.row_number().over(w))
 

@@ -29,3 +29,21 @@ def test_no_hot_groups_is_the_plain_window(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "g STRING, ts INT")
     got = {(r["g"], r["ts"]): r["n"] for r in skew_safe_row_number(df, ["g"], ["ts"], "n", 10).collect()}
     assert got == {("a", 1): 1, ("a", 2): 2, ("b", 5): 1}
+
+
+def test_ordinal_operators_hot_path_equals_plain(spark):
+    from cxlake.operators import sessions, surveys
+    from cxlake.operators.messages import lookback, with_message_date
+    from cxlake.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    clean = surveys.clean_surveys(fx.surveys(spark, sf), "2024-01-31", 31)
+    a = surveys.order_surveys(clean, hot_threshold=1)  # every id is hot
+    b = surveys.order_surveys(clean, hot_threshold=None)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    dated = with_message_date(lookback(fx.messages(spark, sf), "message_timestamp", "2024-01-31", 31))
+    days = sessions.session_days(dated, include_history=False)
+    c = sessions.order_sessions(days, hot_threshold=1)
+    d = sessions.order_sessions(days, hot_threshold=None)
+    assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
