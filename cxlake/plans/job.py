@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators import claims, dashboard
 from cxlake.plans.tabledef import TableDef, get_table_def
-from cxlake.session import ensure_session_defaults
+from cxlake.session import checkpoint_dir, ensure_session_defaults
 from cxlake.sinks.tables import SaveResult, TableStore
 from cxlake.sources.normalize import normalize_result
 from cxlake.sources.scans import sql_file_source
@@ -47,24 +47,42 @@ class Inputs:
     survey_tie_breaker: str | None = None
     as_of: str | None = None
     patterns: MessagePatterns = MessagePatterns()
+    # Build the claim detail once per job run and checkpoint it (shared
+    # checkpoint dir), so the detail table and its rollups read the logs once.
+    share_detail: bool = True
 
 
 def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
-    """The package's table builders, bound to ``inputs``."""
+    """The package's table builders, bound to ``inputs``.
+
+    Create one set per job run: with ``share_detail`` the claim detail is
+    computed and checkpointed on first use and reused by the rollups of the
+    same run.
+    """
 
     def need(loader: Loader | None, what: str) -> Loader:
         if loader is None:
             raise ValueError(f"no {what} input configured")
         return loader
 
+    shared: dict[str, DataFrame] = {}
+
     def detail(spark: SparkSession, tdef: TableDef) -> DataFrame:
+        if "detail" in shared:
+            return shared["detail"]
         logs = need(inputs.usage_logs, "usage-log")(spark)
-        return claims.claim_detail(
+        df = claims.claim_detail(
             logs,
             excluded_users=inputs.excluded_users,
             excluded_classes=inputs.excluded_classes,
             tie_breaker=inputs.log_tie_breaker,
         )
+        if inputs.share_detail:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+            df = df.checkpoint(eager=True)
+            shared["detail"] = df
+        return df
 
     def base(spark: SparkSession, tdef: TableDef) -> DataFrame:
         return dashboard.dashboard_base(

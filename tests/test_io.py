@@ -125,3 +125,20 @@ def test_table_defs_from_json(tmp_path):
                  '"mode": "merge", "primary_key": ["Mes", "OT"]}]}')
     d = load_table_defs(p)["t"]
     assert d.primary_key == ("Mes", "OT") and d.save_mode == "merge"
+
+
+def test_cli_runs_table_jobs(spark, tmp_path):
+    from cxlake.__main__ import main
+
+    logs = tmp_path / "logs.json"
+    logs.write_text(
+        '{"_id": "1", "ot": "A", "created_at": "2024-01-05T00:00:00", "clasificacion": "X", "valor_declarado": "10"}\n'
+        '{"_id": "2", "ot": "B", "created_at": "2024-01-06T00:00:00", "clasificacion": "X", "valor_declarado": "20"}\n'
+        '{"_id": "3", "ot": "C", "created_at": "2024-01-07T00:00:00", "user": "bad", "valor_declarado": "30"}\n'
+    )
+    spark.sql("CREATE DATABASE IF NOT EXISTS cli_db")
+    args = ["--tables", "claim_detail", "claim_summary", "--database", "cli_db", "--usage-logs", str(logs)]
+    assert main(args + ["--exclude-user", "bad"]) == 0
+    assert spark.table("cli_db.claim_detail").count() == 2
+    s = spark.table("cli_db.claim_summary").collect()[0]
+    assert (s["Cantidad"], s["Suma_Total_CLP"], s["Promedio_CLP"]) == (2, 30.0, 15.0)
