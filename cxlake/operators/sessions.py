@@ -1,10 +1,12 @@
 """Conversation pipeline, session-day level.
 
-One ``groupBy(session_id, message_date)`` computes everything the dashboard
-needs per session-day: identity columns, the ordered history, the message
-metrics and the claim status. The source product computes metrics and claim
-status in two separate passes over the messages and joins them; fusing them
-removes a scan, a shuffle and a join.
+One aggregate per session-day computes everything the dashboard needs:
+identity columns, the ordered history, the message metrics and the claim
+status. The source product computes metrics and claim status in two separate
+passes over the messages and joins them; fusing them removes a scan, a
+shuffle and a join. The grouping key is the null-free ``JOIN_KEY`` form of
+(session_id, message_date), so later joins on it find the rows where they
+already are.
 
 Metrics are plain aggregates (count, count_if, min, max, sum), so they are
 partially aggregated before the shuffle and do not need the history array.

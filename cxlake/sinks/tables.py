@@ -149,18 +149,16 @@ class TableStore:
         schema = schema or tdef.schema_ddl
         if schema is None:
             raise ValueError(f"table {tdef.name!r}: no schema to create it from")
-        if isinstance(schema, str):
-            schema = T._parse_datatype_string(schema)
+        empty = self.spark.createDataFrame([], schema)  # a StructType or a DDL string
         if self.table_format == "delta":  # pragma: no cover
-            empty = self.spark.createDataFrame([], schema)
             writer = empty.write.format("delta")
             if tdef.partition_by:
                 writer = writer.partitionBy(tdef.partition_by)
             writer.saveAsTable(tdef.full_name)
             return
         path = self._new_version(tdef)
-        self.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
-        self._point_table_at(tdef, path, schema)
+        empty.write.mode("errorifexists").parquet(path)
+        self._point_table_at(tdef, path, empty.schema)
 
     # -- save -----------------------------------------------------------------
 
@@ -183,16 +181,19 @@ class TableStore:
         ``parts`` (the set of partition values written).
         """
         path = self._new_version(tdef)
-        if tdef.cluster_by:
-            df = df.sortWithinPartitions(*tdef.cluster_by)
-        writer = df.write.mode("errorifexists")
         if tdef.partition_by:
             # REBALANCE on the partition column: rows of one value meet in one
             # task, so each task writes a few large files instead of every
             # task writing one small file per value. AQE sizes the tasks at
             # run time: a value holding a third of the rows is split over
             # many tasks, small values are coalesced (no sampling pass).
-            writer = df.hint("rebalance", tdef.partition_by).write.mode("errorifexists")
+            df = df.hint("rebalance", tdef.partition_by)
+        if tdef.cluster_by:
+            # sorted inside each file: tight row-group statistics (after the
+            # shuffle above, so the order survives to the writer)
+            df = df.sortWithinPartitions(*tdef.cluster_by)
+        writer = df.write.mode("errorifexists")
+        if tdef.partition_by:
             writer = writer.partitionBy(tdef.partition_by)
         writer.parquet(path)
         metrics = obs.get
