@@ -304,3 +304,46 @@ class TableStore:
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *self._part_metrics(tdef))
         path, m = self._publish(observed, relaxed, obs, "rows")
         return SaveResult(tdef.full_name, "compact", m["rows"], m["rows"], path)
+
+    # -- maintenance ----------------------------------------------------------
+
+    def _locations_in_use(self, tdef: TableDef) -> set[str]:
+        """Table and partition locations the catalog points at (metadata)."""
+        name = _quote(tdef.full_name)
+        info = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+        used = {r[1] for r in info}
+        if tdef.partition_by:
+            for v in self._partitions(tdef):
+                spec = f"PARTITION (`{tdef.partition_by}` = '{_sql_text(v)}')"
+                rows = self.spark.sql(f"DESCRIBE FORMATTED {name} {spec}").where("col_name = 'Location'").collect()
+                used.update(r[1] for r in rows)
+        return used
+
+    def vacuum(self, tdef: TableDef, retain_hours: float = 168.0) -> list[str]:
+        """Delete version directories no longer referenced and older than
+        ``retain_hours`` (readers that listed an old version before the swap
+        keep working for that long). Returns the deleted paths."""
+        if self.table_format == "delta":  # pragma: no cover
+            self.spark.sql(f"VACUUM {_quote(tdef.full_name)} RETAIN {retain_hours} HOURS")
+            return []
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self._table_root(tdef))
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        qualify = lambda u: fs.makeQualified(jvm.org.apache.hadoop.fs.Path(u)).toString()
+        used = {qualify(u) for u in self._locations_in_use(tdef)}
+        cutoff_ms = (time.time() - retain_hours * 3600.0) * 1000.0
+        deleted = []
+        for status in fs.listStatus(root):
+            path = status.getPath()
+            uri = qualify(path.toString())
+            if not status.isDirectory() or not path.getName().startswith("v"):
+                continue
+            if any(u == uri or u.startswith(uri + "/") for u in used):
+                continue
+            if status.getModificationTime() > cutoff_ms:
+                continue
+            fs.delete(path, True)
+            deleted.append(uri)
+        return deleted

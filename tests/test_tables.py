@@ -194,3 +194,18 @@ def test_escape_path_name():
 
     assert escape_path_name("2024-01") == "2024-01"
     assert escape_path_name("a/b:c") == "a%2Fb%3Ac"
+
+
+def test_vacuum_keeps_versions_in_use(spark):
+    store = TableStore(spark)
+    t = TableDef(name="t_vac", origin="python", python_source="x", mode="merge", primary_key=("m", "k"),
+                 schema_ddl=SCHEMA, partition_by="m")
+    store.save(mk(spark, [("a", "1", 1.0), ("b", "2", 2.0)]), t)
+    store.save(mk(spark, [("b", "2", 3.0)]), t)  # partition 1 stays on the first version
+    store.save(mk(spark, [("b", "2", 4.0)]), t)
+    assert store.vacuum(t, retain_hours=1) == []  # too young
+    deleted = store.vacuum(t, retain_hours=0)
+    # versions: creation (still the table location), first merge (partition 1),
+    # second merge (partition 2, superseded), third merge (partition 2)
+    assert len(deleted) == 1
+    assert rows(spark.table("t_vac").select("k", "m", "v")) == rows(mk(spark, [("a", "1", 1.0), ("b", "2", 4.0)]))
