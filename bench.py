@@ -39,7 +39,7 @@ def timed(fn) -> float:
     return time.perf_counter() - t0
 
 
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "5"))
 
 
 def median(values: list[float]) -> float:

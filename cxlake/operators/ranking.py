@@ -97,7 +97,7 @@ def skew_safe_row_number(
         .when(hi == lo, F.lit(0))
         .otherwise(F.least(scaled.cast(T.IntegerType()), F.lit(buckets - 1)))
     )
-    bucketed = df.join(hot, is_hot, "inner").withColumn("_bucket", bucket).drop("_lo", "_hi", *hp)
+    bucketed = df.join(hot, is_hot, "inner").select(*df.columns, bucket.alias("_bucket"))
     local = bucketed.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*part, "_bucket").orderBy(*order))
     )
@@ -107,13 +107,9 @@ def skew_safe_row_number(
     earlier = Window.partitionBy(*hp).orderBy("_h_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # bounded: hot groups x (buckets + 1) rows
     offsets = F.broadcast(
-        counts.withColumn("_offset", F.coalesce(F.sum("_bucket_rows").over(earlier), F.lit(0))).drop(
-            "_bucket_rows"
-        )
+        counts.select(*hp, "_h_bucket", F.coalesce(F.sum("_bucket_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    numbered_hot = (
-        local.join(offsets, _same(local, offsets, [*zip(part, hp), ("_bucket", "_h_bucket")]))
-        .withColumn(out_col, (F.col("_local") + F.col("_offset")).cast("int"))
-        .select(*plain.columns)
+    numbered_hot = local.join(offsets, _same(local, offsets, [*zip(part, hp), ("_bucket", "_h_bucket")])).select(
+        *[F.col(c) for c in df.columns], (F.col("_local") + F.col("_offset")).cast("int").alias(out_col)
     )
     return plain.unionByName(numbered_hot)

@@ -66,7 +66,7 @@ def history_expr(ts: str = "message_timestamp") -> F.Column:
 
 def with_join_key(df: DataFrame) -> DataFrame:
     sid = F.col("session_id").cast(T.StringType())
-    return df.withColumn("_sk", F.coalesce(sid, F.lit(""))).withColumn("_sn", sid.isNull())
+    return df.withColumns({"_sk": F.coalesce(sid, F.lit("")), "_sn": sid.isNull()})
 
 
 def session_days(
@@ -113,9 +113,7 @@ def session_days(
     if include_history:
         aggs.append(history_expr().alias("history"))
     agg = dedup.groupBy(*JOIN_KEY).agg(*aggs)
-    agg = agg.withColumn("session_id", F.when(~F.col("_sn"), F.col("_sk")))
-    out = _session_metrics(agg, include_history, keep_join_key)
-    return out
+    return _session_metrics(agg, include_history, keep_join_key)
 
 
 def session_ends(dated: DataFrame) -> DataFrame:
@@ -152,13 +150,13 @@ def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool
     )
     # A NULL session never matched its claim status in the source product's
     # join; keep that: status columns are NULL for it.
-    has_session = F.col("session_id").isNotNull()
+    has_session = ~F.col("_sn")
 
     def status_col(expr: F.Column, name: str) -> F.Column:
         return F.when(has_session, expr).alias(name)
 
     cols = [
-        F.col("session_id"),
+        F.when(has_session, F.col("_sk")).alias("session_id"),
         F.col("message_date"),
         F.col("id").cast(T.StringType()).alias("id"),
         F.col("_expires").cast(T.TimestampType()).alias("expires_at"),
