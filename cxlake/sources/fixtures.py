@@ -73,8 +73,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message history: one row per conversation turn.
 
     Every eighth conversation carries its first message twice (an exact
-    duplicate, built as a union rather than a join). Some turns get a phrase
-    appended so that each message flag fires somewhere.
+    duplicate, generated by exploding a one- or two-element array in the same
+    scan). Some turns get a phrase appended so that each message flag fires
+    somewhere.
     """
     c = table(spark, sf_dir, "conversations")
     conv = F.col("conv_id")
@@ -86,7 +87,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((conv % 9 == 0) & (turn == 1), F.lit(" no fue posible crear el reclamo porque"))
         .otherwise(F.lit(""))
     )
-    base = c.select(
+    # one or two copies of each row, generated in the same scan
+    copies = F.when((conv % 8 == 0) & (turn == 0), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return c.select(
         conv.cast("string").alias("session_id"),
         (conv % 60).cast("string").alias("balancer_mongo_id"),
         F.col("role"),
@@ -100,11 +103,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("timestamp_ntz'2024-01-01 01:00:00' + make_dt_interval(0, 0, conv_id * 397, 0)").alias(
             "conversation_updated_at"
         ),
-        conv.alias("_conv"),
-        turn.alias("_turn"),
-    )
-    copies = base.where((F.col("_conv") % 8 == 0) & (F.col("_turn") == 0))
-    return base.unionByName(copies).drop("_conv", "_turn")
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
 
 
 def surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
