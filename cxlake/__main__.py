@@ -1,6 +1,6 @@
 """Run table jobs from the command line (one Spark action per table).
 
-    spark-submit -m cxlake --tables claim_detail claim_summary \\
+    spark-submit cxlake/__main__.py --tables claim_detail claim_summary \\
         --usage-logs s3://bucket/logs/ --usage-logs-format json \\
         --exclude-user someone@example.com --defs tables.json
 
