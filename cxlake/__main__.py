@@ -1,7 +1,7 @@
 """Run table jobs from the command line (one Spark action per table).
 
     spark-submit cxlake/__main__.py --tables claim_detail claim_summary \\
-        --usage-logs s3://bucket/logs/ --usage-logs-format json \\
+        --usage-logs /data/usage_logs/ --usage-logs-format json \\
         --exclude-user someone@example.com --defs tables.json
 
 Inputs may be paths (parquet/json) or catalog table names (``table:name``).
@@ -11,15 +11,20 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 
-from pyspark.sql import DataFrame, SparkSession
+if __package__ in (None, ""):  # run as a file (spark-submit cxlake/__main__.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cxlake.plans.catalog import default_table_defs
-from cxlake.plans.job import Inputs, builtin_builders, run_tables
-from cxlake.plans.tabledef import load_table_defs
-from cxlake.session import ensure_session_defaults
-from cxlake.sinks.tables import TableStore
-from cxlake.sources.scans import read_usage_logs, table_scan
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from cxlake.plans.catalog import default_table_defs  # noqa: E402
+from cxlake.plans.job import Inputs, builtin_builders, run_tables  # noqa: E402
+from cxlake.plans.tabledef import load_table_defs  # noqa: E402
+from cxlake.session import ensure_session_defaults  # noqa: E402
+from cxlake.sinks.tables import TableStore  # noqa: E402
+from cxlake.sources.scans import read_usage_logs, table_scan  # noqa: E402
 
 
 def _loader(spec: str | None, fmt: str = "parquet"):
