@@ -177,7 +177,7 @@ def _conv_ctes(days: int = DAYS) -> str:
     a, r, c, g, e = (_txt.ASKED_FOR_DATA, _txt.CLAIM_CREATION_REQUEST, _txt.CASE_ID,
                      _txt.CASE_ID_GROUP, _txt.CLAIM_CREATION_ERROR)
     return f"""
-mensajes AS (
+distinct_msgs AS (
   SELECT session_id, balancer_mongo_id, role, content, message_timestamp,
     CAST(message_timestamp AS DATE) AS message_date, conversation_expires_at, conversation_updated_at,
     sum(CASE WHEN regexp_matches(lower(content), '{a}') THEN 1 ELSE 0 END) AS pidio_datos,
@@ -188,7 +188,7 @@ mensajes AS (
   FROM messages WHERE CAST(message_timestamp AS DATE) >= {start}
   GROUP BY ALL
 ),
-encuestas AS (
+rated_surveys AS (
   SELECT CAST("IdUsuario" AS VARCHAR) AS id, "Fecha",
     CASE WHEN regexp_matches("EvalIA", '{INTEGER_TEXT}') THEN try_cast(trim("EvalIA") AS INTEGER) END AS eval_ia,
     CASE WHEN regexp_matches("EvalAcceso", '{INTEGER_TEXT}') THEN try_cast(trim("EvalAcceso") AS INTEGER) END AS eval_acceso,
@@ -198,16 +198,16 @@ encuestas AS (
   WHERE "Fecha" >= {start} AND "AtencionIA" = 'Si' AND "OperadorAbre" = 'robot'
     AND "OperadorCierra" = 'robot' AND "EvalIA" IS NOT NULL AND trim("EvalIA") <> ''
 ),
-conversaciones AS (
+day_groups AS (
   SELECT session_id, message_date, max(balancer_mongo_id) AS id,
-    max(conversation_expires_at) AS expires_raw, max(conversation_updated_at) AS updated_raw,
+    max(conversation_expires_at) AS max_expires, max(conversation_updated_at) AS max_updated,
     list(struct_pack(role := role, content := content, "timestamp" := CAST(message_timestamp AS VARCHAR))
          ORDER BY message_timestamp NULLS FIRST, role NULLS FIRST, content NULLS FIRST) AS h
-  FROM mensajes GROUP BY session_id, message_date
+  FROM distinct_msgs GROUP BY session_id, message_date
 ),
-conv_final AS (
+day_metrics AS (
   SELECT session_id, CAST(id AS VARCHAR) AS id, message_date,
-    CAST(expires_raw AS TIMESTAMP) AS expires_at, CAST(updated_raw AS TIMESTAMP) AS updated_at,
+    CAST(max_expires AS TIMESTAMP) AS expires_at, CAST(max_updated AS TIMESTAMP) AS updated_at,
     CAST(to_json(h) AS VARCHAR) AS history,
     CAST(to_json(list_filter(h, lambda x: x.role = 'user')) AS VARCHAR) AS si,
     h[1]."timestamp" AS primer_timestamp, h[-1]."timestamp" AS ultimo_timestamp,
@@ -219,19 +219,19 @@ conv_final AS (
     CASE WHEN len(list_filter(h, lambda x: x.role = 'user')) = 1 THEN 'Abandono' ELSE 'Conversacion' END AS tipo_sesion,
     CAST(floor(epoch_us(CAST(h[-1]."timestamp" AS TIMESTAMP)) / 1000000) AS BIGINT)
       - CAST(floor(epoch_us(CAST(h[1]."timestamp" AS TIMESTAMP)) / 1000000) AS BIGINT) AS duracion_segundos
-  FROM conversaciones
+  FROM day_groups
 ),
-conv_ord AS (
+day_ordered AS (
   SELECT *, {_half_up("duracion_segundos", "60", 2)} AS duracion_minutos,
     CAST(row_number() OVER (PARTITION BY id ORDER BY fecha_fin, session_id, message_date) AS INTEGER) AS orden_conv
-  FROM conv_final
+  FROM day_metrics
 ),
-isn_day AS (
+day_index AS (
   SELECT "Fecha" AS isn_fecha,
     {_half_up(ISN_NUMERATOR, "count(*)", 2)} AS isn
-  FROM encuestas WHERE eval_ia BETWEEN 1 AND 7 GROUP BY "Fecha"
+  FROM rated_surveys WHERE eval_ia BETWEEN 1 AND 7 GROUP BY "Fecha"
 ),
-reclamos AS (
+day_claims AS (
   SELECT message_date, session_id, max(id_reclamo) AS id_reclamo,
     CAST(sum(pidio_datos) AS BIGINT) AS pidio_datos,
     CAST(sum(ss_creacion_reclamo) AS BIGINT) AS solicitud_creacion_reclamo,
@@ -240,7 +240,7 @@ reclamos AS (
          WHEN sum(ss_creacion_reclamo) > 0 AND max(genero_caso) = 0 THEN 'RECLAMO_INCONCLUSO'
          WHEN sum(pidio_datos) > 0 AND max(genero_caso) = 0 THEN 'RECLAMO_EN_PROCESO'
          ELSE 'SIN_RECLAMO' END AS estado_reclamo
-  FROM mensajes GROUP BY message_date, session_id
+  FROM distinct_msgs GROUP BY message_date, session_id
 ),
 dashboard AS (
   SELECT c.session_id, c.id, c.message_date, c.expires_at, c.updated_at, c.history,
@@ -249,10 +249,10 @@ dashboard AS (
     c.duracion_segundos, c.orden_conv, e.orden_enc, e."Fecha" AS fecha_encuesta, e.eval_ia,
     e.eval_acceso, e.resolucion, r.id_reclamo, r.pidio_datos, r.solicitud_creacion_reclamo,
     r.genero_caso, r.error_reclamos, r.estado_reclamo, i.isn
-  FROM conv_ord c
-  LEFT JOIN isn_day i ON c.message_date = i.isn_fecha
-  LEFT JOIN encuestas e ON c.id = e.id AND c.orden_conv = e.orden_enc
-  LEFT JOIN reclamos r ON c.session_id = r.session_id AND c.message_date = r.message_date
+  FROM day_ordered c
+  LEFT JOIN day_index i ON c.message_date = i.isn_fecha
+  LEFT JOIN rated_surveys e ON c.id = e.id AND c.orden_conv = e.orden_enc
+  LEFT JOIN day_claims r ON c.session_id = r.session_id AND c.message_date = r.message_date
 )"""
 
 
@@ -282,19 +282,19 @@ CONVERSATION_STATEMENTS = {
     "msg_flags": _with(MESSAGES) + MSG_FLAG_SELECT,
     "case_id": _with(MESSAGES)
     + f"\nSELECT session_id, message_timestamp, role, regexp_extract(content, '{_txt.CASE_ID_GROUP}', 1) AS id_reclamo FROM messages",
-    "msg_dedup": _conv("SELECT * FROM mensajes"),
-    "survey_clean": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id FROM encuestas'),
-    "survey_order": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id, orden_enc FROM encuestas'),
-    "satisfaction_daily": _conv('SELECT isn_fecha AS "Fecha", isn FROM isn_day'),
-    "session_day": _conv("SELECT session_id, message_date, id, expires_at, updated_at FROM conv_final"),
-    "session_history": _conv("SELECT session_id, message_date, history FROM conv_final"),
-    "session_metrics": _conv(f"SELECT {SESSION_METRIC_COLUMNS} FROM conv_ord"),
-    "session_user_msgs": _conv("SELECT session_id, message_date, si FROM conv_final"),
-    "session_type": _conv("SELECT session_id, message_date, mensajes_usuario, tipo_sesion FROM conv_final"),
-    "session_order": _conv("SELECT session_id, message_date, id, fecha_fin, orden_conv FROM conv_ord"),
-    "claim_status": _conv("SELECT * FROM reclamos"),
+    "msg_dedup": _conv("SELECT * FROM distinct_msgs"),
+    "survey_clean": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id FROM rated_surveys'),
+    "survey_order": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id, orden_enc FROM rated_surveys'),
+    "satisfaction_daily": _conv('SELECT isn_fecha AS "Fecha", isn FROM day_index'),
+    "session_day": _conv("SELECT session_id, message_date, id, expires_at, updated_at FROM day_metrics"),
+    "session_history": _conv("SELECT session_id, message_date, history FROM day_metrics"),
+    "session_metrics": _conv(f"SELECT {SESSION_METRIC_COLUMNS} FROM day_ordered"),
+    "session_user_msgs": _conv("SELECT session_id, message_date, si FROM day_metrics"),
+    "session_type": _conv("SELECT session_id, message_date, mensajes_usuario, tipo_sesion FROM day_metrics"),
+    "session_order": _conv("SELECT session_id, message_date, id, fecha_fin, orden_conv FROM day_ordered"),
+    "claim_status": _conv("SELECT * FROM day_claims"),
     "join_index": _conv(
-        "SELECT c.session_id, c.message_date, i.isn FROM conv_ord c LEFT JOIN isn_day i ON c.message_date = i.isn_fecha"
+        "SELECT c.session_id, c.message_date, i.isn FROM day_ordered c LEFT JOIN day_index i ON c.message_date = i.isn_fecha"
     ),
     "fifo_match": _conv(
         'SELECT session_id, message_date, id, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion FROM dashboard'
