@@ -375,7 +375,9 @@ STEP_STATEMENTS = {
     "json_export": _claims(
         """SELECT CAST(to_json(struct_pack("Mes" := "Mes", "Clasificacion" := "Clasificacion", "OT" := "OT",
              "Valor_Declarado_CLP" := "Valor_Declarado_CLP",
-             "Fecha_Creacion" := strftime("Fecha_Creacion", '%Y-%m-%dT%H:%M:%S.%f'),
+             "Fecha_Creacion" := CASE WHEN microsecond("Fecha_Creacion") % 1000000 = 0
+                                      THEN strftime("Fecha_Creacion", '%Y-%m-%dT%H:%M:%S')
+                                      ELSE strftime("Fecha_Creacion", '%Y-%m-%dT%H:%M:%S.%f') END,
              "Usuario" := "Usuario")) AS VARCHAR) AS json FROM claim_detail"""
     ),
 }

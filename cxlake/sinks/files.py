@@ -9,7 +9,10 @@ from pyspark.sql import types as T
 from cxlake.functions.text import clean_names
 
 CSV_SEPARATOR = ";"
-ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# ISO-8601 text as Python's isoformat() writes it: the fraction only when it
+# is not zero.
+ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ISO_DATE = "yyyy-MM-dd"
 
 
@@ -51,7 +54,8 @@ def _json_safe(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DecimalType):
         return col.cast(T.DoubleType())
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(col, ISO_TIMESTAMP)
+        whole = F.date_format(col, "SSSSSS") == F.lit("000000")
+        return F.when(whole, F.date_format(col, ISO_SECONDS)).otherwise(F.date_format(col, ISO_MICROS))
     if isinstance(dtype, T.DateType):
         return F.date_format(col, ISO_DATE)
     return col

@@ -39,7 +39,9 @@ def test_csv_parquet_json_round_trip(spark, tmp_path):
     files.export_parquet(df, str(tmp_path / "one"), single_file=True)
     assert len(list((tmp_path / "one").glob("part-*.parquet"))) == 1
     row = files.json_rows(df).collect()[0]["json"]
-    assert '"ts":"2024-01-02T03:04:05.000000"' in row and '"d":"2024-01-02"' in row and '"dec":2.5' in row
+    assert '"ts":"2024-01-02T03:04:05"' in row and '"d":"2024-01-02"' in row and '"dec":2.5' in row
+    frac = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 120000),)], "ts TIMESTAMP")
+    assert files.json_rows(frac).collect()[0]["json"] == '{"ts":"2024-01-02T03:04:05.120000"}'
 
 
 def test_parquet_scan_missing(spark, tmp_path):
