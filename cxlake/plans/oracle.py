@@ -368,6 +368,10 @@ STEP_STATEMENTS = {
     "table_merge": _two_loads(MERGED),
     "table_append": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_compact": _two_loads(MERGED),
+    "table_overwrite": _two_loads("SELECT * FROM cur_load"),
+    "csv_sink": _claims("SELECT * FROM claim_detail"),
+    "parquet_sink": _claims("SELECT * FROM claim_detail"),
+    "parquet_export": CLAIM_SUMMARY,
     "parquet_scan": "SELECT * FROM orders",
     "sql_limit": _claims('SELECT * FROM claim_detail ORDER BY "OT" LIMIT 20'),
     "sql_file_source": _claims(SUMMARY_SELECT),

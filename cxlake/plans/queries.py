@@ -8,6 +8,7 @@ the fixture values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from cxlake.operators import claims, dashboard, merge, messages, sessions, surveys
 from cxlake.plans.catalog import DETAIL_KEY
 from cxlake.plans.job import with_load_ts
-from cxlake.session import ensure_session_defaults
+from cxlake.plans.tabledef import TableDef
+from cxlake.session import checkpoint_dir, ensure_session_defaults
 from cxlake.sinks import files
+from cxlake.sinks.tables import TableStore
 from cxlake.sources import fixtures as fx
 from cxlake.sources import scans
 
@@ -184,6 +187,43 @@ def q_json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.json_rows(_detail(spark, sf_dir))
 
 
+# Sinks are checked by writing the whole result to a fresh folder under the
+# session's shared checkpoint dir and reading it back (the write runs when the
+# query is built; the returned DataFrame reads the written files).
+
+
+def _export_dir(spark: SparkSession, what: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/cxlake-exports/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def q_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detail = _detail(spark, sf_dir)
+    path = _export_dir(spark, "csv")
+    files.write_csv(detail, path)
+    return spark.read.schema(detail.schema).option("sep", files.CSV_SEPARATOR).option("header", True).csv(path)
+
+
+def q_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _export_dir(spark, "parquet")
+    files.write_parquet(_detail(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def q_parquet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _export_dir(spark, "export")
+    files.export_parquet(claims.claim_summary(_detail(spark, sf_dir)), path, single_file=True)
+    return spark.read.parquet(path)
+
+
+def q_table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = TableStore(spark, root=_export_dir(spark, "tables"))
+    tdef = TableDef(
+        name=f"cx_detail_{uuid.uuid4().hex[:12]}", origin="python", python_source="claim_detail", mode="overwrite"
+    )
+    store.save(with_load_ts(_detail(spark, sf_dir), CURRENT_LOAD_TS), tdef)
+    return spark.table(tdef.full_name)
+
+
 # --- conversation pipeline ------------------------------------------------------
 
 AS_OF = fx.FIXTURE_AS_OF
@@ -369,6 +409,10 @@ def registry() -> dict[str, Query]:
         "table_sample": q_table_sample,
         "clean_columns": q_clean_columns,
         "json_export": q_json_export,
+        "csv_sink": q_csv_sink,
+        "parquet_sink": q_parquet_sink,
+        "parquet_export": q_parquet_export,
+        "table_overwrite": q_table_overwrite,
         "message_scan": q_message_scan,
         "survey_scan": q_survey_scan,
         "lookback": q_lookback,
