@@ -85,13 +85,18 @@ def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
         return df
 
     def base(spark: SparkSession, tdef: TableDef) -> DataFrame:
+        # per-table options: {"include_history": False} gives the metrics-only
+        # dashboard (no per-session-day array); "hot_id_threshold" tunes the
+        # skew-safe ordinals (None: plain window)
         return dashboard.dashboard_base(
             need(inputs.messages, "message")(spark),
             need(inputs.surveys, "survey")(spark),
             inputs.as_of,
             tdef.lookback_days if tdef.lookback_days is not None else 3,
             patterns=inputs.patterns,
+            include_history=tdef.extra.get("include_history", True),
             survey_tie_breaker=inputs.survey_tie_breaker,
+            hot_id_threshold=tdef.extra.get("hot_id_threshold", dashboard.HOT_ID_THRESHOLD),
         )
 
     return {

@@ -144,3 +144,21 @@ def test_cli_runs_table_jobs(spark, tmp_path):
     assert spark.table("cli_db.claim_detail").count() == 2
     s = spark.table("cli_db.claim_summary").collect()[0]
     assert (s["Cantidad"], s["Suma_Total_CLP"], s["Promedio_CLP"]) == (2, 30.0, 15.0)
+
+
+def test_metrics_only_dashboard_table(spark):
+    from dataclasses import replace
+
+    store = TableStore(spark)
+    inputs = Inputs(
+        messages=lambda s: fx.messages(s, SF),
+        surveys=lambda s: fx.surveys(s, SF),
+        survey_tie_breaker="event_id",
+        as_of=fx.FIXTURE_AS_OF,
+    )
+    tdef = replace(
+        default_table_defs()["dashboard_base"], name="dash_metrics", lookback_days=31,
+        extra={"include_history": False},
+    )
+    r = run_table_job(spark, tdef, builtin_builders(inputs), store)
+    assert r.rows_written > 0 and "history" not in spark.table("dash_metrics").columns
