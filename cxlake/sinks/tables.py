@@ -260,7 +260,9 @@ class TableStore:
             # Rows can only match inside a partition value the source has
             # (the value is part of the key), so only those partitions are
             # read, merged and rewritten; the others keep their files. The
-            # broadcast side holds one row per touched value (e.g. month).
+            # broadcast side holds one row per touched value (e.g. month): at
+            # most the table's partition count, which the catalog already
+            # keeps one metadata entry each for.
             touched = df.select(part).distinct()
             target = target.join(F.broadcast(touched), on=part, how="left_semi")
         merged = merge_frames(target, df, tdef.primary_key, action_column=_ACTION)
