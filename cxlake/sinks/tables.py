@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from cxlake.operators.merge import ACTION_COPIED, ACTION_INSERTED, ACTION_UPDATED, merge_frames
 from cxlake.plans.tabledef import TableDef
+from cxlake.session import checkpoint_dir
 
 _ACTION = "_merge_action"
 
@@ -260,11 +261,15 @@ class TableStore:
             # Rows can only match inside a partition value the source has
             # (the value is part of the key), so only those partitions are
             # read, merged and rewritten; the others keep their files. The
-            # broadcast side holds one row per touched value (e.g. month): at
-            # most the table's partition count, which the catalog already
-            # keeps one metadata entry each for.
-            touched = df.select(part).distinct()
-            target = target.join(F.broadcast(touched), on=part, how="left_semi")
+            # source is materialised once (shared checkpoint dir) because it
+            # is used twice; its partition values are a list bounded by the
+            # table's partition count (the catalog keeps one entry each), and
+            # filtering on them prunes partitions in the target scan.
+            if not self.spark.sparkContext.getCheckpointDir():
+                self.spark.sparkContext.setCheckpointDir(checkpoint_dir(self.spark))
+            df = df.checkpoint(eager=True)
+            touched = [r[0] for r in df.select(part).distinct().collect()]
+            target = target.where(F.col(part).isin(touched)) if touched else target.where(F.lit(False))
         merged = merge_frames(target, df, tdef.primary_key, action_column=_ACTION)
         obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
         action = F.col(_ACTION)
