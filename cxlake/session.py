@@ -16,6 +16,29 @@ from pyspark.sql import SparkSession
 SESSION_TIME_ZONE = "UTC"
 
 
+def cluster_conf(shuffle_bytes: int | None = None, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for large inputs (pass to ``spark-submit --conf``).
+
+    ``shuffle.partitions`` is an upper bound sized from the expected largest
+    shuffle (AQE coalesces down from it at run time, it cannot split up), so
+    every reduce task stays near ``target_partition_bytes`` and fits in
+    executor memory without heavy spilling.
+    """
+    partitions = max(200, (shuffle_bytes or 0) // target_partition_bytes)
+    return {
+        "spark.sql.session.timeZone": SESSION_TIME_ZONE,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_session_defaults(spark: SparkSession) -> SparkSession:
     """Pin the settings the operators rely on (idempotent, cheap)."""
     if spark.conf.get("spark.sql.session.timeZone") != SESSION_TIME_ZONE:
