@@ -54,12 +54,17 @@ def valid_ot(logs: DataFrame) -> Column:
 
 
 def not_excluded_user(logs: DataFrame, excluded_users: Sequence[str]) -> Column:
-    """True unless ANY user field holds an excluded name (NULL is kept)."""
+    """True unless ANY user field holds an excluded name (NULL is kept).
+
+    Written as ``c IS NULL OR NOT c IN (...)`` per field (the list holds no
+    NULL), a form the parquet reader can take as a pushed filter.
+    """
     keep = F.lit(True)
-    if excluded_users:
-        excluded = list(excluded_users)
+    excluded = [u for u in excluded_users if u is not None]
+    if excluded:
         for name in (c for c in USER_FIELDS if c in logs.columns):
-            keep = keep & ~F.coalesce(F.col(name).cast(T.StringType()).isin(excluded), F.lit(False))
+            c = F.col(name).cast(T.StringType())
+            keep = keep & (c.isNull() | ~c.isin(excluded))
     return keep
 
 
