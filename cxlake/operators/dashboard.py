@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import lookback, with_message_date
-from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
+from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, hot_groups, number_hot_rows, split_hot
 from cxlake.operators.sessions import JOIN_KEY, STATUS_COLUMNS, session_days, session_ends
 from cxlake.operators.surveys import clean_surveys, satisfaction_daily
 
@@ -105,14 +105,15 @@ def fifo_pairs(
     ``ends``: one row per session-day with ``JOIN_KEY``, session_id, id and
     fecha_fin (see ``session_ends``). ``clean``: cleaned surveys.
 
-    Both sides are tagged and unioned. With ``hot_id_threshold=None`` the
-    union is hash-partitioned ONCE on the user id and numbering (a window per
-    id and side) and pairing (a window per id and ordinal) both run on that
-    partitioning: one shuffle of narrow rows instead of two numbering
-    shuffles plus a shuffle of both sides on (id, ordinal) for a join. By
-    default the numbering is skew-safe instead: ids above the threshold are
-    split into ordered buckets, so an id holding a third of all rows is still
-    numbered by many tasks, and pairing partitions on (id, ordinal).
+    Both sides are tagged and unioned. Rows of ordinary ids are
+    hash-partitioned ONCE on the user id; numbering (a window per id and side)
+    and pairing (a window per id and ordinal) both run on that partitioning:
+    one shuffle of narrow rows instead of two numbering shuffles plus a
+    shuffle of both sides on (id, ordinal) for a join. Ids above
+    ``hot_id_threshold`` rows (found by one aggregate; ``None`` turns the
+    check off) are numbered in ordered buckets instead and paired on
+    (id, ordinal), so an id holding a third of all rows is still handled by
+    many tasks.
     Conversations with a NULL id are numbered among themselves and never
     paired; surveys with a NULL id are not candidates.
 
@@ -152,11 +153,24 @@ def fifo_pairs(
     both = conv.unionByName(surv)
     order = ["_o1", "_o2", "_o3", "_o4"]
     if hot_id_threshold is None:
-        numbered = both.repartition("id").withColumn(
-            "_n", F.row_number().over(Window.partitionBy("id", "_side").orderBy(*order))
-        )
-    else:
-        numbered = skew_safe_row_number(both, ["id", "_side"], order, "_n", hot_id_threshold)
+        return _number_and_pair(both.repartition("id"), order)
+    # ordinary ids: ONE shuffle on id for numbering and pairing; hot ids:
+    # numbered in ordered buckets, then paired on (id, ordinal)
+    hot = hot_groups(both, ["id", "_side"], order[0], hot_id_threshold)
+    plain, hot_rows = split_hot(both, hot, ["id", "_side"])
+    paired_plain = _number_and_pair(plain.repartition("id"), order)
+    numbered_hot = number_hot_rows(hot_rows, ["id", "_side"], order, "_n")
+    paired_hot = _pair(numbered_hot)
+    return paired_plain.unionByName(paired_hot)
+
+
+def _number_and_pair(both: DataFrame, order: list[str]) -> DataFrame:
+    numbered = both.withColumn("_n", F.row_number().over(Window.partitionBy("id", "_side").orderBy(*order)))
+    return _pair(numbered)
+
+
+def _pair(numbered: DataFrame) -> DataFrame:
+    """Per (id, ordinal): the conversation row takes the survey row's values."""
     pair = Window.partitionBy("id", "_n")
     is_survey = F.col("_side") == F.lit("s")
 
@@ -167,7 +181,7 @@ def fifo_pairs(
         "_side",
         *[F.col(c) for c in JOIN_KEY],
         F.col("_n").alias("orden_conv"),
-        F.first(F.when(is_survey, F.col("_n")), ignorenulls=True).over(pair).alias("orden_enc"),
+        from_survey("_n").alias("orden_enc"),
         *[from_survey(c).alias(c) for c in SURVEY_COLUMNS],
     )
     return paired.where(F.col("_side") == F.lit("c")).drop("_side")

@@ -55,38 +55,52 @@ def _as_number(col: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"skew_safe_row_number: first order column must be numeric, date or timestamp, not {dtype}")
 
 
-def skew_safe_row_number(
-    df: DataFrame,
+def hot_groups(df: DataFrame, partition_cols: Sequence[str], first_order_col: str, hot_threshold: int) -> DataFrame:
+    """Groups with more than ``hot_threshold`` rows, with the range of the
+    first order value (columns ``_h_<col>``, ``_lo``, ``_hi``; broadcast).
+
+    One aggregate over the input; at most ``total_rows / hot_threshold``
+    groups qualify, which bounds the broadcast.
+    """
+    if hot_threshold < 1:
+        raise ValueError("hot_threshold must be >= 1")
+    part = list(partition_cols)
+    x = _as_number(F.col(first_order_col), df.schema[first_order_col].dataType)
+    sizes = df.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_group_rows"), F.min(x).alias("_lo"), F.max(x).alias("_hi")
+    )
+    return F.broadcast(
+        sizes.where(F.col("_group_rows") > hot_threshold).select(
+            *[F.col(c).alias(f"_h_{c}") for c in part], "_lo", "_hi"
+        )
+    )
+
+
+def split_hot(df: DataFrame, hot: DataFrame, partition_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary groups, rows of hot groups with ``_lo``/``_hi``)."""
+    part = list(partition_cols)
+    is_hot = _same(df, hot, [(c, f"_h_{c}") for c in part])
+    plain = df.join(hot, is_hot, "left_anti")
+    hot_rows = df.join(hot, is_hot, "inner").drop(*[f"_h_{c}" for c in part])
+    return plain, hot_rows
+
+
+def number_hot_rows(
+    hot_rows: DataFrame,
     partition_cols: Sequence[str],
     order_cols: Sequence[str],
     out_col: str,
-    hot_threshold: int,
     buckets: int = 64,
 ) -> DataFrame:
-    """``df`` plus ``out_col`` = row_number() over (partition_cols, order_cols)."""
+    """Row numbers for rows of hot groups (as returned by ``split_hot``)."""
+    if buckets < 2:
+        raise ValueError("buckets must be >= 2")
     part = list(partition_cols)
     order = list(order_cols)
-    if hot_threshold < 1 or buckets < 2:
-        raise ValueError("hot_threshold must be >= 1 and buckets >= 2")
     hp = [f"_h_{c}" for c in part]
     first = order[0]
-    x = _as_number(F.col(first), df.schema[first].dataType)
-
-    # one aggregate: group sizes and the range of the first order value
-    sizes = df.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_group_rows"), F.min(x).alias("_lo"), F.max(x).alias("_hi")
-    )
-    # bounded: at most total_rows / hot_threshold groups
-    hot = F.broadcast(
-        sizes.where(F.col("_group_rows") > hot_threshold).select(
-            *[F.col(c).alias(h) for c, h in zip(part, hp)], "_lo", "_hi"
-        )
-    )
-    is_hot = _same(df, hot, list(zip(part, hp)))
-
-    plain = df.join(hot, is_hot, "left_anti").withColumn(
-        out_col, F.row_number().over(Window.partitionBy(*part).orderBy(*order))
-    )
+    columns = [c for c in hot_rows.columns if c not in ("_lo", "_hi")]
+    x = _as_number(F.col(first), hot_rows.schema[first].dataType)
 
     # Equal-width buckets of the first order value, monotone in it (NULLs,
     # which sort first, get bucket -1); equal values share a bucket.
@@ -97,7 +111,7 @@ def skew_safe_row_number(
         .when(hi == lo, F.lit(0))
         .otherwise(F.least(scaled.cast(T.IntegerType()), F.lit(buckets - 1)))
     )
-    bucketed = df.join(hot, is_hot, "inner").select(*df.columns, bucket.alias("_bucket"))
+    bucketed = hot_rows.select(*columns, bucket.alias("_bucket"))
     local = bucketed.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*part, "_bucket").orderBy(*order))
     )
@@ -109,7 +123,23 @@ def skew_safe_row_number(
     offsets = F.broadcast(
         counts.select(*hp, "_h_bucket", F.coalesce(F.sum("_bucket_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    numbered_hot = local.join(offsets, _same(local, offsets, [*zip(part, hp), ("_bucket", "_h_bucket")])).select(
-        *[F.col(c) for c in df.columns], (F.col("_local") + F.col("_offset")).cast("int").alias(out_col)
+    return local.join(offsets, _same(local, offsets, [*zip(part, hp), ("_bucket", "_h_bucket")])).select(
+        *[F.col(c) for c in columns], (F.col("_local") + F.col("_offset")).cast("int").alias(out_col)
     )
-    return plain.unionByName(numbered_hot)
+
+
+def skew_safe_row_number(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order_cols: Sequence[str],
+    out_col: str,
+    hot_threshold: int,
+    buckets: int = 64,
+) -> DataFrame:
+    """``df`` plus ``out_col`` = row_number() over (partition_cols, order_cols)."""
+    part, order = list(partition_cols), list(order_cols)
+    hot = hot_groups(df, part, order[0], hot_threshold)
+    plain, hot_rows = split_hot(df, hot, part)
+    plain = plain.withColumn(out_col, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    numbered = number_hot_rows(hot_rows, part, order, out_col, buckets)
+    return plain.unionByName(numbered.select(*plain.columns))
