@@ -47,3 +47,20 @@ def test_ordinal_operators_hot_path_equals_plain(spark):
     c = sessions.order_sessions(days, hot_threshold=1)
     d = sessions.order_sessions(days, hot_threshold=None)
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_dashboard_hot_ids_path_equals_plain(spark):
+    from cxlake.operators import dashboard
+    from cxlake.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.01"
+
+    def base(threshold):
+        return dashboard.dashboard_base(
+            fx.messages(spark, sf), fx.surveys(spark, sf), "2024-01-31", 31,
+            include_history=False, hot_id_threshold=threshold,
+        )
+
+    hot, plain = base(1), base(None)  # threshold 1: every id takes the bucketed path
+    assert hot.count() == plain.count() > 0
+    assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
