@@ -155,9 +155,11 @@ def fifo_pairs(
     if hot_id_threshold is None:
         return _number_and_pair(both.repartition("id"), order)
     # ordinary ids: ONE shuffle on id for numbering and pairing; hot ids:
-    # numbered in ordered buckets, then paired on (id, ordinal)
-    hot = hot_groups(both, ["id", "_side"], order[0], hot_id_threshold)
-    plain, hot_rows = split_hot(both, hot, ["id", "_side"])
+    # numbered in ordered buckets, then paired on (id, ordinal). Hotness is
+    # decided per id (both sides together), so the conversations and the
+    # surveys of an id always take the same path and can be paired.
+    hot = hot_groups(both, ["id"], order[0], hot_id_threshold)
+    plain, hot_rows = split_hot(both, hot, ["id"])
     paired_plain = _number_and_pair(plain.repartition("id"), order)
     numbered_hot = number_hot_rows(hot_rows, ["id", "_side"], order, "_n")
     paired_hot = _pair(numbered_hot)
