@@ -49,18 +49,23 @@ def test_ordinal_operators_hot_path_equals_plain(spark):
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
 
 
-def test_dashboard_hot_ids_path_equals_plain(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("threshold", [1, 3, 12])
+def test_dashboard_hot_ids_path_equals_plain(spark, threshold):
     from cxlake.operators import dashboard
     from cxlake.sources import fixtures as fx
 
     sf = "/root/testdata/sf0.01"
 
-    def base(threshold):
+    def base(t):
         return dashboard.dashboard_base(
             fx.messages(spark, sf), fx.surveys(spark, sf), "2024-01-31", 31,
-            include_history=False, hot_id_threshold=threshold,
+            include_history=False, hot_id_threshold=t,
         )
 
-    hot, plain = base(1), base(None)  # threshold 1: every id takes the bucketed path
+    # low thresholds: every id hot; middle ones: hot and ordinary ids mixed
+    hot, plain = base(threshold), base(None)
     assert hot.count() == plain.count() > 0
     assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
