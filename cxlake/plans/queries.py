@@ -147,8 +147,15 @@ def q_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the compaction plan: same rows, fewer and larger files
-    return q_table_merge(spark, sf_dir).repartition(2)
+    # the merged table, written, then rewritten into one file by the store's
+    # compaction (same rows); read back from the compacted version
+    store = TableStore(spark, root=_export_dir(spark, "compact"))
+    tdef = TableDef(
+        name=f"cx_merged_{uuid.uuid4().hex[:12]}", origin="python", python_source="claim_detail", mode="overwrite"
+    )
+    store.save(q_table_merge(spark, sf_dir), tdef)
+    store.compact(tdef, num_files=1)
+    return spark.table(tdef.full_name)
 
 
 # --- sources and sinks -----------------------------------------------------------
