@@ -135,9 +135,17 @@ def session_ends(dated: DataFrame) -> DataFrame:
     )
 
 
+def _as_timestamp(df: DataFrame, name: str) -> F.Column:
+    """TIMESTAMP of a column that may hold timestamps or text (bad text -> NULL)."""
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.try_to_timestamp(col)
+    return col.cast(T.TimestampType())
+
+
 def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool = False) -> DataFrame:
-    first_ts = F.col("_first_ts").cast(T.TimestampType())
-    last_ts = F.col("_last_ts").cast(T.TimestampType())
+    first_ts = _as_timestamp(agg, "_first_ts")
+    last_ts = _as_timestamp(agg, "_last_ts")
     seconds = F.unix_timestamp(last_ts) - F.unix_timestamp(first_ts)
     n_user = F.col("_n_user").cast(T.IntegerType())
 
@@ -159,8 +167,8 @@ def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool
         F.when(has_session, F.col("_sk")).alias("session_id"),
         F.col("message_date"),
         F.col("id").cast(T.StringType()).alias("id"),
-        F.col("_expires").cast(T.TimestampType()).alias("expires_at"),
-        F.col("_updated").cast(T.TimestampType()).alias("updated_at"),
+        _as_timestamp(agg, "_expires").alias("expires_at"),
+        _as_timestamp(agg, "_updated").alias("updated_at"),
     ]
     if include_history:
         cols.append(F.col("history"))

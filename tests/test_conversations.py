@@ -162,3 +162,18 @@ def test_dashboard_plan_shape(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert df.columns == list(dashboard.DASHBOARD_COLUMNS)
+
+
+def test_text_expiry_columns_are_parsed_leniently(spark):
+    schema = MSG_SCHEMA.replace("conversation_expires_at TIMESTAMP_NTZ", "conversation_expires_at STRING").replace(
+        "conversation_updated_at TIMESTAMP_NTZ", "conversation_updated_at STRING"
+    )
+    rows = [
+        ("s1", "u1", "user", "hola", T0, "2024-01-11 10:00:00", "not a time"),
+        ("s2", "u1", "user", "hola", T0, None, "2024-01-10T11:00:00"),
+    ]
+    m = spark.createDataFrame(rows, schema)
+    s = spark.createDataFrame([], SURVEY_SCHEMA)
+    out = {r["session_id"]: r for r in dashboard.dashboard_base(m, s, "2024-01-31", 60).collect()}
+    assert out["s1"]["expires_at"] == dt.datetime(2024, 1, 11, 10) and out["s1"]["updated_at"] is None
+    assert out["s2"]["expires_at"] is None and out["s2"]["updated_at"] == dt.datetime(2024, 1, 10, 11)
