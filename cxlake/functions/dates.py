@@ -50,6 +50,21 @@ def _is_datelike_or_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType))
 
 
+def as_timestamp(col: Column, dtype: T.DataType) -> Column:
+    """TIMESTAMP of a date/timestamp column, or of text parsed leniently
+    (unreadable text -> NULL instead of an error under ANSI mode)."""
+    if isinstance(dtype, T.StringType):
+        return F.try_to_timestamp(col)
+    return col.cast(T.TimestampType())
+
+
+def as_day(col: Column, dtype: T.DataType) -> Column:
+    """Calendar day of a date/timestamp column or of text (unreadable -> NULL)."""
+    if isinstance(dtype, T.DateType):
+        return col
+    return F.to_date(as_timestamp(col, dtype))
+
+
 def month_key(ts: Column) -> Column:
     """``yyyy-MM`` text of a timestamp (session time zone, pinned to UTC)."""
     return F.date_format(ts, "yyyy-MM")

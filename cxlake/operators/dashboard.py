@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cxlake.functions.dates import as_day, as_timestamp
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import lookback, with_message_date
 from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, hot_groups, number_hot_rows, split_hot
@@ -135,17 +136,18 @@ def fifo_pairs(
         F.lit(None).cast(T.IntegerType()).alias("eval_acceso"),
         F.lit(None).cast(T.StringType()).alias("resolucion"),
     )
+    fecha_type = clean.schema["Fecha"].dataType
     surv = clean.where(F.col("id").isNotNull()).select(
         "id",
         F.lit("s").alias("_side"),
-        F.col("Fecha").cast(T.TimestampType()).alias("_o1"),
+        as_timestamp(F.col("Fecha"), fecha_type).alias("_o1"),
         F.lit(None).cast(T.StringType()).alias("_o2"),
         F.lit(None).cast(T.DateType()).alias("_o3"),
         tie_col.alias("_o4"),
         F.lit(None).cast(T.StringType()).alias("_sk"),
         F.lit(None).cast(T.BooleanType()).alias("_sn"),
         F.lit(None).cast(T.DateType()).alias("message_date"),
-        F.to_date("Fecha").alias("fecha_encuesta"),
+        as_day(F.col("Fecha"), fecha_type).alias("fecha_encuesta"),
         "eval_ia",
         "eval_acceso",
         "resolucion",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cxlake.functions.dates import lookback_start
+from cxlake.functions.dates import as_day, lookback_start
 from cxlake.functions.text import MessagePatterns, flag
 
 MESSAGE_COLUMNS = (
@@ -48,7 +48,7 @@ def lookback(df: DataFrame, column: str, as_of: str | Column | None, days: int)
         return df.where(col >= start.cast(T.TimestampType()))
     if isinstance(dtype, T.DateType):
         return df.where(col >= start)
-    return df.where(F.to_date(col) >= start)
+    return df.where(as_day(col, dtype) >= start)
 
 
 def flag_messages(messages: DataFrame, patterns: MessagePatterns = MessagePatterns()) -> DataFrame:
@@ -61,7 +61,7 @@ def flag_messages(messages: DataFrame, patterns: MessagePatterns = MessagePatter
     low = F.lower(content)
     return messages.select(
         *[F.col(c) for c in MESSAGE_COLUMNS],
-        F.to_date("message_timestamp").alias("message_date"),
+        as_day(F.col("message_timestamp"), messages.schema["message_timestamp"].dataType).alias("message_date"),
         flag(low, patterns.asked_for_data).alias("pidio_datos"),
         flag(low, patterns.claim_creation_request).alias("ss_creacion_reclamo"),
         flag(content, patterns.case_id).alias("genero_caso"),
@@ -71,7 +71,8 @@ def flag_messages(messages: DataFrame, patterns: MessagePatterns = MessagePatter
 
 
 def with_message_date(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("message_date", F.to_date("message_timestamp"))
+    ts_type = messages.schema["message_timestamp"].dataType
+    return messages.withColumn("message_date", as_day(F.col("message_timestamp"), ts_type))
 
 
 def dedup_messages(

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cxlake.functions.dates import as_timestamp
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import dedup_messages
 from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
@@ -131,16 +132,13 @@ def session_ends(dated: DataFrame) -> DataFrame:
         *JOIN_KEY,
         F.when(~F.col("_sn"), F.col("_sk")).alias("session_id"),
         F.col("id").cast(T.StringType()).alias("id"),
-        F.col("_last_ts").cast(T.TimestampType()).alias("fecha_fin"),
+        _as_timestamp(agg, "_last_ts").alias("fecha_fin"),
     )
 
 
 def _as_timestamp(df: DataFrame, name: str) -> F.Column:
     """TIMESTAMP of a column that may hold timestamps or text (bad text -> NULL)."""
-    col = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.try_to_timestamp(col)
-    return col.cast(T.TimestampType())
+    return as_timestamp(F.col(name), df.schema[name].dataType)
 
 
 def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cxlake.functions.casts import guarded_int
+from cxlake.functions.dates import as_day
 from cxlake.operators.messages import lookback
 from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
 
@@ -78,4 +79,5 @@ def satisfaction_daily(clean: DataFrame) -> DataFrame:
     promoters = F.sum(F.when(rating.isin(*PROMOTER_RATINGS), 1).otherwise(0))
     detractors = F.sum(F.when(rating.between(DETRACTOR_LOW, DETRACTOR_HIGH), 1).otherwise(0))
     index = F.round((promoters - detractors) * F.lit(Decimal("100.0")) / F.count(F.lit(1)), 2)
-    return rated.groupBy(F.to_date("Fecha").alias("Fecha")).agg(index.cast(T.DoubleType()).alias("isn"))
+    day = as_day(F.col("Fecha"), clean.schema["Fecha"].dataType)
+    return rated.groupBy(day.alias("Fecha")).agg(index.cast(T.DoubleType()).alias("isn"))
