@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 
 from cxlake.operators import claims
 from cxlake.sources.scans import USAGE_LOG_SCHEMA

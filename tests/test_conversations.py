@@ -1,7 +1,6 @@
 """Conversation pipeline semantics on hand-written messages and surveys."""
 
 import datetime as dt
-import json
 
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import Row
+
 
 from cxlake.operators.merge import merge_frames
 from cxlake.plans.tabledef import TableDef
