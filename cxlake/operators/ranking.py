@@ -6,9 +6,8 @@ that task does a third of the work alone. ``skew_safe_row_number`` gives the
 same numbers with the hot groups spread over many tasks:
 
 1. rows per group are counted (a partial aggregate: one row per group);
-   groups above ``hot_threshold`` rows are *hot*. There are at most
-   ``total_rows / hot_threshold`` hot groups, which bounds the broadcasts
-   below;
+   groups above ``hot_threshold`` rows are *hot*, up to the ``max_groups``
+   largest (a fixed bound on the broadcasts below);
 2. ordinary groups are numbered with the plain window;
 3. for hot groups, the range of the first order column (from the same
    aggregate) is cut into ``buckets`` equal-width, ordered buckets; rows are
@@ -30,9 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Default size above which a group counts as hot: at most total_rows / this
-# many groups can exceed it, which bounds every broadcast of hot groups.
+# Default size above which a group counts as hot, and the most groups given
+# the bucketed treatment (the largest ones); together they bound every
+# broadcast of hot groups (max groups, and max groups x (buckets + 1) offsets).
 HOT_GROUP_THRESHOLD = 1_000_000
+MAX_HOT_GROUPS = 1_000
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -55,25 +56,32 @@ def _as_number(col: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"skew_safe_row_number: first order column must be numeric, date or timestamp, not {dtype}")
 
 
-def hot_groups(df: DataFrame, partition_cols: Sequence[str], first_order_col: str, hot_threshold: int) -> DataFrame:
+def hot_groups(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    first_order_col: str,
+    hot_threshold: int,
+    max_groups: int = MAX_HOT_GROUPS,
+) -> DataFrame:
     """Groups with more than ``hot_threshold`` rows, with the range of the
     first order value (columns ``_h_<col>``, ``_lo``, ``_hi``; broadcast).
 
-    One aggregate over the input; at most ``total_rows / hot_threshold``
-    groups qualify, which bounds the broadcast.
+    One aggregate over the input. At most ``total_rows / hot_threshold``
+    groups qualify, and only the ``max_groups`` largest are kept (a
+    distributed top-k), so the broadcast has a fixed bound whatever the data
+    size; smaller groups stay on the plain path (exact, one task each).
     """
-    if hot_threshold < 1:
-        raise ValueError("hot_threshold must be >= 1")
+    if hot_threshold < 1 or max_groups < 1:
+        raise ValueError("hot_threshold and max_groups must be >= 1")
     part = list(partition_cols)
     x = _as_number(F.col(first_order_col), df.schema[first_order_col].dataType)
     sizes = df.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_group_rows"), F.min(x).alias("_lo"), F.max(x).alias("_hi")
     )
-    return F.broadcast(
-        sizes.where(F.col("_group_rows") > hot_threshold).select(
-            *[F.col(c).alias(f"_h_{c}") for c in part], "_lo", "_hi"
-        )
+    largest = (
+        sizes.where(F.col("_group_rows") > hot_threshold).orderBy(F.col("_group_rows").desc()).limit(max_groups)
     )
+    return F.broadcast(largest.select(*[F.col(c).alias(f"_h_{c}") for c in part], "_lo", "_hi"))
 
 
 def split_hot(df: DataFrame, hot: DataFrame, partition_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -135,10 +143,11 @@ def skew_safe_row_number(
     out_col: str,
     hot_threshold: int,
     buckets: int = 64,
+    max_groups: int = MAX_HOT_GROUPS,
 ) -> DataFrame:
     """``df`` plus ``out_col`` = row_number() over (partition_cols, order_cols)."""
     part, order = list(partition_cols), list(order_cols)
-    hot = hot_groups(df, part, order[0], hot_threshold)
+    hot = hot_groups(df, part, order[0], hot_threshold, max_groups)
     plain, hot_rows = split_hot(df, hot, part)
     plain = plain.withColumn(out_col, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
     numbered = number_hot_rows(hot_rows, part, order, out_col, buckets)

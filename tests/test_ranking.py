@@ -69,3 +69,12 @@ def test_dashboard_hot_ids_path_equals_plain(spark, threshold):
     hot, plain = base(threshold), base(None)
     assert hot.count() == plain.count() > 0
     assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
+
+
+def test_hot_group_cap_keeps_numbers_exact(spark):
+    rows = [(g, i % 7, i) for i, g in enumerate(["a"] * 40 + ["b"] * 30 + ["c"] * 20 + [None] * 25)]
+    df = spark.createDataFrame(rows, "g STRING, x INT, i INT")
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("x", "i")))
+    # four groups above the threshold, only the largest one gets the bucketed path
+    got = skew_safe_row_number(df, ["g"], ["x", "i"], "n", hot_threshold=5, buckets=3, max_groups=1)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
