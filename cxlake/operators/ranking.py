@@ -78,8 +78,12 @@ def hot_groups(
     sizes = df.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_group_rows"), F.min(x).alias("_lo"), F.max(x).alias("_hi")
     )
+    # ties broken by the group key: the selection is the same on every
+    # evaluation (both uses below must see the same groups)
     largest = (
-        sizes.where(F.col("_group_rows") > hot_threshold).orderBy(F.col("_group_rows").desc()).limit(max_groups)
+        sizes.where(F.col("_group_rows") > hot_threshold)
+        .orderBy(F.col("_group_rows").desc(), *[F.col(c).asc_nulls_first() for c in part])
+        .limit(max_groups)
     )
     return F.broadcast(largest.select(*[F.col(c).alias(f"_h_{c}") for c in part], "_lo", "_hi"))
 
