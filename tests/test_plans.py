@@ -57,3 +57,40 @@ def test_claim_detail_limits_before_its_only_shuffle(static_plans):
 def test_index_join_is_broadcast(static_plans):
     plan = formatted(entry.queries()["dashboard_base"](static_plans, SF))
     assert "BroadcastExchange" in plan  # the daily index, bounded by days
+
+
+def _scans(df) -> list[str]:
+    """One text per parquet scan of a formatted plan (its detail lines)."""
+    plan = formatted(df)
+    return [m.group(0) for m in re.finditer(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*", plan)]
+
+
+@pytest.fixture
+def full_metadata(spark):
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    yield spark
+    spark.conf.set("spark.sql.maxMetadataStringLength", old)
+
+
+def test_filters_and_columns_reach_the_scans(full_metadata, tmp_path):
+    from cxlake.operators import claims, dashboard
+    from cxlake.sources import fixtures as fx
+
+    spark = full_metadata
+    fx.usage_logs(spark, SF).write.parquet(str(tmp_path / "logs"))
+    fx.messages(spark, SF).write.parquet(str(tmp_path / "m"))
+    fx.surveys(spark, SF).write.parquet(str(tmp_path / "s"))
+
+    logs = spark.read.parquet(str(tmp_path / "logs"))
+    (scan,) = _scans(claims.claim_detail(logs, excluded_users=["u3"]))
+    assert "IsNotNull(ot)" in scan and "Or(IsNull(user),Not(" in scan, scan
+
+    m, s = spark.read.parquet(str(tmp_path / "m")), spark.read.parquet(str(tmp_path / "s"))
+    scans = _scans(dashboard.dashboard_base(m, s, "2024-01-31", 31))
+    msg = [x for x in scans if "message_timestamp" in x]
+    assert msg and all("GreaterThanOrEqual(message_timestamp" in x for x in msg)
+    # the narrow re-scan for FIFO ordering reads three columns, not the text
+    assert any("ReadSchema: struct<session_id:string,balancer_mongo_id:string,message_timestamp" in x for x in msg)
+    srv = [x for x in scans if "Fecha" in x]
+    assert srv and all("GreaterThanOrEqual(Fecha" in x and "EqualTo(AtencionIA,Si)" in x for x in srv)
