@@ -3,7 +3,9 @@
 Every query reads the driver's tables (through the derivations in
 ``cxlake.sources.fixtures``) over their whole extent; parameters that the
 product takes (exclusion lists, lookback end and length) are fixed here to
-the fixture values.
+the fixture values. The sink queries (CSV, parquet, export, table overwrite,
+compaction) write their result under the session's ``spark.checkpoint.dir``
+when called and return the DataFrame that reads it back.
 """
 
 from __future__ import annotations
@@ -27,10 +29,13 @@ from cxlake.sources import scans
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_session_defaults(spark)
-    logs = fx.usage_logs(spark, sf_dir)
-    return claims.claim_detail(logs, excluded_users=fx.FIXTURE_EXCLUDED_USERS)
+    return fx.usage_logs(spark, sf_dir)
+
+
+def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.claim_detail(_logs(spark, sf_dir), excluded_users=fx.FIXTURE_EXCLUDED_USERS)
 
 
 def q_claim_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,11 +46,6 @@ def q_claim_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_summary(_detail(spark, sf_dir))
 
 
-def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_session_defaults(spark)
-    return fx.usage_logs(spark, sf_dir)
-
-
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_candidates(_logs(spark, sf_dir), excluded_users=fx.FIXTURE_EXCLUDED_USERS)
 
