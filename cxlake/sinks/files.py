@@ -22,8 +22,20 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = CSV_SEPARATOR) -> None:
-    """``;``-separated CSV with a header, cleaned column names."""
-    clean_columns(df).write.mode(mode).option("sep", sep).option("header", True).csv(path)
+    """``;``-separated CSV with a header, cleaned column names.
+
+    Values are written as they are: Spark's writer trims surrounding blanks
+    by default, which would change text, so trimming is switched off.
+    """
+    (
+        clean_columns(df)
+        .write.mode(mode)
+        .option("sep", sep)
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_parquet(

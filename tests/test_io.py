@@ -162,3 +162,30 @@ def test_metrics_only_dashboard_table(spark):
     )
     r = run_table_job(spark, tdef, builtin_builders(inputs), store)
     assert r.rows_written > 0 and "history" not in spark.table("dash_metrics").columns
+
+
+def test_csv_round_trip_of_awkward_text(spark, tmp_path):
+    rows = [("a;b", 'say "hi"', "line1\nline2", "Ñandú é"), (None, "", " x ", "plain")]
+    df = spark.createDataFrame(rows, "c1 STRING, c2 STRING, c3 STRING, c4 STRING")
+    files.write_csv(df, str(tmp_path / "awk"))
+    back = (
+        spark.read.schema(df.schema).option("sep", ";").option("header", True).option("multiLine", True)
+        .csv(str(tmp_path / "awk"))
+    )
+    # text comes back exactly, including blanks, quotes, separators, line
+    # breaks and accents; an empty text reads back as NULL (CSV keeps no
+    # difference between the two by default, nor did the source product's)
+    norm = lambda rs: sorted((tuple(None if v == "" else v for v in r) for r in rs), key=str)
+    assert norm(back.collect()) == norm(df.collect())
+
+
+def test_recent_dashboard_sql_defaults_to_today(spark):
+    spark.createDataFrame(
+        [("s", "u", dt.date(2024, 1, 30), None, None, None, 1, 1, 0, "Abandono", 0.0, None)],
+        "session_id STRING, id STRING, message_date DATE, history ARRAY<STRUCT<role: STRING, content: STRING, "
+        "timestamp: STRING>>, fecha_inicio TIMESTAMP, fecha_fin TIMESTAMP, cantidad_mensajes INT, "
+        "mensajes_usuario INT, mensajes_bot INT, tipo_sesion STRING, duracion_minutos DOUBLE, isn DOUBLE",
+    ).createOrReplaceTempView("dash_v")
+    base = dict(source_table="dash_v", dias=3)
+    assert sql_file_source(spark, "dashboard_recent.sql", as_of=None, **base).count() == 0  # today is later
+    assert sql_file_source(spark, "dashboard_recent.sql", as_of="2024-01-31", **base).count() == 1
