@@ -20,9 +20,14 @@ def parse_event_time(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col.cast(T.TimestampType())
     if isinstance(dtype, T.StringType):
+        # {"$date": "<ISO text>"} (relaxed export) or
+        # {"$date": {"$numberLong": "<epoch millis>"}} (canonical export)
+        is_object = F.ltrim(col).startswith("{")
+        millis = F.get_json_object(col, "$.$date.$numberLong")
         wrapped = F.get_json_object(col, "$.$date")
-        text = F.when(F.ltrim(col).startswith("{"), wrapped).otherwise(col)
-        return F.try_to_timestamp(text)
+        from_millis = F.timestamp_millis(millis.try_cast(T.LongType()))
+        text = F.when(is_object, wrapped).otherwise(col)
+        return F.when(is_object & millis.isNotNull(), from_millis).otherwise(F.try_to_timestamp(text))
     # numbers, booleans, ... are neither a date nor a string: no date
     return F.lit(None).cast(T.TimestampType())
 

@@ -32,10 +32,12 @@ def test_event_date_resolution_order(spark):
         (4, "D", None, None, "X", "1"),
         # zone suffix is converted to UTC; sub-seconds are cut
         (5, "E", "2024-01-31T23:30:00.750-02:00", None, "X", "1"),
-        # a date object exported as extended JSON
+        # a date object exported as extended JSON (relaxed and canonical)
         (6, "F", '{"$date": "2024-04-01T12:00:00Z"}', None, "X", "1"),
+        (7, "G", '{"$date": {"$numberLong": "1704067200000"}}', None, "X", "1"),
     ])
-    assert set(got) == {"A", "C", "E", "F"}
+    assert set(got) == {"A", "C", "E", "F", "G"}
+    assert got["G"]["Fecha_Creacion"] == dt.datetime(2024, 1, 1, 0, 0, 0)
     assert got["A"]["Mes"] == "2024-01"
     assert got["C"]["Fecha_Creacion"] == dt.datetime(2024, 3, 7, 8, 9, 10)
     assert got["E"]["Mes"] == "2024-02"
