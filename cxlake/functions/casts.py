@@ -22,6 +22,17 @@ INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 MONEY_TYPE = T.DecimalType(18, 3)
 
 
+# The number wrappers of document-store extended JSON exports.
+EXTENDED_NUMBER_KEYS = ("$numberInt", "$numberLong", "$numberDouble", "$numberDecimal")
+
+
+def unwrap_extended_number(col: Column) -> Column:
+    """Text of a number exported as extended JSON (``{"$numberInt": "7"}``
+    -> ``"7"``); any other text is returned unchanged."""
+    inner = F.coalesce(*[F.get_json_object(col, f"$.{k}") for k in EXTENDED_NUMBER_KEYS])
+    return F.when(F.ltrim(col).startswith("{") & inner.isNotNull(), inner).otherwise(col)
+
+
 def number_or_zero(col: Column, dtype: T.DataType) -> Column:
     """Declared value -> DOUBLE; NULL, missing, empty or unreadable -> 0.0."""
     if isinstance(dtype, T.NumericType):
@@ -29,7 +40,8 @@ def number_or_zero(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return F.coalesce(col.cast(T.DoubleType()), F.lit(0.0))
     if isinstance(dtype, T.StringType):
-        parsed = F.when(col.rlike(DECIMAL_TEXT), col.try_cast(T.DoubleType()))
+        text = unwrap_extended_number(col)
+        parsed = F.when(text.rlike(DECIMAL_TEXT), text.try_cast(T.DoubleType()))
         return F.coalesce(parsed, F.lit(0.0))
     return F.lit(0.0)
 

@@ -39,6 +39,14 @@ def _col_or_null(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
     return F.lit(None).cast(T.StringType()), T.NullType()
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """A key-like document field as text. Kept a plain column expression so
+    predicates on it reach the scan (JSON sources unwrap extended-JSON
+    numbers when read, see ``sources.scans.read_usage_logs``)."""
+    col, _ = _col_or_null(df, name)
+    return col.cast(T.StringType())
+
+
 def event_date(logs: DataFrame, date_field: str = "created_at", fallback_date_field: str = "fecha_escaneo") -> Column:
     """Resolved event time of each log (see ``resolve_event_date``)."""
     created, created_t = _col_or_null(logs, date_field)
@@ -48,8 +56,7 @@ def event_date(logs: DataFrame, date_field: str = "created_at", fallback_date_fi
 
 def valid_ot(logs: DataFrame) -> Column:
     """OT present and not empty (whitespace-only is kept)."""
-    ot_col, _ = _col_or_null(logs, "ot")
-    ot_text = ot_col.cast(T.StringType())
+    ot_text = _text(logs, "ot")
     return ot_text.isNotNull() & (ot_text != F.lit(""))
 
 
@@ -63,7 +70,7 @@ def not_excluded_user(logs: DataFrame, excluded_users: Sequence[str]) -> Column:
     excluded = [u for u in excluded_users if u is not None]
     if excluded:
         for name in (c for c in USER_FIELDS if c in logs.columns):
-            c = F.col(name).cast(T.StringType())
+            c = _text(logs, name)
             keep = keep & (c.isNull() | ~c.isin(excluded))
     return keep
 
@@ -79,7 +86,7 @@ def class_or_default(logs: DataFrame) -> Column:
 
 
 def user_or_default(logs: DataFrame) -> Column:
-    chain = [F.col(c).cast(T.StringType()) for c in USER_FIELDS if c in logs.columns]
+    chain = [_text(logs, c) for c in USER_FIELDS if c in logs.columns]
     return F.coalesce(*chain, F.lit(NO_USER))
 
 
@@ -98,7 +105,6 @@ def claim_candidates(
     breaker (when given). Order of the steps matters and follows the source:
     date -> OT -> excluded users -> defaults -> excluded classes.
     """
-    ot_col, _ = _col_or_null(logs, "ot")
     df = (
         logs.withColumn("_event_ts", event_date(logs, date_field, fallback_date_field))
         .where(F.col("_event_ts").isNotNull())
@@ -106,7 +112,7 @@ def claim_candidates(
         .where(not_excluded_user(logs, excluded_users))
     )
     df = df.select(
-        ot_col.cast(T.StringType()).alias("ot"),
+        _text(logs, "ot").alias("ot"),
         F.col("_event_ts").alias("event_ts"),
         class_or_default(logs).alias("clasificacion"),
         declared_value(logs, value_field).alias("valor"),

@@ -149,6 +149,22 @@ def test_json_usage_logs_with_typed_schema(spark, scratch, tmp_path):
     assert got["B"]["Mes"] == "2024-06" and got["B"]["Clasificacion"] == "Z"
 
 
+def test_extended_json_numbers(spark, tmp_path):
+    from cxlake.sources.scans import read_usage_logs
+
+    p = tmp_path / "canonical.json"
+    p.write_text(
+        '{"_id": "1", "ot": {"$numberInt": "123"}, "created_at": "2024-05-01T00:00:00", '
+        '"valor_declarado": {"$numberDecimal": "12.50"}, "user_id": {"$numberLong": "42"}}\n'
+        '{"_id": "2", "ot": "B", "created_at": "2024-05-02T00:00:00", "valor_declarado": {"$numberDouble": "2.5"}, '
+        '"user": {"$numberInt": "7"}}\n'
+    )
+    df = read_usage_logs(spark, str(p))
+    got = {r["OT"]: r for r in claims.claim_detail(df, excluded_users=["7"], tie_breaker="_id").collect()}
+    assert set(got) == {"123"}  # B is excluded through its unwrapped numeric user
+    assert got["123"]["Valor_Declarado_CLP"] == 12.5 and got["123"]["Usuario"] == "42"
+
+
 def test_detail_plan_limits_before_shuffle(spark):
     d = claims.claim_detail(logs(spark, [(1, "A", "2024-01-01", None, "X", "1")]))
     plan = d._jdf.queryExecution().executedPlan().toString()
