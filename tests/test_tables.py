@@ -209,3 +209,11 @@ def test_vacuum_keeps_versions_in_use(spark):
     # second merge (partition 2, superseded), third merge (partition 2)
     assert len(deleted) == 1
     assert rows(spark.table("t_vac").select("k", "m", "v")) == rows(mk(spark, [("a", "1", 1.0), ("b", "2", 4.0)]))
+
+
+def test_delta_store_needs_the_package(spark):
+    try:
+        import delta  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError, match="delta"):
+            TableStore(spark, table_format="delta")
