@@ -176,3 +176,18 @@ def test_text_expiry_columns_are_parsed_leniently(spark):
     out = {r["session_id"]: r for r in dashboard.dashboard_base(m, s, "2024-01-31", 60).collect()}
     assert out["s1"]["expires_at"] == dt.datetime(2024, 1, 11, 10) and out["s1"]["updated_at"] is None
     assert out["s2"]["expires_at"] is None and out["s2"]["updated_at"] == dt.datetime(2024, 1, 10, 11)
+
+
+def test_survey_date_as_timestamp_groups_by_day(spark):
+    schema = SURVEY_SCHEMA.replace("Fecha DATE", "Fecha TIMESTAMP")
+    d = dt.datetime(2024, 1, 10, 8)
+    srv = [
+        (1, "u1", d, "7", "5", "Si", "Si", "robot", "robot"),
+        (2, "u1", d + dt.timedelta(hours=5), "1", "5", "Si", "Si", "robot", "robot"),
+    ]
+    msgs = [msg("s1", "hola", 0, bal="u1")]
+    m = spark.createDataFrame(msgs, MSG_SCHEMA)
+    s = spark.createDataFrame(srv, schema)
+    row = dashboard.dashboard_base(m, s, "2024-01-31", 60).collect()[0]
+    assert row["isn"] == 0.0  # one promoter, one detractor on the same calendar day
+    assert row["fecha_encuesta"] == dt.date(2024, 1, 10) and row["orden_enc"] == 1 and row["eval_ia"] == 7

@@ -189,3 +189,19 @@ def test_recent_dashboard_sql_defaults_to_today(spark):
     base = dict(source_table="dash_v", dias=3)
     assert sql_file_source(spark, "dashboard_recent.sql", as_of=None, **base).count() == 0  # today is later
     assert sql_file_source(spark, "dashboard_recent.sql", as_of="2024-01-31", **base).count() == 1
+
+
+def test_error_paths(spark):
+    from cxlake.operators.merge import merge_frames
+
+    a = spark.createDataFrame([("k", 1)], "k STRING, v INT")
+    b = spark.createDataFrame([("k", 1, 2)], "k STRING, v INT, extra INT")
+    with pytest.raises(ValueError, match="extra"):
+        merge_frames(a, b, ["k"])
+    with pytest.raises(ValueError):
+        merge_frames(a, a, [])
+    with pytest.raises(FileNotFoundError):
+        sql_file_source(spark, "no_such_query.sql")
+    tdef = TableDef(name="t_x", origin="python", python_source="nobody")
+    with pytest.raises(ValueError, match="nobody"):
+        build(spark, tdef, builtin_builders(Inputs()))
