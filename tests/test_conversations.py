@@ -191,3 +191,10 @@ def test_survey_date_as_timestamp_groups_by_day(spark):
     row = dashboard.dashboard_base(m, s, "2024-01-31", 60).collect()[0]
     assert row["isn"] == 0.0  # one promoter, one detractor on the same calendar day
     assert row["fecha_encuesta"] == dt.date(2024, 1, 10) and row["orden_enc"] == 1 and row["eval_ia"] == 7
+
+
+def test_null_role_sorts_first_and_counts_only_in_total(spark):
+    rows = [msg("s1", "b", role="assistant", ts=T0), msg("s1", "a", role=None, ts=T0), msg("s1", "c", 1)]
+    r = base(spark, rows).collect()[0]
+    assert [(h["role"], h["content"]) for h in r["history"]] == [(None, "a"), ("assistant", "b"), ("user", "c")]
+    assert (r["cantidad_mensajes"], r["mensajes_usuario"], r["mensajes_bot"]) == (3, 1, 1)
