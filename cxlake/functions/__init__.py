@@ -1,0 +1 @@
+"""Column expressions: date resolution, strict casts, fixed text patterns, name cleaning."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: claims, messages, surveys, sessions, dashboard, merge, ranking."""

@@ -1,0 +1 @@
+"""Outputs: versioned catalog tables (overwrite/append/merge/create/compact/vacuum) and files."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental claim-detail load (foreachBatch -> merge)."""
