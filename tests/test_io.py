@@ -205,3 +205,20 @@ def test_error_paths(spark):
     tdef = TableDef(name="t_x", origin="python", python_source="nobody")
     with pytest.raises(ValueError, match="nobody"):
         build(spark, tdef, builtin_builders(Inputs()))
+
+
+def test_cli_reads_catalog_table_and_parquet_inputs(spark, tmp_path):
+    from cxlake.__main__ import main
+    from cxlake.sources.scans import read_usage_logs
+
+    logs = spark.createDataFrame(
+        [("1", "A", "2024-02-05T00:00:00", "X", "10"), ("2", "B", "2024-02-06T00:00:00", "Y", "20")],
+        "_id STRING, ot STRING, created_at STRING, clasificacion STRING, valor_declarado STRING",
+    )
+    logs.write.parquet(str(tmp_path / "logs_pq"))
+    assert read_usage_logs(spark, str(tmp_path / "logs_pq"), fmt="parquet").count() == 2
+    logs.createOrReplaceTempView("cli_logs_v")
+    spark.sql("CREATE DATABASE IF NOT EXISTS cli_db2")
+    assert main(["--tables", "claim_top", "--database", "cli_db2", "--usage-logs", "table:cli_logs_v"]) == 0
+    top = [r["Clasificacion"] for r in spark.table("cli_db2.claim_top").collect()]
+    assert sorted(top) == ["X", "Y"]
