@@ -169,3 +169,11 @@ def test_detail_plan_limits_before_shuffle(spark):
     d = claims.claim_detail(logs(spark, [(1, "A", "2024-01-01", None, "X", "1")]))
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_presentation_order(spark):
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["claim_sorted"](spark, "/root/testdata/sf0.001").collect()
+    keys = [(r["Mes"], r["Clasificacion"], r["OT"]) for r in rows]
+    assert keys == sorted(keys) and len(keys) > 10
