@@ -1,4 +1,4 @@
-"""Run table jobs from the command line (one Spark action per table).
+"""Run table jobs from the command line.
 
     spark-submit cxlake/__main__.py --tables claim_detail claim_summary \\
         --usage-logs /data/usage_logs/ --usage-logs-format json \\
@@ -46,7 +46,6 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--tables", nargs="+", required=True)
     ap.add_argument("--defs", help="JSON table catalog; default: the built-in definitions")
     ap.add_argument("--database")
-    ap.add_argument("--root", help="storage root for table versions (default: warehouse dir)")
     ap.add_argument("--usage-logs")
     ap.add_argument("--usage-logs-format", default="json", choices=["json", "parquet", "mongodb"])
     ap.add_argument("--messages")
@@ -55,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--as-of", help="last day of lookbacks (default: today)")
     ap.add_argument("--log-tie-breaker", default="_id")
     ap.add_argument("--survey-tie-breaker")
+    ap.add_argument("--param", action="append", default=[], metavar="NAME=VALUE", help="parameter of SQL-origin tables")
     args = ap.parse_args(argv)
 
     spark = ensure_session_defaults(SparkSession.builder.appName("cxlake").getOrCreate())
@@ -74,7 +74,9 @@ def main(argv: list[str] | None = None) -> int:
         survey_tie_breaker=args.survey_tie_breaker,
         as_of=args.as_of,
     )
-    results = run_tables(spark, args.tables, defs, builtin_builders(inputs), TableStore(spark, args.root))
+    # parameters of SQL-origin tables: the day that lookbacks end, and name=value pairs
+    sql_params = {**({"as_of": args.as_of} if args.as_of else {}), **dict(p.split("=", 1) for p in args.param)}
+    results = run_tables(spark, args.tables, defs, builtin_builders(inputs), TableStore(spark), sql_params)
     for r in results:
         print(json.dumps(r.__dict__))
     return 0

@@ -7,27 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: the texts that are a date. A full calendar date, alone or with a
+# time after "T" or a blank (seconds and their fraction may be missing) and an
+# optional zone ("Z" or an offset). A clock time, a year or a month alone isn't.
+EVENT_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+
+
 def parse_event_time(col: Column, dtype: T.DataType) -> Column:
-    """One document field -> TIMESTAMP, NULL when it cannot be read.
+    """One document field -> TIMESTAMP, NULL when it is no date.
 
     The source field may be a real date/timestamp (typed sources such as
-    parquet) or text (JSON exports). Text is parsed leniently with
-    ``try_to_timestamp`` (ISO-8601 with ``T`` or space, optional fraction and
-    zone suffix, or a bare date); a document-store export of a date object
-    (``{"$date": ...}``) is unwrapped first. The type test happens on the
-    schema, at plan time, so no per-row type dispatch is needed.
+    parquet) or text (JSON exports; their wrapped dates are unwrapped by the
+    reader, ``cxlake.sources.scans.read_usage_logs``). The type test happens on
+    the schema, at plan time, so no per-row type dispatch is needed.
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col.cast(T.TimestampType())
     if isinstance(dtype, T.StringType):
-        # {"$date": "<ISO text>"} (relaxed export) or
-        # {"$date": {"$numberLong": "<epoch millis>"}} (canonical export)
-        is_object = F.ltrim(col).startswith("{")
-        millis = F.get_json_object(col, "$.$date.$numberLong")
-        wrapped = F.get_json_object(col, "$.$date")
-        from_millis = F.timestamp_millis(millis.try_cast(T.LongType()))
-        text = F.when(is_object, wrapped).otherwise(col)
-        return F.when(is_object & millis.isNotNull(), from_millis).otherwise(F.try_to_timestamp(text))
+        return F.when(col.rlike(EVENT_TEXT), F.try_to_timestamp(col))
     # numbers, booleans, ... are neither a date nor a string: no date
     return F.lit(None).cast(T.TimestampType())
 

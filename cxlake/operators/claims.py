@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cxlake.functions.casts import money, number_or_zero
+from cxlake.functions.casts import half_up_average, money, number_or_zero
 from cxlake.functions.dates import month_key, resolve_event_date, truncate_to_second
 
 # Class label for a missing class, user label for a missing
@@ -41,8 +41,7 @@ def _col_or_null(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
 
 def _text(df: DataFrame, name: str) -> Column:
     """A key-like document field as text. Kept a plain column expression so
-    predicates on it reach the scan (JSON sources unwrap extended-JSON
-    numbers when read, see ``sources.scans.read_usage_logs``)."""
+    predicates on it reach the scan."""
     col, _ = _col_or_null(df, name)
     return col.cast(T.StringType())
 
@@ -75,6 +74,16 @@ def not_excluded_user(logs: DataFrame, excluded_users: Sequence[str]) -> Column:
     return keep
 
 
+def without_users(logs: DataFrame, excluded: DataFrame) -> DataFrame:
+    """As ``not_excluded_user`` for a list of any size: ``excluded`` has the names in its first column.
+
+    One anti join per user field; the engine broadcasts a list that is small enough."""
+    names = excluded.select(F.col(excluded.columns[0]).cast(T.StringType()).alias("_excluded")).where("_excluded is not null").distinct()
+    for c in (c for c in USER_FIELDS if c in logs.columns):
+        logs = logs.join(names, _text(logs, c) == names["_excluded"], "left_anti")
+    return logs
+
+
 def declared_value(logs: DataFrame, value_field: str = "valor_declarado") -> Column:
     value_col, value_t = _col_or_null(logs, value_field)
     return number_or_zero(value_col, value_t)
@@ -181,8 +190,8 @@ def _money_sum() -> Column:
 
 
 def _average(total: Column, count: Column) -> Column:
-    # decimal division is exact enough here (scale 13) and rounds half-up
-    return F.round(total / count, DECIMALS).cast(T.DoubleType())
+    # over the rows that the total sums: a detail row always has an amount
+    return half_up_average(total, count, DECIMALS)
 
 
 def claim_summary(detail: DataFrame) -> DataFrame:
@@ -213,13 +222,18 @@ def claim_evolution(detail: DataFrame) -> DataFrame:
 
 
 def claim_top(detail: DataFrame) -> DataFrame:
-    """Per class over all months, largest total first."""
+    """Per class over all months (``ranked_top`` puts the largest total first)."""
     agg = detail.groupBy("Clasificacion").agg(
         F.count(F.lit(1)).alias("_n"), _money_sum().alias("_sum")
     )
-    return agg.orderBy(F.col("_sum").desc(), F.col("Clasificacion").asc()).select(
+    return agg.select(
         "Clasificacion",
         F.col("_sum").cast(T.DoubleType()).alias("Suma_Total_CLP"),
         F.col("_n").cast(T.LongType()).alias("Cantidad"),
         _average(F.col("_sum"), F.col("_n")).alias("Promedio_CLP"),
     )
+
+
+def ranked_top(top: DataFrame) -> DataFrame:
+    """Presentation order of ``claim_top``. Only for display sinks."""
+    return top.orderBy(F.col("Suma_Total_CLP").desc(), F.col("Clasificacion").asc())

@@ -8,8 +8,8 @@ Joins of the dashboard:
 * session-day -> survey, FIFO: the n-th conversation of a user id takes the
   n-th survey of that id (left join on id and ordinal), computed on narrow
   rows and joined back to the wide session-day rows without moving them.
-* claim status is not a join: it comes out of the same session-day
-  aggregate (see ``cxlake.operators.sessions``).
+* claim status is not a join: it comes out of the same session-day aggregate
+  as the metrics (see ``cxlake.operators.sessions``).
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ from pyspark.sql import types as T
 from cxlake.functions.dates import as_day, as_timestamp
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators.messages import lookback, with_message_date
-from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, hot_groups, number_hot_rows, split_hot
-from cxlake.operators.sessions import JOIN_KEY, STATUS_COLUMNS, session_days, session_ends
+from cxlake.operators.ranking import ordered_numbers
+from cxlake.operators.sessions import JOIN_KEY, STATUS_COLUMNS, session_days, session_metrics
 from cxlake.operators.surveys import clean_surveys, satisfaction_daily
+from cxlake.session import use_checkpoint_dir
 
 SESSION_COLUMNS = (
     "session_id",
@@ -71,50 +72,13 @@ def join_index(days: DataFrame, index: DataFrame) -> DataFrame:
     return days.join(F.broadcast(idx), days["message_date"] == idx["_idx_day"], "left").drop("_idx_day")
 
 
-def fifo_match(ordered_days: DataFrame, ordered_surveys: DataFrame) -> DataFrame:
-    """Left join on (id, ordinal): the n-th conversation gets the n-th survey.
-
-    Direct form over already-numbered inputs; ``dashboard_base`` uses
-    ``fifo_pairs``, which numbers and pairs both sides on one shuffle.
-    """
-    enc = ordered_surveys.where(F.col("id").isNotNull()).select(
-        F.col("id").alias("_enc_id"),
-        F.col("orden_enc"),
-        F.col("Fecha").alias("fecha_encuesta"),
-        "eval_ia",
-        "eval_acceso",
-        "resolucion",
-    )
-    cond = (ordered_days["id"] == enc["_enc_id"]) & (ordered_days["orden_conv"] == enc["orden_enc"])
-    return ordered_days.join(enc, cond, "left").drop("_enc_id")
-
-
-# A user id with more session-days + surveys than this is numbered with the
-# skew-safe row number (see ``cxlake.operators.ranking``); at most
-# rows / HOT_ID_THRESHOLD ids can be that large, which bounds the broadcasts.
-HOT_ID_THRESHOLD = HOT_GROUP_THRESHOLD
-
-
-def fifo_pairs(
-    ends: DataFrame,
-    clean: DataFrame,
-    survey_tie_breaker: str | None = "event_id",
-    hot_id_threshold: int | None = HOT_ID_THRESHOLD,
-) -> DataFrame:
+def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None = "event_id") -> DataFrame:
     """Number conversations and surveys per user id and pair n-th with n-th.
 
     ``ends``: one row per session-day with ``JOIN_KEY``, session_id, id and
-    fecha_fin (see ``session_ends``). ``clean``: cleaned surveys.
-
-    Both sides are tagged and unioned. Rows of ordinary ids are
-    hash-partitioned ONCE on the user id; numbering (a window per id and side)
-    and pairing (a window per id and ordinal) both run on that partitioning:
-    one shuffle of narrow rows instead of two numbering shuffles plus a
-    shuffle of both sides on (id, ordinal) for a join. Ids above
-    ``hot_id_threshold`` rows (found by one aggregate; ``None`` turns the
-    check off) are numbered in ordered buckets instead and paired on
-    (id, ordinal), so an id holding a third of all rows is still handled by
-    many tasks.
+    fecha_fin. ``clean``: cleaned surveys. Both sides are tagged and unioned,
+    numbered per (id, side) by ``ordered_numbers`` (an id of any size is spread
+    over many tasks), and paired on (id, number), which spreads it again.
     Conversations with a NULL id are numbered among themselves and never
     paired; surveys with a NULL id are not candidates.
 
@@ -152,43 +116,32 @@ def fifo_pairs(
         "eval_acceso",
         "resolucion",
     )
-    both = conv.unionByName(surv)
-    order = ["_o1", "_o2", "_o3", "_o4"]
-    if hot_id_threshold is None:
-        return _number_and_pair(both.repartition("id"), order)
-    # ordinary ids: ONE shuffle on id for numbering and pairing; hot ids:
-    # numbered in ordered buckets, then paired on (id, ordinal). Hotness is
-    # decided per id (both sides together), so the conversations and the
-    # surveys of an id always take the same path and can be paired.
-    hot = hot_groups(both, ["id"], order[0], hot_id_threshold)
-    plain, hot_rows = split_hot(both, hot, ["id"])
-    paired_plain = _number_and_pair(plain.repartition("id"), order)
-    numbered_hot = number_hot_rows(hot_rows, ["id", "_side"], order, "_n")
-    paired_hot = _pair(numbered_hot)
-    return paired_plain.unionByName(paired_hot)
-
-
-def _number_and_pair(both: DataFrame, order: list[str]) -> DataFrame:
-    numbered = both.withColumn("_n", F.row_number().over(Window.partitionBy("id", "_side").orderBy(*order)))
-    return _pair(numbered)
+    return _pair(ordered_numbers(conv.unionByName(surv), ["id", "_side"], ["_o1", "_o2", "_o3", "_o4"], "_n"))
 
 
 def _pair(numbered: DataFrame) -> DataFrame:
-    """Per (id, ordinal): the conversation row takes the survey row's values."""
+    """Per (id, ordinal): the conversation row takes the survey row's values.
+
+    There is one row of each side at most in such a pair. Conversations without
+    an id have nothing to meet and stay out of the shuffle."""
     pair = Window.partitionBy("id", "_n")
     is_survey = F.col("_side") == F.lit("s")
 
     def from_survey(c: str) -> Column:
         return F.first(F.when(is_survey, F.col(c)), ignorenulls=True).over(pair)
 
-    paired = numbered.select(
+    named = numbered.where(F.col("id").isNotNull())
+    paired = named.select(
         "_side",
         *[F.col(c) for c in JOIN_KEY],
         F.col("_n").alias("orden_conv"),
         from_survey("_n").alias("orden_enc"),
         *[from_survey(c).alias(c) for c in SURVEY_COLUMNS],
     )
-    return paired.where(F.col("_side") == F.lit("c")).drop("_side")
+    alone = numbered.where(F.col("id").isNull()).select(
+        "_side", *[F.col(c) for c in JOIN_KEY], F.col("_n").alias("orden_conv"), F.lit(None).cast("int").alias("orden_enc"), *SURVEY_COLUMNS
+    )
+    return paired.unionByName(alone).where(F.col("_side") == F.lit("c")).drop("_side")
 
 
 def dashboard_base(
@@ -199,26 +152,27 @@ def dashboard_base(
     patterns: MessagePatterns = MessagePatterns(),
     include_history: bool = True,
     survey_tie_breaker: str | None = "event_id",
-    hot_id_threshold: int | None = HOT_ID_THRESHOLD,
+    include_fifo: bool = True,
 ) -> DataFrame:
-    """Per session-day dashboard row (28 columns with history, 27 without).
+    """Per session-day dashboard row (28 columns; fewer without history or FIFO columns).
 
-    Shuffles: messages once on the session-day key (text and history never
-    move again); a narrow re-scan of three message columns plus the surveys
-    once on the user id (FIFO numbering and pairing); the paired narrow rows
-    once on the session-day key to meet the wide rows, which are already
-    partitioned that way; the daily index is broadcast.
-    """
+    The messages are read twice at most: for the metrics, which are written to
+    the shared folder and serve both the FIFO pairing and the result, and for
+    the histories. The surveys are read for the pairing and for the daily
+    index, which has one row per day of the lookback and is broadcast."""
     dated = with_message_date(lookback(messages, "message_timestamp", as_of, days))
-    wide = session_days(dated, include_history=include_history, patterns=patterns, keep_join_key=True)
-
     clean = clean_surveys(surveys, as_of, days, tie_breaker=survey_tie_breaker)
-    pairs = fifo_pairs(session_ends(dated), clean, survey_tie_breaker, hot_id_threshold)
-    isn = satisfaction_daily(clean)
-
-    out = join_index(wide.join(pairs, on=list(JOIN_KEY), how="left"), isn)
-    cols = [c for c in DASHBOARD_COLUMNS if include_history or c != "history"]
-    return out.select(*cols)
+    metrics = session_metrics(dated, patterns, keep_join_key=True)
+    if include_fifo:
+        use_checkpoint_dir(messages.sparkSession)
+        metrics = metrics.checkpoint()
+    wide = session_days(dated, include_history, patterns, keep_join_key=True, metrics=metrics)
+    if include_fifo:
+        ends = metrics.select(*JOIN_KEY, "session_id", "id", "fecha_fin")
+        wide = wide.join(fifo_pairs(ends, clean, survey_tie_breaker), on=list(JOIN_KEY), how="left")
+    out = join_index(wide, satisfaction_daily(clean))
+    absent = {*(() if include_history else ("history",)), *(() if include_fifo else FIFO_COLUMNS + SURVEY_COLUMNS)}
+    return out.select(*[c for c in DASHBOARD_COLUMNS if c not in absent])
 
 
 def dashboard_recent(base: DataFrame, as_of: str | Column | None, days: int) -> DataFrame:

@@ -1,158 +1,55 @@
 """Row numbers per group that stay parallel when one group is huge.
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` puts every row of a group
-in one task. When one group holds a large share of the rows (a third, say),
-that task does a third of the work alone. ``skew_safe_row_number`` gives the
-same numbers with the hot groups spread over many tasks:
-
-1. rows per group are counted (a partial aggregate: one row per group);
-   groups above ``hot_threshold`` rows are *hot*, up to the ``max_groups``
-   largest (a fixed bound on the broadcasts below);
-2. ordinary groups are numbered with the plain window;
-3. for hot groups, the range of the first order column (from the same
-   aggregate) is cut into ``buckets`` equal-width, ordered buckets; rows are
-   numbered inside (group, bucket) in parallel, and each bucket's offset
-   (rows in the earlier buckets of its group, an exact count) is added. Rows
-   with equal first order value always share a bucket, so the full order is
-   respected.
-
-The numbers are exact; the bucket widths only decide how evenly the work is
-split, never the result.
+in one task. ``ordered_numbers`` gives the same numbers on one path for groups
+of any size, with no threshold:
+
+1. rows are range-partitioned by (group, order columns), so a large group
+   spans several ranges and small groups share one;
+2. rows are numbered inside (range, group), in parallel;
+3. a group that continues from an earlier range gets the number of its rows
+   there added. At most one group continues into a range, so this table has
+   fewer rows than there are ranges and is broadcast.
+
+The ranges decide how evenly the work is split, never the result. The
+range-partitioned rows are written to the shared checkpoint folder before they
+are used twice (for numbers and for counts): both uses must see the same
+ranges, also after an executor is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-# Default size above which a group counts as hot, and the most groups given
-# the bucketed treatment (the largest ones); together they bound every
-# broadcast of hot groups (max groups, and max groups x (buckets + 1) offsets).
-HOT_GROUP_THRESHOLD = 1_000_000
-MAX_HOT_GROUPS = 1_000
-
-
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Null-safe equality on column pairs (a NULL group is a group too)."""
-    cond = None
-    for a, b in pairs:
-        c = left[a].eqNullSafe(right[b])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _as_number(col: Column, dtype: T.DataType) -> Column:
-    """Order-preserving numeric form of the first order column."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast(T.TimestampType())).cast(T.DoubleType())
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast(T.DoubleType())
-    if isinstance(dtype, T.NumericType):
-        return col.cast(T.DoubleType())
-    raise TypeError(f"skew_safe_row_number: first order column must be numeric, date or timestamp, not {dtype}")
-
 
-def hot_groups(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    first_order_col: str,
-    hot_threshold: int,
-    max_groups: int = MAX_HOT_GROUPS,
-) -> DataFrame:
-    """Groups with more than ``hot_threshold`` rows, with the range of the
-    first order value (columns ``_h_<col>``, ``_lo``, ``_hi``; broadcast).
-
-    One aggregate over the input. At most ``total_rows / hot_threshold``
-    groups qualify, and only the ``max_groups`` largest are kept (a
-    distributed top-k), so the broadcast has a fixed bound whatever the data
-    size; smaller groups stay on the plain path (exact, one task each).
-    """
-    if hot_threshold < 1 or max_groups < 1:
-        raise ValueError("hot_threshold and max_groups must be >= 1")
-    part = list(partition_cols)
-    x = _as_number(F.col(first_order_col), df.schema[first_order_col].dataType)
-    sizes = df.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_group_rows"), F.min(x).alias("_lo"), F.max(x).alias("_hi")
-    )
-    # ties broken by the group key: the selection is the same on every
-    # evaluation (both uses below must see the same groups)
-    largest = (
-        sizes.where(F.col("_group_rows") > hot_threshold)
-        .orderBy(F.col("_group_rows").desc(), *[F.col(c).asc_nulls_first() for c in part])
-        .limit(max_groups)
-    )
-    return F.broadcast(largest.select(*[F.col(c).alias(f"_h_{c}") for c in part], "_lo", "_hi"))
+from cxlake.session import use_checkpoint_dir
 
 
-def split_hot(df: DataFrame, hot: DataFrame, partition_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups with ``_lo``/``_hi``)."""
-    part = list(partition_cols)
-    is_hot = _same(df, hot, [(c, f"_h_{c}") for c in part])
-    plain = df.join(hot, is_hot, "left_anti")
-    hot_rows = df.join(hot, is_hot, "inner").drop(*[f"_h_{c}" for c in part])
-    return plain, hot_rows
+def in_ranges(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned by group and order, with ``_range`` (ascending), on disk."""
+    use_checkpoint_dir(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *group_cols, *order_cols)
+    return ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
 
 
-def number_hot_rows(
-    hot_rows: DataFrame,
-    partition_cols: Sequence[str],
-    order_cols: Sequence[str],
-    out_col: str,
-    buckets: int = 64,
-) -> DataFrame:
-    """Row numbers for rows of hot groups (as returned by ``split_hot``)."""
-    if buckets < 2:
-        raise ValueError("buckets must be >= 2")
-    part = list(partition_cols)
-    order = list(order_cols)
-    hp = [f"_h_{c}" for c in part]
-    first = order[0]
-    columns = [c for c in hot_rows.columns if c not in ("_lo", "_hi")]
-    x = _as_number(F.col(first), hot_rows.schema[first].dataType)
-
-    # Equal-width buckets of the first order value, monotone in it (NULLs,
-    # which sort first, get bucket -1); equal values share a bucket.
-    lo, hi = F.col("_lo"), F.col("_hi")
-    scaled = F.floor((x - lo) / (hi - lo) * F.lit(float(buckets)))
-    bucket = (
-        F.when(x.isNull(), F.lit(-1))
-        .when(hi == lo, F.lit(0))
-        .otherwise(F.least(scaled.cast(T.IntegerType()), F.lit(buckets - 1)))
-    )
-    bucketed = hot_rows.select(*columns, bucket.alias("_bucket"))
-    local = bucketed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*part, "_bucket").orderBy(*order))
-    )
-    counts = bucketed.groupBy(
-        *[F.col(c).alias(h) for c, h in zip(part, hp)], F.col("_bucket").alias("_h_bucket")
-    ).agg(F.count(F.lit(1)).alias("_bucket_rows"))
-    earlier = Window.partitionBy(*hp).orderBy("_h_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # bounded: hot groups x (buckets + 1) rows
+def ordered_numbers(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out_col: str) -> DataFrame:
+    """``df`` plus ``out_col`` = row_number() over (group_cols, order_cols); NULLs are a group and sort first."""
+    group = list(group_cols)
+    ranged = in_ranges(df, group, order_cols)
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order_cols)))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("_range", *group).agg(F.count(F.lit(1)).alias("_rows"))
+    # one row per range at most: see above
     offsets = F.broadcast(
-        counts.select(*hp, "_h_bucket", F.coalesce(F.sum("_bucket_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    return local.join(offsets, _same(local, offsets, [*zip(part, hp), ("_bucket", "_h_bucket")])).select(
-        *[F.col(c) for c in columns], (F.col("_local") + F.col("_offset")).cast("int").alias(out_col)
+        counts.withColumn("_offset", F.sum("_rows").over(earlier))
+        .where(F.col("_offset").isNotNull())
+        .select(F.col("_range").alias("_r"), *[F.col(c).alias(f"_g_{c}") for c in group], "_offset")
     )
-
-
-def skew_safe_row_number(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    order_cols: Sequence[str],
-    out_col: str,
-    hot_threshold: int,
-    buckets: int = 64,
-    max_groups: int = MAX_HOT_GROUPS,
-) -> DataFrame:
-    """``df`` plus ``out_col`` = row_number() over (partition_cols, order_cols)."""
-    part, order = list(partition_cols), list(order_cols)
-    hot = hot_groups(df, part, order[0], hot_threshold, max_groups)
-    plain, hot_rows = split_hot(df, hot, part)
-    plain = plain.withColumn(out_col, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    numbered = number_hot_rows(hot_rows, part, order, out_col, buckets)
-    return plain.unionByName(numbered.select(*plain.columns))
+    same = local["_range"] == offsets["_r"]
+    for c in group:
+        same = same & local[c].eqNullSafe(offsets[f"_g_{c}"])
+    number = (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("int")
+    return local.join(offsets, same, "left").select(*df.columns, number.alias(out_col))

@@ -1,30 +1,26 @@
 """Conversation pipeline, session-day level.
 
-One aggregate per session-day computes everything the dashboard needs:
-identity columns, the ordered history, the message metrics and the claim
-status. The source product computes metrics and claim status in two separate
-passes over the messages and joins them; fusing them removes a scan, a
-shuffle and a join. The grouping key is the null-free ``JOIN_KEY`` form of
-(session_id, message_date), so later joins on it find the rows where they
-already are.
-
-Metrics are plain aggregates (count, count_if, min, max, sum), so they are
-partially aggregated before the shuffle and do not need the history array.
-Only ``history`` itself builds an array; it is opt-out.
+Metrics and claim status come from one aggregate per session-day over the
+distinct messages (the source product makes two passes and a join). They are
+plain aggregates (count, count_if, min, max, sum), so they are combined before
+the shuffle. The ordered history is an array with all messages of the
+session-day; it is built on its own and joined on the session key, so a large
+session burdens its array alone. The grouping key is the null-free ``JOIN_KEY``
+form of (session_id, message_date).
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cxlake.functions.dates import as_timestamp
 from cxlake.functions.text import MessagePatterns
-from cxlake.operators.messages import dedup_messages
-from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
+from cxlake.operators.messages import DEDUP_KEY, dedup_messages
+from cxlake.operators.ranking import ordered_numbers
 
 # Role names, session types and claim states.
 ROLE_USER = "user"
@@ -70,33 +66,16 @@ def with_join_key(df: DataFrame) -> DataFrame:
     return df.withColumns({"_sk": F.coalesce(sid, F.lit("")), "_sn": sid.isNull()})
 
 
-def session_days(
-    dated: DataFrame,
-    include_history: bool = True,
-    patterns: MessagePatterns = MessagePatterns(),
-    keep_join_key: bool = False,
-) -> DataFrame:
-    """Messages (with ``message_date``) -> one row per (session_id, message_date).
-
-    With ``include_history`` the messages are hash-partitioned once on the
-    session-day key; the dedup and the session-day aggregate then run in the
-    same stage, so the message text crosses the network once. Without it the
-    dedup shuffles on the full message key with map-side combining and the
-    session-day aggregate receives only partial aggregates, which keeps a very
-    large session-day from landing in one task.
-
-    The output stays hash-partitioned on ``JOIN_KEY``; with ``keep_join_key``
-    those columns are kept so a later join on them needs no shuffle here.
-    """
-    src = with_join_key(dated)
-    if include_history:
-        src = src.repartition(*JOIN_KEY)
-    # the join-key columns are part of the dedup key, so the partitioning on
-    # them satisfies both aggregates (one exchange)
-    dedup = dedup_messages(src, patterns, extra_keys=("_sk", "_sn"))
+def session_metrics(dated: DataFrame, patterns: MessagePatterns = MessagePatterns(), keep_join_key: bool = False) -> DataFrame:
+    """Messages (with ``message_date``) -> one row per (session_id, message_date): metrics and claim status.
 
+    Copies are collapsed on the full message key and the session-day is summed
+    from the distinct messages, both with map-side combining: no task ever
+    holds all messages of a large session-day (or of a day's messages without a
+    session), and no message text reaches the session-day aggregate."""
+    dedup = dedup_messages(with_join_key(dated), patterns, extra_keys=("_sk", "_sn"))
     role = F.col("role")
-    aggs = [
+    agg = dedup.groupBy(*JOIN_KEY).agg(
         F.max("balancer_mongo_id").alias("id"),
         F.max("conversation_expires_at").alias("_expires"),
         F.max("conversation_updated_at").alias("_updated"),
@@ -110,30 +89,38 @@ def session_days(
         F.sum("ss_creacion_reclamo").alias("_ss"),
         F.max("genero_caso").alias("_genero"),
         F.sum("error_reclamos").alias("_error"),
-    ]
-    if include_history:
-        aggs.append(history_expr().alias("history"))
-    agg = dedup.groupBy(*JOIN_KEY).agg(*aggs)
-    return _session_metrics(agg, include_history, keep_join_key)
-
-
-def session_ends(dated: DataFrame) -> DataFrame:
-    """Per session-day: join key, session_id, user id and end time only.
-
-    Reads just three narrow columns of the messages (the scan prunes the
-    text), so ordering conversations per user never moves the history.
-    Exact duplicates do not change a max, so no dedup is needed.
-    """
-    slim = with_join_key(dated.select("session_id", "balancer_mongo_id", "message_timestamp", "message_date"))
-    agg = slim.groupBy(*JOIN_KEY).agg(
-        F.max("balancer_mongo_id").alias("id"), F.max("message_timestamp").alias("_last_ts")
-    )
-    return agg.select(
-        *JOIN_KEY,
-        F.when(~F.col("_sn"), F.col("_sk")).alias("session_id"),
-        F.col("id").cast(T.StringType()).alias("id"),
-        _as_timestamp(agg, "_last_ts").alias("fecha_fin"),
     )
+    return _session_metrics(agg, keep_join_key)
+
+
+def session_histories(dated: DataFrame) -> DataFrame:
+    """Join key and ordered history per session-day: one array with all its distinct messages.
+
+    The array is the product's shape, so a session-day's messages do meet in
+    one row here, and only here."""
+    keyed = with_join_key(dated)
+    distinct = keyed.groupBy(*DEDUP_KEY, "_sk", "_sn").agg(F.lit(True).alias("_one"))
+    return distinct.groupBy(*JOIN_KEY).agg(history_expr().alias("history"))
+
+
+def session_days(
+    dated: DataFrame,
+    include_history: bool = True,
+    patterns: MessagePatterns = MessagePatterns(),
+    keep_join_key: bool = False,
+    metrics: DataFrame | None = None,
+) -> DataFrame:
+    """Session-days with metrics, claim status and, unless switched off, the history.
+
+    ``metrics``: a result of ``session_metrics`` with its join key, if there is one already."""
+    if not include_history:
+        return metrics if metrics is not None else session_metrics(dated, patterns, keep_join_key)
+    metrics = metrics if metrics is not None else session_metrics(dated, patterns, keep_join_key=True)
+    joined = metrics.join(session_histories(dated), on=list(JOIN_KEY), how="left")
+    columns = [c for c in metrics.columns if c not in ("_sk", "_sn")]
+    at = columns.index("updated_at") + 1
+    keys = ["_sk", "_sn"] if keep_join_key else []
+    return joined.select(*columns[:at], "history", *columns[at:], *keys)
 
 
 def _as_timestamp(df: DataFrame, name: str) -> F.Column:
@@ -141,7 +128,7 @@ def _as_timestamp(df: DataFrame, name: str) -> F.Column:
     return as_timestamp(F.col(name), df.schema[name].dataType)
 
 
-def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool = False) -> DataFrame:
+def _session_metrics(agg: DataFrame, keep_join_key: bool = False) -> DataFrame:
     first_ts = _as_timestamp(agg, "_first_ts")
     last_ts = _as_timestamp(agg, "_last_ts")
     seconds = F.unix_timestamp(last_ts) - F.unix_timestamp(first_ts)
@@ -168,8 +155,6 @@ def _session_metrics(agg: DataFrame, include_history: bool, keep_join_key: bool
         _as_timestamp(agg, "_expires").alias("expires_at"),
         _as_timestamp(agg, "_updated").alias("updated_at"),
     ]
-    if include_history:
-        cols.append(F.col("history"))
     cols += [
         F.col("_first_ts").cast(T.StringType()).alias("primer_timestamp"),
         F.col("_last_ts").cast(T.StringType()).alias("ultimo_timestamp"),
@@ -202,15 +187,10 @@ def user_messages(days: DataFrame) -> DataFrame:
     )
 
 
-def order_sessions(days: DataFrame, hot_threshold: int | None = HOT_GROUP_THRESHOLD) -> DataFrame:
+def order_sessions(days: DataFrame) -> DataFrame:
     """Add ``orden_conv``: 1, 2, ... per user id by end time.
 
     Ties (same end time) are broken by session id, then day, so the FIFO
     pairing with surveys is repeatable. NULL ids are numbered too; they never
-    pair with a survey. Ids with more than ``hot_threshold`` session-days are
-    numbered with the skew-safe row number.
-    """
-    order = ["fecha_fin", "session_id", "message_date"]
-    if hot_threshold is not None:
-        return skew_safe_row_number(days, ["id"], order, "orden_conv", hot_threshold)
-    return days.withColumn("orden_conv", F.row_number().over(Window.partitionBy("id").orderBy(*order)))
+    pair with a survey."""
+    return ordered_numbers(days, ["id"], ["fecha_fin", "session_id", "message_date"], "orden_conv")

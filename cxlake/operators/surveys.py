@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cxlake.functions.casts import guarded_int
 from cxlake.functions.dates import as_day
 from cxlake.operators.messages import lookback
-from cxlake.operators.ranking import HOT_GROUP_THRESHOLD, skew_safe_row_number
+from cxlake.operators.ranking import ordered_numbers
 
 # Which surveys count (answered with the assistant, opened and
 # closed by the robot) and the rating bands of the index.
@@ -52,19 +52,10 @@ def clean_surveys(
     )
 
 
-def order_surveys(
-    clean: DataFrame, tie_breaker: str | None = "event_id", hot_threshold: int | None = HOT_GROUP_THRESHOLD
-) -> DataFrame:
-    """Add ``orden_enc``: 1, 2, ... per user id by date (then tie breaker).
-
-    Ids with more than ``hot_threshold`` surveys are numbered with the
-    skew-safe row number (``None``: always the plain window).
-    """
+def order_surveys(clean: DataFrame, tie_breaker: str | None = "event_id") -> DataFrame:
+    """Add ``orden_enc``: 1, 2, ... per user id by date (then tie breaker), also when one id holds most surveys."""
     order = ["Fecha"] + ([tie_breaker] if tie_breaker else [])
-    if hot_threshold is not None:
-        return skew_safe_row_number(clean, ["id"], order, "orden_enc", hot_threshold)
-    w = Window.partitionBy("id").orderBy(*order)
-    return clean.withColumn("orden_enc", F.row_number().over(w))
+    return ordered_numbers(clean, ["id"], order, "orden_enc")
 
 
 def satisfaction_daily(clean: DataFrame) -> DataFrame:

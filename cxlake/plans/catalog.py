@@ -30,8 +30,8 @@ def default_table_defs(database: str | None = None) -> dict[str, TableDef]:
             schema_ddl=DETAIL_DDL,
             mode="merge",
             primary_key=DETAIL_KEY,
-            cluster_by=("Mes", "Clasificacion"),
-            layout_clause="CLUSTER BY AUTO",
+            partition_by="Mes",
+            cluster_by=("Clasificacion",),
             lookback_days=3,
             description="First classified record per work order",
         ),
@@ -67,7 +67,7 @@ def default_table_defs(database: str | None = None) -> dict[str, TableDef]:
             origin="python",
             python_source="dashboard_base",
             database=database,
-            mode="overwrite",
+            mode="overwrite_partitions",
             partition_by="message_date",
             lookback_days=3,
             description="Conversation dashboard per session-day",
@@ -79,6 +79,7 @@ def default_table_defs(database: str | None = None) -> dict[str, TableDef]:
             database=database,
             mode="overwrite",
             lookback_days=3,
+            params={"source_table": f"{database}.dashboard_base" if database else "dashboard_base", "as_of": None},
             description="Recent rows of the dashboard base",
         ),
     ]

@@ -1,7 +1,7 @@
 """Per-table job: definition -> DataFrame -> load stamp -> save.
 
-One Spark action per table: the row count comes from ``observe`` during the
-write, not from a separate ``count()`` that would run the plan twice.
+The source plan runs once per table: the row count comes from ``observe``
+while the result is staged, not from a separate ``count()``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cxlake.functions.text import MessagePatterns
 from cxlake.operators import claims, dashboard
 from cxlake.plans.tabledef import TableDef, get_table_def
-from cxlake.session import checkpoint_dir, ensure_session_defaults
+from cxlake.session import ensure_session_defaults, use_checkpoint_dir
 from cxlake.sinks.tables import SaveResult, TableStore
 from cxlake.sources.normalize import normalize_result
 from cxlake.sources.scans import sql_file_source
@@ -78,16 +78,14 @@ def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
             tie_breaker=inputs.log_tie_breaker,
         )
         if inputs.share_detail:
-            if not spark.sparkContext.getCheckpointDir():
-                spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+            use_checkpoint_dir(spark)
             df = df.checkpoint(eager=True)
             shared["detail"] = df
         return df
 
     def base(spark: SparkSession, tdef: TableDef) -> DataFrame:
-        # per-table options: {"include_history": False} gives the metrics-only
-        # dashboard (no per-session-day array); "hot_id_threshold" tunes the
-        # skew-safe ordinals (None: plain window)
+        # per-table option: {"include_history": False} gives the metrics-only
+        # dashboard (no per-session-day array)
         return dashboard.dashboard_base(
             need(inputs.messages, "message")(spark),
             need(inputs.surveys, "survey")(spark),
@@ -96,7 +94,6 @@ def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
             patterns=inputs.patterns,
             include_history=tdef.extra.get("include_history", True),
             survey_tie_breaker=inputs.survey_tie_breaker,
-            hot_id_threshold=tdef.extra.get("hot_id_threshold", dashboard.HOT_ID_THRESHOLD),
         )
 
     return {
@@ -124,7 +121,7 @@ def build(
             raise ValueError(f"no builder named {tdef.python_source!r}") from None
         df = normalize_result(spark, builder(spark, tdef))
     else:
-        params = dict(sql_params or {})
+        params = {**tdef.params, **(sql_params or {})}
         if tdef.lookback_days is not None:
             params.setdefault("dias", tdef.lookback_days)
         df = sql_file_source(spark, tdef.query_sql_path, **params)
@@ -152,7 +149,7 @@ def run_tables(
     sql_params: dict | None = None,
     load_ts: dt.datetime | str | None = None,
 ) -> list[SaveResult]:
-    """Run the jobs of several tables, in order, one action each."""
+    """Run the jobs of several tables, in order."""
     return [
         run_table_job(spark, get_table_def(defs, n), builders, store, sql_params, load_ts) for n in names
     ]

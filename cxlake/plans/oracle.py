@@ -16,7 +16,10 @@ usage_logs AS (
   SELECT o_orderkey AS log_id,
     CASE WHEN o_orderkey % 43 = 0 THEN NULL WHEN o_orderkey % 41 = 0 THEN ''
          ELSE concat('OT-', CAST(o_custkey AS VARCHAR)) END AS ot,
-    CASE WHEN o_orderkey % 31 = 0 THEN 'sin fecha' WHEN o_orderkey % 29 = 0 THEN NULL
+    CASE WHEN o_orderkey % 31 = 0 THEN 'sin fecha' WHEN o_orderkey % 37 = 0 THEN '10:15:00'
+         WHEN o_orderkey % 47 = 0 THEN '2024-3'
+         WHEN o_orderkey % 53 = 0 THEN concat(strftime(o_orderdate, '%Y-%m-%d'), ' 07:30')
+         WHEN o_orderkey % 29 = 0 THEN NULL
          ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS created_at,
     CASE WHEN o_orderkey % 58 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS fecha_escaneo,
     CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 26 = 1 THEN 'N/A'
@@ -70,6 +73,18 @@ surveys AS (
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+# A date has its ten characters year-month-day first; what follows, if anything,
+# must read as a time of day with at least hours and minutes.
+def _event_text(field: str) -> str:
+    return (
+        f"CASE WHEN regexp_full_match({field}, '[0-9]{{4}}(-[0-9]{{2}}){{2}}(|[T ][0-9]{{2}}:[0-9]{{2}}(|:[0-9]{{2}}(|[.][0-9]+)))')"
+        f" THEN try_strptime(rpad(replace({field}, 'T', ' '), 19, substr('0000-00-00 00:00:00', length({field}) + 1)), '%Y-%m-%d %H:%M:%S') END"
+    )
+
+
+EVENT_TS = f"CASE WHEN created_at IS NULL THEN {_event_text('fecha_escaneo')} ELSE {_event_text('created_at')} END"
+
+
 def _claim_ctes(
     excluded_users: tuple[str, ...] = ("u3", "u7"), date_cutoff: str | None = None, prefix: str = ""
 ) -> str:
@@ -84,8 +99,7 @@ def _claim_ctes(
     p = prefix
     return f"""
 {p}claim_dated AS (
-  SELECT *, CASE WHEN created_at IS NOT NULL THEN try_cast(created_at AS TIMESTAMP)
-                 WHEN fecha_escaneo IS NOT NULL THEN try_cast(fecha_escaneo AS TIMESTAMP) END AS ev
+  SELECT *, {EVENT_TS} AS ev
   FROM usage_logs
 ),
 {p}claim_cand AS (
@@ -122,7 +136,7 @@ def _half_up_avg(total_dec: str, count: str) -> str:
     return f"CAST(sign({t}) * ((2 * abs({t}) + {c}) // (2 * {c})) AS DOUBLE) / 1000.0"
 
 
-MONEY_SUM = 'sum(CAST("Valor_Declarado_CLP" AS DECIMAL(18,3)))'
+MONEY_SUM = 'sum(CAST("Valor_Declarado_CLP" AS DECIMAL(38,3)))'
 
 CLAIM_DETAIL = _with(USAGE_LOGS, _claim_ctes()) + "\nSELECT * FROM claim_detail"
 
@@ -144,13 +158,16 @@ SELECT "Clasificacion", CAST({MONEY_SUM} AS DOUBLE) AS "Suma_Total_CLP",
   CAST(count(*) AS BIGINT) AS "Cantidad",
   {_half_up_avg(MONEY_SUM, "count(*)")} AS "Promedio_CLP"
 FROM claim_detail GROUP BY "Clasificacion"
-ORDER BY {MONEY_SUM} DESC, "Clasificacion"
 """
 
 
 # --- conversation pipeline ------------------------------------------------------
 
-from cxlake.functions import text as _txt  # noqa: E402
+# The message patterns, written here anew: the checks must not share the engine's.
+ASKED = "(reclam(o)*|ru(t)*|correo electr(ó|o)nic(o)*|tel(é|e)fon(o)*)"
+REQUESTED = "(responde.*sí|ya existe un reclam(o)*)"
+CASE = "CAS-[-0-9A-Z]+"
+FAILED = "(hubo un problema al crear tu reclamo en este moment(o)*|no fue posible crear el reclamo porqu(e)*)"
 
 AS_OF = "2024-01-31"
 DAYS = 31
@@ -172,90 +189,88 @@ ISN_NUMERATOR = (
 )
 
 
+def _hits(pattern: str, text: str = "lower(content)") -> str:
+    return f"coalesce(len(regexp_extract_all({text}, '{pattern}')) > 0, false)"
+
+
 def _conv_ctes(days: int = DAYS) -> str:
-    start = f"DATE '{AS_OF}' - {days}"
-    a, r, c, g, e = (_txt.ASKED_FOR_DATA, _txt.CLAIM_CREATION_REQUEST, _txt.CASE_ID,
-                     _txt.CASE_ID_GROUP, _txt.CLAIM_CREATION_ERROR)
+    """Each operator by its specification, on row sets named after what they hold.
+
+    ``copies`` has every message of the lookback with its marks, ``sent`` the
+    distinct messages, ``days`` the session-days; answers are numbered by
+    counting the earlier ones of the same person."""
     return f"""
-distinct_msgs AS (
-  SELECT session_id, balancer_mongo_id, role, content, message_timestamp,
-    CAST(message_timestamp AS DATE) AS message_date, conversation_expires_at, conversation_updated_at,
-    sum(CASE WHEN regexp_matches(lower(content), '{a}') THEN 1 ELSE 0 END) AS pidio_datos,
-    sum(CASE WHEN regexp_matches(lower(content), '{r}') THEN 1 ELSE 0 END) AS ss_creacion_reclamo,
-    max(CASE WHEN regexp_matches(content, '{c}') THEN 1 ELSE 0 END) AS genero_caso,
-    max(regexp_extract(content, '{g}', 1)) AS id_reclamo,
-    sum(CASE WHEN regexp_matches(lower(content), '{e}') THEN 1 ELSE 0 END) AS error_reclamos
-  FROM messages WHERE CAST(message_timestamp AS DATE) >= {start}
-  GROUP BY ALL
+copies AS (
+  SELECT m.*, CAST(message_timestamp AS DATE) AS message_date,
+    {_hits(ASKED)} AS asked, {_hits(REQUESTED)} AS requested, {_hits(FAILED)} AS failed,
+    {_hits(CASE, "content")} AS has_case, coalesce(regexp_extract_all(content, '{CASE}')[1], '') AS first_case
+  FROM messages m WHERE message_timestamp >= DATE '{AS_OF}' - {days}
 ),
-rated_surveys AS (
-  SELECT CAST("IdUsuario" AS VARCHAR) AS id, "Fecha",
-    CASE WHEN regexp_matches("EvalIA", '{INTEGER_TEXT}') THEN try_cast(trim("EvalIA") AS INTEGER) END AS eval_ia,
-    CASE WHEN regexp_matches("EvalAcceso", '{INTEGER_TEXT}') THEN try_cast(trim("EvalAcceso") AS INTEGER) END AS eval_acceso,
-    "EvalResolvReq" AS resolucion, event_id,
-    CAST(row_number() OVER (PARTITION BY CAST("IdUsuario" AS VARCHAR) ORDER BY "Fecha", event_id) AS INTEGER) AS orden_enc
-  FROM surveys
-  WHERE "Fecha" >= {start} AND "AtencionIA" = 'Si' AND "OperadorAbre" = 'robot'
-    AND "OperadorCierra" = 'robot' AND "EvalIA" IS NOT NULL AND trim("EvalIA") <> ''
+sent AS (
+  SELECT session_id, balancer_mongo_id, role, content, message_timestamp, message_date, conversation_expires_at,
+    conversation_updated_at, count(*) FILTER (asked) AS pidio_datos, count(*) FILTER (requested) AS ss_creacion_reclamo,
+    CAST(any_value(has_case) AS INTEGER) AS genero_caso,
+    CASE WHEN any_value(content) IS NOT NULL THEN any_value(first_case) END AS id_reclamo,
+    count(*) FILTER (failed) AS error_reclamos
+  FROM copies
+  GROUP BY session_id, balancer_mongo_id, role, content, message_timestamp, message_date, conversation_expires_at,
+    conversation_updated_at
 ),
-day_groups AS (
-  SELECT session_id, message_date, max(balancer_mongo_id) AS id,
-    max(conversation_expires_at) AS max_expires, max(conversation_updated_at) AS max_updated,
-    list(struct_pack(role := role, content := content, "timestamp" := CAST(message_timestamp AS VARCHAR))
-         ORDER BY message_timestamp NULLS FIRST, role NULLS FIRST, content NULLS FIRST) AS h
-  FROM distinct_msgs GROUP BY session_id, message_date
+answers AS (
+  SELECT CAST("IdUsuario" AS VARCHAR) AS id, "Fecha", "EvalResolvReq" AS resolucion, event_id,
+    try_cast(nullif(regexp_extract("EvalIA", '^\\s*([-+]?[0-9]+)\\s*$', 1), '') AS INTEGER) AS eval_ia,
+    try_cast(nullif(regexp_extract("EvalAcceso", '^\\s*([-+]?[0-9]+)\\s*$', 1), '') AS INTEGER) AS eval_acceso
+  FROM surveys
+  WHERE "AtencionIA" = 'Si' AND 'robot' = "OperadorAbre" AND 'robot' = "OperadorCierra"
+    AND length(trim(coalesce("EvalIA", ''))) > 0 AND "Fecha" >= DATE '{AS_OF}' - {days}
 ),
-day_metrics AS (
-  SELECT session_id, CAST(id AS VARCHAR) AS id, message_date,
-    CAST(max_expires AS TIMESTAMP) AS expires_at, CAST(max_updated AS TIMESTAMP) AS updated_at,
-    CAST(to_json(h) AS VARCHAR) AS history,
-    CAST(to_json(list_filter(h, lambda x: x.role = 'user')) AS VARCHAR) AS si,
-    h[1]."timestamp" AS primer_timestamp, h[-1]."timestamp" AS ultimo_timestamp,
-    CAST(h[1]."timestamp" AS TIMESTAMP) AS fecha_inicio, CAST(h[-1]."timestamp" AS TIMESTAMP) AS fecha_fin,
-    CAST(len(h) AS INTEGER) AS cantidad_mensajes,
-    CAST(len(list_filter(h, lambda x: x.role = 'user')) AS INTEGER) AS mensajes_usuario,
-    CAST(len(list_filter(h, lambda x: x.role = 'assistant')) AS INTEGER) AS mensajes_bot,
-    CAST(len(h) AS DOUBLE) / 2.0 AS turnos_conversacion,
-    CASE WHEN len(list_filter(h, lambda x: x.role = 'user')) = 1 THEN 'Abandono' ELSE 'Conversacion' END AS tipo_sesion,
-    CAST(floor(epoch_us(CAST(h[-1]."timestamp" AS TIMESTAMP)) / 1000000) AS BIGINT)
-      - CAST(floor(epoch_us(CAST(h[1]."timestamp" AS TIMESTAMP)) / 1000000) AS BIGINT) AS duracion_segundos
-  FROM day_groups
+numbered_answers AS (
+  SELECT *, CAST(count(*) OVER (PARTITION BY id ORDER BY "Fecha", event_id ROWS UNBOUNDED PRECEDING) AS INTEGER) AS orden_enc
+  FROM answers
 ),
-day_ordered AS (
-  SELECT *, {_half_up("duracion_segundos", "60", 2)} AS duracion_minutos,
-    CAST(row_number() OVER (PARTITION BY id ORDER BY fecha_fin, session_id, message_date) AS INTEGER) AS orden_conv
-  FROM day_metrics
+per_day AS (
+  SELECT session_id, message_date, max(balancer_mongo_id) AS id, max(conversation_expires_at) AS expires_at,
+    max(conversation_updated_at) AS updated_at, min(message_timestamp) AS fecha_inicio, max(message_timestamp) AS fecha_fin,
+    CAST(count(*) AS INTEGER) AS cantidad_mensajes, CAST(count(*) FILTER (role = 'user') AS INTEGER) AS mensajes_usuario,
+    CAST(count(*) FILTER (role = 'assistant') AS INTEGER) AS mensajes_bot,
+    list({{'role': role, 'content': content, 'timestamp': CAST(message_timestamp AS VARCHAR)}}
+         ORDER BY message_timestamp NULLS FIRST, role NULLS FIRST, content NULLS FIRST) AS said,
+    max(id_reclamo) AS id_reclamo, CAST(sum(pidio_datos) AS BIGINT) AS pidio_datos,
+    CAST(sum(ss_creacion_reclamo) AS BIGINT) AS solicitud_creacion_reclamo, max(genero_caso) AS genero_caso,
+    CAST(sum(error_reclamos) AS BIGINT) AS error_reclamos
+  FROM sent GROUP BY session_id, message_date
 ),
-day_index AS (
-  SELECT "Fecha" AS isn_fecha,
-    {_half_up(ISN_NUMERATOR, "count(*)", 2)} AS isn
-  FROM rated_surveys WHERE eval_ia BETWEEN 1 AND 7 GROUP BY "Fecha"
+days AS (
+  SELECT * EXCLUDE (said), CAST(to_json(said) AS VARCHAR) AS history,
+    CAST(to_json([x for x in said if x.role = 'user']) AS VARCHAR) AS si,
+    CAST(fecha_inicio AS VARCHAR) AS primer_timestamp, CAST(fecha_fin AS VARCHAR) AS ultimo_timestamp,
+    cantidad_mensajes / 2 AS turnos_conversacion,
+    if(mensajes_usuario = 1, 'Abandono', 'Conversacion') AS tipo_sesion,
+    date_diff('second', fecha_inicio, fecha_fin) AS duracion_segundos,
+    {_half_up("date_diff('second', fecha_inicio, fecha_fin)", "60", 2)} AS duracion_minutos,
+    CASE WHEN genero_caso > 0 THEN 'RECLAMO_CREADO' WHEN solicitud_creacion_reclamo > 0 THEN 'RECLAMO_INCONCLUSO'
+         WHEN pidio_datos > 0 THEN 'RECLAMO_EN_PROCESO' ELSE 'SIN_RECLAMO' END AS estado_reclamo,
+    CAST(count(*) OVER (PARTITION BY id ORDER BY fecha_fin, session_id, message_date ROWS UNBOUNDED PRECEDING) AS INTEGER) AS orden_conv
+  FROM per_day
 ),
-day_claims AS (
-  SELECT message_date, session_id, max(id_reclamo) AS id_reclamo,
-    CAST(sum(pidio_datos) AS BIGINT) AS pidio_datos,
-    CAST(sum(ss_creacion_reclamo) AS BIGINT) AS solicitud_creacion_reclamo,
-    max(genero_caso) AS genero_caso, CAST(sum(error_reclamos) AS BIGINT) AS error_reclamos,
-    CASE WHEN max(genero_caso) = 1 THEN 'RECLAMO_CREADO'
-         WHEN sum(ss_creacion_reclamo) > 0 AND max(genero_caso) = 0 THEN 'RECLAMO_INCONCLUSO'
-         WHEN sum(pidio_datos) > 0 AND max(genero_caso) = 0 THEN 'RECLAMO_EN_PROCESO'
-         ELSE 'SIN_RECLAMO' END AS estado_reclamo
-  FROM distinct_msgs GROUP BY message_date, session_id
+daily AS (
+  SELECT "Fecha" AS dia, {_half_up(ISN_NUMERATOR, "count(*)", 2)} AS isn
+  FROM answers WHERE eval_ia IN (1, 2, 3, 4, 5, 6, 7) GROUP BY 1
 ),
 dashboard AS (
-  SELECT c.session_id, c.id, c.message_date, c.expires_at, c.updated_at, c.history,
-    c.primer_timestamp, c.ultimo_timestamp, c.fecha_inicio, c.fecha_fin, c.cantidad_mensajes,
-    c.mensajes_usuario, c.mensajes_bot, c.turnos_conversacion, c.tipo_sesion, c.duracion_minutos,
-    c.duracion_segundos, c.orden_conv, e.orden_enc, e."Fecha" AS fecha_encuesta, e.eval_ia,
-    e.eval_acceso, e.resolucion, r.id_reclamo, r.pidio_datos, r.solicitud_creacion_reclamo,
-    r.genero_caso, r.error_reclamos, r.estado_reclamo, i.isn
-  FROM day_ordered c
-  LEFT JOIN day_index i ON c.message_date = i.isn_fecha
-  LEFT JOIN rated_surveys e ON c.id = e.id AND c.orden_conv = e.orden_enc
-  LEFT JOIN day_claims r ON c.session_id = r.session_id AND c.message_date = r.message_date
+  SELECT days.*, a.orden_enc, a."Fecha" AS fecha_encuesta, a.eval_ia, a.eval_acceso, a.resolucion,
+    (SELECT isn FROM daily WHERE dia = days.message_date) AS isn
+  FROM days LEFT JOIN numbered_answers a ON a.orden_enc = days.orden_conv AND a.id = days.id
 )"""
 
 
+DASHBOARD_COLUMNS = """session_id, id, message_date, expires_at, updated_at, history, primer_timestamp, ultimo_timestamp,
+  fecha_inicio, fecha_fin, cantidad_mensajes, mensajes_usuario, mensajes_bot, turnos_conversacion, tipo_sesion,
+  duracion_minutos, duracion_segundos, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion,
+  id_reclamo, pidio_datos, solicitud_creacion_reclamo, genero_caso, error_reclamos, estado_reclamo, isn"""
+STATUS = "id_reclamo, pidio_datos, solicitud_creacion_reclamo, genero_caso, error_reclamos, estado_reclamo"
+
+
 def _conv(select: str, days: int = DAYS) -> str:
     return _with(MESSAGES, SURVEYS, _conv_ctes(days)) + "\n" + select.strip()
 
@@ -263,16 +278,16 @@ def _conv(select: str, days: int = DAYS) -> str:
 MSG_FLAG_SELECT = f"""
 SELECT session_id, balancer_mongo_id, role, content, message_timestamp, conversation_expires_at,
   conversation_updated_at, CAST(message_timestamp AS DATE) AS message_date,
-  CASE WHEN regexp_matches(lower(content), '{_txt.ASKED_FOR_DATA}') THEN 1 ELSE 0 END AS pidio_datos,
-  CASE WHEN regexp_matches(lower(content), '{_txt.CLAIM_CREATION_REQUEST}') THEN 1 ELSE 0 END AS ss_creacion_reclamo,
-  CASE WHEN regexp_matches(content, '{_txt.CASE_ID}') THEN 1 ELSE 0 END AS genero_caso,
-  regexp_extract(content, '{_txt.CASE_ID_GROUP}', 1) AS id_reclamo,
-  CASE WHEN regexp_matches(lower(content), '{_txt.CLAIM_CREATION_ERROR}') THEN 1 ELSE 0 END AS error_reclamos
+  CAST({_hits(ASKED)} AS INTEGER) AS pidio_datos, CAST({_hits(REQUESTED)} AS INTEGER) AS ss_creacion_reclamo,
+  CAST({_hits(CASE, "content")} AS INTEGER) AS genero_caso,
+  CASE WHEN content IS NOT NULL THEN coalesce(regexp_extract_all(content, '{CASE}')[1], '') END AS id_reclamo,
+  CAST({_hits(FAILED)} AS INTEGER) AS error_reclamos
 FROM messages
 """
 
 SESSION_METRIC_COLUMNS = """session_id, message_date, primer_timestamp, ultimo_timestamp, fecha_inicio, fecha_fin,
   cantidad_mensajes, mensajes_usuario, mensajes_bot, turnos_conversacion, duracion_minutos, duracion_segundos"""
+SURVEY_COLUMNS = 'id, "Fecha", eval_ia, eval_acceso, resolucion, event_id'
 
 CONVERSATION_STATEMENTS = {
     "message_scan": _with(MESSAGES) + "\nSELECT * FROM messages",
@@ -280,30 +295,24 @@ CONVERSATION_STATEMENTS = {
     "lookback": _with(MESSAGES)
     + f"\nSELECT * FROM messages WHERE CAST(message_timestamp AS DATE) >= DATE '{AS_OF}' - {RECENT_DAYS}",
     "msg_flags": _with(MESSAGES) + MSG_FLAG_SELECT,
-    "case_id": _with(MESSAGES)
-    + f"\nSELECT session_id, message_timestamp, role, regexp_extract(content, '{_txt.CASE_ID_GROUP}', 1) AS id_reclamo FROM messages",
-    "msg_dedup": _conv("SELECT * FROM distinct_msgs"),
-    "survey_clean": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id FROM rated_surveys'),
-    "survey_order": _conv('SELECT id, "Fecha", eval_ia, eval_acceso, resolucion, event_id, orden_enc FROM rated_surveys'),
-    "satisfaction_daily": _conv('SELECT isn_fecha AS "Fecha", isn FROM day_index'),
-    "session_day": _conv("SELECT session_id, message_date, id, expires_at, updated_at FROM day_metrics"),
-    "session_history": _conv("SELECT session_id, message_date, history FROM day_metrics"),
-    "session_metrics": _conv(f"SELECT {SESSION_METRIC_COLUMNS} FROM day_ordered"),
-    "session_user_msgs": _conv("SELECT session_id, message_date, si FROM day_metrics"),
-    "session_type": _conv("SELECT session_id, message_date, mensajes_usuario, tipo_sesion FROM day_metrics"),
-    "session_order": _conv("SELECT session_id, message_date, id, fecha_fin, orden_conv FROM day_ordered"),
-    "claim_status": _conv("SELECT * FROM day_claims"),
-    "join_index": _conv(
-        "SELECT c.session_id, c.message_date, i.isn FROM day_ordered c LEFT JOIN day_index i ON c.message_date = i.isn_fecha"
-    ),
+    "case_id": f"SELECT session_id, message_timestamp, role, id_reclamo FROM ({_with(MESSAGES)}{MSG_FLAG_SELECT})",
+    "msg_dedup": _conv("SELECT * FROM sent"),
+    "survey_clean": _conv(f"SELECT {SURVEY_COLUMNS} FROM answers"),
+    "survey_order": _conv(f"SELECT {SURVEY_COLUMNS}, orden_enc FROM numbered_answers"),
+    "satisfaction_daily": _conv('SELECT dia AS "Fecha", isn FROM daily'),
+    "session_day": _conv("SELECT session_id, message_date, id, expires_at, updated_at FROM days"),
+    "session_history": _conv("SELECT session_id, message_date, history FROM days"),
+    "session_metrics": _conv(f"SELECT {SESSION_METRIC_COLUMNS} FROM days"),
+    "session_user_msgs": _conv("SELECT session_id, message_date, si FROM days"),
+    "session_type": _conv("SELECT session_id, message_date, mensajes_usuario, tipo_sesion FROM days"),
+    "session_order": _conv("SELECT session_id, message_date, id, fecha_fin, orden_conv FROM days"),
+    "claim_status": _conv(f"SELECT message_date, session_id, {STATUS} FROM days"),
+    "join_index": _conv("SELECT session_id, message_date, isn FROM dashboard"),
     "fifo_match": _conv(
-        'SELECT session_id, message_date, id, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion FROM dashboard'
+        "SELECT session_id, message_date, id, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion FROM dashboard"
     ),
-    "join_status": _conv(
-        "SELECT session_id, message_date, id_reclamo, pidio_datos, solicitud_creacion_reclamo, genero_caso, "
-        "error_reclamos, estado_reclamo FROM dashboard"
-    ),
-    "dashboard_base": _conv("SELECT * FROM dashboard"),
+    "join_status": _conv(f"SELECT session_id, message_date, {STATUS} FROM dashboard"),
+    "dashboard_base": _conv(f"SELECT {DASHBOARD_COLUMNS} FROM dashboard"),
     "dashboard_recent": _conv(
         "SELECT session_id, id, message_date, history, fecha_inicio, fecha_fin, cantidad_mensajes, mensajes_usuario, "
         f"mensajes_bot, tipo_sesion, duracion_minutos, isn FROM dashboard WHERE message_date >= DATE '{AS_OF}' - {RECENT_DAYS}"
@@ -313,8 +322,6 @@ CONVERSATION_STATEMENTS = {
 
 # --- claim steps, table operations, sources and sinks ---------------------------
 
-EVENT_TS = """CASE WHEN created_at IS NOT NULL THEN try_cast(created_at AS TIMESTAMP)
-                 WHEN fecha_escaneo IS NOT NULL THEN try_cast(fecha_escaneo AS TIMESTAMP) END"""
 USER_KEEP = " AND ".join(
     f"NOT coalesce({c} IN ('u3', 'u7'), false)" for c in ('"user"', "usuario", "username", "user_id")
 )
@@ -367,8 +374,19 @@ STEP_STATEMENTS = {
     "with_load_ts": _two_loads("SELECT * FROM cur_load"),
     "table_merge": _two_loads(MERGED),
     "table_append": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
-    "table_compact": _two_loads(MERGED),
+    "table_compact": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_overwrite": _two_loads("SELECT * FROM cur_load"),
+    "table_create": _two_loads("SELECT * FROM cur_load"),
+    "table_overwrite_partitioned": _claims(
+        """SELECT 'alto' AS tabla, "OT", CASE WHEN "Valor_Declarado_CLP" > 0 THEN CAST("Valor_Declarado_CLP" > 150000 AS VARCHAR) END AS parte
+           FROM claim_detail
+           UNION ALL
+           SELECT 'dia', "OT", CASE WHEN day("Fecha_Creacion") > 15 THEN strftime("Fecha_Creacion", '%Y-%m-01') END FROM claim_detail"""
+    ),
+    "table_job": f"SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS fecha_carga FROM ({CLAIM_SUMMARY})",
+    "python_source": f"SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS fecha_carga FROM ({CLAIM_TOP})",
+    "normalize_source": CLAIM_TOP,
+    "table_sample": _claims("SELECT least(10, count(*)) AS n_rows, least(10, count(*)) AS n_in_table FROM claim_detail"),
     "csv_sink": _claims("SELECT * FROM claim_detail"),
     "parquet_sink": _claims("SELECT * FROM claim_detail"),
     "parquet_export": CLAIM_SUMMARY,

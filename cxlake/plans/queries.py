@@ -3,28 +3,30 @@
 Every query reads the driver's tables (through the derivations in
 ``cxlake.sources.fixtures``) over their whole extent; parameters that the
 product takes (exclusion lists, lookback end and length) are fixed here to
-the fixture values. The sink queries (CSV, parquet, export, table overwrite,
-compaction) write their result under the session's ``spark.checkpoint.dir``
-when called and return the DataFrame that reads it back.
+the fixture values. The sink and table queries write their result when called
+(files under ``spark.checkpoint.dir``, tables in the catalog), read it back into
+a checkpoint, and remove what they wrote.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cxlake.operators import claims, dashboard, merge, messages, sessions, surveys
-from cxlake.plans.catalog import DETAIL_KEY
-from cxlake.plans.job import with_load_ts
+from cxlake.operators import claims, dashboard, messages, sessions, surveys
+from cxlake.plans.catalog import default_table_defs
+from cxlake.plans.job import Inputs, build, builtin_builders, run_table_job, with_load_ts
 from cxlake.plans.tabledef import TableDef
-from cxlake.session import checkpoint_dir, ensure_session_defaults
+from cxlake.session import ensure_session_defaults, remove_path, staging_path, use_checkpoint_dir
 from cxlake.sinks import files
 from cxlake.sinks.tables import TableStore
 from cxlake.sources import fixtures as fx
 from cxlake.sources import scans
+from cxlake.sources.normalize import normalize_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,26 +138,101 @@ def q_with_load_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loads(spark, sf_dir)[1]
 
 
+def _own_def(what: str, **changes) -> TableDef:
+    """A built-in definition (or the detail's) under a name of its own."""
+    return replace(default_table_defs()[what], name=f"cx_{what}_{uuid.uuid4().hex[:12]}", **changes)
+
+
+def _read_and_drop(spark: SparkSession, store: TableStore, *tdefs: TableDef, df: DataFrame | None = None) -> DataFrame:
+    """What a query returns of the tables it made (the first one unless ``df`` is given); then they go."""
+    use_checkpoint_dir(spark)
+    out = (df if df is not None else spark.table(tdefs[0].full_name)).checkpoint()
+    for t in tdefs:
+        store.drop(t)
+    return out
+
+
 def q_table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product's own upsert: the current load merged into the stored detail table (partitioned by month)."""
+    store, tdef = TableStore(spark), _own_def("claim_detail")
     prev, cur = _loads(spark, sf_dir)
-    return merge.merge_frames(prev, cur, DETAIL_KEY)
+    store.save(prev, tdef)
+    store.save(cur, tdef)
+    return _read_and_drop(spark, store, tdef)
 
 
 def q_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, tdef = TableStore(spark), _own_def("claim_detail", mode="append")
     prev, cur = _loads(spark, sf_dir)
-    return merge.append_frames(prev, cur)
+    store.save(prev, tdef)
+    store.save(cur, tdef)
+    return _read_and_drop(spark, store, tdef)
 
 
 def q_table_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the merged table, written, then rewritten into one file by the store's
-    # compaction (same rows); read back from the compacted version
-    store = TableStore(spark, root=_export_dir(spark, "compact"))
-    tdef = TableDef(
-        name=f"cx_merged_{uuid.uuid4().hex[:12]}", origin="python", python_source="claim_detail", mode="overwrite"
+    """Two appended loads, rewritten by the store's compaction (same rows, files of the scan's split size)."""
+    store, tdef = TableStore(spark), _own_def("claim_detail", mode="append", partition_by=None)
+    for load in _loads(spark, sf_dir):
+        store.save(load, tdef)
+    store.compact(tdef)
+    return _read_and_drop(spark, store, tdef)
+
+
+def q_table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Created from a DDL file, then appended to."""
+    store = TableStore(spark)
+    tdef = _own_def("claim_detail", mode="append", ddl_path="claim_detail.ddl.sql", schema_ddl=None)
+    store.create(tdef)
+    store.save(_loads(spark, sf_dir)[1], tdef)
+    return _read_and_drop(spark, store, tdef)
+
+
+def q_table_overwrite_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables partitioned by a boolean and by a date, both with NULLs, saved twice: no row is lost."""
+    store, detail = TableStore(spark), _detail(spark, sf_dir)
+    value, day = F.col("Valor_Declarado_CLP"), F.to_date("Fecha_Creacion")
+    frames = {
+        "alto": detail.select("OT", F.when(value > 0, value > 150000).alias("parte")),
+        "dia": detail.select("OT", F.when(F.dayofmonth(day) > 15, F.trunc(day, "month")).alias("parte")),
+    }
+    tdefs, parts = [], []
+    for name, frame in frames.items():
+        tdef = TableDef(f"cx_{name}_{uuid.uuid4().hex[:12]}", "python", python_source=name, partition_by="parte")
+        for _ in range(2):
+            store.save(frame, tdef)
+        tdefs.append(tdef)
+        parts.append(spark.table(tdef.full_name).select(F.lit(name).alias("tabla"), "OT", F.col("parte").cast("string").alias("parte")))
+    return _read_and_drop(spark, store, *tdefs, df=parts[0].unionByName(parts[1]))
+
+
+def _job_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    return Inputs(
+        usage_logs=lambda s: _logs(s, sf_dir),
+        messages=lambda s: fx.messages(s, sf_dir),
+        surveys=lambda s: fx.surveys(s, sf_dir),
+        excluded_users=fx.FIXTURE_EXCLUDED_USERS,
+        log_tie_breaker="log_id",
+        survey_tie_breaker="event_id",
+        as_of=AS_OF,
     )
-    store.save(q_table_merge(spark, sf_dir), tdef)
-    store.compact(tdef, num_files=1)
-    return spark.table(tdef.full_name)
+
+
+def q_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole table job: definition -> builder -> load stamp -> save."""
+    store, tdef = TableStore(spark), _own_def("claim_summary")
+    run_table_job(spark, tdef, builtin_builders(_job_inputs(spark, sf_dir)), store, load_ts=CURRENT_LOAD_TS)
+    return _read_and_drop(spark, store, tdef)
+
+
+def q_python_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered builder that a definition names, with the load stamp (not saved)."""
+    builders = builtin_builders(_job_inputs(spark, sf_dir))
+    return build(spark, default_table_defs()["claim_top"], builders, load_ts=CURRENT_LOAD_TS)
+
+
+def q_normalize_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A builder that returns pandas (the small class ranking), normalised to a Spark DataFrame."""
+    return normalize_result(spark, claims.claim_top(_detail(spark, sf_dir)).toPandas())
 
 
 # --- sources and sinks -----------------------------------------------------------
@@ -181,8 +258,11 @@ def q_sql_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any ten rows: how many there are, and how many of them the table has."""
     _detail(spark, sf_dir).createOrReplaceTempView(DETAIL_VIEW)
-    return scans.table_sample(spark, DETAIL_VIEW)
+    sample = scans.table_sample(spark, DETAIL_VIEW)
+    rows, found = (f.agg(F.count(F.lit(1)).alias(c)) for f, c in ((sample, "n_rows"), (sample.intersect(spark.table(DETAIL_VIEW)), "n_in_table")))
+    return rows.crossJoin(found)  # one row each
 
 
 def q_clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,40 +275,40 @@ def q_json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Sinks are checked by writing the whole result to a fresh folder under the
-# session's shared checkpoint dir and reading it back (the write runs when the
-# query is built; the returned DataFrame reads the written files).
+# session's shared checkpoint dir and reading it back.
 
 
-def _export_dir(spark: SparkSession, what: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/cxlake-exports/{what}-{uuid.uuid4().hex[:12]}"
+def _read_and_remove(spark: SparkSession, path: str, reader) -> DataFrame:
+    use_checkpoint_dir(spark)
+    out = reader(path).checkpoint()
+    remove_path(spark, path)
+    return out
 
 
 def q_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = _detail(spark, sf_dir)
-    path = _export_dir(spark, "csv")
+    path = staging_path(spark, "csv")
     files.write_csv(detail, path)
-    return spark.read.schema(detail.schema).option("sep", files.CSV_SEPARATOR).option("header", True).csv(path)
+    reader = spark.read.schema(detail.schema).option("sep", files.CSV_SEPARATOR).option("header", True)
+    return _read_and_remove(spark, path, reader.csv)
 
 
 def q_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _export_dir(spark, "parquet")
+    path = staging_path(spark, "parquet")
     files.write_parquet(_detail(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return _read_and_remove(spark, path, spark.read.parquet)
 
 
 def q_parquet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _export_dir(spark, "export")
+    path = staging_path(spark, "export")
     files.export_parquet(claims.claim_summary(_detail(spark, sf_dir)), path, single_file=True)
-    return spark.read.parquet(path)
+    return _read_and_remove(spark, path, spark.read.parquet)
 
 
 def q_table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = TableStore(spark, root=_export_dir(spark, "tables"))
-    tdef = TableDef(
-        name=f"cx_detail_{uuid.uuid4().hex[:12]}", origin="python", python_source="claim_detail", mode="overwrite"
-    )
+    store, tdef = TableStore(spark), _own_def("claim_detail", mode="overwrite", partition_by=None)
     store.save(with_load_ts(_detail(spark, sf_dir), CURRENT_LOAD_TS), tdef)
-    return spark.table(tdef.full_name)
+    return _read_and_drop(spark, store, tdef)
 
 
 # --- conversation pipeline ------------------------------------------------------
@@ -266,11 +346,9 @@ def _clean_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surveys.clean_surveys(fx.surveys(spark, sf_dir), AS_OF, DAYS)
 
 
-def _dashboard(spark: SparkSession, sf_dir: str, include_history: bool = True) -> DataFrame:
+def _dashboard(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     ensure_session_defaults(spark)
-    return dashboard.dashboard_base(
-        fx.messages(spark, sf_dir), fx.surveys(spark, sf_dir), AS_OF, DAYS, include_history=include_history
-    )
+    return dashboard.dashboard_base(fx.messages(spark, sf_dir), fx.surveys(spark, sf_dir), AS_OF, DAYS, **options)
 
 
 def q_message_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,8 +437,8 @@ def q_join_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = _dated(spark, sf_dir)
-    ends = sessions.session_ends(dated)
+    metrics = sessions.session_metrics(_dated(spark, sf_dir), keep_join_key=True)
+    ends = metrics.select(*sessions.JOIN_KEY, "session_id", "id", "fecha_fin")
     pairs = dashboard.fifo_pairs(ends, _clean_surveys(spark, sf_dir))
     return ends.join(pairs, on=list(sessions.JOIN_KEY)).select(
         "session_id",
@@ -376,7 +454,7 @@ def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_join_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dashboard(spark, sf_dir, include_history=False).select(
+    return _dashboard(spark, sf_dir, include_history=False, include_fifo=False).select(
         "session_id", "message_date", *sessions.STATUS_COLUMNS
     )
 
@@ -385,9 +463,25 @@ def q_dashboard_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_json(_dashboard(spark, sf_dir), "history")
 
 
+def stored_dashboard(spark: SparkSession, sf_dir: str, store: TableStore) -> TableDef:
+    """The dashboard base as its table job stores it (every day of the messages)."""
+    tdef = _own_def("dashboard_base", lookback_days=DAYS)
+    run_table_job(spark, tdef, builtin_builders(_job_inputs(spark, sf_dir)), store, load_ts=CURRENT_LOAD_TS)
+    return tdef
+
+
+def recent_of(spark: SparkSession, tdef: TableDef) -> DataFrame:
+    """The recent-dashboard definition over a stored base: its SQL file with its parameters."""
+    recent = default_table_defs()["dashboard_recent"]
+    params = {"source_table": tdef.full_name, "as_of": AS_OF, "dias": RECENT_DAYS}
+    return _as_json(scans.sql_file_source(spark, recent.query_sql_path, **params), "history")
+
+
 def q_dashboard_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = dashboard.dashboard_recent(_dashboard(spark, sf_dir), AS_OF, RECENT_DAYS)
-    return _as_json(recent, "history")
+    ensure_session_defaults(spark)
+    store = TableStore(spark)
+    base = stored_dashboard(spark, sf_dir, store)
+    return _read_and_drop(spark, store, base, df=recent_of(spark, base))
 
 
 def registry() -> dict[str, Query]:
@@ -420,6 +514,11 @@ def registry() -> dict[str, Query]:
         "parquet_sink": q_parquet_sink,
         "parquet_export": q_parquet_export,
         "table_overwrite": q_table_overwrite,
+        "table_overwrite_partitioned": q_table_overwrite_partitioned,
+        "table_create": q_table_create,
+        "table_job": q_table_job,
+        "python_source": q_python_source,
+        "normalize_source": q_normalize_source,
         "message_scan": q_message_scan,
         "survey_scan": q_survey_scan,
         "lookback": q_lookback,

@@ -6,7 +6,7 @@ import json
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 
-SAVE_MODES = ("overwrite", "append", "merge")
+SAVE_MODES = ("overwrite", "overwrite_partitions", "append", "merge")
 ORIGINS = ("python", "sql")
 
 
@@ -14,14 +14,12 @@ ORIGINS = ("python", "sql")
 class TableDef:
     """One output table.
 
-    ``partition_by`` is a column name used when writing; the source product's
-    single field mixed a DDL clause with a column name, so the clause text
-    (meaningful only to table formats that accept it) lives in
-    ``layout_clause`` instead. ``cluster_by`` sorts rows inside each written
-    file, so parquet row-group statistics are tight on those columns and
-    filters on them skip data (a file-level analogue of table clustering).
-    ``lookback_days`` is passed to SQL-origin queries as the named parameter
-    ``:dias``.
+    ``mode`` ``overwrite_partitions`` replaces the partitions that the result
+    has and keeps the others. ``partition_by`` is a column name.
+    ``cluster_by`` sorts rows inside each written file, so parquet row-group
+    statistics are tight on those columns. ``ddl_path`` is a file with the
+    table's CREATE statement (see ``TableStore.create``). ``params`` are named
+    parameters of a SQL-origin query; ``lookback_days`` adds ``:dias``.
     """
 
     name: str
@@ -35,7 +33,8 @@ class TableDef:
     schema_ddl: str | None = None
     partition_by: str | None = None
     cluster_by: tuple[str, ...] = ()
-    layout_clause: str | None = None
+    ddl_path: str | None = None
+    params: dict = field(default_factory=dict)
     lookback_days: int | None = None
     description: str = ""
     fail_if_empty: bool = True
@@ -48,6 +47,8 @@ class TableDef:
             raise ValueError(f"mode {self.mode!r} not supported (use one of {SAVE_MODES})")
         if self.mode.lower() == "merge" and not self.primary_key:
             raise ValueError(f"table {self.name!r}: merge mode needs a primary key")
+        if self.mode.lower() == "overwrite_partitions" and not self.partition_by:
+            raise ValueError(f"table {self.name!r}: overwrite_partitions needs a partition column")
         if self.origin == "python" and not self.python_source:
             raise ValueError(f"table {self.name!r}: python origin needs python_source")
         if self.origin == "sql" and not self.query_sql_path:

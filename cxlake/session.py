@@ -8,6 +8,8 @@ command-line use.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,17 +18,19 @@ from pyspark.sql import SparkSession
 SESSION_TIME_ZONE = "UTC"
 
 
-def cluster_conf(shuffle_bytes: int | None = None, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(
+    shuffle_bytes: int = 0, target_partition_bytes: int = 256 << 20, max_partitions: int | None = None
+) -> dict[str, str]:
     """Settings for large inputs (pass to ``spark-submit --conf``).
 
     ``shuffle.partitions`` is an upper bound sized from the expected largest
     shuffle (AQE coalesces down from it at run time, it cannot split up), so
     every reduce task stays near ``target_partition_bytes`` and fits in
-    executor memory without heavy spilling. It is capped at 100,000: beyond
-    that the driver's map-output bookkeeping grows faster than the benefit
-    (a 100 TB shuffle then gets ~1 GB reduce tasks; AQE still splits skew).
-    """
-    partitions = min(100_000, max(200, (shuffle_bytes or 0) // target_partition_bytes))
+    executor memory without heavy spilling. ``max_partitions`` bounds it where
+    the driver's map-output bookkeeping asks for that."""
+    partitions = max(200, shuffle_bytes // target_partition_bytes)
+    if max_partitions is not None:
+        partitions = min(partitions, max_partitions)
     return {
         "spark.sql.session.timeZone": SESSION_TIME_ZONE,
         "spark.sql.adaptive.enabled": "true",
@@ -48,20 +52,33 @@ def ensure_session_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staged table versions.
+def use_checkpoint_dir(spark: SparkSession) -> str:
+    """Shared folder for lineage cuts and staged results, set as the session's checkpoint folder.
 
-    Read from the session (``spark.checkpoint.dir``); on a cluster this is
-    shared storage. Falls back to the SparkContext checkpoint dir, then to the
-    warehouse dir, so local tests work without extra setup.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir
-    return spark.conf.get("spark.sql.warehouse.dir")
+    Read from the session (``spark.checkpoint.dir``, or a checkpoint folder that
+    was set already). Only a local master may do without: it gets a fresh local
+    folder. On a cluster a missing folder is an error, since executors do not
+    share local disks."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="cxlake-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def staging_path(spark: SparkSession, what: str) -> str:
+    """A fresh path under the shared checkpoint folder."""
+    return f"{use_checkpoint_dir(spark).rstrip('/')}/cxlake-{what}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged path through the file system that holds it."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def get_or_create_session(
@@ -92,6 +109,5 @@ def get_or_create_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    use_checkpoint_dir(spark)
     return ensure_session_defaults(spark)

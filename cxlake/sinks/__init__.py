@@ -1 +1 @@
-"""Outputs: versioned catalog tables (overwrite/append/merge/create/compact/vacuum) and files."""
+"""Outputs: catalog tables (create, overwrite, append, merge, compact) and files."""

@@ -56,13 +56,14 @@ def write_parquet(
 
 
 def export_parquet(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
-    """Export a query result. Many files by default; ``single_file`` funnels
-    the result through one task, so use it only for results of known small
-    size."""
-    (df.coalesce(1) if single_file else df).write.mode(mode).parquet(path)
+    """Export a query result. Many files by default; with ``single_file`` the
+    result is computed at full width and then written by one task, so use it
+    only for results of known small size."""
+    (df.repartition(1) if single_file else df).write.mode(mode).parquet(path)
 
 
 def _json_safe(col: Column, dtype: T.DataType) -> Column:
+    """A value as JSON can hold it, also inside arrays, structs and maps."""
     if isinstance(dtype, T.DecimalType):
         return col.cast(T.DoubleType())
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -70,12 +71,24 @@ def _json_safe(col: Column, dtype: T.DataType) -> Column:
         return F.when(whole, F.date_format(col, ISO_SECONDS)).otherwise(F.date_format(col, ISO_MICROS))
     if isinstance(dtype, T.DateType):
         return F.date_format(col, ISO_DATE)
-    return col
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda x: _json_safe(x, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = F.struct(*[_json_safe(col[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+        return F.when(col.isNotNull(), fields)
+    if isinstance(dtype, T.MapType):
+        values = F.transform_values(col, lambda k, v: _json_safe(v, dtype.valueType))
+        return F.transform_keys(values, lambda k, v: k.cast(T.StringType()))
+    if isinstance(dtype, T.BinaryType):
+        return F.base64(col)
+    if isinstance(dtype, (T.NumericType, T.BooleanType, T.StringType, T.VariantType)):
+        return col
+    return col.cast(T.StringType())
 
 
 def json_rows(df: DataFrame) -> DataFrame:
-    """One JSON text per row: dates/timestamps as ISO text, decimals as
-    numbers (double), NULL fields kept as ``null``."""
+    """One JSON text per row: dates/timestamps as ISO text, decimals as numbers
+    (double), binary as base64, other types as text, NULL fields kept as ``null``."""
     fields = [_json_safe(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]
     return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json"))
 

@@ -1,27 +1,26 @@
 """Catalog tables: create, overwrite, append, merge, compact.
 
-Plain parquet tables cannot be updated in place, and overwriting a table
-while the same job reads it would destroy the input. Every rewrite therefore
-writes a complete new *version directory* and then points the catalog table
-at it (``ALTER TABLE ... SET LOCATION``), a single metastore call:
-
-* a failed or killed job leaves the table on its previous version (output
-  files only appear under the new directory when the job commits);
-* readers that already listed the old version keep reading it;
-* a retried job writes a fresh directory, so it is safe to re-run.
-
-Appends add files to the current version (``insertInto``), which is atomic
-per job commit. When the Delta Lake package is importable and the store is
-created with ``table_format="delta"``, the same calls map to Delta's own
-overwrite / append / MERGE / OPTIMIZE (that branch needs the Delta jars and
-is not exercised by this repository's tests).
+Spark owns the tables, their files and their partitions (managed parquet
+tables, or the provider that ``provider`` names). A save has two steps:
+
+1. the result is *staged*: written once, as Parquet, to the shared folder. This
+   is the only action that runs the source plan; it counts the rows, checks an
+   empty result, and cuts the lineage, so a table may be rewritten from itself;
+2. the staged rows are *published* with ``insertInto``: all of the table
+   (overwrite), some of its partitions (dynamic partition overwrite), or added
+   to it (append).
+
+A failed step 1 leaves the table as it was. Step 2 is Spark's own overwrite of a
+file table: it copies staged files and is not atomic for readers of the same
+partitions; a job that fails there is repaired by running it again. A table
+that another job has published to between the two steps is not overwritten
+(``ConcurrentSaveError``): every publish raises the table property
+``cxlake.version``, which is read before staging and again before publishing.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
-from urllib.parse import unquote
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,22 +29,28 @@ from pyspark.sql import types as T
 
 from cxlake.operators.merge import ACTION_COPIED, ACTION_INSERTED, ACTION_UPDATED, merge_frames
 from cxlake.plans.tabledef import TableDef
-from cxlake.session import checkpoint_dir
+from cxlake.session import remove_path, staging_path
+from cxlake.sources.scans import read_sql_text
 
 _ACTION = "_merge_action"
+VERSION = "cxlake.version"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class EmptyResultError(ValueError):
     """The DataFrame to save had no rows and the table forbids that."""
 
 
+class ConcurrentSaveError(RuntimeError):
+    """Another job published to the table after this one read it."""
+
+
 @dataclass(frozen=True)
 class SaveResult:
     table: str
     mode: str
     rows_written: int
     source_rows: int
-    location: str | None = None
     inserted: int | None = None
     updated: int | None = None
     copied: int | None = None
@@ -55,302 +60,161 @@ def _quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def _sql_text(value: str) -> str:
-    return value.replace("\\", "\\\\").replace("'", "\\'")
-
-
-# Characters that Spark escapes (as %XX) in partition directory names.
-_PATH_ESCAPES = set('"#%\'*/:=?\\\x7f{[]^')
-
-
-def escape_path_name(value: str) -> str:
-    """Directory-name form of a partition value, as Spark writes it."""
-    return "".join(f"%{ord(c):02X}" if c in _PATH_ESCAPES or ord(c) < 0x20 else c for c in value)
-
-
 class TableStore:
     """Saves DataFrames into catalog tables according to a ``TableDef``."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, table_format: str = "parquet"):
+    def __init__(self, spark: SparkSession, provider: str = "parquet"):
         self.spark = spark
-        self.root = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-        self.table_format = table_format
-        if table_format == "delta":
-            try:
-                import delta  # noqa: F401
-            except ImportError as exc:  # pragma: no cover - not installed here
-                raise RuntimeError("table_format='delta' needs the delta-spark package") from exc
+        self.provider = provider
 
     # -- catalog --------------------------------------------------------------
 
     def exists(self, tdef: TableDef) -> bool:
         return self.spark.catalog.tableExists(tdef.full_name)
 
-    def _table_root(self, tdef: TableDef) -> str:
-        parts = [p for p in (tdef.catalog, tdef.database) if p] or ["default"]
-        return f"{self.root}/{'.'.join(parts)}/{tdef.name}"
-
-    def _new_version(self, tdef: TableDef) -> str:
-        return f"{self._table_root(tdef)}/v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-
-    def _point_table_at(
-        self, tdef: TableDef, path: str, schema: T.StructType, written: list | None = None, full: bool = True
-    ) -> None:
-        """Make the table read the version at ``path``.
-
-        Unpartitioned: one ``SET LOCATION``. Partitioned: each written
-        partition is pointed at its directory in the new version; with
-        ``full`` the table location moves too and partitions that were not
-        written are dropped from the catalog (their files stay in the old
-        version for readers that already listed them).
-        """
-        name = _quote(tdef.full_name)
-        if not self.exists(tdef):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            part = f" PARTITIONED BY (`{tdef.partition_by}`)" if tdef.partition_by else ""
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part} LOCATION '{path}'")
-            if tdef.partition_by:
-                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        elif not tdef.partition_by:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        else:
-            if full:
-                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            self._sync_partitions(tdef, path, written or [], drop_others=full)
-        self.spark.catalog.refreshTable(tdef.full_name)
-
-    def _partitions(self, tdef: TableDef) -> set[str]:
-        """Partition values registered in the catalog (metadata only)."""
-        rows = self.spark.sql(f"SHOW PARTITIONS {_quote(tdef.full_name)}").collect()
-        return {unquote(r[0].split("=", 1)[1]) for r in rows}
-
-    def _sync_partitions(self, tdef: TableDef, path: str, written: list, drop_others: bool) -> None:
-        name, col = _quote(tdef.full_name), tdef.partition_by
-        if any(v is None for v in written):
-            # NULL partition values: let Spark discover the directories
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-            written = [v for v in written if v is not None]
-        existing = self._partitions(tdef)
-        values = {str(v) for v in written}
-        for v in sorted(values):
-            spec = f"PARTITION (`{col}` = '{_sql_text(v)}')"
-            loc = f"{path}/{col}={escape_path_name(v)}"
-            if v in existing:
-                self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{loc}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {name} ADD {spec} LOCATION '{loc}'")
-        if drop_others:
-            for v in sorted(existing - values):
-                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{col}` = '{_sql_text(v)}')")
-
     def create(self, tdef: TableDef, schema: T.StructType | str | None = None) -> None:
-        """Create the table (empty) if it does not exist yet."""
+        """Create the table (empty) if it does not exist yet.
+
+        From the definition's DDL file if it has one, else from ``schema`` or
+        the definition's schema text. A DDL file is SQL with the markers
+        ``{full_name}``, ``{primary_key}`` and ``{partition_by}``."""
         if self.exists(tdef):
             return
+        if tdef.ddl_path:
+            text = read_sql_text(tdef.ddl_path)
+            marks = {
+                "full_name": _quote(tdef.full_name),
+                "primary_key": ", ".join(f"`{k}`" for k in tdef.primary_key),
+                "partition_by": f"PARTITIONED BY (`{tdef.partition_by}`)" if tdef.partition_by else "",
+            }
+            for mark, value in marks.items():
+                text = text.replace("{" + mark + "}", value)
+            self.spark.sql(text)
+            return
         schema = schema or tdef.schema_ddl
         if schema is None:
             raise ValueError(f"table {tdef.name!r}: no schema to create it from")
-        empty = self.spark.createDataFrame([], schema)  # a StructType or a DDL string
-        if self.table_format == "delta":  # pragma: no cover
-            writer = empty.write.format("delta")
-            if tdef.partition_by:
-                writer = writer.partitionBy(tdef.partition_by)
-            writer.saveAsTable(tdef.full_name)
-            return
-        path = self._new_version(tdef)
-        empty.write.mode("errorifexists").parquet(path)
-        self._point_table_at(tdef, path, empty.schema)
+        fields = self.spark.createDataFrame([], schema).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        partitioned = f" PARTITIONED BY (`{tdef.partition_by}`)" if tdef.partition_by else ""
+        self.spark.sql(f"CREATE TABLE {_quote(tdef.full_name)} ({columns}) USING {self.provider}{partitioned}")
+
+    def drop(self, tdef: TableDef) -> None:
+        """Drop the table with its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {_quote(tdef.full_name)}")
+
+    def _version(self, tdef: TableDef) -> int:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {_quote(tdef.full_name)}").where(F.col("key") == VERSION).collect()
+        return int(rows[0]["value"]) if rows else 0
+
+    # -- staging and publishing ---------------------------------------------------
+
+    def _stage(self, df: DataFrame, tdef: TableDef, metrics: dict, counted: str) -> tuple[str, dict]:
+        """Write ``df`` once to the shared folder; its metrics come from the same action."""
+        path = staging_path(self.spark, "stage")
+        seen = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+        observed = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
+        observed.drop(_ACTION).write.parquet(path)
+        found = seen.get
+        if tdef.fail_if_empty and not found.get(counted):
+            remove_path(self.spark, path)
+            raise EmptyResultError(f"table {tdef.full_name}: the result has no rows; table left unchanged")
+        return path, found
+
+    def _publish(self, path: str, tdef: TableDef, version: int, how: str) -> None:
+        """Move staged rows into the table; ``how``: all, partitions or append."""
+        name = _quote(tdef.full_name)
+        if self._version(tdef) != version:
+            remove_path(self.spark, path)
+            raise ConcurrentSaveError(f"table {tdef.full_name} has changed since it was read")
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{version + 1}')")
+        # positional insert: in the order of the table, which has the partition column last
+        rows = self.spark.read.parquet(path).select(*self.spark.table(tdef.full_name).columns)
+        if tdef.partition_by:
+            # rows of a partition meet in few tasks and make few files; AQE
+            # splits a partition that holds much of the table
+            rows = rows.hint("rebalance", tdef.partition_by)
+        if tdef.cluster_by:
+            # sorted inside each file: tight row-group statistics
+            rows = rows.sortWithinPartitions(*tdef.cluster_by)
+        # insertInto heeds the session's mode only; it is put back right after
+        before = self.spark.conf.get(OVERWRITE_MODE)
+        self.spark.conf.set(OVERWRITE_MODE, "dynamic" if how == "partitions" else "static")
+        try:
+            rows.write.insertInto(tdef.full_name, overwrite=how != "append")
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, before)
+        self.spark.catalog.refreshTable(tdef.full_name)
+        remove_path(self.spark, path)
 
     # -- save -----------------------------------------------------------------
 
     def save(self, df: DataFrame, tdef: TableDef) -> SaveResult:
         mode = tdef.save_mode
-        if mode == "overwrite":
-            return self.overwrite(df, tdef)
-        if mode == "append":
-            return self.append(df, tdef)
         if mode == "merge":
             return self.merge(df, tdef)
-        raise ValueError(f"mode {tdef.mode!r} not supported")
-
-    def _publish(
-        self, df: DataFrame, tdef: TableDef, obs: Observation, counted: str, full: bool = True
-    ) -> tuple[str, dict]:
-        """Write ``df`` as a new version; swap only when the row check passes.
-
-        ``obs`` must observe ``counted`` and, for partitioned tables,
-        ``parts`` (the set of partition values written).
-        """
-        path = self._new_version(tdef)
-        if tdef.partition_by:
-            # REBALANCE on the partition column: rows of one value meet in one
-            # task, so each task writes a few large files instead of every
-            # task writing one small file per value. AQE sizes the tasks at
-            # run time: a value holding a third of the rows is split over
-            # many tasks, small values are coalesced (no sampling pass).
-            df = df.hint("rebalance", tdef.partition_by)
-        if tdef.cluster_by:
-            # sorted inside each file: tight row-group statistics (after the
-            # shuffle above, so the order survives to the writer)
-            df = df.sortWithinPartitions(*tdef.cluster_by)
-        writer = df.write.mode("errorifexists")
-        if tdef.partition_by:
-            writer = writer.partitionBy(tdef.partition_by)
-        writer.parquet(path)
-        metrics = obs.get
-        if tdef.fail_if_empty and not metrics.get(counted):
-            raise EmptyResultError(f"table {tdef.full_name}: the result has no rows; table left unchanged")
-        self._point_table_at(tdef, path, df.schema, written=list(metrics.get("parts") or []), full=full)
-        return path, metrics
-
-    @staticmethod
-    def _part_metrics(tdef: TableDef) -> list:
-        # the written partition values: one per value, bounded by the table's
-        # partition count (e.g. months), gathered in the same job
-        return [F.collect_set(tdef.partition_by).alias("parts")] if tdef.partition_by else []
+        how = {"overwrite": "all", "overwrite_partitions": "partitions", "append": "append"}[mode]
+        self.create(tdef, tdef.schema_ddl or df.schema)
+        version = self._version(tdef)
+        path, m = self._stage(df, tdef, {"rows": F.count(F.lit(1))}, "rows")
+        self._publish(path, tdef, version, how)
+        return SaveResult(tdef.full_name, mode, m["rows"], m["rows"])
 
     def overwrite(self, df: DataFrame, tdef: TableDef) -> SaveResult:
-        if self.table_format == "delta":  # pragma: no cover
-            writer = df.write.format("delta").mode("overwrite")
-            if tdef.partition_by:
-                writer = writer.partitionBy(tdef.partition_by)
-            writer.saveAsTable(tdef.full_name)
-            return SaveResult(tdef.full_name, "overwrite", -1, -1)
-        obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *self._part_metrics(tdef))
-        path, m = self._publish(observed, tdef, obs, "rows")
-        return SaveResult(tdef.full_name, "overwrite", m["rows"], m["rows"], path)
+        return self.save(df, replace(tdef, mode="overwrite"))
 
     def append(self, df: DataFrame, tdef: TableDef) -> SaveResult:
-        if not self.exists(tdef):
-            result = self.overwrite(df, tdef)
-            return SaveResult(tdef.full_name, "append", result.rows_written, result.source_rows, result.location)
-        if self.table_format == "delta":  # pragma: no cover
-            df.write.format("delta").mode("append").saveAsTable(tdef.full_name)
-            return SaveResult(tdef.full_name, "append", -1, -1)
-        if tdef.fail_if_empty and df.isEmpty():
-            raise EmptyResultError(f"table {tdef.full_name}: the result has no rows; table left unchanged")
-        columns = self.spark.table(tdef.full_name).columns
-        obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
-        df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(tdef.full_name)
-        self.spark.catalog.refreshTable(tdef.full_name)
-        n = obs.get["rows"]
-        return SaveResult(tdef.full_name, "append", n, n)
+        return self.save(df, replace(tdef, mode="append"))
 
     def merge(self, df: DataFrame, tdef: TableDef) -> SaveResult:
+        """Upsert on the primary key.
+
+        When the partition column is part of the key, rows can only match
+        inside a partition that the source has: only those are read, merged and
+        replaced. The source is written to the shared folder first, since its
+        partition values (a list bounded by the table's partitions) prune the
+        target's scan."""
         if not tdef.primary_key:
             raise ValueError(f"table {tdef.full_name}: merge needs a primary key")
         self.create(tdef, tdef.schema_ddl or df.schema)
-        if self.table_format == "delta":  # pragma: no cover
-            from delta.tables import DeltaTable
-
-            cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in tdef.primary_key)
-            (
-                DeltaTable.forName(self.spark, tdef.full_name)
-                .alias("t")
-                .merge(df.alias("s"), cond)
-                .whenMatchedUpdateAll()
-                .whenNotMatchedInsertAll()
-                .execute()
-            )
-            return SaveResult(tdef.full_name, "merge", -1, -1)
-        target = self.spark.table(tdef.full_name)
-        part = tdef.partition_by
-        incremental = bool(part) and part in tdef.primary_key
-        if incremental:
-            # Rows can only match inside a partition value the source has
-            # (the value is part of the key), so only those partitions are
-            # read, merged and rewritten; the others keep their files. The
-            # source is materialised once (shared checkpoint dir) because it
-            # is used twice; its partition values are a list bounded by the
-            # table's partition count (the catalog keeps one entry each), and
-            # filtering on them prunes partitions in the target scan.
-            if not self.spark.sparkContext.getCheckpointDir():
-                self.spark.sparkContext.setCheckpointDir(checkpoint_dir(self.spark))
-            df = df.checkpoint(eager=True)
+        version = self._version(tdef)
+        target, part, source_path = self.spark.table(tdef.full_name), tdef.partition_by, None
+        some = bool(part) and part in tdef.primary_key
+        if some:
+            source_path = staging_path(self.spark, "merge-source")
+            df.write.parquet(source_path)
+            df = self.spark.read.parquet(source_path)
             touched = [r[0] for r in df.select(part).distinct().collect()]
-            target = target.where(F.col(part).isin(touched)) if touched else target.where(F.lit(False))
+            column = F.col(part)
+            inside = column.isin([v for v in touched if v is not None])
+            # the partition of NULLs is replaced as well if the source adds to it
+            target = target.where(F.coalesce(inside, F.lit(False)) | (column.isNull() if None in touched else F.lit(False)))
         merged = merge_frames(target, df, tdef.primary_key, action_column=_ACTION)
-        obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
         action = F.col(_ACTION)
-        observed = merged.observe(
-            obs,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(action == ACTION_INSERTED).alias("inserted"),
-            F.count_if(action == ACTION_UPDATED).alias("updated"),
-            F.count_if(action == ACTION_COPIED).alias("copied"),
-            F.count_if(action != ACTION_COPIED).alias("source_rows"),
-            *self._part_metrics(tdef),
-        ).drop(_ACTION)
-        path, m = self._publish(observed, tdef, obs, "source_rows", full=not incremental)
+        metrics = {
+            "rows": F.count(F.lit(1)),
+            "inserted": F.count_if(action == ACTION_INSERTED),
+            "updated": F.count_if(action == ACTION_UPDATED),
+            "copied": F.count_if(action == ACTION_COPIED),
+            "source_rows": F.count_if(action != ACTION_COPIED),
+        }
+        path, m = self._stage(merged, tdef, metrics, "source_rows")
+        self._publish(path, tdef, version, "partitions" if some else "all")
+        if source_path:
+            remove_path(self.spark, source_path)
         return SaveResult(
-            tdef.full_name,
-            "merge",
-            m["rows"],
-            m["source_rows"],
-            path,
-            inserted=m["inserted"],
-            updated=m["updated"],
-            copied=m["copied"],
+            tdef.full_name, "merge", m["rows"], m["source_rows"], inserted=m["inserted"], updated=m["updated"], copied=m["copied"]
         )
 
     def compact(self, tdef: TableDef, num_files: int | None = None) -> SaveResult:
-        """Rewrite the table into fewer, larger files (content unchanged)."""
-        if self.table_format == "delta":  # pragma: no cover
-            self.spark.sql(f"OPTIMIZE {_quote(tdef.full_name)}")
-            return SaveResult(tdef.full_name, "compact", -1, -1)
-        df = self.spark.table(tdef.full_name)
-        # Balanced, skew-free split: the file scan already packs small files
-        # into ~maxPartitionBytes splits, so by default keep that many outputs.
-        # Partition values are not hash-routed (a hot month would land in one
-        # task); _publish sorts within each task instead.
-        n = num_files or max(1, df.rdd.getNumPartitions())
-        df = df.repartition(n)
-        relaxed = replace(tdef, fail_if_empty=False)
-        obs = Observation(f"compact_{uuid.uuid4().hex[:8]}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *self._part_metrics(tdef))
-        path, m = self._publish(observed, relaxed, obs, "rows")
-        return SaveResult(tdef.full_name, "compact", m["rows"], m["rows"], path)
-
-    # -- maintenance ----------------------------------------------------------
-
-    def _locations_in_use(self, tdef: TableDef) -> set[str]:
-        """Table and partition locations the catalog points at (metadata)."""
-        name = _quote(tdef.full_name)
-        info = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-        used = {r[1] for r in info}
-        if tdef.partition_by:
-            for v in self._partitions(tdef):
-                spec = f"PARTITION (`{tdef.partition_by}` = '{_sql_text(v)}')"
-                rows = self.spark.sql(f"DESCRIBE FORMATTED {name} {spec}").where("col_name = 'Location'").collect()
-                used.update(r[1] for r in rows)
-        return used
-
-    def vacuum(self, tdef: TableDef, retain_hours: float = 168.0) -> list[str]:
-        """Delete version directories no longer referenced and older than
-        ``retain_hours`` (readers that listed an old version before the swap
-        keep working for that long). Returns the deleted paths."""
-        if self.table_format == "delta":  # pragma: no cover
-            self.spark.sql(f"VACUUM {_quote(tdef.full_name)} RETAIN {retain_hours} HOURS")
-            return []
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self._table_root(tdef))
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        qualify = lambda u: fs.makeQualified(jvm.org.apache.hadoop.fs.Path(u)).toString()
-        used = {qualify(u) for u in self._locations_in_use(tdef)}
-        cutoff_ms = (time.time() - retain_hours * 3600.0) * 1000.0
-        deleted = []
-        for status in fs.listStatus(root):
-            path = status.getPath()
-            uri = qualify(path.toString())
-            if not status.isDirectory() or not path.getName().startswith("v"):
-                continue
-            if any(u == uri or u.startswith(uri + "/") for u in used):
-                continue
-            if status.getModificationTime() > cutoff_ms:
-                continue
-            fs.delete(path, True)
-            deleted.append(uri)
-        return deleted
+        """Rewrite the table into fewer, larger files (content unchanged).
+
+        By default the files are sized by the scan, which packs small files into
+        splits of ``spark.sql.files.maxPartitionBytes``."""
+        rows = self.spark.table(tdef.full_name)
+        version = self._version(tdef)
+        if num_files:
+            rows = rows.repartition(num_files)
+        path, m = self._stage(rows, replace(tdef, fail_if_empty=False), {"rows": F.count(F.lit(1))}, "rows")
+        self._publish(path, tdef, version, "all")
+        return SaveResult(tdef.full_name, "compact", m["rows"], m["rows"])

@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cxlake.sources.scans import spread_narrow_input
-
 # Fixed values for the fixtures: the user exclusion list and the day the
 # message and survey lookbacks end.
 FIXTURE_EXCLUDED_USERS = ("u3", "u7")
@@ -31,9 +29,7 @@ def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: log_id, ot, created_at, fecha_escaneo, clasificacion,
     valor_declarado, user, usuario, username, user_id (all text but log_id).
     """
-    # the per-row work downstream (date parsing, patterns, the map-side sort
-    # of first-per-OT) is heavy, so a single-split scan is spread first
-    o = spread_narrow_input(table(spark, sf_dir, "orders"), ("o_orderkey",))
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
     iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
@@ -48,6 +44,9 @@ def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("OT-"), cust.cast("string")))
         .alias("ot"),
         F.when(k % 31 == 0, F.lit("sin fecha"))
+        .when(k % 37 == 0, F.lit("10:15:00"))
+        .when(k % 47 == 0, F.lit("2024-3"))
+        .when(k % 53 == 0, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 07:30")))
         .when(k % 29 == 0, F.lit(None).cast("string"))
         .otherwise(iso)
         .alias("created_at"),

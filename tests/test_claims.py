@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
+
 
 from cxlake.operators import claims
 from cxlake.sources.scans import USAGE_LOG_SCHEMA
@@ -32,17 +35,20 @@ def test_event_date_resolution_order(spark):
         (4, "D", None, None, "X", "1"),
         # zone suffix is converted to UTC; sub-seconds are cut
         (5, "E", "2024-01-31T23:30:00.750-02:00", None, "X", "1"),
-        # a date object exported as extended JSON (relaxed and canonical)
-        (6, "F", '{"$date": "2024-04-01T12:00:00Z"}', None, "X", "1"),
-        (7, "G", '{"$date": {"$numberLong": "1704067200000"}}', None, "X", "1"),
+        # a clock time, a year or a month is no date
+        (6, "F", "10:15:00", None, "X", "1"),
+        (7, "G", "T10:15", None, "X", "1"),
+        (8, "H", "2024", None, "X", "1"),
+        (9, "I", "2024-3", None, "X", "1"),
+        (10, "J", "2024-04-01 07:30", None, "X", "1"),
+        (11, "K", "2024-02-30", None, "X", "1"),
     ])
-    assert set(got) == {"A", "C", "E", "F", "G"}
-    assert got["G"]["Fecha_Creacion"] == dt.datetime(2024, 1, 1, 0, 0, 0)
+    assert set(got) == {"A", "C", "E", "J"}
+    assert got["J"]["Fecha_Creacion"] == dt.datetime(2024, 4, 1, 7, 30, 0)
     assert got["A"]["Mes"] == "2024-01"
     assert got["C"]["Fecha_Creacion"] == dt.datetime(2024, 3, 7, 8, 9, 10)
     assert got["E"]["Mes"] == "2024-02"
     assert got["E"]["Fecha_Creacion"] == dt.datetime(2024, 2, 1, 1, 30, 0)
-    assert got["F"]["Fecha_Creacion"] == dt.datetime(2024, 4, 1, 12, 0, 0)
 
 
 def test_ot_filters(spark):
@@ -121,7 +127,7 @@ def test_rollups(spark):
     s = summary[("2024-01", "X")]
     # values rounded to 3 decimals first: 1.001 + 2.001 + 0.001 = 3.003, avg 1.001
     assert (s["Cantidad"], s["Suma_Total_CLP"], s["Promedio_CLP"]) == (3, 3.003, 1.001)
-    top = claims.claim_top(d).collect()
+    top = claims.ranked_top(claims.claim_top(d)).collect()
     assert [r["Clasificacion"] for r in top] == ["Y", "X"]
     evo = {(r["Mes"], r["Clasificacion"]): r["Cantidad"] for r in claims.claim_evolution(d).collect()}
     assert evo == {("2024-01", "X"): 3, ("2024-02", "Y"): 1}
@@ -134,6 +140,41 @@ def test_average_rounds_half_up_exactly(spark):
     assert s["Promedio_CLP"] == 0.003
 
 
+def test_large_amounts_stay_in_the_totals(spark):
+    rows = [(1, "A", "2024-01-01", None, "X", "1e15"), (2, "B", "2024-01-01", None, "X", "10"), (3, "C", "2024-01-01", None, "X", "5e15")]
+    d = claims.claim_detail(logs(spark, rows))
+    for f in (claims.claim_summary, claims.claim_evolution, claims.claim_top):
+        r = f(d).collect()[0]
+        assert r["Suma_Total_CLP"] == 6e15 + 10 and r["Cantidad"] == 3
+    d.createOrReplaceTempView("large_amounts_v")
+    from cxlake.sources.scans import sql_file_source
+
+    r = sql_file_source(spark, "claim_summary.sql", source_table="large_amounts_v").collect()[0]
+    assert r["Suma_Total_CLP"] == 6e15 + 10 and r["Promedio_CLP"] == round((6e15 + 10) / 3, 3)
+    assert claims.claim_summary(d).collect()[0]["Promedio_CLP"] == r["Promedio_CLP"]
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e30])
+def test_amounts_without_an_exact_sum_are_an_error(spark, bad):
+    d = spark.createDataFrame([("2024-01", "X", "A", bad), ("2024-01", "X", "B", 1.0)], "Mes STRING, Clasificacion STRING, OT STRING, Valor_Declarado_CLP DOUBLE")
+    with pytest.raises(PySparkException):
+        claims.claim_summary(d).collect()
+
+
+def test_averages_of_negative_totals_round_away_from_zero(spark):
+    d = spark.createDataFrame([("m", "X", "A", -0.002), ("m", "X", "B", -0.003)], "Mes STRING, Clasificacion STRING, OT STRING, Valor_Declarado_CLP DOUBLE")
+    assert claims.claim_summary(d).collect()[0]["Promedio_CLP"] == -0.003
+
+
+def test_exclusion_list_as_a_table(spark):
+    rows = [(1, "A", "2024-01-01", None, "X", "1", "bad", None, None, None), (2, "B", "2024-01-01", None, "X", "1", None, None, None, "worse"),
+            (3, "C", "2024-01-01", None, "X", "1", None, "good", None, None), (4, "D", "2024-01-01", None, "X", "1")]
+    df = logs(spark, rows)
+    names = spark.createDataFrame([("bad",), ("worse",), (None,)], "name STRING")
+    want = df.where(claims.not_excluded_user(df, ["bad", "worse", None]))
+    assert sorted(claims.without_users(df, names).collect(), key=str) == sorted(want.collect(), key=str)
+
+
 def test_json_usage_logs_with_typed_schema(spark, scratch, tmp_path):
     from cxlake.sources.scans import read_usage_logs
 
@@ -141,12 +182,14 @@ def test_json_usage_logs_with_typed_schema(spark, scratch, tmp_path):
     p.write_text(
         '{"_id": "1", "ot": "A", "created_at": {"$date": "2024-05-01T00:00:00Z"}, "valor_declarado": 7}\n'
         '{"_id": "2", "ot": "B", "fecha_escaneo": "2024-06-02T00:00:00", "clasificacion": "Z"}\n'
+        '{"_id": "3", "ot": "C", "created_at": {"$date": {"$numberLong": "1704067200000"}}}\n'
     )
     df = read_usage_logs(spark, str(p))
     assert df.schema == USAGE_LOG_SCHEMA
     got = {r["OT"]: r for r in claims.claim_detail(df, tie_breaker="_id").collect()}
     assert got["A"]["Mes"] == "2024-05" and got["A"]["Valor_Declarado_CLP"] == 7.0
     assert got["B"]["Mes"] == "2024-06" and got["B"]["Clasificacion"] == "Z"
+    assert got["C"]["Fecha_Creacion"] == dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
 def test_extended_json_numbers(spark, tmp_path):

@@ -106,11 +106,41 @@ def test_table_jobs_end_to_end(spark):
 
     dash = TableDef(**{**defs["dashboard_base"].__dict__, "lookback_days": 31})
     run_table_job(spark, dash, builders, store)
-    recent = run_table_job(
-        spark, defs["dashboard_recent"], builders, store, sql_params={"source_table": "dashboard_base", "as_of": "2024-01-31", "dias": 28},
-    )
+    recent = run_table_job(spark, defs["dashboard_recent"], builders, store, sql_params={"as_of": "2024-01-31", "dias": 28})
     assert 0 < recent.rows_written < spark.table("dashboard_base").count()
     assert spark.table("dashboard_recent").where("message_date < date'2024-01-03'").count() == 0
+    for name in defs:
+        store.drop(defs[name])
+
+
+def test_all_definitions_twice_through_the_command_line(spark, tmp_path):
+    """Every built-in job runs, and a second run with a short lookback loses no day."""
+    from cxlake.__main__ import main
+
+    fx.usage_logs(spark, SF).withColumnRenamed("log_id", "_id").write.parquet(str(tmp_path / "logs"))
+    fx.messages(spark, SF).write.parquet(str(tmp_path / "messages"))
+    fx.surveys(spark, SF).write.parquet(str(tmp_path / "surveys"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS twice_db")
+    names = list(default_table_defs())
+    args = ["--tables", *names, "--database", "twice_db", "--usage-logs", str(tmp_path / "logs"), "--usage-logs-format", "parquet"]
+    args += ["--messages", str(tmp_path / "messages"), "--surveys", str(tmp_path / "surveys"), "--survey-tie-breaker", "event_id"]
+    wide = tmp_path / "wide.json"
+    import json
+    from dataclasses import asdict, replace
+
+    defs = default_table_defs("twice_db")
+    defs["dashboard_base"] = replace(defs["dashboard_base"], lookback_days=31)
+    wide.write_text(json.dumps({"tables": [asdict(d) for d in defs.values()]}))
+    last = fx.messages(spark, SF).agg(F.max(F.to_date("message_timestamp"))).first()[0]
+    assert main([*args, "--defs", str(wide), "--as-of", str(last)]) == 0
+    before = {n: spark.table(f"twice_db.{n}").count() for n in names}
+    days = spark.table("twice_db.dashboard_base").select("message_date").distinct().count()
+    # the default lookback of three days, ending on the last day there is
+    assert main([*args, "--as-of", str(last)]) == 0
+    assert spark.table("twice_db.dashboard_base").select("message_date").distinct().count() == days
+    after = {n: spark.table(f"twice_db.{n}").count() for n in names}
+    assert {n: after[n] for n in names if n != "dashboard_recent"} == {n: before[n] for n in names if n != "dashboard_recent"}
+    assert 0 < after["dashboard_recent"] <= before["dashboard_base"]
 
 
 def test_sql_file_source(spark):
@@ -222,3 +252,27 @@ def test_cli_reads_catalog_table_and_parquet_inputs(spark, tmp_path):
     assert main(["--tables", "claim_top", "--database", "cli_db2", "--usage-logs", "table:cli_logs_v"]) == 0
     top = [r["Clasificacion"] for r in spark.table("cli_db2.claim_top").collect()]
     assert sorted(top) == ["X", "Y"]
+
+
+def test_nested_values_as_json(spark):
+    import json
+
+    df = spark.sql(
+        "SELECT array(DATE'2024-01-02', NULL) AS a, named_struct('t', TIMESTAMP'2024-01-02 03:04:05.5', 'd', 1.50BD) AS s, "
+        "map(1, TIMESTAMP'2024-01-02 03:04:05') AS m, X'0102' AS b, INTERVAL '1' DAY AS i, CAST(NULL AS STRUCT<x: DATE>) AS n"
+    )
+    got = json.loads(files.json_rows(df).first()[0])
+    assert got["a"] == ["2024-01-02", None] and got["s"] == {"t": "2024-01-02T03:04:05.500000", "d": 1.5}
+    assert got["m"] == {"1": "2024-01-02T03:04:05"} and got["b"] == "AQI=" and isinstance(got["i"], str) and got["n"] is None
+
+
+def test_names_are_transliterated():
+    from cxlake.functions.text import clean_name
+
+    assert [clean_name(n) for n in ("Straße", "Ørsted łódź", "  Suma Total (CLP) ", "Æon œuvre", "año")] == [
+        "Strasse", "Orsted_lodz", "Suma_Total_CLP", "AEon_oeuvre", "ano"]
+
+
+def test_sql_marker_is_a_word():
+    assert strip_magic("%sql\nSELECT 1") == strip_magic("  %SQL SELECT 1 ") == "SELECT 1"
+    assert strip_magic("%sqlfoo") == "%sqlfoo" and strip_magic("%sql") == ""

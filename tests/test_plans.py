@@ -40,20 +40,74 @@ def static_plans(spark):
         spark.conf.set(k, v)
 
 
-def test_dashboard_moves_message_text_once(static_plans):
-    plan = formatted(entry.queries()["dashboard_base"](static_plans, SF))
+def test_dashboard_reads_each_input_twice_at_most(static_plans, monkeypatch):
+    """Metrics once (their checkpoint serves pairing and result), histories once; surveys for pairing and index."""
+    from pyspark.sql import DataFrame
+
+    plans = []
+    checkpoint = DataFrame.checkpoint
+
+    def watched(self, *args, **kwargs):
+        plans.append(formatted(self))
+        return checkpoint(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", watched)
+    plans.append(formatted(entry.queries()["dashboard_base"](static_plans, SF)))
+    both = "".join(plans)
+    assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*conversations", both)) <= 2
+    assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*events", both)) <= 2
+
+
+def test_no_message_text_reaches_the_metrics_aggregate(static_plans):
+    """The text moves with the copies of a message (combined map-side); the session-day exchange has sums only."""
+    plan = formatted(entry.queries()["session_metrics"](static_plans, SF))
     inputs = exchange_inputs(plan)
-    assert inputs, plan
-    wide = [i for i in inputs if re.search(r"\bcontent#", i) or re.search(r"\bhistory#", i)]
-    assert len(wide) == 1, wide
+    assert len(inputs) == 2, plan
+    assert sum("content#" in i for i in inputs) == 1
+    assert plan.count("HashAggregate") + plan.count("SortAggregate") >= 4  # partial and final, twice
+
+
+def test_a_hot_session_day_keeps_its_metrics(spark):
+    """A third of all messages in one session-day, and many without a session."""
+    from cxlake.operators import messages, sessions
+
+    rows = [
+        (("hot" if i % 3 == 0 else None if i % 3 == 1 else f"s{i % 50}"), "u1", "user" if i % 2 else "assistant", f"text {i}", 1704067200 + i % 1000)
+        for i in range(6000)
+    ]
+    df = spark.createDataFrame(rows, "session_id string, balancer_mongo_id string, role string, content string, t bigint")
+    df = df.selectExpr("*", "timestamp_seconds(t) AS message_timestamp", "timestamp_seconds(t) AS conversation_expires_at", "timestamp_seconds(t) AS conversation_updated_at").drop("t")
+    days = sessions.session_days(messages.with_message_date(df)).collect()
+    by = {r["session_id"]: r for r in days}
+    assert by["hot"]["cantidad_mensajes"] == len(by["hot"]["history"]) == 2000
+    assert by[None]["cantidad_mensajes"] == len(by[None]["history"]) == 2000
+    assert sum(r["cantidad_mensajes"] for r in days) == 6000
 
 
 def test_claim_detail_limits_before_its_only_shuffle(static_plans):
     plan = formatted(entry.queries()["claim_detail"](static_plans, SF))
-    assert len(exchange_inputs(plan)) == 2  # spread of the single-split scan + the OT shuffle
+    assert len(exchange_inputs(plan)) == 1  # the OT shuffle
     assert re.search(r"WindowGroupLimit[^\n]*\n(?:[^\n]+\n)*?Arguments: [^\n]*Partial", plan)
 
 
+def test_no_json_parsing_in_the_claim_plan(static_plans, tmp_path):
+    from cxlake.operators import claims
+    from cxlake.sources import fixtures as fx
+    from cxlake.sources.scans import read_usage_logs
+
+    fx.usage_logs(static_plans, SF).withColumnRenamed("log_id", "_id").write.json(str(tmp_path / "j"))
+    for df in (fx.usage_logs(static_plans, SF), read_usage_logs(static_plans, str(tmp_path / "j")).withColumnRenamed("_id", "log_id")):
+        assert formatted(claims.claim_detail(df)).count("get_json_object") == 0
+
+
+def test_the_single_file_export_keeps_the_width_of_its_aggregate(spark, tmp_path):
+    from cxlake.sinks.files import export_parquet
+
+    df = spark.range(1000).selectExpr("id % 7 AS g").groupBy("g").count()
+    export_parquet(df, str(tmp_path / "one"), single_file=True)
+    assert len(list((tmp_path / "one").glob("part-*.parquet"))) == 1
+
+
 def test_index_join_is_broadcast(static_plans):
     plan = formatted(entry.queries()["dashboard_base"](static_plans, SF))
     assert "BroadcastExchange" in plan  # the daily index, bounded by days
@@ -90,7 +144,5 @@ def test_filters_and_columns_reach_the_scans(full_metadata, tmp_path):
     scans = _scans(dashboard.dashboard_base(m, s, "2024-01-31", 31))
     msg = [x for x in scans if "message_timestamp" in x]
     assert msg and all("GreaterThanOrEqual(message_timestamp" in x for x in msg)
-    # the narrow re-scan for FIFO ordering reads three columns, not the text
-    assert any("ReadSchema: struct<session_id:string,balancer_mongo_id:string,message_timestamp" in x for x in msg)
     srv = [x for x in scans if "Fecha" in x]
     assert srv and all("GreaterThanOrEqual(Fecha" in x and "EqualTo(AtencionIA,Si)" in x for x in srv)

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cxlake.operators.merge import merge_frames
-from cxlake.operators.ranking import skew_safe_row_number
+from cxlake.operators.ranking import ordered_numbers
 
 SCHEMA = "k STRING, m STRING, v BIGINT"
 KEYS = ("k", "m")
@@ -62,11 +62,9 @@ def test_merge_matches_brute_force(spark, target, source):
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     data=st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.integers(-3, 3)), min_size=1, max_size=40),
-    threshold=st.integers(1, 10),
-    buckets=st.integers(2, 5),
 )
-def test_skew_safe_row_number_matches_window(spark, data, threshold, buckets):
+def test_ordered_numbers_match_window(spark, data):
     df = spark.createDataFrame([(g, x, i) for i, (g, x) in enumerate(data)], "g STRING, x INT, i INT")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("x", "i")))
-    got = skew_safe_row_number(df, ["g"], ["x", "i"], "n", threshold, buckets)
+    got = ordered_numbers(df, ["g"], ["x", "i"], "n")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

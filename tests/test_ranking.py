@@ -1,11 +1,11 @@
-"""Skew-safe row numbers equal the plain window, also for hot and NULL groups."""
+"""Ordered numbers equal the plain window, also for hot and NULL groups and hot days."""
 
 import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cxlake.operators.ranking import skew_safe_row_number
+from cxlake.operators.ranking import in_ranges, ordered_numbers
 
 
 def test_matches_plain_window_with_hot_and_null_groups(spark):
@@ -15,66 +15,27 @@ def test_matches_plain_window_with_hot_and_null_groups(spark):
         g = "hot" if i % 3 else rnd.choice(["a", "b", None, "c"])
         if i % 5 == 0:
             g = None  # a large NULL group
-        rows.append((g, rnd.randint(0, 50), f"t{rnd.randint(0, 9)}", i))
+        rows.append((g, rnd.randint(0, 50) if i % 11 else None, f"t{rnd.randint(0, 9)}", i))
     df = spark.createDataFrame(rows, "g STRING, ts INT, t2 STRING, uid BIGINT")
     order = ["ts", "t2", "uid"]
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    got = skew_safe_row_number(df, ["g"], order, "n", hot_threshold=300, buckets=8)
-    key = lambda r: (str(r["g"]), r["uid"])
+    got = ordered_numbers(df, ["g"], order, "n")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-    assert got.count() == 3000
 
 
-def test_no_hot_groups_is_the_plain_window(spark):
+def test_small_and_empty_inputs(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "g STRING, ts INT")
-    got = {(r["g"], r["ts"]): r["n"] for r in skew_safe_row_number(df, ["g"], ["ts"], "n", 10).collect()}
+    got = {(r["g"], r["ts"]): r["n"] for r in ordered_numbers(df, ["g"], ["ts"], "n").collect()}
     assert got == {("a", 1): 1, ("a", 2): 2, ("b", 5): 1}
-
-
-def test_ordinal_operators_hot_path_equals_plain(spark):
-    from cxlake.operators import sessions, surveys
-    from cxlake.operators.messages import lookback, with_message_date
-    from cxlake.sources import fixtures as fx
-
-    sf = "/root/testdata/sf0.001"
-    clean = surveys.clean_surveys(fx.surveys(spark, sf), "2024-01-31", 31)
-    a = surveys.order_surveys(clean, hot_threshold=1)  # every id is hot
-    b = surveys.order_surveys(clean, hot_threshold=None)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-    dated = with_message_date(lookback(fx.messages(spark, sf), "message_timestamp", "2024-01-31", 31))
-    days = sessions.session_days(dated, include_history=False)
-    c = sessions.order_sessions(days, hot_threshold=1)
-    d = sessions.order_sessions(days, hot_threshold=None)
-    assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
-
-
-import pytest  # noqa: E402
-
-
-@pytest.mark.parametrize("threshold", [1, 3, 12])
-def test_dashboard_hot_ids_path_equals_plain(spark, threshold):
-    from cxlake.operators import dashboard
-    from cxlake.sources import fixtures as fx
-
-    sf = "/root/testdata/sf0.01"
-
-    def base(t):
-        return dashboard.dashboard_base(
-            fx.messages(spark, sf), fx.surveys(spark, sf), "2024-01-31", 31,
-            include_history=False, hot_id_threshold=t,
-        )
-
-    # low thresholds: every id hot; middle ones: hot and ordinary ids mixed
-    hot, plain = base(threshold), base(None)
-    assert hot.count() == plain.count() > 0
-    assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
-
-
-def test_hot_group_cap_keeps_numbers_exact(spark):
-    rows = [(g, i % 7, i) for i, g in enumerate(["a"] * 40 + ["b"] * 30 + ["c"] * 20 + [None] * 25)]
-    df = spark.createDataFrame(rows, "g STRING, x INT, i INT")
-    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("x", "i")))
-    # four groups above the threshold, only the largest one gets the bucketed path
-    got = skew_safe_row_number(df, ["g"], ["x", "i"], "n", hot_threshold=5, buckets=3, max_groups=1)
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert ordered_numbers(df.limit(0), ["g"], ["ts"], "n").count() == 0
+
+
+def test_one_id_with_a_third_of_the_surveys_on_one_day(spark):
+    """A hot id is spread over ranges even when all its rows have one date."""
+    rows = [(f"u{i % 40}" if i % 3 else "hot", "2024-01-05" if i % 3 == 0 else f"2024-01-{i % 28 + 1:02d}", i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id STRING, f STRING, event_id BIGINT").select("id", F.to_date("f").alias("Fecha"), "event_id")
+    ranged = in_ranges(df, ["id"], ["Fecha", "event_id"])
+    assert ranged.where("id = 'hot'").select("_range").distinct().count() > 1
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("Fecha", "event_id")))
+    got = ordered_numbers(df, ["id"], ["Fecha", "event_id"], "n")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

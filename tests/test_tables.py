@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from cxlake.operators.merge import merge_frames
 from cxlake.plans.tabledef import TableDef
-from cxlake.sinks.tables import EmptyResultError, TableStore
+from cxlake.sinks.tables import ConcurrentSaveError, EmptyResultError, TableStore
 
 SCHEMA = "k STRING, m STRING, v DOUBLE"
 
@@ -152,68 +152,90 @@ def test_table_def_validation():
     assert TableDef(name="t", origin="sql", query_sql_path="q.sql", catalog="c", database="d").full_name == "c.d.t"
 
 
-def _locations(spark, name):
-    out = {}
-    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        v = r[0].split("=", 1)[1]
-        loc = spark.sql(f"DESCRIBE FORMATTED {name} PARTITION (m = '{v}')").where("col_name = 'Location'")
-        out[v] = loc.collect()[0][1]
-    return out
+def _file_times(spark, name):
+    rows = spark.table(name).select("m", "_metadata.file_path", "_metadata.file_modification_time").distinct().collect()
+    return {(r[0], r[1]): r[2] for r in rows}
 
 
-def test_incremental_merge_rewrites_only_touched_partitions(spark):
+def test_merge_rewrites_only_touched_partitions(spark):
     store = TableStore(spark)
     tdef = TableDef(
-        name="t_incr",
-        origin="python",
-        python_source="x",
-        mode="merge",
-        primary_key=("m", "k"),
-        schema_ddl=SCHEMA,
-        partition_by="m",
+        name="t_incr", origin="python", python_source="x", mode="merge", primary_key=("m", "k"), schema_ddl=SCHEMA, partition_by="m"
     )
     store.save(mk(spark, [("a", "1", 1.0), ("b", "2", 2.0), ("c", "3", 3.0)]), tdef)
-    before = _locations(spark, "t_incr")
+    before = _file_times(spark, "t_incr")
     r = store.save(mk(spark, [("b", "2", 20.0), ("d", "4", 4.0)]), tdef)
     assert (r.inserted, r.updated, r.copied) == (1, 1, 0)  # partitions 1 and 3 were not even read
-    after = _locations(spark, "t_incr")
-    assert after["1"] == before["1"] and after["3"] == before["3"]
-    assert after["2"] != before["2"] and "4" in after
+    after = _file_times(spark, "t_incr")
+    same = {k[0] for k in set(before) & set(after)}
+    assert same == {"1", "3"}
     assert rows(spark.table("t_incr").select("k", "m", "v")) == rows(
         mk(spark, [("a", "1", 1.0), ("b", "2", 20.0), ("c", "3", 3.0), ("d", "4", 4.0)])
     )
-    # a full overwrite drops partitions that are no longer present
+    # a full overwrite drops partitions that are no longer present, one by partitions keeps them
     ow = TableDef(name="t_incr", origin="python", python_source="x", mode="overwrite", partition_by="m")
     store.save(mk(spark, [("z", "9", 9.0), ("y", "1", 8.0)]), ow)
-    assert set(_locations(spark, "t_incr")) == {"1", "9"}
     assert rows(spark.table("t_incr").select("k", "m", "v")) == rows(mk(spark, [("y", "1", 8.0), ("z", "9", 9.0)]))
+    part = TableDef(name="t_incr", origin="python", python_source="x", mode="overwrite_partitions", partition_by="m")
+    store.save(mk(spark, [("w", "9", 1.0)]), part)
+    assert rows(spark.table("t_incr").select("k", "m", "v")) == rows(mk(spark, [("y", "1", 8.0), ("w", "9", 1.0)]))
+
+
+VALUES = {
+    "string": ["a", "", "x/y:z=%", None],
+    "boolean": [True, False, None],
+    "double": [1.5, -2.0, None],
+    "date": [dt.date(2024, 1, 31), None],
+    "int": [7, None],
+}
 
 
-def test_escape_path_name():
-    from cxlake.sinks.tables import escape_path_name
+@pytest.mark.parametrize("kind", list(VALUES))
+def test_partitioned_saves_keep_every_row(spark, kind):
+    """NULL and non-text partition values, saved twice, merged twice, appended."""
+    store = TableStore(spark)
+    data = [(f"k{i}", v) for i, v in enumerate(VALUES[kind])]
+    # Spark stores an empty text as the NULL partition: the row is kept
+    stored = sorted(((k, None if v == "" else v) for k, v in data), key=str)
+    frame = spark.createDataFrame(data, f"k STRING, p {kind}")
+    ow = TableDef(name=f"t_part_{kind}", origin="python", python_source="x", partition_by="p")
+    for _ in range(2):
+        assert store.save(frame, ow).rows_written == len(data)
+        assert rows(spark.table(ow.full_name).select("k", "p")) == stored
+    mg = TableDef(
+        name=f"t_pmerge_{kind}", origin="python", python_source="x", mode="merge", primary_key=("k", "p"), partition_by="p", schema_ddl=f"k STRING, v INT, p {kind}"
+    )
+    for v in (1, 2):
+        store.save(frame.selectExpr("k", f"{v} AS v", "p"), mg)
+        # NULL keys never match: they are inserted again, and nothing is lost
+        again = sum(x[1] is None for x in data)
+        assert spark.table(mg.full_name).count() >= len(data) + (v - 1) * again
+    assert spark.table(mg.full_name).where("p IS NOT NULL AND v = 1").count() == 0
 
-    assert escape_path_name("2024-01") == "2024-01"
-    assert escape_path_name("a/b:c") == "a%2Fb%3Ac"
 
+def test_a_table_changed_meanwhile_is_not_overwritten(spark, monkeypatch):
+    store, other = TableStore(spark), TableStore(spark)
+    tdef = TableDef(name="t_race", origin="python", python_source="x", mode="overwrite")
+    store.save(mk(spark, [("a", "1", 1.0)]), tdef)
+    stage = store._stage
+
+    def stage_then_lose(*args):
+        out = stage(*args)
+        other.append(mk(spark, [("b", "2", 2.0)]), tdef)
+        return out
 
-def test_vacuum_keeps_versions_in_use(spark):
+    monkeypatch.setattr(store, "_stage", stage_then_lose)
+    with pytest.raises(ConcurrentSaveError):
+        store.save(mk(spark, [("c", "3", 3.0)]), tdef)
+    assert rows(spark.table("t_race").select("k")) == [("a",), ("b",)]
+
+
+def test_create_from_a_ddl_file(spark, tmp_path):
+    ddl = tmp_path / "t.sql"
+    ddl.write_text("CREATE TABLE IF NOT EXISTS {full_name} (k STRING COMMENT '{primary_key}', m STRING) USING parquet {partition_by}")
+    tdef = TableDef(name="t_ddl", origin="python", python_source="x", ddl_path=str(ddl), primary_key=("k",), partition_by="m")
     store = TableStore(spark)
-    t = TableDef(name="t_vac", origin="python", python_source="x", mode="merge", primary_key=("m", "k"),
-                 schema_ddl=SCHEMA, partition_by="m")
-    store.save(mk(spark, [("a", "1", 1.0), ("b", "2", 2.0)]), t)
-    store.save(mk(spark, [("b", "2", 3.0)]), t)  # partition 1 stays on the first version
-    store.save(mk(spark, [("b", "2", 4.0)]), t)
-    assert store.vacuum(t, retain_hours=1) == []  # too young
-    deleted = store.vacuum(t, retain_hours=0)
-    # versions: creation (still the table location), first merge (partition 1),
-    # second merge (partition 2, superseded), third merge (partition 2)
-    assert len(deleted) == 1
-    assert rows(spark.table("t_vac").select("k", "m", "v")) == rows(mk(spark, [("a", "1", 1.0), ("b", "2", 4.0)]))
-
-
-def test_delta_store_needs_the_package(spark):
-    try:
-        import delta  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError, match="delta"):
-            TableStore(spark, table_format="delta")
+    store.create(tdef)
+    assert spark.table("t_ddl").columns == ["k", "m"] and spark.catalog.listColumns("t_ddl")[1].isPartition
+    store.drop(tdef)
+    assert not store.exists(tdef)
