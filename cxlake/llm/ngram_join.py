@@ -13,15 +13,17 @@ document's connected component.
    shingles that links with another shares at least one of the first
    ``n - ceil(percent * n / 100) + 1`` shingles with it, so only that prefix is
    indexed.
-3. *Answers first from similar sets.* On the first ``LEAD`` shingles, every
-   index list sorted by size proposes neighbouring sets; verified links give a
-   first partition into components.
+3. *Answers first from similar sets.* Sets that share two of their ``LEAD``
+   shingles of least hash (very similar sets mostly do) are compared with
+   their neighbours in a size-sorted list; the links found give a first
+   partition into components.
 4. *Block-skipping join.* The full prefix index is cut into blocks sorted by
    component and size, each posting with its position. A set takes over the
    answers of the sets it is already joined with: pairs inside one component
    are skipped, whole blocks of one component at once. The other pairs pass a
-   size test, a position test (shingles left after the match) and a count of
-   common prefix shingles, and are then verified on the whole sets.
+   size test and position tests (the shingle stands in the shorter prefix that
+   two sets of these sizes need, and enough shingles are left after it), then a
+   count of common prefix shingles, and are then verified on the whole sets.
 
 Verification re-reads only the texts of candidate documents. Shingles are
 64-bit hashes of which 58 bits are compared; unequal shingles agree with
@@ -35,19 +37,23 @@ repeat a doc_id are one node holding the links of all its texts.
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cxlake.llm import wordhash as W
-from cxlake.llm.shared import components, keep_on_disk
+from cxlake.llm.shared import components, keep_on_disk, small_batches
 
 SLOT_BITS, CHUNK_BITS, LEVEL_SHIFT = 20, 11, 58
 SLOTS = 1 << SLOT_BITS
-LEAD, LEAD_MATCHES, BLOCK = 8, 2, 2048
+LEAD, NEAR, RUN, BLOCK = 4, 64, 2000, 2048
+HASH = np.uint64((1 << LEVEL_SHIFT) - 1)
+MARKS = 1 << 25
 
 
 def shingles(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -128,11 +134,11 @@ def least_overlap(n, m, percent: int):
 
 
 def _sets(docs: DataFrame, k: int, levels: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, n, digest of the set, and its prefix (binary, 8 bytes a shingle)."""
+    """doc_id, n, digest of the set, its prefix, and its ``LEAD`` shingles of least hash (binary, 8 bytes a shingle)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, prefix = np.zeros(batch.num_rows, dtype=np.int32), [None] * batch.num_rows, [None] * batch.num_rows
+            n, digest, prefix, lead = np.zeros(batch.num_rows, dtype=np.int32), *([None] * batch.num_rows for _ in range(3))
             for at, grams, first in shingles(batch.column(1), k):
                 for i in range(len(first) - 1):
                     if first[i + 1] > first[i]:
@@ -140,43 +146,67 @@ def _sets(docs: DataFrame, k: int, levels: np.ndarray, percent: int) -> DataFram
                         n[at + i] = len(keys)
                         digest[at + i] = hashlib.blake2b(keys.tobytes(), digest_size=16).digest()
                         prefix[at + i] = keys[: prefix_size(len(keys), percent)].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(digest, pa.binary()), pa.array(prefix, pa.binary())], ["doc_id", "n", "digest", "prefix"])
+                        lead[at + i] = np.sort(keys & HASH)[:LEAD].tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *[pa.array(c, pa.binary()) for c in (digest, prefix, lead)]], ["doc_id", "n", "digest", "prefix", "lead"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, "doc_id bigint, n int, digest binary, prefix binary")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, "doc_id bigint, n int, digest binary, prefix binary, lead binary")
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap of ``MARKS`` bits (a fixed size) that has the hashes of the ids set."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(MARKS)) + 1  # Spark's bitmaps count from 1
+    parts = ids.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    found = np.zeros(MARKS, dtype=bool)
+    for row in parts.collect():
+        bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), dtype=np.uint8), bitorder="little")
+        found[(row["part"] - 1) * len(bits) + np.flatnonzero(bits)] = True
+    return np.packbits(found, bitorder="little")
 
 
 def _whole_sets(docs: DataFrame, ids: DataFrame, k: int, levels: np.ndarray) -> DataFrame:
-    """(id, digest, keys): the whole sets of the listed documents, from their texts."""
+    """(id, keys): the whole sets of the listed documents (and of few others), from their texts.
+
+    The texts stay where they are read: a bitmap of fixed size tells which to take."""
+    marks = _marks(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            slot = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((marks[slot >> 3] >> (slot & 7) & 1).astype(bool)))
             keys = [b""] * batch.num_rows
             for at, grams, first in shingles(batch.column(1), k):
                 for i in range(len(first) - 1):
                     keys[at + i] = ordered_set(grams[first[i] : first[i + 1]], levels).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in keys], pa.binary()), pa.array(keys, pa.binary())], ["id", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["id", "keys"])
+
+    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text")).where("id is not null")
+    return texts.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(MARKS)).alias("slot")).mapInArrow(run, "id bigint, keys binary")
+
 
-    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"))
-    return texts.join(ids, "id", "left_semi").mapInArrow(run, "id bigint, digest binary, keys binary")
+def links(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two ordered sets reach the similarity."""
+    if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+        return False
+    both = np.sort(np.concatenate([p, q]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(p) + len(q) - common)
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, levels: np.ndarray, percent: int) -> DataFrame:
-    """The pairs (x, y) of representatives whose whole sets link."""
-    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
-    # a repeated doc_id may have several texts; the pair is about the representative's one
-    known = reps.select(F.col("doc_id").alias("id"), "digest")
-    sets = _whole_sets(docs, ids, k, levels).join(known, ["id", "digest"], "left_semi").select("id", "keys")
+def _set_of(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype=np.uint64)
+
+
+def _linked(docs: DataFrame, pairs: DataFrame, k: int, levels: np.ndarray, percent: int) -> DataFrame:
+    """The pairs (x, y) of documents whose whole sets link."""
+    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id")))
+    sets = _whole_sets(docs, ids, k, levels)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column(2), batch.column(3)
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for i in range(batch.num_rows):
-                p, q = (np.frombuffer(v[i].as_buffer(), dtype=np.uint64) for v in (a, b))
-                both = np.sort(np.concatenate([p, q]))
-                common = int((both[1:] == both[:-1]).sum())
-                ok[i] = 100 * common >= percent * (len(p) + len(q) - common)
-            keep = pa.array(ok)
+            keep = pa.array([links(_set_of(a[i]), _set_of(b[i]), percent) for i in range(batch.num_rows)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["x", "y"])
 
     left = sets.select(F.col("id").alias("x"), F.col("keys").alias("keys_x"))
@@ -184,23 +214,69 @@ def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, levels:
     return pairs.join(left, "x").join(right, "y").select("x", "y", "keys_x", "keys_y").mapInArrow(check, "x bigint, y bigint")
 
 
-def _lead_pairs(reps: DataFrame) -> DataFrame:
-    """Neighbours in the size-sorted index lists of the first ``LEAD`` shingles, met in ``LEAD_MATCHES`` lists at least."""
+def _lead_keys(lead: np.ndarray) -> np.ndarray:
+    """A key for each pair of the lead shingles (for the one there is, if no more)."""
+    pairs = list(combinations(range(len(lead)), 2)) or [(0, 0)]
+    a, b = (lead[[p[c] for p in pairs]] for c in (0, 1))
+    return W.mix64(a * np.uint64(0x9FB21C651E98DF25) + b).view(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            heads = [np.frombuffer(v.as_buffer(), dtype=np.int64)[:LEAD] for v in batch.column(2)]
-            size = [len(h) for h in heads]
-            tokens = np.concatenate(heads) if heads else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.repeat(batch.column(0).to_numpy(), size)), pa.array(np.repeat(batch.column(1).to_numpy(), size))], ["token", "x", "n"])
 
-    lists = reps.select("doc_id", "n", "prefix").mapInArrow(run, "token bigint, x bigint, n int")
-    near = lists.withColumn("y", F.lead("x").over(Window.partitionBy("token").orderBy("n", "x"))).where("y is not null and x <> y")
-    met = near.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("met"), F.min("n").alias("n"))
-    return met.where(F.col("met") >= F.least(F.lit(LEAD_MATCHES), F.col("n"))).select("x", "y")
+def _first_links(docs: DataFrame, reps: DataFrame, k: int, levels: np.ndarray, percent: int) -> DataFrame:
+    """Links (x, y) between neighbours in size-sorted lists of sets that share two of their ``LEAD`` shingles of least hash.
 
+    A set is compared with the ``NEAR`` sets before it in its list, but for
+    those it has been joined with already. Long lists are dealt at random to
+    runs of about ``RUN`` sets; the lists of a set's other pairs are dealt
+    differently, which joins the runs of a large group."""
 
-def _blocks(reps: DataFrame, known: DataFrame) -> DataFrame:
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = [_lead_keys(np.frombuffer(v.as_buffer(), dtype=np.uint64)) for v in batch.column(2)]
+            size = [len(h) for h in first]
+            tokens = np.concatenate(first) if first else np.zeros(0, dtype=np.int64)
+            n = np.repeat(batch.column(1).to_numpy(), size)
+            # sizes in steps of the similarity; the steps of different shingles are set off against each other
+            step = np.floor(np.log(n) / np.log(100 / min(percent, 99)) + tokens % 3 / 3).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(step), pa.array(np.repeat(batch.column(0).to_numpy(), size))], ["token", "step", "id"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, recent, root = None, deque(maxlen=NEAR), {}
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for batch in batches:
+            x, y = [], []
+            token, part, ids = (batch.column(c).to_pylist() for c in (0, 1, 2))
+            for i in range(batch.num_rows):
+                if (token[i], part[i]) != run:
+                    run, root = (token[i], part[i]), {}
+                    recent.clear()
+                # a copy: the batch's memory goes when the next batch comes
+                own = _set_of(batch.column(3)[i]).copy()
+                root.setdefault(ids[i], ids[i])
+                for other, keys in reversed(recent):
+                    a, b = find(ids[i]), find(other)
+                    if a != b and links(own, keys, percent):
+                        root[max(a, b)] = min(a, b)
+                        x.append(ids[i])
+                        y.append(other)
+                recent.append((ids[i], own))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+    lists = reps.select("doc_id", "n", "lead").mapInArrow(heads, "token bigint, step int, id bigint")
+    shared = lists.groupBy("token", "step").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    part = F.pmod(F.xxhash64("id", "token"), F.ceil(F.col("m") / RUN)).cast("int")
+    dealt = keep_on_disk(lists.join(shared, ["token", "step"]).select("token", (F.col("step").cast("long") * (1 << 32) + part).alias("part"), "id"))
+    sets = _whole_sets(docs, dealt.select("id"), k, levels)
+    runs = dealt.join(sets, "id").select("token", "part", "id", "keys").repartition("token", "part")
+    return runs.sortWithinPartitions("token", "part", F.length("keys"), "id").mapInArrow(compare, "x bigint, y bigint")
+
+
+def _blocks(reps: DataFrame) -> DataFrame:
     """Index lists as blocks of at most ``BLOCK`` postings sorted by component and size.
 
     A list of an overfull slot is dealt to several tasks by the set's component
@@ -248,8 +324,7 @@ def _blocks(reps: DataFrame, known: DataFrame) -> DataFrame:
             yield _pack(rows[:old], True)
             yield _pack(rows[old:], False)
 
-    joined = reps.join(known, reps["doc_id"] == known["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp"), "n", "prefix")
-    lists = joined.mapInArrow(explode, "token bigint, comp bigint, n int, pos int, x bigint, common int")
+    lists = reps.select("doc_id", "comp", "n", "prefix").mapInArrow(explode, "token bigint, comp bigint, n int, pos int, x bigint, common int")
     dealt = F.when(F.col("common") > 0, F.pmod(F.xxhash64("comp", "n"), F.lit(64))).otherwise(0)
     return lists.repartition("token", dealt).sortWithinPartitions("token", "comp", "n").mapInArrow(
         cut, "token bigint, lo int, hi int, comp bigint, more boolean, rows binary"
@@ -283,44 +358,64 @@ def _pack(rows: np.ndarray, long: bool) -> pa.RecordBatch:
     )
 
 
-def block_pairs(a: np.ndarray, b: np.ndarray, percent: int, inner: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of postings (comp, n, pos, x) of two blocks that may link: (x, y, n of x, n of y), x < y."""
+def block_pairs(a: np.ndarray, b: np.ndarray, percent: int, inner: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of documents x < y from the postings (comp, n, pos, x) of two blocks of a list that may link through it.
+
+    Sets of sizes n and m with an overlap of ``need`` or more share one of the
+    first ``n - need + 1`` shingles of the one and ``m - need + 1`` of the other."""
     found = []
     for i in range(len(a)):
         c, n, pos, x = a[i]
         other = b[i + 1 :] if inner else b
-        m = other[:, 1]
+        m, at = other[:, 1], other[:, 2]
         need = least_overlap(n, m, percent)
-        bound = np.minimum(pos, other[:, 2]) + np.minimum(n - pos, m - other[:, 2])
-        hit = (other[:, 0] != c) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (bound >= need)
+        bound = np.minimum(pos, at) + np.minimum(n - pos, m - at)
+        hit = (other[:, 0] != c) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (pos <= n - need) & (at <= m - need) & (bound >= need)
         if hit.any():
-            y, ny = other[hit, 3], m[hit]
-            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y), np.where(x <= y, n, ny), np.where(x <= y, ny, n)]))
-    if not found:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none
-    out = np.concatenate(found)
+            y = other[hit, 3]
+            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+    out = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
     out = out[out[:, 0] != out[:, 1]]
-    return out[:, 0], out[:, 1], out[:, 2], out[:, 3]
+    return out[:, 0], out[:, 1]
+
+
+def enough_in_prefix(n: int, m: int, p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether the prefixes p and q of sets of sizes n and m share as many shingles as linked sets must.
 
+    Of the two prefixes, the one that ends at the smaller shingle holds all
+    common ones up to there, and what is behind it can't make up for more than
+    its rest."""
+    both = np.sort(np.concatenate([p, q]))
+    common = int((both[1:] == both[:-1]).sum())
+    need = least_overlap(n, m, percent)
+    ends_first = (n, len(p)) if p[-1] <= q[-1] else (m, len(q))
+    return common >= need - (ends_first[0] - ends_first[1])
 
-def _cross_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+
+def _cross_pairs(blocks: DataFrame, indexed: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (x, y) between components, from single blocks and from pairs of blocks of a list."""
-    names, schema = ["x", "y", "nx", "ny"], "x bigint, y bigint, nx bigint, ny bigint"
+    names, schema = ["x", "y"], "x bigint, y bigint"
 
     def postings(value: pa.Scalar) -> np.ndarray:
         return np.frombuffer(value.as_buffer(), dtype=np.int64).reshape(-1, 4)
 
+    def made(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        x, y = (np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for c in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names)
+
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for v in batch.column(0):
-                rows = postings(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in block_pairs(rows, rows, percent, True)], names)
+            yield made([block_pairs(r, r, percent, True) for r in map(postings, batch.column(0))])
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for v, w in zip(batch.column(0), batch.column(1), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in block_pairs(postings(v), postings(w), percent, False)], names)
+            yield made([block_pairs(postings(v), postings(w), percent, False) for v, w in zip(batch.column(0), batch.column(1), strict=True)])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, p, q = (batch.column(c) for c in range(2, 6))
+            keep = pa.array([enough_in_prefix(n[i].as_py(), m[i].as_py(), _set_of(p[i]), _set_of(q[i]), percent) for i in range(batch.num_rows)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names)
 
     single = blocks.where("comp is null").select("rows").mapInArrow(within, schema)
     # lists with more than one block: skip pairs of blocks of one component, or too far apart in size
@@ -333,27 +428,30 @@ def _cross_pairs(blocks: DataFrame, percent: int) -> DataFrame:
         & (100 * F.col("hi_b") >= percent * F.col("lo_a"))
     )
     several = apart.select("rows_a", "rows_b").mapInArrow(between, schema)
-    met = single.unionByName(several).groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("met"))
-    nx, ny = F.col("nx"), F.col("ny")
-    need = F.ceil(percent * (nx + ny) / (100 + percent) - 1e-9)
-    least = F.least(*[need - F.ceil(percent * n / 100 - 1e-9) + 1 for n in (nx, ny)])
-    return met.where(F.col("met") >= least).select("x", "y")
+    met = keep_on_disk(single.unionByName(several).distinct())
+    named = met.select(F.col("x").alias("doc_id")).unionByName(met.select(F.col("y").alias("doc_id"))).distinct()
+    heads = indexed.select("doc_id", "n", "prefix").join(named, "doc_id")
+    left, right = (heads.select(F.col("doc_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("prefix").alias(f"prefix_{s}")) for s in names)
+    return met.join(left, "x").join(right, "y").select("x", "y", "n_x", "n_y", "prefix_x", "prefix_y").mapInArrow(check, schema).distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked doc_id) for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     levels = slot_levels(slot_loads(docs, k))
     sets = keep_on_disk(_sets(docs, k, levels, percent))
     usable = sets.where("n > 0 and doc_id is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    member = usable.select("doc_id", "digest").join(classes, "digest")
+    member = usable.select("doc_id", "digest", "n", "lead").join(classes, "digest")
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("x"), F.col("rep").alias("y"))
-    reps = usable.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"])
+    reps = keep_on_disk(member.where("doc_id = rep").drop("rep"))
 
-    first = keep_on_disk(_linked(docs, keep_on_disk(_lead_pairs(reps)), reps, k, levels, percent))
+    first = keep_on_disk(_first_links(docs, reps, k, levels, percent))
     known = components(first)
-    cross = keep_on_disk(_cross_pairs(keep_on_disk(_blocks(reps, known)), percent))
-    second = _linked(docs, cross, reps, k, levels, percent)
+    placed = reps.join(known, reps["doc_id"] == known["node"], "left").select("doc_id", "digest", F.coalesce("component", "doc_id").alias("comp"))
+    indexed = usable.select("doc_id", "digest", "n", "prefix").join(placed.distinct(), ["doc_id", "digest"])
+    cross = keep_on_disk(_cross_pairs(keep_on_disk(_blocks(indexed)), usable, percent))
+    second = _linked(docs, cross, k, levels, percent)
     found = components(first.unionByName(second).unionByName(same))
     out = sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
     return out.join(found, out["doc_id"] == found["node"], "left").select(

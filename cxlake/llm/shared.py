@@ -31,6 +31,17 @@ def keep_on_disk(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python in batches of at most ``BATCH_ROWS`` (Spark's default of 10,000
+    long texts or sets would fill a worker's memory). The setting stays with the session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def id_hash(col: Column) -> Column:
     """Unsigned crc32 of an id's text: the fold of a row, on every engine."""
     return F.crc32(col.cast("string").cast("binary"))
