@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cxlake.llm.shared import components, keep_on_disk
+from cxlake.llm.shared import components, keep_on_disk, small_batches
 
 INTERVAL, LEAF, FANOUT, GRID_DIMS, BOX_DIMS = 4096, 128, 8, 6, 16
 # rounding room of box tests: far above double rounding, far below any useful distance
@@ -233,6 +233,7 @@ def join_intervals(x, y, rotation: np.ndarray, cosine: float, eps: float) -> tup
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept (vec_id = component_id) for every row of ``vectors``."""
+    small_batches(vectors.sparkSession)
     eps = float(np.sqrt(2 - 2 * cosine))
     v = vectors[vector_col]
     key = [F.when(_usable(v), h).alias(c) for c, h in (("h1", F.xxhash64(v)), ("h2", F.xxhash64(F.lit(1), v)))]

@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cxlake.llm.shared import small_batches
+
 # Tags that end a block; tags whose content is never text of the
 # page; tags kept on the container stack; containers of main text and of
 # boilerplate; words in class or id that name boilerplate.
@@ -228,6 +230,7 @@ def main_text(page: str | None, tree: Tree) -> str:
 
 def extract_pages(pages: DataFrame, tree: Tree | None = None) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``; one pass, no shuffle."""
+    small_batches(pages.sparkSession)
     tree = tree or train_tree()
     chosen = pages.select(pages["page_id"], pages["url"], pages["html"])
 

@@ -32,6 +32,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cxlake.llm.shared import keep_on_disk
+
 DIMENSIONS = ("source", "lang", "topic")
 OTHER, NULL = "(other)", "(null)"
 TEMPERATURE, KEEP, MAX_LEVELS, SEED = 0.5, 0.8, 200, 17
@@ -55,12 +57,17 @@ def topic_of(text: Column, tokens: Column) -> Column:
 
 
 def with_cells(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``_tokens`` and the level columns ``_source``, ``_lang``, ``_topic``."""
-    marked = docs.withColumn("_tokens", token_count(docs["text"]))
-    return (
-        marked.withColumn("_topic", topic_of(F.col("text"), F.col("_tokens")))
-        .withColumn("_source", F.coalesce(F.col("source").cast("string"), F.lit(NULL)))
-        .withColumn("_lang", F.coalesce(F.col("lang").cast("string"), F.lit(NULL)))
+    """Every row of ``docs`` as the struct ``row``, with ``tokens`` and the levels ``_source``, ``_lang`` and ``_topic``.
+
+    (A struct, so that no column of ``docs`` can clash with a computed one.)"""
+    tokens = token_count(docs["text"])
+    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), tokens.alias("tokens"))
+    return marked.select(
+        "row",
+        "tokens",
+        F.coalesce(F.col("row")["source"].cast("string"), F.lit(NULL)).alias("_source"),
+        F.coalesce(F.col("row")["lang"].cast("string"), F.lit(NULL)).alias("_lang"),
+        topic_of(F.col("row")["text"], F.col("tokens")).alias("_topic"),
     )
 
 
@@ -133,13 +140,14 @@ def mix(
     max_levels: int = MAX_LEVELS,
     seed: int = SEED,
 ) -> DataFrame:
-    """The sampled rows of ``docs`` with their level columns, ``tokens``, ``weight`` and ``probability``.
+    """The sampled rows of ``docs`` (``row``) with their levels, ``tokens``, ``weight`` and ``probability``.
 
     ``targets``: token shares per level for any of the dimensions; the others are flattened."""
     marked = with_cells(docs)
     levels = [f"_{d}" for d in DIMENSIONS]
-    counted = marked.groupBy(*levels).agg(F.sum("_tokens").alias("tokens"))
-    large = {d: _large_levels(counted, d, max_levels) for d in ("source", "lang")}
+    # one pass over the texts; a row per combination that occurs
+    counted = keep_on_disk(marked.groupBy(*levels).agg(F.sum("tokens").alias("tokens")))
+    large = {d: [*_large_levels(counted, d, max_levels), *(targets or {}).get(d, {})] for d in ("source", "lang")}
 
     def fold(frame: DataFrame) -> DataFrame:
         for d in ("source", "lang"):
@@ -159,18 +167,17 @@ def mix(
 
     table = [(*c, float(w), float(p)) for c, w, p in zip(cells, weight, rates, strict=True)]
     rate_of = docs.sparkSession.createDataFrame(table, "_source string, _lang string, _topic string, weight double, probability double")
-    uniform = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    uniform = F.pmod(F.xxhash64(F.col("row")["doc_id"], F.col("row")["text"], F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
     # bounded by the levels, see above
     return fold(marked).join(F.broadcast(rate_of), levels).where(uniform < F.col("probability"))
 
 
 def sampled_documents(docs: DataFrame, **options) -> DataFrame:
     """Documents that stay, in the columns of ``docs``."""
-    return mix(docs, **options).select(*docs.columns)
+    return mix(docs, **options).select("row.*")
 
 
 def sample_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, lang, topic, tokens, weight and probability of every sampled document."""
-    return mix(docs, **options).select(
-        "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), "weight", "probability"
-    )
+    levels = [F.col(f"_{d}").alias(d) for d in DIMENSIONS]
+    return mix(docs, **options).select(F.col("row")["doc_id"].alias("doc_id"), *levels, "tokens", "weight", "probability")
