@@ -106,7 +106,7 @@ def rake(cells: Sequence[Sequence[str]], tokens: np.ndarray, targets: Sequence[M
         for level, share, n in steps:
             now = np.bincount(level, weights=weight, minlength=n)
             factor = np.divide(share, now, out=np.zeros(n), where=now > 0)
-            off = max(off, float(np.abs(now - share).max()))
+            off = max(off, float(np.abs(now - share).max(initial=0.0)))
             weight = weight * factor[level]
         if off < close:
             break
