@@ -61,8 +61,55 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+# op7: per kind, gaps and matches of a split by the pattern; the link test is a
+# range window over the parts of a document.
+SECRETS = (
+    (r"""(?i:password|passwd|secret|token|api_?key)["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 1, "length(v[i]) >= 6"),
+    (r"AKIA[A-Z0-9]{16,}", 0, "true"),
+    (r"[0-9a-f]{24,}", 0, "true"),
+    (r"[A-Za-z0-9+/_=-]{28,}", 0, "regexp_matches(v[i], '[0-9]') AND regexp_matches(v[i], '[A-Z]') AND regexp_matches(v[i], '[a-z]')"),
+    (r"""(?i:user(?:name)?|login|client_?id|account)["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9_.@-]+)""", 1, "length(v[i]) >= 3"),
+    (r"(?:https?|ftp|s3|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+", 0, "true"),
+)
+
+
+def _secret_hits(kind: int) -> str:
+    pattern, group, ok = SECRETS[kind]
+    p = pattern.replace("\\'", "''")
+    return (
+        f"SELECT doc_id, {kind} AS kind, i, length(g[i]) AS gap, length(m[i]) AS len, {ok} AS ok FROM ("
+        f"SELECT doc_id, m, v, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{p}', 0) AS m, "
+        f"regexp_extract_all(t, '{p}', {group}) AS v, string_split_regex(t, '{p}') AS g FROM texts))"
+    )
+
+
+SECRET_SCAN = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), hits AS ({" UNION ALL ".join(_secret_hits(k) for k in range(len(SECRETS)))}
+), placed AS (
+  SELECT doc_id, if(ok, kind, NULL) AS part, sum(gap + len) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e, len FROM hits
+), parts AS (SELECT doc_id, part, CAST(e - len AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM placed WHERE part IS NOT NULL
+), met AS (
+  SELECT *, coalesce(bool_or(part IN (0, 2, 3)) OVER near, false) AS secret, coalesce(bool_or(part IN (1, 4)) OVER near, false) AS ident,
+    coalesce(bool_or(part = 5) OVER near, false) AS endpoint,
+    coalesce((SELECT bool_or(b.s < p.e AND b.e > p.s) FROM parts b WHERE b.doc_id = p.doc_id AND b.part < 3), false) AS inside
+  FROM parts p WINDOW near AS (PARTITION BY doc_id ORDER BY s RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)
+), found AS (
+  SELECT doc_id, part, s, concat(['assign', 'access', 'hex', 'linked_secret', 'linked_account', 'linked_endpoint'][part + 1], ':', s, ':', e) AS span
+  FROM met WHERE part < 3 OR (NOT inside AND CASE part WHEN 3 THEN ident OR endpoint WHEN 4 THEN secret ELSE ident AND secret END)
+), sums AS (
+  SELECT doc_id, count(*) FILTER (part = 0) AS a, count(*) FILTER (part = 1) AS b, count(*) FILTER (part = 2) AS c,
+    string_agg(span, ',' ORDER BY s, part) FILTER (part < 3) AS base, string_agg(span, ',' ORDER BY s, part) AS spans
+  FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN sums USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_embedding_join": EMBEDDING_JOIN,
     "op5_ngram_join": NGRAM_JOIN,
+    "op7_secret_scan": SECRET_SCAN,
     "op10_chat_format": CHAT_FORMAT,
 }

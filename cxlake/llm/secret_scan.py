@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-# Weak parts of a multipart credential.
-OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])(?=[a-z0-9+/_=-]{0,40}[A-Z])[A-Za-z0-9+/_=-]{28,}"
+# Weak parts of a multipart credential. An opaque string is a long run that has
+# a digit, a capital and a small letter.
+OPAQUE = r"[A-Za-z0-9+/_=-]{28,}"
 ACCOUNT = r"""((?i:user(?:name)?|login|client_?id|account))["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]+)"""
 ENDPOINT = r"""(?:https?|ftp|s3|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+"""
 
@@ -43,6 +44,7 @@ KINDS = ("assign", "access", "hex", "linked_secret", "linked_account", "linked_e
 BASE_KINDS = 3
 # per kind: pattern, group whose length counts, and least length (the pattern enforces it where 0)
 PATTERNS = ((ASSIGN, 2, 6), (ACCESS, 0, 0), (HEX, 0, 0), (OPAQUE, 0, 0), (ACCOUNT, 2, 3), (ENDPOINT, 0, 0))
+OPAQUE_KIND = 3
 SCOPE = 200
 
 MATCH = "array<struct<kind:int,nth:int,gap:int,len:int,ok:boolean>>"
@@ -59,6 +61,12 @@ def _parts(text: Column, kind: int, whole: Column, counted: Column) -> Column:
     """Per match: kind, its place among the matches, gap before it, length, and whether it is long enough."""
     pattern, _, least = PATTERNS[kind]
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(whole))
+
+    def ok(value: Column) -> Column:
+        if kind == OPAQUE_KIND:
+            return value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")
+        return F.char_length(value) >= least
+
     rows = F.transform(
         F.arrays_zip(gaps.alias("gap"), whole.alias("hit"), counted.alias("value")),
         lambda m, i: F.struct(
@@ -66,7 +74,7 @@ def _parts(text: Column, kind: int, whole: Column, counted: Column) -> Column:
             i.cast("int").alias("nth"),
             F.char_length(m["gap"]).alias("gap"),
             F.char_length(m["hit"]).alias("len"),
-            (F.char_length(m["value"]) >= least).alias("ok"),
+            ok(m["value"]).alias("ok"),
         ),
     )
     return F.when(F.size(whole) > 0, rows).otherwise(F.array().cast(MATCH))
