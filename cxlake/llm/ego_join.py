@@ -32,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,43 +92,29 @@ def _intervals(entries: DataFrame, width: int, rotation: np.ndarray, eps: float)
             grid = np.floor(u @ rotation[:, :dims] / eps).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(grid[:, i]) for i in range(dims)]], ["entry", "copies", "vector", *order])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId(), 0
-        ids, copies, rows = [], [], []
-
-        def out(n: int) -> pa.RecordBatch:
-            nonlocal ids, copies, rows, made
-            i, c, u = np.concatenate(ids), np.concatenate(copies), np.concatenate(rows)
-            ids, copies, rows = [i[n:]], [c[n:]], [u[n:]]
-            made += 1
-            r = u[:n] @ rotation[:, :kept]
-            boxes = [pa.array([x.tolist()], pa.list_(pa.float64())) for x in (r.min(axis=0), r.max(axis=0))]
-            data = [pa.array([x[:n].tobytes()], pa.binary()) for x in (i, c, u)]
-            return pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([made - 1], pa.int32()), *boxes, *data], ["task", "nth", "lo", "hi", "ids", "copies", "rows"])
-
-        for batch in batches:
-            if batch.num_rows:
-                ids.append(batch.column(0).to_numpy())
-                copies.append(batch.column(1).to_numpy())
-                rows.append(_unit(_matrix(batch.column(2), width)))
-                while sum(map(len, ids)) >= INTERVAL:
-                    yield out(INTERVAL)
-        if left := sum(map(len, ids)):
-            yield out(left)
+    def build(part: pa.Table) -> pa.Table:
+        ids, copies = (part.column(c).to_numpy() for c in ("entry", "copies"))
+        u = _unit(_matrix(part.column("vector").combine_chunks(), width))
+        r = u @ rotation[:, :kept]
+        boxes = [pa.array([x.tolist()], pa.list_(pa.float64())) for x in (r.min(axis=0), r.max(axis=0))]
+        data = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (ids, copies, u)]
+        return pa.Table.from_arrays([part.column("number").combine_chunks().slice(0, 1), *boxes, *data], ["number", "lo", "hi", "ids", "copies", "rows"])
 
     vector_type = entries.schema["vector"].dataType.simpleString()
     placed = entries.select("entry", "copies", "vector").mapInArrow(cells, f"entry bigint, copies bigint, vector {vector_type}, " + ", ".join(f"{c} int" for c in order))
     sequence = placed.repartitionByRange(*order, "entry").sortWithinPartitions(*order, "entry").select("entry", "copies", "vector")
-    made = keep_on_disk(sequence.mapInArrow(cut, "task int, nth int, lo array<double>, hi array<double>, ids binary, copies binary, rows binary"))
+    task = F.spark_partition_id().cast("long")
+    sequence = keep_on_disk(sequence.withColumn("task", task).withColumn("nth", F.monotonically_increasing_id() - F.shiftleft(task, 33)))
 
-    # consecutive numbers in sequence order; one row per task that made intervals
-    per_task = sorted((r["task"], r["n"]) for r in made.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect())
+    # places in the whole sequence, from one count a task
     start, starts = 0, []
-    for task, n in per_task:
-        starts.append((task, start))
-        start += n
-    offsets = made.sparkSession.createDataFrame(starts, "task int, start bigint")
-    return made.join(F.broadcast(offsets), "task").select((F.col("start") + F.col("nth")).alias("number"), "lo", "hi", "ids", "copies", "rows")
+    for row in sequence.groupBy("task").agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect():
+        starts.append((row["task"], start))
+        start += row["n"]
+    offsets = entries.sparkSession.createDataFrame(starts, "task bigint, start bigint")
+    number = F.floor((F.col("start") + F.col("nth")) / INTERVAL).cast("long")
+    numbered = sequence.join(F.broadcast(offsets), "task").select(number.alias("number"), "entry", "copies", "vector")
+    return numbered.groupBy("number").applyInArrow(build, "number bigint, lo array<double>, hi array<double>, ids binary, copies binary, rows binary")
 
 
 def _box_apart(a: str, b: str) -> Column:
