@@ -33,13 +33,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat a doc_id are one document; rows without a doc_id have no group and stay."""
-    docs = docs.select(*COLUMNS)
-    found = ngram_join.jaccard_components(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
-    named = docs.where("doc_id is not null")
-    kept = named.join(others, named["doc_id"] == others["_other"], "left_anti").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    return ngram_join.representatives(docs.select(*COLUMNS), SHINGLE_WORDS, SIMILARITY_PERCENT)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

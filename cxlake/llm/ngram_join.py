@@ -457,3 +457,34 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     return out.join(found, out["doc_id"] == found["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def _by_marks(docs: DataFrame, marks: np.ndarray, marked: bool) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in the bitmap (``marked``), or is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column(batch.num_columns - 1).to_numpy()
+            hit = (marks[slot >> 3] >> (slot & 7) & 1).astype(bool)
+            out = batch.filter(pa.array(hit if marked else ~hit))
+            yield pa.RecordBatch.from_arrays(out.columns[:-1], names)
+
+    names = docs.columns
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(MARKS))
+    return docs.where("doc_id is not null").withColumn("_slot", slot).mapInArrow(run, docs.schema)
+
+
+def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near duplicates: the one whose doc_id is the component's.
+
+    Rows that repeat a doc_id are one document, of which one row stays; rows
+    without a doc_id have no group and all stay. Only rows that may have to go
+    (told by a bitmap of their ids) are shuffled; the other texts stay where
+    they are read."""
+    found = keep_on_disk(jaccard_components(docs, k, percent))
+    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("id"))
+    repeated = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id")
+    marks = _marks(others.unionByName(repeated))
+    suspects = _by_marks(docs, marks, True)
+    kept = suspects.join(others, suspects["doc_id"] == others["id"], "left_anti").dropDuplicates(["doc_id"])
+    return _by_marks(docs, marks, False).unionByName(kept).unionByName(docs.where("doc_id is null"))
