@@ -29,7 +29,6 @@ EXCLUDED_CLASSES: tuple[str, ...] = ("n/a", "N/A", "N/a", "n/A")
 DECIMALS = 3
 
 USER_FIELDS: tuple[str, ...] = ("user", "usuario", "username", "user_id")
-DETAIL_COLUMNS = ("Mes", "Clasificacion", "OT", "Valor_Declarado_CLP", "Fecha_Creacion", "Usuario")
 
 
 def _col_or_null(df: DataFrame, name: str) -> tuple[Column, T.DataType]:

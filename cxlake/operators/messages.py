@@ -29,7 +29,6 @@ DEDUP_KEY = (
     "conversation_expires_at",
     "conversation_updated_at",
 )
-FLAG_SUMS = ("pidio_datos", "ss_creacion_reclamo", "error_reclamos")
 
 
 def lookback(df: DataFrame, column: str, as_of: str | Column | None, days: int) -> DataFrame:

@@ -2,9 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
-from cxlake.operators import dashboard, messages, sessions, surveys
+from cxlake.operators import dashboard, messages, sessions
 
 MSG_SCHEMA = (
     "session_id STRING, balancer_mongo_id STRING, role STRING, content STRING, message_timestamp TIMESTAMP_NTZ, "
