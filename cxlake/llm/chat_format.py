@@ -27,7 +27,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TURNS = "array<struct<role:string,text:string>>"
 START, END = "<|im_start|>", "<|im_end|>\n"
 START_PATTERN, END_PATTERN = r"<\|im_start\|>", r"<\|im_end\|>\n"
 # Control strings of common chat templates, by their first character.
