@@ -261,8 +261,9 @@ def q_table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Any ten rows: how many there are, and how many of them the table has."""
     _detail(spark, sf_dir).createOrReplaceTempView(DETAIL_VIEW)
     sample = scans.table_sample(spark, DETAIL_VIEW)
-    rows, found = (f.agg(F.count(F.lit(1)).alias(c)) for f, c in ((sample, "n_rows"), (sample.intersect(spark.table(DETAIL_VIEW)), "n_in_table")))
-    return rows.crossJoin(found)  # one row each
+    found = sample.intersect(spark.table(DETAIL_VIEW))
+    both = sample.select(F.lit(1).alias("drawn"), F.lit(0).alias("there")).unionAll(found.select(F.lit(0), F.lit(1)))
+    return both.agg(F.sum("drawn").alias("n_rows"), F.sum("there").alias("n_in_table"))
 
 
 def q_clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
