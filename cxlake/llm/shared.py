@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -31,15 +32,26 @@ def keep_on_disk(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-BATCH_ROWS = 1000
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are on disk by now.
+
+    They go when the driver's garbage is collected, which a driver with little
+    to do may put off while the executors' disks fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 1000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Send rows to Python in batches of at most ``BATCH_ROWS`` (Spark's default of 10,000
-    long texts or sets would fill a worker's memory). The setting stays with the session."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Send rows to Python in batches of about ``BATCH_BYTES`` (Spark's default of 64 MB would
+    take much of a worker's memory). The setting stays with the session."""
+    size, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(size, None) is not None:
+        spark.conf.set(size, str(BATCH_BYTES))
+    elif not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:  # versions that count rows only
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def id_hash(col: Column) -> Column:
@@ -50,23 +62,32 @@ def id_hash(col: Column) -> Column:
 FOLDS = 5
 
 
-def labelled_sample(rows: DataFrame, labels: DataFrame, label: str, most: int) -> pd.DataFrame:
-    """Up to ``most`` rows for each value 0 and 1 of ``labels[label]``, outside fold 0, as pandas with column ``label``.
+def sample_ids(labels: DataFrame, label: str, most: int) -> DataFrame:
+    """(_id, label): up to ``most`` ids for each value 0 and 1 of ``labels[label]``, outside fold 0.
 
-    The rows with the lowest id hashes are taken, so the sample is the same on
-    every run; ids whose labels contradict each other are left out."""
-    l = (
-        labels.where(F.col(label).isin(0, 1) & (id_hash(F.col("doc_id")) % FOLDS != 0))
-        .groupBy(F.col("doc_id").alias("_label_id"))
-        .agg(F.min(label).alias("label"), F.max(label).alias("_most"))
+    The ids with the lowest hashes are taken, so the sample is the same on every
+    run; ids whose labels contradict each other are left out. The driver gets
+    little more than the sample: a hash threshold from the counts thins the ids
+    before they are ordered."""
+    known = keep_on_disk(
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % FOLDS != 0))
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("_most"))
         .where(F.col("label") == F.col("_most"))
-        .drop("_most")
+        .select("_id", "label", F.pmod(F.xxhash64("_id"), F.lit(1 << 40)).alias("_place"))
     )
-    joined = rows.join(l, rows["doc_id"] == l["_label_id"]).drop("_label_id")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    parts = [joined.where(F.col("label") == v).orderBy(*order).limit(most) for v in (0, 1)]
-    out = parts[0].unionByName(parts[1]).toPandas()
-    return out.sort_values(["label", "doc_id"], kind="stable").reset_index(drop=True)
+    rows = []
+    for value, n in known.groupBy("label").count().collect():
+        enough = min(1.0, (most + 8 * most**0.5 + 8) / n)
+        few = known.where((F.col("label") == value) & (F.col("_place") < int(enough * (1 << 40)) + 1))
+        rows += [(r["_id"], r["label"]) for r in few.orderBy("_place", "_id").limit(most).collect()]
+    return labels.sparkSession.createDataFrame(sorted(rows), f"_id {known.schema['_id'].dataType.simpleString()}, label int")
+
+
+def labelled_sample(rows: DataFrame, ids: DataFrame) -> pd.DataFrame:
+    """One row of ``rows`` for each sampled id, with its ``label``, as pandas (bounded by the sample)."""
+    found = rows.join(F.broadcast(ids), rows["doc_id"] == ids["_id"]).drop("_id").dropDuplicates(["doc_id"]).toPandas()
+    return found.sort_values("doc_id", kind="stable").reset_index(drop=True)
 
 
 def spanning_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 
 MASK = (1 << 64) - 1
 SEGMENT = 1 << 18
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
