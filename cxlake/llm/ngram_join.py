@@ -37,6 +37,7 @@ repeat a doc_id are one node holding the links of all its texts.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import deque
 from collections.abc import Iterator
 from itertools import combinations
@@ -47,9 +48,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cxlake.llm import wordhash as W
-from cxlake.llm.shared import components, keep_on_disk, small_batches
+from cxlake.llm.shared import components, keep_on_disk, release_shuffles, small_batches
 
-SLOT_BITS, CHUNK_BITS, LEVEL_SHIFT = 20, 11, 58
+SLOT_BITS, CHUNK_BITS, LEVEL_SHIFT = 22, 13, 58
 SLOTS = 1 << SLOT_BITS
 LEAD, NEAR, RUN, BLOCK = 4, 64, 2000, 2048
 HASH = np.uint64((1 << LEVEL_SHIFT) - 1)
@@ -84,26 +85,40 @@ def slot_loads(docs: DataFrame, k: int) -> np.ndarray:
     """Shingle occurrences of all documents per hash slot (a fixed-size table, summed on the executors)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = np.zeros(SLOTS, dtype=np.int32)
+        load, held, size = np.zeros(SLOTS, dtype=np.int32), [], 0
+
+        def add_held() -> None:
+            nonlocal held, size
+            if held:
+                slots, n = np.unique(np.concatenate(held), return_counts=True)
+                load[slots] += n.astype(np.int32)
+            held, size = [], 0
+
         for batch in batches:
             for _, grams, _ in shingles(batch.column(0), k):
-                load += np.bincount((grams >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=SLOTS).astype(np.int32)
+                held.append((grams >> np.uint64(64 - SLOT_BITS)).astype(np.int32))
+                size += len(grams)
+                if size > 1 << 20:
+                    add_held()
+        add_held()
         parts = load.reshape(-1, 1 << CHUNK_BITS)
         used = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([parts[i].tobytes() for i in used], pa.binary())], ["part", "load"])
+        for a in range(0, len(used), 64):
+            some = used[a : a + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in some], pa.binary())], ["part", "load"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, load in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                row = np.frombuffer(load.as_py(), dtype=np.int32)
+                row = np.frombuffer(zlib.decompress(load.as_py()), dtype=np.int32)
                 sums[part] = sums[part] + row if part in sums else row.astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "load"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())], ["part", "load"])
 
     counted = docs.select(docs["text"]).mapInArrow(count, "part int, load binary")
     total = np.zeros((SLOTS >> CHUNK_BITS, 1 << CHUNK_BITS), dtype=np.int64)
     for row in counted.repartition("part").mapInArrow(add, "part int, load binary").collect():  # SLOTS longs at most
-        total[row["part"]] += np.frombuffer(row["load"], dtype=np.int64)
+        total[row["part"]] += np.frombuffer(zlib.decompress(bytes(row["load"])), dtype=np.int64)
     return total.reshape(-1)
 
 
@@ -327,7 +342,7 @@ def _blocks(reps: DataFrame) -> DataFrame:
     lists = reps.select("doc_id", "comp", "n", "prefix").mapInArrow(explode, "token bigint, comp bigint, n int, pos int, x bigint, common int")
     dealt = F.when(F.col("common") > 0, F.pmod(F.xxhash64("comp", "n"), F.lit(64))).otherwise(0)
     return lists.repartition("token", dealt).sortWithinPartitions("token", "comp", "n").mapInArrow(
-        cut, "token bigint, lo int, hi int, comp bigint, more boolean, rows binary"
+        cut, "token bigint, lo int, hi int, comp bigint, more boolean, members binary, rows binary"
     )
 
 
@@ -335,9 +350,9 @@ def _pack(rows: np.ndarray, long: bool) -> pa.RecordBatch:
     """Sorted postings (token, comp, n, pos, x) -> block rows.
 
     ``comp`` is null unless the block has one component; ``more``: the list may
-    have other blocks (``long``: it is known to). Blocks that can give no pair
-    are left out."""
-    token, lo, hi, comp, more, data = [], [], [], [], [], []
+    have other blocks (``long``: it is known to); ``members``: digest of its sets.
+    Blocks that can give no pair are left out."""
+    token, lo, hi, comp, more, members, data = [], [], [], [], [], [], []
     edges = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0], [True]])) if len(rows) else np.zeros(0, dtype=np.int64)
     size = np.diff(edges)
     for a, m in zip(edges[:-1].tolist(), size.tolist(), strict=True):
@@ -351,10 +366,11 @@ def _pack(rows: np.ndarray, long: bool) -> pa.RecordBatch:
             hi.append(int(part[:, 2].max()))
             comp.append(int(part[0, 1]) if part[0, 1] == part[-1, 1] else None)
             more.append(others)
+            members.append(hashlib.blake2b(np.ascontiguousarray(part[:, 4]).tobytes(), digest_size=16).digest())
             data.append(np.ascontiguousarray(part[:, 1:]).tobytes())
     return pa.RecordBatch.from_arrays(
-        [pa.array(token, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(comp, pa.int64()), pa.array(more, pa.bool_()), pa.array(data, pa.binary())],
-        ["token", "lo", "hi", "comp", "more", "rows"],
+        [pa.array(token, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(comp, pa.int64()), pa.array(more, pa.bool_()), pa.array(members, pa.binary()), pa.array(data, pa.binary())],
+        ["token", "lo", "hi", "comp", "more", "members", "rows"],
     )
 
 
@@ -417,7 +433,12 @@ def _cross_pairs(blocks: DataFrame, indexed: DataFrame, percent: int) -> DataFra
             keep = pa.array([enough_in_prefix(n[i].as_py(), m[i].as_py(), _set_of(p[i]), _set_of(q[i]), percent) for i in range(batch.num_rows)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names)
 
-    single = blocks.where("comp is null").select("rows").mapInArrow(within, schema)
+    mixed = blocks.where("comp is null")
+    # lists of the same sets (those of a passage that they share) answer alike:
+    # the first shingle's list has the best positions of all
+    first = F.min_by("rows", F.col("token").bitwiseXOR(F.lit(-(1 << 63))))
+    alone = mixed.where("not more").groupBy("members").agg(first.alias("rows")).select("rows")
+    single = alone.unionByName(mixed.where("more").select("rows")).mapInArrow(within, schema)
     # lists with more than one block: skip pairs of blocks of one component, or too far apart in size
     numbered = blocks.where("more").withColumn("block", F.xxhash64("rows"))
     a, b = (numbered.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("lo", "hi", "comp", "block", "rows")]) for s in "ab")
@@ -429,8 +450,9 @@ def _cross_pairs(blocks: DataFrame, indexed: DataFrame, percent: int) -> DataFra
     )
     several = apart.select("rows_a", "rows_b").mapInArrow(between, schema)
     met = keep_on_disk(single.unionByName(several).distinct())
-    named = met.select(F.col("x").alias("doc_id")).unionByName(met.select(F.col("y").alias("doc_id"))).distinct()
-    heads = indexed.select("doc_id", "n", "prefix").join(named, "doc_id")
+    release_shuffles(met.sparkSession)
+    named = met.select(F.col("x").alias("id")).unionByName(met.select(F.col("y").alias("id")))
+    heads = _by_marks(indexed.select("doc_id", "n", "prefix"), _marks(named), True)
     left, right = (heads.select(F.col("doc_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("prefix").alias(f"prefix_{s}")) for s in names)
     return met.join(left, "x").join(right, "y").select("x", "y", "n_x", "n_y", "prefix_x", "prefix_y").mapInArrow(check, schema).distinct()
 
@@ -448,11 +470,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
     first = keep_on_disk(_first_links(docs, reps, k, levels, percent))
     known = components(first)
+    release_shuffles(docs.sparkSession)
     placed = reps.join(known, reps["doc_id"] == known["node"], "left").select("doc_id", "digest", F.coalesce("component", "doc_id").alias("comp"))
     indexed = usable.select("doc_id", "digest", "n", "prefix").join(placed.distinct(), ["doc_id", "digest"])
-    cross = keep_on_disk(_cross_pairs(keep_on_disk(_blocks(indexed)), usable, percent))
+    blocks = keep_on_disk(_blocks(indexed))
+    release_shuffles(docs.sparkSession)
+    cross = keep_on_disk(_cross_pairs(blocks, usable, percent))
+    release_shuffles(docs.sparkSession)
     second = _linked(docs, cross, k, levels, percent)
     found = components(first.unionByName(second).unionByName(same))
+    release_shuffles(docs.sparkSession)
     out = sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
     return out.join(found, out["doc_id"] == found["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
