@@ -14,9 +14,13 @@ a dimension share one level, ``(other)``, so the cell table is bounded by
 that occur. Nothing is dropped by that: documents of such levels are
 weighted together.
 
-Probabilities are the calibrated rates scaled to ``keep`` of all tokens and
-capped at 1; what the cap takes from a cell is given to the others (every
-document is kept at most once).
+``keep`` of all tokens are kept, every document at most once: no level can get
+more than its own tokens over those kept. Wanted shares above that are set to it,
+and the other levels share the rest in their wanted proportions (``reachable``).
+Cells are raked under the same bound (weight <= tokens over tokens kept), so the
+probabilities follow from the weights without a further cap and the kept tokens
+meet the targets. Where the bounds of the cells allow no such table, the targets
+move towards the data's shares, by the least of 64 even steps that does.
 
 Defined results: null sources, languages and texts are levels of their own
 (``(null)``; a null or empty text has no tokens and the topic ``empty``);
@@ -113,6 +117,87 @@ def rake(cells: Sequence[Sequence[str]], tokens: np.ndarray, targets: Sequence[M
     return weight / max(weight.sum(), 1e-300)
 
 
+def reachable(wanted: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Shares in proportion to ``wanted``, none above ``most`` (which sums to 1 or more)."""
+    full = np.zeros(len(wanted), dtype=bool)
+    while not full.all():
+        scale = (1 - most[full].sum()) / max(wanted[~full].sum(), 1e-300)
+        over = ~full & (wanted * scale > most)
+        if not over.any():
+            return np.where(full, most, wanted * scale)
+        full |= over
+    return most
+
+
+def _capped_rake(bound: np.ndarray, levels: Sequence[np.ndarray], targets: Sequence[np.ndarray], rounds: int, close: float) -> np.ndarray | None:
+    """Weights min(bound, bound * product of the levels' factors) that meet ``targets``, or None.
+
+    A level's factor takes the Newton step of its share where that has a
+    solution, else the proportional one; neither oversteps, so the rounds converge
+    whenever some table within the bounds meets the targets."""
+    factors = [np.full(len(t), 1.0) for t in targets]
+    for _ in range(rounds):
+        off = 0.0
+        for d, (level, target) in enumerate(zip(levels, targets, strict=True)):
+            rate = np.prod([f[at] for f, at in zip(factors, levels, strict=True)], axis=0)
+            now = np.bincount(level, weights=bound * np.minimum(rate, 1), minlength=len(target))
+            capped = np.bincount(level, weights=np.where(rate >= 1, bound, 0), minlength=len(target))
+            off = max(off, float(np.abs(now - target).sum()))
+            free = now - capped
+            newton = (target > capped) & (free > 1e-15)
+            step = np.where(newton, (target - capped) / np.where(newton, free, 1), target / np.maximum(now, 1e-300))
+            factors[d] = np.clip(factors[d] * step, 1e-100, 1e100)
+        if off < close:
+            return bound * np.minimum(np.prod([f[at] for f, at in zip(factors, levels, strict=True)], axis=0), 1)
+    return None
+
+
+ROUNDS, CLOSE, STEPS = 200, 1e-5, 64
+
+
+def rake_within(
+    cells: Sequence[Sequence[str]], tokens: np.ndarray, targets: Sequence[Mapping[str, float]], keep: float
+) -> tuple[np.ndarray, list[dict[str, float]]]:
+    """(weights, targets met): token weights of the cells, none above its tokens over ``keep`` of all tokens.
+
+    Cells of a level without a target get no weight; if fewer tokens are left than
+    ``keep`` asks for, all of them stay."""
+    usable = (tokens > 0) & np.array([all(t.get(n, 0.0) > 0 for t, n in zip(targets, c, strict=True)) for c in cells], dtype=bool)
+    weight = np.zeros(len(tokens))
+    if not usable.any():
+        return weight, [{} for _ in targets]
+    part = tokens[usable]
+    bound = part / min(keep * tokens.sum(), part.sum())
+    names, levels, data, best = [], [], [], []
+    for d, target in enumerate(targets):
+        found, level = np.unique([c[d] for c, u in zip(cells, usable, strict=True) if u], return_inverse=True)
+        most = np.bincount(level, weights=bound)
+        names.append(found)
+        levels.append(level)
+        data.append(most / most.sum())
+        best.append(reachable(np.array([target[n] for n in found]), most))
+
+    def towards(step: int) -> list[np.ndarray]:
+        return [(1 - step / STEPS) * x + step / STEPS * y for x, y in zip(data, best, strict=True)]
+
+    def attempt(step: int) -> np.ndarray | None:
+        return _capped_rake(bound, levels, towards(step), ROUNDS, CLOSE) if step else bound / bound.sum()
+
+    met, out = STEPS, attempt(STEPS)
+    if out is None:
+        met, no = 0, STEPS
+        out = attempt(0)
+        while no - met > 1:
+            step = (met + no) // 2
+            tried = attempt(step)
+            if tried is None:
+                no = step
+            else:
+                met, out = step, tried
+    weight[usable] = out / out.sum()
+    return weight, [dict(zip(n.tolist(), t.tolist(), strict=True)) for n, t in zip(names, towards(met), strict=True)]
+
+
 def keep_rates(weight: np.ndarray, tokens: np.ndarray, keep: float) -> np.ndarray:
     """Probabilities in proportion to weight / tokens, capped at 1, that keep ``keep`` of all tokens."""
     some = (tokens > 0) & (weight > 0)
@@ -142,7 +227,8 @@ def mix(
 ) -> DataFrame:
     """The sampled rows of ``docs`` (``row``) with their levels, ``tokens``, ``weight`` and ``probability``.
 
-    ``targets``: token shares per level for any of the dimensions; the others are flattened."""
+    ``targets``: token shares per level for any of the dimensions; the others are flattened.
+    ``weight`` is the share of a cell in the kept tokens."""
     marked = with_cells(docs)
     levels = [f"_{d}" for d in DIMENSIONS]
     # one pass over the texts; a row per combination that occurs
@@ -162,7 +248,7 @@ def mix(
         for c, t in zip(cells, tokens, strict=True):
             sums[c[d]] = sums.get(c[d], 0.0) + t
         wanted.append((targets or {}).get(name) or flattened(sums, temperature))
-    weight = rake(cells, tokens, wanted)
+    weight, _ = rake_within(cells, tokens, wanted, keep)
     rates = keep_rates(weight, tokens, keep)
 
     table = [(*c, float(w), float(p)) for c, w, p in zip(cells, weight, rates, strict=True)]

@@ -117,6 +117,55 @@ def test_sampling_follows_the_probabilities(spark):
     assert abs(sum(r["tokens"] for r in rows if r["source"] == "src0") / kept - 0.12) < 0.05
 
 
+def test_registered_parameters_meet_their_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    levels = [f"_{d}" for d in mixing.DIMENSIONS]
+    rows = mixing.with_cells(docs).groupBy(*levels).agg({"tokens": "sum"}).collect()
+    tokens = {tuple(r)[:3]: r[3] for r in rows}
+    total = sum(tokens.values())
+    report = mixing.sample_report(docs).collect()
+    kept = sum(r["tokens"] for r in report)
+    assert abs(kept / total - mixing.KEEP) < 0.01
+    rate = {(r["source"], r["lang"], r["topic"]): (r["weight"], r["probability"]) for r in report}
+    # the weights are what the probabilities keep
+    for c, (weight, probability) in rate.items():
+        assert abs(weight - probability * tokens[c] / (mixing.KEEP * total)) < 1e-4
+    for d, name in enumerate(mixing.DIMENSIONS):
+        share = {}
+        for c, n in tokens.items():
+            share[c[d]] = share.get(c[d], 0) + n / total
+        flat = mixing.flattened(share, mixing.TEMPERATURE)
+        # what exceeds a level's own tokens goes to the others in proportion
+        most = {x: s / mixing.KEEP for x, s in share.items()}
+        low, high = 0.0, 100.0
+        for _ in range(100):
+            scale = (low + high) / 2
+            low, high = (scale, high) if sum(min(most[x], scale * f) for x, f in flat.items()) < 1 else (low, scale)
+        for x, f in flat.items():
+            target = min(most[x], low * f)
+            assert abs(sum(w for c, (w, _) in rate.items() if c[d] == x) - target) < 1e-4, (name, x)
+            assert abs(sum(r["tokens"] for r in report if r[name] == x) / kept - target) < 0.02, (name, x)
+
+
+def test_raking_within_bounds():
+    rng = np.random.default_rng(3)
+    cells = [(s, l, t) for s in "abcd" for l in "xy" for t in "uvw"]
+    tokens = rng.uniform(1, 1000, len(cells))
+    flat = [mixing.flattened({n: sum(t for c, t in zip(cells, tokens) if c[d] == n) for n in names}, 0.2) for d, names in enumerate(("abcd", "xy", "uvw"))]
+    for keep in (0.1, 0.5, 0.8, 1.0):
+        weight, met = mixing.rake_within(cells, tokens, flat, keep)
+        assert (weight <= tokens / (keep * tokens.sum()) + 1e-4).all()
+        for d, target in enumerate(met):
+            for level, share in target.items():
+                assert abs(sum(w for c, w in zip(cells, weight) if c[d] == level) - share) < 1e-4
+    # level by level in reach, but together not: x and b share no cell
+    weight, met = mixing.rake_within([("a", "x"), ("b", "y")], np.array([50.0, 50.0]), [{"a": 0.9, "b": 0.1}, {"x": 0.1, "y": 0.9}], 0.4)
+    assert np.allclose(weight, 0.5) and met == [{"a": 0.5, "b": 0.5}, {"x": 0.5, "y": 0.5}]
+    # a level without a target gets nothing
+    weight, _ = mixing.rake_within([("a",), ("b",), ("c",)], np.array([10.0, 10.0, 10.0]), [{"a": 0.3, "b": 0.7}], 0.9)
+    assert np.allclose(weight, [0.5, 0.5, 0])
+
+
 def test_mixing_awkward(spark):
     docs = awkward(spark)
     assert mixing.sampled_documents(docs, keep=1.0).count() == docs.count()
