@@ -127,6 +127,34 @@ def test_tree_classifies_its_table():
     assert all(tree.keeps(r[:-1]) == bool(r[-1]) for r in html_text.LABELLED)
 
 
+def test_neighbours_and_densities_decide():
+    tree = html_text.train_tree()
+    used = set()
+
+    def walk(node):
+        if isinstance(node, tuple):
+            used.add(html_text.FEATURES[node[0]])
+            walk(node[2])
+            walk(node[3])
+
+    walk(tree.root)
+    assert {"words", "density", "words_before", "density_before", "words_after", "density_after"} <= used
+
+    def text(page):
+        return html_text.main_text(page, tree)
+
+    long, prose = " ".join(["word"] * 200), " ".join(["more"] * 60)
+    # a long text beside an article-like container stays, a list of links inside one does not
+    assert text(f"<article><p>{prose}</article><div><p>{long}</div>") == f"{prose}\n{long}"
+    links = "".join(f"<li><a href=x>one two three four</a>" for _ in range(6))
+    assert text(f"<article><p>{prose}<p>{prose}<ul>{links}</ul></article>") == f"{prose}\n{prose}"
+    # class names count as whole tokens only
+    for name in ("text-center", "content-wrapper", "main-logo"):
+        assert text(f"<div class='{name}'>My site</div><div><p>{prose}<p>{long}</div>").endswith(f"{prose}\n{long}")
+        assert not any(b.main for b in html_text.text_blocks(f"<div class='{name}'>My site</div>"))
+    assert all(b.main for b in html_text.text_blocks("<div class='wide post-content'>My site</div>"))
+
+
 TURNS = "conv_id bigint, turn bigint, role string, text string, formatted string, turns string, m string"
 
 
