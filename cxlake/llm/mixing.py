@@ -8,11 +8,13 @@ document stays when a hash of its id and text is below its probability.
 
 Targets are shares of tokens per level. By default they are flattened shares
 of the data (``share ** temperature``, normalised): large sources, languages
-and topics give way to small ones. Levels beyond the ``max_levels`` largest of
-a dimension share one level, ``(other)``, so the cell table is bounded by
-``(max_levels + 1) ** 2 * topics`` rows, and in practice by the combinations
-that occur. Nothing is dropped by that: documents of such levels are
-weighted together.
+and topics give way to small ones. Every level is raked, however many there are.
+Up to ``DRIVER_CELLS`` cells (combinations that occur) are raked in numpy on the
+driver; more are raked by Spark steps of the same arithmetic: per marginal a
+sum by level and a join of the levels' factors to the cells, written to the
+shared folder each round, and the rates meet the documents without a broadcast.
+Only on request (``max_levels``) do the smaller sources and languages share one
+level, ``(other)``.
 
 ``keep`` of all tokens are kept, every document at most once: no level can get
 more than its own tokens over those kept. Wanted shares above that are set to it,
@@ -40,7 +42,8 @@ from cxlake.llm.shared import keep_on_disk
 
 DIMENSIONS = ("source", "lang", "topic")
 OTHER, NULL = "(other)", "(null)"
-TEMPERATURE, KEEP, MAX_LEVELS, SEED = 0.5, 0.8, 200, 17
+TEMPERATURE, KEEP, SEED = 0.5, 0.8, 17
+DRIVER_CELLS = 100_000
 
 
 def token_count(text: Column) -> Column:
@@ -217,13 +220,107 @@ def keep_rates(weight: np.ndarray, tokens: np.ndarray, keep: float) -> np.ndarra
     return np.where(tokens > 0, out, keep)
 
 
+def rates_on_driver(counted: DataFrame, targets: Mapping[str, Mapping[str, float]], keep: float, temperature: float) -> DataFrame:
+    """Levels, weight and probability of every cell of ``counted``, raked in numpy (the cells are collected)."""
+    levels = [f"_{d}" for d in DIMENSIONS]
+    rows = counted.select(*levels, "tokens").orderBy(*levels).collect()
+    cells, tokens = [tuple(r)[:3] for r in rows], np.array([r["tokens"] for r in rows], dtype=float)
+    wanted = []
+    for d, name in enumerate(DIMENSIONS):
+        sums: dict[str, float] = {}
+        for c, t in zip(cells, tokens, strict=True):
+            sums[c[d]] = sums.get(c[d], 0.0) + t
+        wanted.append(targets.get(name) or flattened(sums, temperature))
+    weight, _ = rake_within(cells, tokens, wanted, keep)
+    rates = keep_rates(weight, tokens, keep)
+    table = [(*c, float(w), float(p)) for c, w, p in zip(cells, weight, rates, strict=True)]
+    return counted.sparkSession.createDataFrame(table, "_source string, _lang string, _topic string, weight double, probability double")
+
+
+def _reachable_levels(cells: DataFrame, level: str) -> DataFrame:
+    """Level, ``data`` and ``best`` share of the levels of ``cells`` (see ``reachable``), from ``bound`` and ``wanted_<level>``."""
+    sums = keep_on_disk(cells.groupBy(level).agg(F.sum("bound").alias("most"), F.first(f"wanted{level}").alias("wanted")))
+    scale, full = 0.0, -1
+    while True:
+        over = F.col("wanted") * scale > F.col("most")
+        r = sums.agg(F.sum("most").alias("all"), F.sum(over.cast("long")).alias("n"), F.sum(F.when(over, F.col("most"))).alias("held"), F.sum(F.when(~over, F.col("wanted"))).alias("free")).first()
+        if r["n"] == full or not r["free"]:
+            break
+        # the scale only grows, so what is full stays full
+        full, scale = r["n"], max(scale, (1 - (r["held"] or 0.0)) / r["free"])
+    return keep_on_disk(sums.select(level, (F.col("most") / r["all"]).alias("data"), F.least("most", F.col("wanted") * scale).alias("best")))
+
+
+def _capped_rake_by_steps(cells: DataFrame, targets: Mapping[str, DataFrame], step: int) -> DataFrame | None:
+    """``_capped_rake`` over a table of cells: ``cells`` with their ``rate``, or None. ``targets``: data and best share by level."""
+    state = cells.withColumn("rate", F.lit(1.0))
+    for _ in range(ROUNDS):
+        off = 0.0
+        for level, shares in targets.items():
+            sums = state.groupBy(level).agg(
+                F.sum(F.col("bound") * F.least("rate", F.lit(1.0))).alias("now"), F.sum(F.when(F.col("rate") >= 1, F.col("bound")).otherwise(0.0)).alias("capped")
+            )
+            target = F.col("data") * (1 - step / STEPS) + F.col("best") * (step / STEPS)
+            met = sums.join(shares, level).withColumn("target", target).withColumn("free", F.col("now") - F.col("capped"))
+            newton = (F.col("target") > F.col("capped")) & (F.col("free") > 1e-15)
+            factor = F.when(newton, (F.col("target") - F.col("capped")) / F.col("free")).otherwise(F.col("target") / F.greatest("now", F.lit(1e-300)))
+            factors = keep_on_disk(met.select(level, factor.alias("factor"), F.abs(F.col("now") - F.col("target")).alias("off")))
+            off = max(off, factors.agg(F.sum("off")).first()[0])
+            rate = F.greatest(F.lit(1e-100), F.least(F.lit(1e100), F.col("rate") * F.col("factor")))
+            state = state.join(factors.select(level, "factor"), level).withColumn("rate", rate).drop("factor")
+        state = keep_on_disk(state)
+        if off < CLOSE:
+            return state
+    return None
+
+
+def rates_by_steps(counted: DataFrame, targets: Mapping[str, Mapping[str, float]], keep: float, temperature: float) -> DataFrame:
+    """``rates_on_driver`` for any number of cells: the driver gets sums only."""
+    levels = [f"_{d}" for d in DIMENSIONS]
+    cells = counted.select(*levels, "tokens").where("tokens > 0")
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    for d, level in zip(DIMENSIONS, levels, strict=True):
+        if targets.get(d):
+            wanted = counted.sparkSession.createDataFrame([(n, float(t)) for n, t in targets[d].items() if t > 0], f"{level} string, wanted{level} double")
+        else:
+            share = (F.sum("tokens") / F.lit(float(max(total, 1)))) ** temperature
+            wanted = counted.where("tokens > 0").groupBy(level).agg(share.alias(f"wanted{level}"))
+        cells = cells.join(wanted, level)
+    cells = keep_on_disk(cells)
+    part = cells.agg(F.sum("tokens")).first()[0] or 0
+    budget = float(min(keep * total, part)) or 1.0
+    bounded = cells.withColumn("bound", F.col("tokens") / budget)
+    shares = {level: _reachable_levels(bounded, level) for level in levels}
+    bounded = keep_on_disk(bounded.select(*levels, "tokens", "bound"))
+
+    def attempt(step: int) -> DataFrame | None:
+        return _capped_rake_by_steps(bounded, shares, step) if step and part else bounded.withColumn("rate", F.lit(budget / max(part, 1)))
+
+    out = attempt(STEPS)
+    if out is None:
+        met, no = 0, STEPS
+        out = attempt(0)
+        while no - met > 1:
+            step = (met + no) // 2
+            tried = attempt(step)
+            if tried is None:
+                no = step
+            else:
+                met, out = step, tried
+    rated = out.select(*levels, (F.col("bound") * F.least("rate", F.lit(1.0))).alias("weight"), F.least("rate", F.lit(1.0)).alias("probability"))
+    joined = counted.join(rated, levels, "left")
+    probability = F.when(F.col("tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(keep)
+    return joined.select(*levels, F.coalesce("weight", F.lit(0.0)).alias("weight"), probability.alias("probability"))
+
+
 def mix(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     keep: float = KEEP,
     temperature: float = TEMPERATURE,
-    max_levels: int = MAX_LEVELS,
+    max_levels: int | None = None,
     seed: int = SEED,
+    driver_cells: int = DRIVER_CELLS,
 ) -> DataFrame:
     """The sampled rows of ``docs`` (``row``) with their levels, ``tokens``, ``weight`` and ``probability``.
 
@@ -233,29 +330,17 @@ def mix(
     levels = [f"_{d}" for d in DIMENSIONS]
     # one pass over the texts; a row per combination that occurs
     counted = keep_on_disk(marked.groupBy(*levels).agg(F.sum("tokens").alias("tokens")))
-    large = {d: [*_large_levels(counted, d, max_levels), *(targets or {}).get(d, {})] for d in ("source", "lang")}
-
-    def fold(frame: DataFrame) -> DataFrame:
-        for d in ("source", "lang"):
-            frame = frame.withColumn(f"_{d}", _folded(F.col(f"_{d}"), large[d]))
-        return frame
-
-    rows = fold(counted).groupBy(*levels).agg(F.sum("tokens").alias("tokens")).orderBy(*levels).collect()
-    cells, tokens = [tuple(r)[:3] for r in rows], np.array([r["tokens"] for r in rows], dtype=float)
-    wanted = []
-    for d, name in enumerate(DIMENSIONS):
-        sums: dict[str, float] = {}
-        for c, t in zip(cells, tokens, strict=True):
-            sums[c[d]] = sums.get(c[d], 0.0) + t
-        wanted.append((targets or {}).get(name) or flattened(sums, temperature))
-    weight, _ = rake_within(cells, tokens, wanted, keep)
-    rates = keep_rates(weight, tokens, keep)
-
-    table = [(*c, float(w), float(p)) for c, w, p in zip(cells, weight, rates, strict=True)]
-    rate_of = docs.sparkSession.createDataFrame(table, "_source string, _lang string, _topic string, weight double, probability double")
+    if max_levels is not None:
+        large = {d: [*_large_levels(counted, d, max_levels), *(targets or {}).get(d, {})] for d in ("source", "lang")}
+        for d in large:
+            counted, marked = (f.withColumn(f"_{d}", _folded(F.col(f"_{d}"), large[d])) for f in (counted, marked))
+        counted = keep_on_disk(counted.groupBy(*levels).agg(F.sum("tokens").alias("tokens")))
+    if counted.count() <= driver_cells:
+        rate_of = F.broadcast(rates_on_driver(counted, targets or {}, keep, temperature))
+    else:
+        rate_of = rates_by_steps(counted, targets or {}, keep, temperature)
     uniform = F.pmod(F.xxhash64(F.col("row")["doc_id"], F.col("row")["text"], F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    # bounded by the levels, see above
-    return fold(marked).join(F.broadcast(rate_of), levels).where(uniform < F.col("probability"))
+    return marked.join(rate_of, levels).where(uniform < F.col("probability"))
 
 
 def sampled_documents(docs: DataFrame, **options) -> DataFrame:

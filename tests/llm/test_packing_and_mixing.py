@@ -166,6 +166,17 @@ def test_raking_within_bounds():
     assert np.allclose(weight, [0.5, 0.5, 0])
 
 
+def test_every_level_is_raked_on_the_driver_or_by_steps(spark):
+    rows = [(i, f"text {i} of a host " * (1 + i % 300 // 30), ("en", "de", "fr")[i % 7 % 3], f"host{i % 300}") for i in range(1500)]
+    docs = documents(spark, rows)
+    for options in ({"keep": 0.3}, {"keep": 0.9, "targets": {"lang": {"en": 0.5, "de": 0.5}}}):
+        got = [{r["doc_id"]: r for r in mixing.sample_report(docs, driver_cells=n, **options).collect()} for n in (mixing.DRIVER_CELLS, 0)]
+        assert mixing.OTHER not in {r["source"] for r in got[0].values()}
+        assert len(set(got[0]) ^ set(got[1])) <= 2
+        for i in set(got[0]) & set(got[1]):
+            assert abs(got[0][i]["probability"] - got[1][i]["probability"]) < 1e-3 and abs(got[0][i]["weight"] - got[1][i]["weight"]) < 1e-5
+
+
 def test_mixing_awkward(spark):
     docs = awkward(spark)
     assert mixing.sampled_documents(docs, keep=1.0).count() == docs.count()
