@@ -14,8 +14,10 @@ Weak parts that overlap a base span are part of it and add nothing.
 Positions are code points, end exclusive. A pattern splits a text into gaps and
 matches, so a match ends at the running sum of the gap and match lengths so
 far: one window per document and kind. The link test is an interval join by
-position: a window over the document's parts, ordered by start, of all parts
-within ``scope``. Texts never move: the one shuffle carries a row per match (or
+position: parts are linked when the gap between them (0 if they overlap) is at
+most ``scope``, however long they are. Per kind, a window over the document's
+parts, ordered by start, gives the largest end of those that start no later, and
+another the least start of those that start no earlier. Texts never move: the one shuffle carries a row per match (or
 one empty row for a document without any).
 
 Defined results: null and empty texts have no spans and the digest of the empty
@@ -109,14 +111,15 @@ def find_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.col("len"))
     placed = placed.withColumn("part", F.when(F.col("ok"), F.col("kind")))
 
-    near = Window.partitionBy(*key).orderBy("start").rangeBetween(-scope, scope)
+    before = Window.partitionBy(*key).orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*key).orderBy("start").rangeBetween(0, Window.unboundedFollowing)
 
     def near_kind(*kind: int) -> Column:
-        return F.coalesce(F.max(F.col("part").isin(*kind)).over(near), F.lit(False))
+        some = F.col("part").isin(*kind)
+        ends, starts = F.max(F.when(some, F.col("end"))).over(before), F.min(F.when(some, F.col("start"))).over(after)
+        return F.coalesce(ends >= F.col("start") - scope, F.lit(False)) | F.coalesce(starts <= F.col("end") + scope, F.lit(False))
 
     secret, identifier, endpoint = near_kind(0, 2, 3), near_kind(1, 4), near_kind(5)
-    before = Window.partitionBy(*key).orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*key).orderBy("start").rangeBetween(0, Window.unboundedFollowing)
     is_base = F.col("part") < BASE_KINDS
     inside = F.coalesce(F.max(F.when(is_base, F.col("end"))).over(before) > F.col("start"), F.lit(False)) | F.coalesce(
         F.min(F.when(is_base, F.col("start"))).over(after) < F.col("end"), F.lit(False)

@@ -63,6 +63,20 @@ def test_weak_parts_need_their_complements(spark):
     assert [s.split(":")[0] for s in got[7].split(",")] == ["linked_secret"]  # the account is out of scope
 
 
+def test_scope_counts_from_the_ends_of_long_parts(spark):
+    url, blob = "https://db.example.com/" + "x/" * 110, "aB3" * 85
+    texts = [f"{url} {OPAQUE}", f"{blob} https://db.example.com/x", f"{blob} user: someone", f"{url}{' ' * 200}{OPAQUE}", f"{url}{' ' * 201}{OPAQUE}", f"{blob}{' ' * 201}user: someone"]
+    docs = documents(spark, list(enumerate(texts)))
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan_documents(docs).collect()}
+    n = len(url)
+    assert got[0] == f"linked_secret:{n + 1}:{n + 1 + len(OPAQUE)}"
+    assert got[1] == f"linked_secret:0:{len(blob)}"
+    assert got[2] == f"linked_secret:0:{len(blob)},linked_account:{len(blob) + 1}:{len(texts[2])}"
+    assert got[3] == f"linked_secret:{n + 200}:{len(texts[3])}" and got[4] == got[5] == ""
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert masked[0] == f"{url} [REDACTED]" and masked[2] == "[REDACTED] [REDACTED]" and masked[4] == texts[4]
+
+
 def test_secrets_of_the_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
