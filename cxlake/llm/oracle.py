@@ -107,9 +107,56 @@ SELECT d.doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n
 FROM documents d LEFT JOIN sums USING (doc_id)
 """
 
+# op11: keys by a chain of digests along each conversation; subtree sums over
+# all (node, ancestor) pairs; CRC-32 bit by bit over the decimal id.
+PREFIX_TRIE = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT c, c - c % 20 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [unicode(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM t)
+), parts AS (
+  SELECT i.c, 0 AS part, t.pos, role, text FROM ids i JOIN t ON t.c = i.base WHERE t.pos <= h
+  UNION ALL SELECT i.c, 1, t.pos, role, text FROM ids i JOIN t ON t.c = i.c WHERE t.pos > h
+), turns AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, sha256(concat(length(role), ':', role, text)) AS m,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM parts
+), path(c, d, k, parent, words) AS (
+  SELECT c, 0::BIGINT, '', NULL::VARCHAR, 0::BIGINT FROM ids
+  UNION ALL SELECT p.c, t.d, sha256(p.k || t.m), p.k, t.words FROM path p JOIN turns t ON t.c = p.c AND t.d = p.d + 1
+), nodes AS (
+  SELECT k, any_value(parent) AS parent, any_value(d) AS d, min(c) AS low, count(*) AS n, (count(*) - 1) * any_value(words) AS gain FROM path GROUP BY k
+), fan AS (SELECT parent AS k, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), sums AS (
+  SELECT a.k, sum(n.gain) AS saved, count(*) FILTER (f.k IS NULL) AS leaves
+  FROM nodes n LEFT JOIN fan f ON f.k = n.k JOIN path a ON a.c = n.low AND a.d <= n.d GROUP BY a.k
+), tails AS (SELECT c, arg_max(k, d) AS k FROM path GROUP BY c
+), ends AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM tails GROUP BY k)
+SELECT n.low AS conv_id, n.d AS depth, p.low AS parent_conv_id, n.n AS n_convs, coalesce(f.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves,
+  s.saved::BIGINT AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.k = n.parent LEFT JOIN fan f ON f.k = n.k JOIN sums s ON s.k = n.k LEFT JOIN ends e ON e.k = n.k
+"""
+
+# op13: sizes and digests of the payloads, and the first page of each payload.
+WARC = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+SELECT page_id, bytes::BIGINT AS payload_bytes, digest AS payload_digest,
+  if(bytes >= 100 AND first < page_id, 'revisit', 'response') AS record_type, if(bytes >= 100 AND first < page_id, first, NULL) AS refers_to
+FROM f
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_embedding_join": EMBEDDING_JOIN,
     "op5_ngram_join": NGRAM_JOIN,
     "op7_secret_scan": SECRET_SCAN,
     "op10_chat_format": CHAT_FORMAT,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op13_warc": WARC,
 }

@@ -15,8 +15,11 @@ from cxlake.llm import (
     ngram_join,
     packing,
     pairwise_quality,
+    prefix_trie,
     secret_scan,
     sharding,
+    warc,
+    whitening,
 )
 from cxlake.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -71,6 +74,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(probe)))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -84,5 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_html_text,
         op10_chat_format,
+        op11_prefix_trie,
+        op12_whitening,
+        op13_warc,
     )
 }

@@ -178,6 +178,10 @@ class MemberStream:
         self.inflate = None
         return raw
 
+    def known(self) -> bool:
+        """True while a member is open whose WARC header has shown."""
+        return self.first == START
+
     def feed(self, stretch: bytes) -> Iterator[tuple[str, bytes]]:
         if self.inflate is None:
             self.inflate = zlib.decompressobj(31)
@@ -189,7 +193,7 @@ class MemberStream:
         except zlib.error:
             got, good = b"", False
         if not good:
-            pieces, known = self.raw, self.first == START
+            pieces, known = self.raw, self.known()
             self.close()
             # a member that breaks off ends before this stretch; what never showed a header was none
             yield ("damaged", b"".join(pieces[:-1] or pieces)) if known else ("orphan", pieces[0])
@@ -198,7 +202,7 @@ class MemberStream:
             return
         self.text.append(got)
         if self.inflate.eof:
-            rest, known = self.inflate.unused_data.strip(b"\0"), self.first == START
+            rest, known = self.inflate.unused_data.strip(b"\0"), self.known()
             yield ("record", b"".join(self.text)) if known else ("orphan", b"".join(self.raw))
             self.close()
             if rest:
@@ -257,13 +261,15 @@ class _Rows:
 def _parse_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of whole byte ranges -> records; what a range can't finish comes as ``head`` and ``tail``.
 
-    ``head``: a stretch before the range's first member; ``tail``: a member that the range doesn't end."""
+    ``head``: a stretch before the range's first member, or one at its end that is too short to tell;
+    ``tail``: a member that the range doesn't end."""
     stream, out, at, started = MemberStream(), _Rows(), None, False
 
     def finish() -> None:
-        raw = stream.close()
-        if raw is not None:
-            out.add(*at, "tail", raw)
+        pieces = [b"".join(stream.raw)] if stream.known() else stream.raw
+        for piece in pieces:
+            out.add(*at, "tail" if stream.known() else "head", piece)
+        stream.close()
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -283,7 +289,7 @@ def _parse_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 else:
                     started = True
                 out.add(*at, kind, data)
-            started = started or stream.inflate is not None
+            started = started or stream.known()
             if out.full():
                 yield out.take()
     finish()
@@ -306,11 +312,9 @@ def _parse_rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 finish()
             if kind == "tail":
                 finish()
-                opened = (file, start)
             at = (file, start)
-            if kind == "head" and stream.inflate is None:
-                out.add(file, start, "damaged", raw)
-                continue
+            if stream.inflate is None:
+                opened = (file, start)
             for found, data in stream.feed(raw):
                 out.add(*opened, "record" if found == "record" else "damaged", data)
             if out.full():

@@ -23,5 +23,5 @@ def test_query_matches_oracle(spark, name):
 def test_registry():
     names = set(entry.queries())
     assert {*QUERIES, "pipeline"} <= names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
