@@ -18,7 +18,7 @@ deviations are exact. The fit list has every distinct x once; its covariance
    until the projected covariance is diagonal to rounding (``MAX_ROUNDS`` at most).
 
 A rank-one update takes about half a millisecond for 64 dimensions, whatever n;
-tasks hold one spectrum. To the driver go ``d``, ``d * d`` and ``k * k`` numbers.
+tasks hold one spectrum. To the driver go ``d * d`` numbers from ``ADDED`` tasks at most, a pass.
 
 Defined results: vectors that are null, empty, or hold null or non-finite entries
 give no row; vectors of different lengths are different spaces, each with its own
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from cxlake.llm.shared import keep_on_disk, small_batches
 
-STEPS, COMPONENTS, FANOUT, MAX_ROUNDS, MAX_STEPS = 256, 4, 8, 4, 60
+STEPS, COMPONENTS, FANOUT, ADDED, MAX_ROUNDS, MAX_STEPS = 256, 4, 8, 64, 4, 60
 # whole numbers up to here are exact as doubles
 LARGEST = 2.0**52
 EPS = np.finfo(float).eps
@@ -228,8 +228,15 @@ def whole_spectrum(fit: DataFrame, width: int) -> Spectrum:
 # -- passes over the fit list -------------------------------------------------------
 
 
-def _summed(fit: DataFrame, size: int, of, exact: bool = False) -> list:
-    """Sums over all tasks of the ``size`` numbers that ``of`` gives for a matrix of vectors."""
+def _summed(fit: DataFrame, of, exact: bool = False) -> list:
+    """Sum over all tasks of the numbers that ``of`` gives for a matrix of vectors: a row a task, added up
+    ``ADDED`` rows at a time until so many are left."""
+    kind = pa.string() if exact else pa.float64()
+    schema = f"node bigint, vals array<{'string' if exact else 'double'}>"
+
+    def row(node: int, total: np.ndarray) -> dict:
+        vals = [str(v) for v in total] if exact else total
+        return {"node": pa.array([node], pa.int64()), "vals": pa.array([vals], pa.list_(kind))}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -238,14 +245,23 @@ def _summed(fit: DataFrame, size: int, of, exact: bool = False) -> list:
                 part = of(batch.column(0))
                 total = part if total is None else total + part
         if total is not None:
-            values = pa.array([str(v) for v in total], pa.string()) if exact else pa.array(total, pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), values], ["at", "value"])
+            yield pa.RecordBatch.from_pydict(row(TaskContext.get().partitionId(), total))
+
+    def numbers(vals: list) -> np.ndarray:
+        return np.array([int(v) for v in vals], dtype=object) if exact else np.array(vals)
+
+    def add(part: pa.Table) -> pa.Table:
+        rows = sorted(part.to_pylist(), key=lambda r: r["node"])
+        total = numbers(rows[0]["vals"])
+        for r in rows[1:]:
+            total = total + numbers(r["vals"])
+        return pa.Table.from_pydict(row(rows[0]["node"] // ADDED, total))
 
-    kind = "decimal(38,0)" if exact else "double"
-    parts = fit.mapInArrow(task, f"at bigint, value {'string' if exact else 'double'}")
-    sums = parts.groupBy("at").agg(F.sum(F.col("value").cast(kind)).alias("value"))
-    found = dict(sums.collect())
-    return [found[i] for i in range(size)]
+    sums, tasks = fit.mapInArrow(task, schema), fit.rdd.getNumPartitions()
+    while tasks > ADDED:
+        sums = sums.groupBy(F.floor(F.col("node") / ADDED)).applyInArrow(add, schema)
+        tasks = -(-tasks // ADDED)
+    return list(sum(numbers(r["vals"]) for r in sorted(sums.collect(), key=lambda r: r["node"])))
 
 
 def _moments(fit: DataFrame, width: int, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -256,7 +272,7 @@ def _moments(fit: DataFrame, width: int, mean: np.ndarray, basis: np.ndarray) ->
         y = (_matrix(column, width) - mean) @ basis
         return np.concatenate([y.sum(axis=0), (y.T @ y).ravel()])
 
-    flat = np.array(_summed(fit, k + k * k, of))
+    flat = np.array(_summed(fit, of))
     return flat[:k], flat[k:].reshape(k, k)
 
 
@@ -284,7 +300,7 @@ def fit_space(fit: DataFrame, width: int) -> dict:
         safe = float(np.abs(x).max()) * len(x) < 2.0**62
         return (x if safe else x.astype(object)).sum(axis=0).astype(object)
 
-    sums = [int(v) for v in _summed(fit, width, of, exact=True)]
+    sums = [int(v) for v in _summed(fit, of, exact=True)]
     mean = np.array([s / n for s in sums])
     spectrum = whole_spectrum(fit, width)
     values, basis = refined(fit, width, n, mean, np.ascontiguousarray(spectrum.vectors[:, ::-1]))
