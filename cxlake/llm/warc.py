@@ -87,8 +87,8 @@ def write_archives(pages: DataFrame, folder: str, date: str = NO_DATE) -> None:
     """Write a record per row of ``pages`` (page_id, url, html) to gzipped WARC files in ``folder``.
 
     The rows are first kept on disk with a number each, in compressed form, since their digests and
-    their payloads are used apart; payloads move between tasks only where the revisits are too many
-    to be broadcast (Spark checks their size while the query runs)."""
+    their payloads are used apart. The revisits are kept as files as well: Spark broadcasts them if
+    their size allows it, and only otherwise do payloads move between tasks."""
     spark = pages.sparkSession
     small_batches(spark)
     use_checkpoint_dir(spark)
@@ -103,7 +103,10 @@ def write_archives(pages: DataFrame, folder: str, date: str = NO_DATE) -> None:
         F.sha2(text, 256).alias("payload_digest"),
     ).write.option("compression", "zstd").parquet(staged_at)
     staged = spark.read.parquet(staged_at)
-    rows = staged.join(record_types(staged), "uid", "left").select("uid", "page_id", "url", "html", "payload_digest", "refers_uid", "refers_to")
+    # as files, so that their size is known when the join below is planned
+    record_types(staged).write.parquet(f"{staged_at}-revisits")
+    revisits = spark.read.parquet(f"{staged_at}-revisits")
+    rows = staged.join(revisits, "uid", "left").select("uid", "page_id", "url", "html", "payload_digest", "refers_uid", "refers_to")
 
     run = uuid.uuid4()
     info = _member(
@@ -147,7 +150,8 @@ def write_archives(pages: DataFrame, folder: str, date: str = NO_DATE) -> None:
 
     chunks = rows.mapInArrow(members, "chunk binary").select(F.col("chunk").cast("string").alias("value"))
     chunks.write.option("encoding", BYTES_AS_TEXT).option("lineSep", info.decode(BYTES_AS_TEXT)).text(folder)
-    remove(spark, staged_at)
+    for path in (staged_at, f"{staged_at}-revisits"):
+        remove(spark, path)
 
 
 def remove(spark: SparkSession, folder: str) -> None:
