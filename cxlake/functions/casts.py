@@ -12,6 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cxlake.functions import documents
+from cxlake.functions.dates import parse_event_time
+
 # Fixed patterns: a plain decimal number with optional exponent, and a plain
 # integer with optional surrounding blanks.
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -49,7 +52,19 @@ def unwrap_extended_date(col: Column) -> Column:
 
 
 def number_or_zero(col: Column, dtype: T.DataType) -> Column:
-    """Declared value -> DOUBLE; NULL, missing, empty or unreadable -> 0.0."""
+    """Declared value -> DOUBLE; NULL, missing, empty or unreadable -> 0.0.
+
+    In documents (VARIANT) each row's own kind decides: a number, plain or wrapped;
+    true is 1 and false 0; a date is its milliseconds; text as below."""
+    if isinstance(dtype, T.VariantType):
+        kind = documents.kind(col)
+        found = (
+            F.when(kind == documents.NUMBER, documents.plain_number(col))
+            .when(kind == documents.BOOLEAN, F.try_variant_get(col, "$", "boolean").cast(T.DoubleType()))
+            .when(kind == documents.DATE, F.unix_millis(parse_event_time(col, dtype)).cast(T.DoubleType()))
+            .when(kind == documents.TEXT, number_or_zero(documents.text(col), T.StringType()))
+        )
+        return F.coalesce(found, F.lit(0.0))
     if isinstance(dtype, T.NumericType):
         return F.coalesce(col.cast(T.DoubleType()), F.lit(0.0))
     if isinstance(dtype, T.BooleanType):

@@ -6,25 +6,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cxlake.functions import documents
 
 # Fixed value: the texts that are a date. A full calendar date, alone or with a
 # time after "T" or a blank (seconds and their fraction may be missing) and an
-# optional zone ("Z" or an offset). A clock time, a year or a month alone isn't.
-EVENT_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+# optional zone ("Z", or an offset with or without its colon). A clock time, a
+# year or a month alone isn't.
+EVENT_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
+def _text_time(col: Column) -> Column:
+    return F.when(col.rlike(EVENT_TEXT), F.try_to_timestamp(col))
 
 
 def parse_event_time(col: Column, dtype: T.DataType) -> Column:
     """One document field -> TIMESTAMP, NULL when it is no date.
 
-    The source field may be a real date/timestamp (typed sources such as
-    parquet) or text (JSON exports; their wrapped dates are unwrapped by the
-    reader, ``cxlake.sources.scans.read_usage_logs``). The type test happens on
-    the schema, at plan time, so no per-row type dispatch is needed.
+    A typed column (a date, a timestamp, text) is decided at plan time. A VARIANT
+    column (JSON exports) is decided row by row: a date object, text, or no date.
     """
+    if isinstance(dtype, T.VariantType):
+        kind = documents.kind(col)
+        told = F.coalesce(_text_time(documents.date_text(col)), F.timestamp_millis(documents.date_millis(col)), documents.plain_time(col))
+        return F.when(kind == documents.DATE, told).when(kind == documents.TEXT, _text_time(documents.text(col)))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col.cast(T.TimestampType())
     if isinstance(dtype, T.StringType):
-        return F.when(col.rlike(EVENT_TEXT), F.try_to_timestamp(col))
+        return _text_time(col)
     # numbers, booleans, ... are neither a date nor a string: no date
     return F.lit(None).cast(T.TimestampType())
 
@@ -39,17 +47,20 @@ def resolve_event_date(
 
     A present but unparsable ``primary`` yields NULL; it does *not* fall
     through to ``fallback``. This is why the expression is a ``when`` chain on
-    presence rather than a ``coalesce`` of parsed values.
+    presence rather than a ``coalesce`` of parsed values. Present is what holds a
+    date or text: a number, a boolean or an object there falls through.
     """
-    primary_present = primary.isNotNull() if _is_datelike_or_text(primary_type) else F.lit(False)
-    fallback_present = fallback.isNotNull() if _is_datelike_or_text(fallback_type) else F.lit(False)
-    return F.when(primary_present, parse_event_time(primary, primary_type)).when(
-        fallback_present, parse_event_time(fallback, fallback_type)
+    return F.when(_present(primary, primary_type), parse_event_time(primary, primary_type)).when(
+        _present(fallback, fallback_type), parse_event_time(fallback, fallback_type)
     )
 
 
-def _is_datelike_or_text(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType))
+def _present(col: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.VariantType):
+        return documents.kind(col).isin(documents.DATE, documents.TEXT)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType)):
+        return col.isNotNull()
+    return F.lit(False)
 
 
 def as_timestamp(col: Column, dtype: T.DataType) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cxlake.functions import documents
 from cxlake.functions.casts import half_up_average, money, number_or_zero
 from cxlake.functions.dates import month_key, resolve_event_date, truncate_to_second
 
@@ -40,9 +41,14 @@ def _col_or_null(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
 
 def _text(df: DataFrame, name: str) -> Column:
     """A key-like document field as text. Kept a plain column expression so
-    predicates on it reach the scan."""
-    col, _ = _col_or_null(df, name)
-    return col.cast(T.StringType())
+    predicates on it reach the scan (a VARIANT field is told by its own kind)."""
+    col, dtype = _col_or_null(df, name)
+    return documents.text(col) if isinstance(dtype, T.VariantType) else col.cast(T.StringType())
+
+
+def _tie_breaker(df: DataFrame, name: str) -> Column:
+    """The tie breaker; a VARIANT has no order, its text has."""
+    return _text(df, name).alias(name) if isinstance(df.schema[name].dataType, T.VariantType) else F.col(name)
 
 
 def event_date(logs: DataFrame, date_field: str = "created_at", fallback_date_field: str = "fecha_escaneo") -> Column:
@@ -53,7 +59,10 @@ def event_date(logs: DataFrame, date_field: str = "created_at", fallback_date_fi
 
 
 def valid_ot(logs: DataFrame) -> Column:
-    """OT present and not empty (whitespace-only is kept)."""
+    """OT present and not empty (whitespace-only is kept; of documents, 0 and false are empty as well)."""
+    col, dtype = _col_or_null(logs, "ot")
+    if isinstance(dtype, T.VariantType):
+        return documents.is_set(col)
     ot_text = _text(logs, "ot")
     return ot_text.isNotNull() & (ot_text != F.lit(""))
 
@@ -89,8 +98,7 @@ def declared_value(logs: DataFrame, value_field: str = "valor_declarado") -> Col
 
 
 def class_or_default(logs: DataFrame) -> Column:
-    cls_col, _ = _col_or_null(logs, "clasificacion")
-    return F.coalesce(cls_col.cast(T.StringType()), F.lit(NO_CLASS))
+    return F.coalesce(_text(logs, "clasificacion"), F.lit(NO_CLASS))
 
 
 def user_or_default(logs: DataFrame) -> Column:
@@ -125,7 +133,7 @@ def claim_candidates(
         class_or_default(logs).alias("clasificacion"),
         declared_value(logs, value_field).alias("valor"),
         user_or_default(logs).alias("usuario"),
-        *([F.col(tie_breaker)] if tie_breaker else []),
+        *([_tie_breaker(logs, tie_breaker)] if tie_breaker else []),
     )
     if excluded_classes:
         df = df.where(~F.col("clasificacion").isin(list(excluded_classes)))

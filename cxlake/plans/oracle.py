@@ -405,6 +405,110 @@ STEP_STATEMENTS = {
 }
 
 
+# --- documents: the same JSON texts, told apart by DuckDB's JSON types ---------------
+
+DOCUMENTS = r"""
+doc_parts AS (
+  SELECT *, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso, CAST(epoch_ms(o_orderdate) AS VARCHAR) AS ms,
+    CAST(o_custkey AS VARCHAR) AS cust, CAST(o_totalprice AS VARCHAR) AS price, o_orderkey AS k FROM orders
+),
+doc_fields AS (
+  SELECT '{"$oid":"' || lpad(lower(to_hex(k)), 24, '0') || '"}' AS f_id,
+    CASE WHEN k % 79 = 0 THEN NULL WHEN k % 83 = 0 THEN '""' WHEN k % 89 = 0 THEN '0' WHEN k % 97 = 0 THEN 'null' WHEN k % 101 = 0 THEN 'false'
+         WHEN k % 2 = 0 THEN cust WHEN k % 3 = 0 THEN '{"$numberLong":"' || cust || '"}' ELSE '"OT-' || cust || '"' END AS f_ot,
+    CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN '"sin fecha"' WHEN k % 37 = 0 THEN CAST(k AS VARCHAR) WHEN k % 41 = 0 THEN 'true'
+         WHEN k % 43 = 0 THEN 'null' WHEN k % 47 = 0 THEN '{"x":1}' WHEN k % 53 = 0 THEN '"' || iso || '+0000"' WHEN k % 59 = 0 THEN '{"$date":' || ms || '}'
+         WHEN k % 5 = 0 THEN '{"$date":"' || iso || 'Z"}' WHEN k % 5 = 1 THEN '{"$date":{"$numberLong":"' || ms || '"}}' ELSE '"' || iso || '"' END AS f_created,
+    CASE WHEN k % 58 = 0 THEN NULL WHEN k % 61 = 0 THEN 'false' WHEN k % 3 = 0 THEN '{"$date":"' || iso || 'Z"}' ELSE '"' || iso || '"' END AS f_scanned,
+    CASE WHEN k % 13 = 0 THEN '"n/a"' WHEN k % 26 = 1 THEN '"N/A"' WHEN k % 7 = 0 THEN NULL WHEN k % 67 = 0 THEN '5' ELSE '"' || o_orderpriority || '"' END AS f_class,
+    CASE WHEN k % 71 = 0 THEN NULL WHEN k % 17 = 0 THEN '"x"' WHEN k % 19 = 0 THEN '""' WHEN k % 23 = 0 THEN 'null' WHEN k % 13 = 2 THEN 'true'
+         WHEN k % 11 = 3 THEN 'false' WHEN k % 73 = 0 THEN '[1,2]' WHEN k % 103 = 0 THEN '{"$date":{"$numberLong":"' || cust || '000"}}' WHEN k % 7 = 0 THEN price
+         WHEN k % 7 = 1 THEN '{"$numberDecimal":"' || price || '"}' WHEN k % 7 = 2 THEN '{"$numberInt":"' || cust || '"}' ELSE '"' || price || '"' END AS f_value,
+    CASE WHEN k % 5 = 0 THEN '"u' || CAST(o_custkey % 20 AS VARCHAR) || '"' END AS f_user,
+    CASE WHEN k % 3 = 0 THEN '"u' || CAST(o_custkey % 21 AS VARCHAR) || '"' END AS f_usuario,
+    CASE WHEN k % 4 = 0 THEN 'null' WHEN k % 2 = 0 THEN '"u' || CAST(o_custkey % 22 AS VARCHAR) || '"' END AS f_username,
+    CASE WHEN k % 11 <> 0 THEN CAST(o_custkey % 23 AS VARCHAR) END AS f_user_id
+  FROM doc_parts
+),
+docs AS (
+  SELECT CAST('{' || concat_ws(',', '"_id":' || f_id, '"ot":' || f_ot, '"created_at":' || f_created, '"fecha_escaneo":' || f_scanned,
+    '"clasificacion":' || f_class, '"valor_declarado":' || f_value, '"user":' || f_user, '"usuario":' || f_usuario, '"username":' || f_username,
+    '"user_id":' || f_user_id) || '}' AS JSON) AS doc
+  FROM doc_fields
+)"""
+
+DOCUMENT_FIELDS = ("ot", "created_at", "fecha_escaneo", "clasificacion", "valor_declarado", "user", "usuario", "username", "user_id")
+
+
+def _has(field: str, member: str) -> str:
+    return f"""json_exists(doc, '$."{field}"."{member}"')"""
+
+
+def _doc_kind(field: str) -> str:
+    numbers = " OR ".join(_has(field, w) for w in ("$numberInt", "$numberLong", "$numberDecimal"))
+    return f"""CASE coalesce(json_type(doc, '$."{field}"'), 'NULL') WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean'
+      WHEN 'ARRAY' THEN 'other' WHEN 'OBJECT' THEN CASE WHEN {_has(field, '$date')} THEN 'date' WHEN {numbers} THEN 'number' ELSE 'other' END ELSE 'number' END"""
+
+
+def _doc_text(field: str) -> str:
+    inner = ", ".join(f"""json_extract_string(doc, '$."{field}"."{w}"')""" for w in ("$numberInt", "$numberLong", "$numberDecimal"))
+    return f"""coalesce({inner}, json_extract_string(doc, '$."{field}"'))"""
+
+
+def _doc_time(field: str) -> str:
+    date = f"""'$."{field}"."$date"'"""
+    told = f"""regexp_replace(coalesce(json_extract_string(doc, {date}), json_extract_string(doc, '$."{field}"')), '(Z|[+]0000)$', '')"""
+    return f"""CASE json_type(doc, {date})
+        WHEN 'OBJECT' THEN epoch_ms(CAST(json_extract_string(doc, '$."{field}"."$date"."$numberLong"') AS BIGINT))
+        WHEN 'UBIGINT' THEN epoch_ms(CAST(json_extract_string(doc, {date}) AS BIGINT))
+        ELSE {_event_text(told)} END"""
+
+
+def _when_present(field: str) -> str:
+    return f"({_doc_kind(field)}) IN ('date', 'text')"
+
+
+DOC_EVENT = f"CASE WHEN {_when_present('created_at')} THEN {_doc_time('created_at')} WHEN {_when_present('fecha_escaneo')} THEN {_doc_time('fecha_escaneo')} END"
+DOC_VALUE = f"""coalesce(CASE {_doc_kind('valor_declarado')}
+    WHEN 'boolean' THEN CASE {_doc_text('valor_declarado')} WHEN 'true' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+    WHEN 'number' THEN CAST({_doc_text('valor_declarado')} AS DOUBLE)
+    WHEN 'date' THEN CAST(epoch_ms({_doc_time('valor_declarado')}) AS DOUBLE)
+    WHEN 'text' THEN CASE WHEN regexp_matches({_doc_text('valor_declarado')}, '{DECIMAL_TEXT}') THEN try_cast({_doc_text('valor_declarado')} AS DOUBLE) END
+    END, 0.0::DOUBLE)"""
+DOC_ID = """json_extract_string(doc, '$."_id"."$oid"')"""
+DOC_OT = f"""CASE {_doc_kind('ot')} WHEN 'null' THEN NULL WHEN 'number' THEN nullif({_doc_text('ot')}, '0') WHEN 'boolean' THEN nullif({_doc_text('ot')}, 'false')
+    ELSE nullif({_doc_text('ot')}, '') END"""
+DOC_LOGS = f"""
+doc_logs AS (
+  SELECT {DOC_ID} AS log_id, {DOC_OT} AS ot, {DOC_EVENT} AS event_ts, {DOC_VALUE} AS valor,
+    coalesce({_doc_text('clasificacion')}, 'Sin clasificación') AS clasificacion,
+    {", ".join(f'{_doc_text(c)} AS "{c}"' for c in DOCUMENT_FIELDS[5:])}
+  FROM docs
+),
+doc_first AS (
+  SELECT *, row_number() OVER (PARTITION BY ot ORDER BY event_ts, log_id) AS rn FROM doc_logs
+  WHERE ot IS NOT NULL AND event_ts IS NOT NULL AND clasificacion NOT IN ('n/a', 'N/A', 'N/a', 'n/A') AND {USER_KEEP}
+)"""
+
+DOCUMENT_STATEMENTS = {
+    "usage_log_documents": _with(DOCUMENTS)
+    + f"\nSELECT {DOC_ID} AS log_id, "
+    + ", ".join(
+        f"{_doc_kind(f)} AS {f}_kind, CASE WHEN ({_doc_kind(f)}) NOT IN ('date', 'other'{', ' + repr('number') if f == 'valor_declarado' else ''})"
+        f' THEN {_doc_text(f)} END AS "{f}"'
+        for f in DOCUMENT_FIELDS
+    )
+    + f", CASE WHEN ({_doc_kind('valor_declarado')}) = 'number' THEN CAST({_doc_text('valor_declarado')} AS DOUBLE) END AS valor_numero FROM docs",
+    "claim_event_date_documents": _with(DOCUMENTS) + f"\nSELECT {DOC_ID} AS log_id, {DOC_EVENT} AS event_ts FROM docs",
+    "claim_value_documents": _with(DOCUMENTS) + f"\nSELECT {DOC_ID} AS log_id, {DOC_VALUE} AS valor FROM docs",
+    "claim_detail_documents": _with(DOCUMENTS, DOC_LOGS)
+    + """
+SELECT strftime(event_ts, '%Y-%m') AS "Mes", clasificacion AS "Clasificacion", ot AS "OT", round(valor, 3) AS "Valor_Declarado_CLP",
+  date_trunc('second', event_ts) AS "Fecha_Creacion", coalesce("user", usuario, username, user_id, 'Sin usuario') AS "Usuario"
+FROM doc_first WHERE rn = 1""",
+}
+
+
 def oracle_statements() -> dict[str, str]:
     return {
         "claim_detail": CLAIM_DETAIL,
@@ -412,5 +516,6 @@ def oracle_statements() -> dict[str, str]:
         "claim_evolution": CLAIM_EVOLUTION,
         "claim_top": CLAIM_TOP,
         **STEP_STATEMENTS,
+        **DOCUMENT_STATEMENTS,
         **CONVERSATION_STATEMENTS,
     }

@@ -17,6 +17,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cxlake.functions import documents
 from cxlake.operators import claims, dashboard, messages, sessions, surveys
 from cxlake.plans.catalog import default_table_defs
 from cxlake.plans.job import Inputs, build, builtin_builders, run_table_job, with_load_ts
@@ -113,6 +114,49 @@ def q_claim_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.claim_top(_detail(spark, sf_dir))
 
 
+# --- documents whose fields change their type -----------------------------------
+
+
+def _from_documents(spark: SparkSession, sf_dir: str, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``job`` over a JSON export: the documents are written as lines of text and read by the usage-log reader."""
+    ensure_session_defaults(spark)
+    path = staging_path(spark, "documents")
+    fx.usage_log_documents(spark, sf_dir).write.text(path)
+    return _read_and_remove(spark, path, lambda p: job(scans.read_usage_logs(spark, p, fmt="json")))
+
+
+def q_usage_log_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kind and text of every field of the documents (dates have no text of their own; amounts come as numbers)."""
+
+    def told(docs: DataFrame) -> DataFrame:
+        fields = [f for f in scans.USAGE_LOG_FIELDS if f != "_id"]
+        out = [documents.text(F.col("_id")).alias("log_id")]
+        for f in fields:
+            kind = documents.kind(F.col(f))
+            apart = (documents.DATE, documents.OTHER, *([documents.NUMBER] if f == "valor_declarado" else []))
+            out += [kind.alias(f"{f}_kind"), F.when(~kind.isin(*apart), documents.text(F.col(f))).alias(f)]
+        amount = F.col("valor_declarado")
+        out.append(F.when(documents.kind(amount) == documents.NUMBER, documents.plain_number(amount)).alias("valor_numero"))
+        return docs.select(*out)
+
+    return _from_documents(spark, sf_dir, told)
+
+
+def q_claim_event_date_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_documents(spark, sf_dir, lambda docs: docs.select(documents.text(F.col("_id")).alias("log_id"), claims.event_date(docs).alias("event_ts")))
+
+
+def q_claim_value_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_documents(spark, sf_dir, lambda docs: docs.select(documents.text(F.col("_id")).alias("log_id"), claims.declared_value(docs).alias("valor")))
+
+
+def q_claim_detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole claim detail from the JSON export."""
+    return _from_documents(
+        spark, sf_dir, lambda docs: claims.claim_detail(docs, excluded_users=fx.FIXTURE_EXCLUDED_USERS, tie_breaker="_id")
+    )
+
+
 # --- table operations, as the DataFrames that would be written ---------------
 
 # The previous load saw only documents dated before the cutoff, and did not
@@ -501,6 +545,10 @@ def registry() -> dict[str, Query]:
         "claim_user": q_claim_user,
         "claim_first_per_ot": q_claim_first_per_ot,
         "claim_sorted": q_claim_sorted,
+        "usage_log_documents": q_usage_log_documents,
+        "claim_event_date_documents": q_claim_event_date_documents,
+        "claim_value_documents": q_claim_value_documents,
+        "claim_detail_documents": q_claim_detail_documents,
         "with_load_ts": q_with_load_ts,
         "table_merge": q_table_merge,
         "table_append": q_table_append,

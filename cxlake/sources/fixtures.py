@@ -68,6 +68,81 @@ def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def usage_log_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per order, as a collection export writes them: one text column, ``value``.
+
+    Every field changes its type from document to document (text, number, boolean,
+    null, missing, extended-JSON dates and numbers, objects, arrays)."""
+    o = table(spark, sf_dir, "orders")
+    k, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    millis = F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")
+    price = F.col("o_totalprice").cast("string")
+
+    def quoted(value: F.Column) -> F.Column:
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    def wrapped(name: str, value: F.Column) -> F.Column:
+        return F.concat(F.lit(f'{{"${name}":'), value, F.lit("}"))
+
+    def raw(value: str) -> F.Column:
+        return F.lit(value)
+
+    def user_like(modulus: int) -> F.Column:
+        return quoted(F.concat(F.lit("u"), (F.col("o_custkey") % modulus).cast("string")))
+
+    nothing = F.lit(None).cast("string")
+    fields = {
+        "_id": wrapped("oid", quoted(F.lpad(F.lower(F.hex(k)), 24, "0"))),
+        "ot": F.when(k % 79 == 0, nothing)
+        .when(k % 83 == 0, raw('""'))
+        .when(k % 89 == 0, raw("0"))
+        .when(k % 97 == 0, raw("null"))
+        .when(k % 101 == 0, raw("false"))
+        .when(k % 2 == 0, cust)
+        .when(k % 3 == 0, wrapped("numberLong", quoted(cust)))
+        .otherwise(quoted(F.concat(F.lit("OT-"), cust))),
+        "created_at": F.when(k % 29 == 0, nothing)
+        .when(k % 31 == 0, raw('"sin fecha"'))
+        .when(k % 37 == 0, k.cast("string"))
+        .when(k % 41 == 0, raw("true"))
+        .when(k % 43 == 0, raw("null"))
+        .when(k % 47 == 0, raw('{"x":1}'))
+        .when(k % 53 == 0, quoted(F.concat(iso, F.lit("+0000"))))
+        .when(k % 59 == 0, wrapped("date", millis))
+        .when(k % 5 == 0, wrapped("date", quoted(F.concat(iso, F.lit("Z")))))
+        .when(k % 5 == 1, wrapped("date", wrapped("numberLong", quoted(millis))))
+        .otherwise(quoted(iso)),
+        "fecha_escaneo": F.when(k % 58 == 0, nothing)
+        .when(k % 61 == 0, raw("false"))
+        .when(k % 3 == 0, wrapped("date", quoted(F.concat(iso, F.lit("Z")))))
+        .otherwise(quoted(iso)),
+        "clasificacion": F.when(k % 13 == 0, raw('"n/a"'))
+        .when(k % 26 == 1, raw('"N/A"'))
+        .when(k % 7 == 0, nothing)
+        .when(k % 67 == 0, raw("5"))
+        .otherwise(quoted(F.col("o_orderpriority"))),
+        "valor_declarado": F.when(k % 71 == 0, nothing)
+        .when(k % 17 == 0, raw('"x"'))
+        .when(k % 19 == 0, raw('""'))
+        .when(k % 23 == 0, raw("null"))
+        .when(k % 13 == 2, raw("true"))
+        .when(k % 11 == 3, raw("false"))
+        .when(k % 73 == 0, raw("[1,2]"))
+        .when(k % 103 == 0, wrapped("date", wrapped("numberLong", quoted(F.concat(cust, F.lit("000"))))))
+        .when(k % 7 == 0, price)
+        .when(k % 7 == 1, wrapped("numberDecimal", quoted(price)))
+        .when(k % 7 == 2, wrapped("numberInt", quoted(cust)))
+        .otherwise(quoted(price)),
+        "user": F.when(k % 5 == 0, user_like(20)),
+        "usuario": F.when(k % 3 == 0, user_like(21)),
+        "username": F.when(k % 4 == 0, raw("null")).when(k % 2 == 0, user_like(22)),
+        "user_id": F.when(k % 11 != 0, (F.col("o_custkey") % 23).cast("string")),
+    }
+    members = [F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()]
+    return o.select(F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("value"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message history: one row per conversation turn.
 
