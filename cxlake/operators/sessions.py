@@ -103,6 +103,42 @@ def session_histories(dated: DataFrame) -> DataFrame:
     return distinct.groupBy(*JOIN_KEY).agg(history_expr().alias("history"))
 
 
+CHUNK_MESSAGES = 1000
+CHUNK_KEY = ("session_id", "message_date", "chunk")
+
+
+def history_chunks(dated: DataFrame, chunk_messages: int = CHUNK_MESSAGES, user_only: bool = False) -> DataFrame:
+    """Ordered histories in pieces: (session_id, message_date, chunk, first_number, n_messages, history).
+
+    The distinct messages of a session-day are numbered 1, 2, ... in the order of
+    ``session_histories`` by ``ordered_numbers``, so a session-day (or a day's
+    messages without a session) of any size is spread over many tasks, and every
+    ``chunk_messages`` of them make one row. No row and no task holds a whole large
+    session-day. ``user_only``: the messages of the user alone, numbered anew."""
+    if chunk_messages < 1:
+        raise ValueError("a chunk has one message at least")
+    keyed = with_join_key(dated)
+    if user_only:
+        keyed = keyed.where(F.col("role") == F.lit(ROLE_USER))
+    distinct = keyed.groupBy(*DEDUP_KEY, "_sk", "_sn").agg(F.lit(True).alias("_one"))
+    said = distinct.select(*JOIN_KEY, "message_timestamp", "role", "content")
+    numbered = ordered_numbers(said, JOIN_KEY, ["message_timestamp", "role", "content"], "_number")
+    chunk = F.floor((F.col("_number") - 1) / chunk_messages).cast(T.IntegerType())
+    chunks = numbered.groupBy(*JOIN_KEY, chunk.alias("chunk")).agg(
+        F.min("_number").alias("first_number"), F.count(F.lit(1)).cast(T.IntegerType()).alias("n_messages"), history_expr().alias("history")
+    )
+    sid = F.when(~F.col("_sn"), F.col("_sk")).alias("session_id")
+    return chunks.select(sid, "message_date", "chunk", "first_number", "n_messages", "history")
+
+
+def whole_histories(chunks: DataFrame) -> DataFrame:
+    """Chunks put together again: one array per session-day (the presentation form of ``session_histories``)."""
+    keyed = with_join_key(chunks)
+    parts = F.sort_array(F.collect_list(F.struct("chunk", "history")))
+    whole = keyed.groupBy(*JOIN_KEY).agg(F.flatten(F.transform(parts, lambda p: p["history"])).alias("history"))
+    return whole.select(F.when(~F.col("_sn"), F.col("_sk")).alias("session_id"), "message_date", "history")
+
+
 def session_days(
     dated: DataFrame,
     include_history: bool = True,

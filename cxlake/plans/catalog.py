@@ -72,6 +72,17 @@ def default_table_defs(database: str | None = None) -> dict[str, TableDef]:
             lookback_days=3,
             description="Conversation dashboard per session-day",
         ),
+        TableDef(
+            name="session_history",
+            origin="python",
+            python_source="session_history",
+            database=database,
+            mode="overwrite_partitions",
+            partition_by="message_date",
+            cluster_by=("session_id", "chunk"),
+            lookback_days=3,
+            description="Ordered messages per session-day, in chunks of bounded size",
+        ),
         TableDef(
             name="dashboard_recent",
             origin="sql",

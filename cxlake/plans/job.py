@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cxlake.functions.text import MessagePatterns
-from cxlake.operators import claims, dashboard
+from cxlake.operators import claims, dashboard, sessions
+from cxlake.operators.messages import lookback, with_message_date
 from cxlake.plans.tabledef import TableDef, get_table_def
 from cxlake.session import ensure_session_defaults, use_checkpoint_dir
 from cxlake.sinks.tables import SaveResult, TableStore
@@ -96,12 +97,18 @@ def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
             survey_tie_breaker=inputs.survey_tie_breaker,
         )
 
+    def chunks(spark: SparkSession, tdef: TableDef) -> DataFrame:
+        messages = need(inputs.messages, "message")(spark)
+        recent = lookback(messages, "message_timestamp", inputs.as_of, tdef.lookback_days if tdef.lookback_days is not None else 3)
+        return sessions.history_chunks(with_message_date(recent), tdef.extra.get("chunk_messages", sessions.CHUNK_MESSAGES))
+
     return {
         "claim_detail": detail,
         "claim_summary": lambda spark, tdef: claims.claim_summary(detail(spark, tdef)),
         "claim_evolution": lambda spark, tdef: claims.claim_evolution(detail(spark, tdef)),
         "claim_top": lambda spark, tdef: claims.claim_top(detail(spark, tdef)),
         "dashboard_base": base,
+        "session_history": chunks,
     }
 
 

@@ -285,6 +285,18 @@ SELECT session_id, balancer_mongo_id, role, content, message_timestamp, conversa
 FROM messages
 """
 
+def _chunks(where: str = "true") -> str:
+    """Every three messages of a session-day, in order."""
+    return _conv(f"""
+SELECT session_id, message_date, chunk, CAST(min(nth) AS INTEGER) AS first_number, CAST(count(*) AS INTEGER) AS n_messages,
+  CAST(to_json(list({{'role': role, 'content': content, 'timestamp': CAST(message_timestamp AS VARCHAR)}} ORDER BY nth)) AS VARCHAR) AS history
+FROM (
+  SELECT *, CAST((nth - 1) // 3 AS INTEGER) AS chunk FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_id, message_date
+      ORDER BY message_timestamp NULLS FIRST, role NULLS FIRST, content NULLS FIRST) AS nth FROM sent WHERE {where}))
+GROUP BY session_id, message_date, chunk""")
+
+
 SESSION_METRIC_COLUMNS = """session_id, message_date, primer_timestamp, ultimo_timestamp, fecha_inicio, fecha_fin,
   cantidad_mensajes, mensajes_usuario, mensajes_bot, turnos_conversacion, duracion_minutos, duracion_segundos"""
 SURVEY_COLUMNS = 'id, "Fecha", eval_ia, eval_acceso, resolucion, event_id'
@@ -302,6 +314,9 @@ CONVERSATION_STATEMENTS = {
     "satisfaction_daily": _conv('SELECT dia AS "Fecha", isn FROM daily'),
     "session_day": _conv("SELECT session_id, message_date, id, expires_at, updated_at FROM days"),
     "session_history": _conv("SELECT session_id, message_date, history FROM days"),
+    "session_history_chunks": _chunks(),
+    "session_user_chunks": _chunks("role = 'user'"),
+    "session_history_table": _conv("SELECT session_id, message_date, history FROM days"),
     "session_metrics": _conv(f"SELECT {SESSION_METRIC_COLUMNS} FROM days"),
     "session_user_msgs": _conv("SELECT session_id, message_date, si FROM days"),
     "session_type": _conv("SELECT session_id, message_date, mensajes_usuario, tipo_sesion FROM days"),

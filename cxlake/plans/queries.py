@@ -462,6 +462,26 @@ def q_session_user_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_json(sessions.user_messages(_days(spark, sf_dir, True)), "si")
 
 
+# Small chunks, so that the fixtures' session-days have several.
+FIXTURE_CHUNK = 3
+
+
+def q_session_history_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_json(sessions.history_chunks(_dated(spark, sf_dir), FIXTURE_CHUNK), "history")
+
+
+def q_session_user_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_json(sessions.history_chunks(_dated(spark, sf_dir), FIXTURE_CHUNK, user_only=True), "history")
+
+
+def q_session_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk table as its job stores it, read back and put together."""
+    ensure_session_defaults(spark)
+    store, tdef = TableStore(spark), _own_def("session_history", lookback_days=DAYS, extra={"chunk_messages": FIXTURE_CHUNK})
+    run_table_job(spark, tdef, builtin_builders(_job_inputs(spark, sf_dir)), store, load_ts=CURRENT_LOAD_TS)
+    return _read_and_drop(spark, store, tdef, df=_as_json(sessions.whole_histories(spark.table(tdef.full_name)), "history"))
+
+
 def q_session_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _days(spark, sf_dir, False).select("session_id", "message_date", "mensajes_usuario", "tipo_sesion")
 
@@ -579,6 +599,9 @@ def registry() -> dict[str, Query]:
         "satisfaction_daily": q_satisfaction_daily,
         "session_day": q_session_day,
         "session_history": q_session_history,
+        "session_history_chunks": q_session_history_chunks,
+        "session_user_chunks": q_session_user_chunks,
+        "session_history_table": q_session_history_table,
         "session_metrics": q_session_metrics,
         "session_user_msgs": q_session_user_msgs,
         "session_type": q_session_type,

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from cxlake.operators import dashboard, messages, sessions
 
 MSG_SCHEMA = (
@@ -196,3 +198,35 @@ def test_null_role_sorts_first_and_counts_only_in_total(spark):
     r = base(spark, rows).collect()[0]
     assert [(h["role"], h["content"]) for h in r["history"]] == [(None, "a"), ("assistant", "b"), ("user", "c")]
     assert (r["cantidad_mensajes"], r["mensajes_usuario"], r["mensajes_bot"]) == (3, 1, 1)
+
+
+def test_history_chunks_of_a_hot_session(spark):
+    """A session-day with most of all messages is spread: no task holds it, and its chunks make its history."""
+    from cxlake.operators import sessions
+    from cxlake.operators.messages import MESSAGE_COLUMNS, with_message_date
+
+    hot = spark.range(6000).selectExpr(
+        "if(id < 4000, null, if(id < 5000, 'hot', cast(id % 50 AS string))) AS session_id", "'b' AS balancer_mongo_id", "if(id % 3 = 0, 'user', 'assistant') AS role",
+        "concat('m', id % 1700) AS content", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (id * 7919) % 1700) AS message_timestamp",
+        "timestamp_ntz'2024-01-02 00:00:00' AS conversation_expires_at", "timestamp_ntz'2024-01-02 00:00:00' AS conversation_updated_at",
+    ).select(*MESSAGE_COLUMNS)
+    dated = with_message_date(hot)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        chunks = sessions.history_chunks(dated, 100).checkpoint()
+        from pyspark.sql import functions as F
+
+        loads = [r[0] for r in chunks.groupBy(F.spark_partition_id()).agg(F.sum("n_messages")).select("sum(n_messages)").collect()]
+        assert max(loads) < sum(loads) / 4
+        assert chunks.agg(F.max(F.size("history"))).first()[0] == 100
+        days = sessions.session_days(dated, include_history=True)
+        want = {(r["session_id"], r["message_date"]): r["history"] for r in days.select("session_id", "message_date", "history").collect()}
+        got = {(r["session_id"], r["message_date"]): r["history"] for r in sessions.whole_histories(chunks).collect()}
+        assert got == want and (None, next(iter(want))[1]) in want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    with pytest.raises(ValueError):
+        sessions.history_chunks(dated, 0)
