@@ -1,10 +1,11 @@
 """Chat formatting by schema fingerprints (DataFrame functions only).
 
-Records of many layouts come as JSON text. The nested field paths of a record
-(those that some mapping reads; other fields are ignored) are hashed, and the
-hash selects a declarative mapping, which names the role and the field of each
-turn or the array that holds them. The canonical form is an array of
-(role, text) turns.
+A record of any layout is a list of *leaves*: nested field paths with their texts,
+in order (``prompt``, or ``messages[].role``). JSON records are read into leaves;
+tables give theirs without a detour through JSON. The paths that some mapping reads
+(other fields are ignored) are hashed, and the hash selects a declarative mapping,
+which names the role and the field of each turn or the array that holds them. The
+canonical form is an array of (role, text) turns.
 
 The template writes a turn as ``<|im_start|>role\\ntext<|im_end|>\\n``.
 Control strings inside texts and roles are escaped reversibly: ``%`` becomes
@@ -15,8 +16,10 @@ the spans of the assistants' texts.
 
 Defined results: null texts and roles are empty; rows of a conversation are
 ordered by turn, role and text (null turns first), repeated rows repeat the
-turn; a record whose fingerprint no mapping has, or that isn't JSON, gives null
-turns. A conversation is one sample, hence one row: its turns meet in one task.
+turn; a record whose fingerprint no mapping has, or that isn't a JSON object, gives
+null turns; texts may be as long as a row may be (the JSON reader's own limit on
+strings is lifted); input columns with the names of result columns are replaced. A
+conversation is one sample, hence one row: its turns meet in one task.
 """
 
 from __future__ import annotations
@@ -34,6 +37,11 @@ CONTROL_ANGLE = r"<(?=\||/?s>|</?SYS>>)"
 CONTROL_BRACKET = r"\[(?=/?INST\])"
 
 
+# The JSON reader's limit on the length of a string, lifted to what a row can hold.
+JSON_OPTIONS = {"maxStringLen": str(2**31 - 1)}
+LEAVES = "array<struct<path:string,text:string>>"
+
+
 @dataclass(frozen=True)
 class Mapping:
     """How one layout becomes turns: fixed fields with roles, or an array with role and text fields.
@@ -54,20 +62,21 @@ class Mapping:
     def fingerprint(self) -> str:
         return hashlib.sha256("\n".join(self.paths()).encode()).hexdigest()
 
-    def turns(self, record: Column) -> Column:
+    def turns(self, leaves: Column) -> Column:
+        def texts(path: str) -> Column:
+            return F.transform(F.filter(leaves, lambda x: x["path"] == path), lambda x: F.coalesce(x["text"], F.lit("")))
+
         if self.array:
             path, role, text = self.array
-            rows = F.from_json(record, f"`{path}` array<struct<`{role}`:string,`{text}`:string>>")[path]
+            pairs = F.arrays_zip(texts(f"{path}[].{role}").alias("role"), texts(f"{path}[].{text}").alias("text"))
             name = F.create_map(*[F.lit(x) for pair in self.aliases for x in pair]) if self.aliases else None
 
             def turn(m: Column) -> Column:
-                said = F.coalesce(m[role], F.lit(""))
-                known = F.coalesce(F.try_element_at(name, said), said) if self.aliases else said
-                return F.struct(known.alias("role"), F.coalesce(m[text], F.lit("")).alias("text"))
+                known = F.coalesce(F.try_element_at(name, m["role"]), m["role"]) if self.aliases else m["role"]
+                return F.struct(known.alias("role"), m["text"].alias("text"))
 
-            return F.transform(rows, turn)
-        parsed = F.from_json(record, ", ".join(f"`{f}` string" for _, f in self.fields))
-        return F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(parsed[f], F.lit("")).alias("text")) for role, f in self.fields])
+            return F.transform(pairs, turn)
+        return F.array(*[F.struct(F.lit(role).alias("role"), texts(f)[0].alias("text")) for role, f in self.fields])
 
 
 # Known layouts.
@@ -82,34 +91,47 @@ MAPPINGS = (
 )
 
 
-def fingerprint(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS) -> Column:
-    """Hash of the record's nested field paths, out of those that the mappings read."""
+def json_leaves(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS) -> Column:
+    """Leaves of a JSON object: its fields, and for the arrays that mappings read, every element's fields in order
+    (null where an element lacks a field that another one has). Null for what is no JSON object."""
     arrays = sorted({m.array[0] for m in mappings if m.array})
-    known = sorted({p for m in mappings for p in m.paths()})
-    top = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    fields = F.from_json(record, "map<string,string>", JSON_OPTIONS)
 
-    def fields_of(array: str) -> Column:
-        """Paths of the fields that any element of the array has."""
-        elements = F.from_json(F.get_json_object(record, f"$.{array}"), "array<map<string,string>>")
+    def inside(array: str) -> Column:
+        elements = F.from_json(F.try_element_at(fields, F.lit(array)), "array<map<string,string>>", JSON_OPTIONS)
         names = F.array_distinct(F.flatten(F.transform(elements, lambda m: F.map_keys(m))))
-        return F.transform(names, lambda k: F.concat(F.lit(f"{array}[]."), k))
+        leaves = F.transform(
+            names, lambda k: F.transform(elements, lambda m: F.struct(F.concat(F.lit(f"{array}[]."), k).alias("path"), F.try_element_at(m, k).alias("text")))
+        )
+        return F.coalesce(F.flatten(leaves), F.array().cast(LEAVES))
 
-    inner = [fields_of(a) for a in arrays]
-    paths = F.concat(top, *[F.coalesce(i, F.array().cast("array<string>")) for i in inner])
-    read = F.array_sort(F.array_intersect(paths, F.array(*[F.lit(p) for p in known])))
-    return F.sha2(F.array_join(read, "\n"), 256)
+    top = F.transform(F.map_entries(fields), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("text")))
+    return F.concat(top, *[inside(a) for a in arrays])
 
 
-def to_turns(records: DataFrame, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+def fingerprint(leaves: Column, mappings: tuple[Mapping, ...] = MAPPINGS) -> Column:
+    """Hash of the record's nested field paths, out of those that the mappings read."""
+    known = sorted({p for m in mappings for p in m.paths()})
+    paths = F.coalesce(F.transform(leaves, lambda x: x["path"]), F.array().cast("array<string>"))
+    return F.sha2(F.array_join(F.array_sort(F.array_intersect(F.array(*[F.lit(p) for p in known]), paths)), "\n"), 256)
+
+
+def leaves_to_turns(records: DataFrame, leaves_col: str = "leaves", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """``records`` plus ``fingerprint`` and the canonical ``turns``."""
-    marked = records.withColumn("fingerprint", fingerprint(F.col(record_col), mappings))
+    marked = records.withColumn("fingerprint", fingerprint(F.col(leaves_col), mappings))
     turns = None
     for m in mappings:
         hit = F.col("fingerprint") == m.fingerprint()
-        turns = F.when(hit, m.turns(F.col(record_col))) if turns is None else turns.when(hit, m.turns(F.col(record_col)))
+        turns = F.when(hit, m.turns(F.col(leaves_col))) if turns is None else turns.when(hit, m.turns(F.col(leaves_col)))
     return marked.withColumn("turns", turns)
 
 
+def to_turns(records: DataFrame, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+    """``records`` with JSON text in ``record_col``, plus ``fingerprint`` and the canonical ``turns``."""
+    with_leaves = records.withColumn("_leaves", json_leaves(F.col(record_col), mappings))
+    return leaves_to_turns(with_leaves, "_leaves", mappings).drop("_leaves")
+
+
 def escape(text: Column) -> Column:
     out = F.replace(text, F.lit("%"), F.lit("%25"))
     out = F.regexp_replace(out, CONTROL_ANGLE, "%3C")
@@ -173,26 +195,44 @@ def masked_text(formatted: Column, spans: Column) -> Column:
 
 
 def conversation_records(rows: DataFrame) -> DataFrame:
-    """Rows by turn -> (conv_id, record): a user and an assistant turn as prompt and response, a system turn before
-    them as instruction, input and output, any other conversation as messages."""
+    """Rows by turn -> (conv_id, leaves), in the layouts that such conversations come in.
+
+    A user and an assistant turn are a pair under one of four names, a system turn before them
+    an instruction with input and output; any other conversation is a list of messages, every
+    other one under the names ``from`` and ``value`` with the roles human and gpt."""
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
     grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("m"))
-    roles = F.array_join(F.transform("m", lambda t: t["role"]), "\n")
-
-    def said(i: int) -> Column:
-        return F.col("m")[i]["content"]
-
-    pair = F.to_json(F.struct(said(0).alias("prompt"), said(1).alias("response")))
-    triple = F.to_json(F.struct(said(0).alias("instruction"), said(1).alias("input"), said(2).alias("output")))
-    messages = F.to_json(F.struct(F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages")))
-    record = F.when((F.size("m") == 2) & (roles == "user\nassistant"), pair)
-    record = record.when((F.size("m") == 3) & (roles == "system\nuser\nassistant"), triple).otherwise(messages)
-    return grouped.select("conv_id", record.alias("record"))
+    roles = F.transform("m", lambda t: t["role"])
+    sequence = F.array_join(roles, "\n")
+
+    def named(*paths: str) -> Column:
+        return F.array(*[F.struct(F.lit(p).alias("path"), F.col("m")[i]["content"].alias("text")) for i, p in enumerate(paths)])
+
+    def listed(array: str, role: str, text: str, names: dict[str, str]) -> Column:
+        def said(t: Column) -> Column:
+            name = t["role"]
+            for plain, other in names.items():
+                name = F.when(t["role"] == plain, other).otherwise(name)
+            return F.array(
+                F.struct(F.lit(f"{array}[].{role}").alias("path"), name.alias("text")), F.struct(F.lit(f"{array}[].{text}").alias("path"), t["content"].alias("text"))
+            )
+
+        return F.flatten(F.transform("m", said))
+
+    way = F.pmod(F.xxhash64("conv_id"), F.lit(4))
+    pair = F.when(way == 0, named("prompt", "response")).when(way == 1, named("prompt", "completion")).when(way == 2, named("question", "answer"))
+    pair = pair.otherwise(named("instruction", "output"))
+    # a role that is called human or gpt keeps its name under the plain layout only
+    plain = F.arrays_overlap(roles, F.array(F.lit("human"), F.lit("gpt"))) | (way % 2 == 0)
+    messages = F.when(plain, listed("messages", "role", "content", {})).otherwise(listed("conversations", "from", "value", {"user": "human", "assistant": "gpt"}))
+    leaves = F.when((F.size("m") == 2) & (sequence == "user\nassistant"), pair)
+    leaves = leaves.when((F.size("m") == 3) & (sequence == "system\nuser\nassistant"), named("instruction", "input", "output")).otherwise(messages)
+    return grouped.select("conv_id", leaves.alias("leaves"))
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """Rows by turn -> conv_id, record, fingerprint, turns, formatted, loss_spans."""
-    return format_turns(to_turns(conversation_records(rows)))
+    """Rows by turn -> conv_id, leaves, fingerprint, turns, formatted, loss_spans."""
+    return format_turns(leaves_to_turns(conversation_records(rows)))
 
 
 def digests(samples: DataFrame) -> DataFrame:

@@ -20,9 +20,11 @@ On unit vectors that is a Euclidean distance of at most
    its links, never the links themselves, so a large group costs a count and
    one forest link per entry.
 
+Vectors of different lengths have no cosine: each length that occurs is joined by
+itself (a few jobs a length).
+
 Defined results: null vectors, vectors with a null or non-finite component,
-zero vectors, empty vectors, and vectors shorter or longer than the most
-frequent length (the smaller on a tie) link with nothing; a null vec_id counts
+zero vectors and empty vectors link with nothing; a null vec_id counts
 as a vector for others' links and has a null component unless linked.
 """
 
@@ -40,6 +42,8 @@ from cxlake.llm.shared import components, keep_on_disk, small_batches
 INTERVAL, LEAF, FANOUT, GRID_DIMS, BOX_DIMS = 4096, 128, 8, 6, 16
 # rounding room of box tests: far above double rounding, far below any useful distance
 SLACK = 1e-9
+# least side of a grid cell (a cosine of 1 leaves no distance)
+FINEST = 1e-6
 
 
 def _usable(v: Column) -> Column:
@@ -89,7 +93,7 @@ def _intervals(entries: DataFrame, width: int, rotation: np.ndarray, eps: float)
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u = _unit(_matrix(batch.column(2), width)) if batch.num_rows else np.zeros((0, width))
-            grid = np.floor(u @ rotation[:, :dims] / eps).astype(np.int32)
+            grid = np.floor(u @ rotation[:, :dims] / max(eps, FINEST)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(grid[:, i]) for i in range(dims)]], ["entry", "copies", "vector", *order])
 
     def build(part: pa.Table) -> pa.Table:
@@ -216,22 +220,8 @@ def join_intervals(x, y, rotation: np.ndarray, cosine: float, eps: float) -> tup
     return ids[linked], ids[top], count[linked]
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, n_links, component_id, kept (vec_id = component_id) for every row of ``vectors``."""
-    small_batches(vectors.sparkSession)
-    eps = float(np.sqrt(2 - 2 * cosine))
-    v = vectors[vector_col]
-    key = [F.when(_usable(v), h).alias(c) for c, h in (("h1", F.xxhash64(v)), ("h2", F.xxhash64(F.lit(1), v)))]
-    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), v.alias("vector"), *key)
-    # equal vectors, told by 128 bits of hash, are one entry
-    grouped = rows.where("h1 is not null").groupBy("h1", "h2").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")
-    )
-    grouped = keep_on_disk(grouped.withColumn("entry", F.monotonically_increasing_id()))
-    common = grouped.groupBy(F.size("vector").alias("width")).agg(F.sum("copies").alias("n")).orderBy(F.desc("n"), "width").first()
-    width = common["width"] if common else 1
-    entries = grouped.where(F.size("vector") == width)
-
+def _linked_entries(entries: DataFrame, width: int, cosine: float, eps: float) -> DataFrame:
+    """(entry, top, links) of the pairs of intervals of entries of one length, on disk."""
     rotation = _rotation(entries, width)
     intervals = keep_on_disk(_intervals(entries, width, rotation, eps))
     pairs = _near_intervals(intervals, min(BOX_DIMS, width), eps)
@@ -250,7 +240,27 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
 
     a, b = (intervals.select(F.col("number").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("ids", "copies", "rows")]) for s in "ab")
     met = pairs.join(a, "a").join(b, "b").select("a", "b", *[f"{c}_{s}" for s in "ab" for c in ("ids", "copies", "rows")])
-    found = keep_on_disk(met.mapInArrow(meet, "entry bigint, top bigint, links bigint"))
+    return keep_on_disk(met.mapInArrow(meet, "entry bigint, top bigint, links bigint"))
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """vec_id, n_links, component_id, kept (vec_id = component_id) for every row of ``vectors``."""
+    small_batches(vectors.sparkSession)
+    eps = float(np.sqrt(2 - 2 * cosine))
+    v = vectors[vector_col]
+    key = [F.when(_usable(v), h).alias(c) for c, h in (("h1", F.xxhash64(v)), ("h2", F.xxhash64(F.lit(1), v)))]
+    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), v.alias("vector"), *key)
+    # equal vectors, told by 128 bits of hash, are one entry
+    grouped = rows.where("h1 is not null").groupBy("h1", "h2").agg(
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")
+    )
+    grouped = keep_on_disk(grouped.withColumn("entry", F.monotonically_increasing_id()))
+    entries, found = grouped, None
+    for row in grouped.groupBy(F.size("vector").alias("width")).count().orderBy("width").collect():
+        of_width = _linked_entries(grouped.where(F.size("vector") == row["width"]), row["width"], cosine, eps)
+        found = of_width if found is None else found.unionByName(of_width)
+    if found is None:
+        found = grouped.select("entry", F.col("entry").alias("top"), F.col("copies").alias("links"))
 
     links = found.groupBy("entry").agg(F.sum("links").alias("links"))
     pieces = components(found.select("entry", "top")).withColumnRenamed("node", "entry")

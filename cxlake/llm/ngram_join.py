@@ -486,8 +486,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def _by_marks(docs: DataFrame, marks: np.ndarray, marked: bool) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in the bitmap (``marked``), or is not."""
+def _by_marks(docs: DataFrame, marks: np.ndarray, marked: bool, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is in the bitmap (``marked``), or is not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -497,21 +497,46 @@ def _by_marks(docs: DataFrame, marks: np.ndarray, marked: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(out.columns[:-1], names)
 
     names = docs.columns
-    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(MARKS))
-    return docs.where("doc_id is not null").withColumn("_slot", slot).mapInArrow(run, docs.schema)
+    slot = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(MARKS))
+    return docs.where(F.col(id_col).isNotNull()).withColumn("_slot", slot).mapInArrow(run, docs.schema)
+
+
+def _text_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``_id``: the doc_id, or a number above all doc_ids for every further text of a doc_id.
+
+    Only rows whose doc_id has unlike texts (told by a bitmap of such ids) are shuffled. Texts are told
+    apart by 128 bits of hash."""
+    text = F.coalesce("text", F.lit(""))
+    hashes = [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+    told = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*hashes).alias("h"))
+    unlike = keep_on_disk(told.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("doc_id", "low"))
+    last = told.agg(F.max("doc_id")).first()[0]
+    marks = _marks(unlike.select(F.col("doc_id").alias("id")))
+    again = _by_marks(docs, marks, True).withColumns({c: h for c, h in zip(("_h1", "_h2"), hashes)})
+    further = again.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("_h1", "_h2").alias("h")).join(unlike, "doc_id").where("h <> low")
+    numbers = keep_on_disk(further.select("doc_id", "h").distinct().withColumn("_more", F.monotonically_increasing_id()))
+    numbers = numbers.select(F.col("doc_id").alias("_doc"), F.col("h._h1").alias("_n1"), F.col("h._h2").alias("_n2"), "_more")
+    same = (again["doc_id"] == numbers["_doc"]) & (again["_h1"] == numbers["_n1"]) & (again["_h2"] == numbers["_n2"])
+    above = F.lit(0 if last is None else last).cast("long") + 1 + F.col("_more")
+    named = again.join(numbers, same, "left").withColumn("_id", F.coalesce(above, F.col("doc_id").cast("long"))).select(*docs.columns, "_id")
+    plain = _by_marks(docs, marks, False).withColumn("_id", F.col("doc_id").cast("long"))
+    nameless = docs.where("doc_id is null").withColumn("_id", F.lit(None).cast("long"))
+    return plain.unionByName(named).unionByName(nameless)
 
 
 def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near duplicates: the one whose doc_id is the component's.
 
-    Rows that repeat a doc_id are one document, of which one row stays; rows
-    without a doc_id have no group and all stay. Only rows that may have to go
-    (told by a bitmap of their ids) are shuffled; the other texts stay where
-    they are read."""
-    found = keep_on_disk(jaccard_components(docs, k, percent))
+    Unlike texts under one doc_id are documents of their own: the text with the smallest hash
+    goes by the doc_id, the others come after all doc_ids, and each goes only if it is a near
+    duplicate of a text that stays. Rows that repeat doc_id and text are one document, of which
+    one row stays; rows without a doc_id have no group and all stay. Only rows that may have to
+    go (told by a bitmap of their ids) are shuffled; the other texts stay where they are read."""
+    named = _text_ids(docs)
+    found = keep_on_disk(jaccard_components(named.select(F.col("_id").alias("doc_id"), "text"), k, percent))
     others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("id"))
     repeated = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id")
     marks = _marks(others.unionByName(repeated))
-    suspects = _by_marks(docs, marks, True)
-    kept = suspects.join(others, suspects["doc_id"] == others["id"], "left_anti").dropDuplicates(["doc_id"])
-    return _by_marks(docs, marks, False).unionByName(kept).unionByName(docs.where("doc_id is null"))
+    suspects = _by_marks(named, marks, True, "_id")
+    kept = suspects.join(others, suspects["_id"] == others["id"], "left_anti").dropDuplicates(["_id"])
+    return _by_marks(named, marks, False, "_id").unionByName(kept).unionByName(named.where("_id is null")).drop("_id")

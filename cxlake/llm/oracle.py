@@ -30,10 +30,10 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT doc_id, min(
 EMBEDDING_JOIN = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) = 64
+  WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
-  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
 ), reach(vec_id, other) AS (
   SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON l.x = r.other
 ), low AS (SELECT vec_id, min(other) AS c FROM reach GROUP BY vec_id

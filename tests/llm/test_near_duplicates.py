@@ -119,12 +119,12 @@ def vectors(spark, rows, kind="float"):
     return df.selectExpr("*", "'x' AS entry", "'x' AS vector", "'x' AS h1", "'x' AS copies", "'x' AS links")
 
 
-def brute_vectors(rows, width, cosine):
+def brute_vectors(rows, cosine):
     good = {}
     for i, v, _ in rows:
-        if v is not None and len(v) == width and all(x is not None and np.isfinite(x) for x in v) and any(v):
+        if v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
             good[i] = np.array(v, dtype=np.float32).astype(float)
-    linked = [(a, b) for a, b in itertools.combinations(good, 2) if good[a] @ good[b] / (np.linalg.norm(good[a]) * np.linalg.norm(good[b])) >= cosine]
+    linked = [(a, b) for a, b in itertools.combinations(good, 2) if len(good[a]) == len(good[b]) and good[a] @ good[b] / (np.linalg.norm(good[a]) * np.linalg.norm(good[b])) >= cosine]
     low = groups([r[0] for r in rows], linked)
     n = {i: 0 for i, _, _ in rows}
     for a, b in linked:
@@ -146,8 +146,10 @@ def test_embeddings_match_brute_force(spark, monkeypatch, cosine):
         rows.append((i * 3 % 1000, [float(np.float32(x)) for x in v], 0))
     rows += [(5000 + i, rows[0][1], 1) for i in range(60)]
     rows += [(6000, None, 0), (6001, [0.0] * 8, 0), (6002, [1.0, None] + [0.0] * 6, 0), (6003, [float("nan")] * 8, 0), (6004, [float("inf")] + [1.0] * 7, 0), (6005, [], 0), (6006, [1.0] * 5, 0)]
+    # other lengths are joined as well
+    rows += [(7000 + i, [float(np.float32(x)) for x in centres[i % 4, :3] * (i + 1)], 0) for i in range(12)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in ego_join.near_duplicates(vectors(spark, rows), cosine).collect()}
-    assert got == brute_vectors(rows, 8, cosine)
+    assert got == brute_vectors(rows, cosine)
 
 
 def test_embeddings_awkward(spark):
@@ -159,3 +161,26 @@ def test_embeddings_awkward(spark):
     assert [tuple(r) for r in ego_join.near_duplicates(vectors(spark, [(4, None, 0)])).collect()] == [(4, 0, 4, True)]
     double = vectors(spark, [(1, [1e200, 1e200], 0), (2, [1e-200, 1e-200], 0)], "double")
     assert sorted(tuple(r) for r in ego_join.near_duplicates(double).collect()) == [(1, 1, 1, True), (2, 1, 1, False)]
+
+
+def test_embeddings_of_several_lengths_and_a_cosine_of_one(spark):
+    rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [0.0, 1.0], 0), (10, [1.0, 2.0, 3.0], 0), (11, [1.0, 2.0, 3.0], 0), (12, [0.0, 0.0, 9.0], 0)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ego_join.near_duplicates(vectors(spark, rows)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 10: (1, 10), 11: (1, 10), 12: (0, 12)}
+    same = {r["vec_id"]: r["n_links"] for r in ego_join.near_duplicates(vectors(spark, rows), cosine=1.0).collect()}
+    assert same[1] == same[2] == 1 and same[10] == same[11] == 1 and same[3] == same[12] == 0
+
+
+def test_representatives_keep_unlike_texts_of_one_id(spark):
+    texts = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcde"}
+    near = texts["a"] + " more"
+    rows = [(1, texts["a"]), (5, near), (5, texts["b"]), (5, texts["b"]), (6, texts["c"]), (6, texts["d"]), (7, texts["d"]), (8, None), (8, ""), (8, texts["e"]), (None, texts["a"])]
+    docs = documents(spark, rows, clashing=True)
+    kept = sorted((r["doc_id"], r["text"]) for r in ngram_join.representatives(docs).where("doc_id is not null").collect() if r["text"])
+    assert kept in (
+        sorted([(1, texts["a"]), (5, texts["b"]), (6, texts["c"]), (6, texts["d"]), (8, texts["e"])]),
+        sorted([(1, texts["a"]), (5, texts["b"]), (6, texts["c"]), (7, texts["d"]), (8, texts["e"])]),
+    )
+    out = ngram_join.representatives(docs)
+    assert out.columns == docs.columns and out.where("doc_id is null").count() == 1
+    assert out.where("doc_id = 8").count() == 2  # the empty text once, and the other one

@@ -214,6 +214,27 @@ def test_repeated_turns_and_ties(spark):
     assert [t["text"] for t in r["turns"]] == ["first", "a", "a", "b"]
 
 
+def test_long_texts_in_every_layout(spark):
+    """Beyond 20,000,000 characters, where the JSON reader's own limit lies."""
+    long = 20_100_000
+    say = "repeat('long text ', %d)" % (long // 10)
+    rows = spark.sql(
+        f"SELECT 1 AS conv_id, 0 AS turn, 'user' AS role, 'x' AS text UNION ALL SELECT 1, 1, 'assistant', {say}"
+        f" UNION ALL SELECT 2, 0, 'assistant', {say} UNION ALL SELECT 2, 1, 'user', 'x' UNION ALL SELECT 2, 2, 'assistant', 'end'"
+    )
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"], r["formatted_chars"]) for r in chat_format.digests(chat_format.format_conversations(rows)).collect()}
+    assert got == {1: (2, long, 48 + 4 + 9 + 1 + long), 2: (3, long + 3, 72 + 9 + 4 + 9 + long + 1 + 3)}
+    records = spark.sql(f"SELECT to_json(struct('q' AS prompt, {say} AS response)) AS record UNION ALL SELECT to_json(struct(array(struct('user' AS role, {say} AS content)) AS messages))")
+    sizes = chat_format.to_turns(records).selectExpr("aggregate(turns, 0L, (s, t) -> s + length(t.text)) AS n").collect()
+    assert sorted(r["n"] for r in sizes) == [long, long + 1]
+
+
+def test_every_mapping_is_reached(spark):
+    made = chat_format.format_conversations(spark.read.parquet("/root/testdata/sf0.1/conversations.parquet"))
+    found = {r[0] for r in made.select("fingerprint").distinct().collect()}
+    assert found == {m.fingerprint() for m in chat_format.MAPPINGS}
+
+
 LAYOUTS = [
     ({"prompt": "p", "response": "r"}, [("user", "p"), ("assistant", "r")]),
     ({"prompt": "p", "completion": "r", "id": 5}, [("user", "p"), ("assistant", "r")]),
