@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
@@ -131,11 +132,25 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+SALTS = 64
+
+
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """(u, v) rows with ``m``, the smallest v of each u.
+
+    Reduced per (u, salt), then per u, and joined back per (u, salt): the rows of a hub, which
+    may be most of all, are spread over ``SALTS`` keys and never meet in one task."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    lows = parts.select("u", "salt", F.min("m").over(Window.partitionBy("u")).alias("m"))
+    return salted.join(lows, ["u", "salt"]).select("u", "v", "m")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest id reachable over the links, for every linked node.
 
     ``links`` has two long columns. Alternating large-star and small-star steps
-    (each a minimum per node, which combines map-side, and a join) until the
+    (each a minimum per node, salted so that hubs are spread) until the
     links are stars; every round is written to the shared folder, so the plan
     stays short and a lost executor costs one round. Nothing goes to the driver
     but a count and a checksum per round.
@@ -154,13 +169,12 @@ def components(links: DataFrame) -> DataFrame:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _with_least(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
         # small star: every node's links, itself the larger end, meet at its smallest neighbour
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
-        edges = keep_on_disk(least.select("u", F.col("m").alias("v")).unionByName(small).distinct())
+        near = _with_least(large)
+        small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
+        edges = keep_on_disk(near.select("u", F.col("m").alias("v")).unionByName(small).distinct())
         now = mark(edges)
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

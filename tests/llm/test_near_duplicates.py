@@ -184,3 +184,14 @@ def test_representatives_keep_unlike_texts_of_one_id(spark):
     out = ngram_join.representatives(docs)
     assert out.columns == docs.columns and out.where("doc_id is null").count() == 1
     assert out.where("doc_id = 8").count() == 2  # the empty text once, and the other one
+
+
+def test_components_of_a_star_and_a_chain_with_a_million_links(spark):
+    n = 1_000_000
+    star = spark.range(1, n + 1).selectExpr("id AS a", "0L AS b")
+    ring = spark.range(n // 10).selectExpr(f"id + {10 * n} AS a", f"id + {10 * n} + 1 AS b")
+    found = components(star.unionByName(ring)).groupBy("component").count().collect()
+    # the smallest node of a piece may stand for itself or be left out
+    assert {r["component"] for r in found} == {0, 10 * n}
+    assert {r["component"]: r["count"] for r in found if r["component"]} in ({10 * n: n // 10}, {10 * n: n // 10 + 1})
+    assert next(r["count"] for r in found if r["component"] == 0) in (n, n + 1)
