@@ -388,6 +388,7 @@ STEP_STATEMENTS = {
     "claim_sorted": _claims('SELECT * FROM claim_detail ORDER BY "Mes", "Clasificacion", "OT"'),
     "with_load_ts": _two_loads("SELECT * FROM cur_load"),
     "table_merge": _two_loads(MERGED),
+    "table_merge_bucketed": _two_loads(MERGED),
     "table_append": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_compact": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_overwrite": _two_loads("SELECT * FROM cur_load"),

@@ -205,6 +205,15 @@ def q_table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_and_drop(spark, store, tdef)
 
 
+def q_table_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert into a table with buckets on its key: the stored side isn't shuffled."""
+    store, tdef = TableStore(spark), _own_def("claim_detail", partition_by=None, buckets=8)
+    prev, cur = _loads(spark, sf_dir)
+    store.save(prev, tdef)
+    store.save(cur, tdef)
+    return _read_and_drop(spark, store, tdef)
+
+
 def q_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, tdef = TableStore(spark), _own_def("claim_detail", mode="append")
     prev, cur = _loads(spark, sf_dir)
@@ -571,6 +580,7 @@ def registry() -> dict[str, Query]:
         "claim_detail_documents": q_claim_detail_documents,
         "with_load_ts": q_with_load_ts,
         "table_merge": q_table_merge,
+        "table_merge_bucketed": q_table_merge_bucketed,
         "table_append": q_table_append,
         "table_compact": q_table_compact,
         "parquet_scan": q_parquet_scan,

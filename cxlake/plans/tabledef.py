@@ -18,7 +18,10 @@ class TableDef:
     has and keeps the others. ``partition_by`` is a column name.
     ``cluster_by`` sorts rows inside each written file, so parquet row-group
     statistics are tight on those columns. ``ddl_path`` is a file with the
-    table's CREATE statement (see ``TableStore.create``). ``params`` are named
+    table's CREATE statement (see ``TableStore.create``). ``buckets`` deals the rows
+    by the primary key into so many buckets, sorted by it: a merge on that key then
+    shuffles its source alone (choose a number that suits the grown table; it
+    can't be changed later). ``params`` are named
     parameters of a SQL-origin query; ``lookback_days`` adds ``:dias``.
     """
 
@@ -34,6 +37,7 @@ class TableDef:
     partition_by: str | None = None
     cluster_by: tuple[str, ...] = ()
     ddl_path: str | None = None
+    buckets: int | None = None
     params: dict = field(default_factory=dict)
     lookback_days: int | None = None
     description: str = ""
@@ -49,6 +53,8 @@ class TableDef:
             raise ValueError(f"table {self.name!r}: merge mode needs a primary key")
         if self.mode.lower() == "overwrite_partitions" and not self.partition_by:
             raise ValueError(f"table {self.name!r}: overwrite_partitions needs a partition column")
+        if self.buckets is not None and (self.buckets < 1 or not self.primary_key):
+            raise ValueError(f"table {self.name!r}: buckets need a primary key and a number above 0")
         if self.origin == "python" and not self.python_source:
             raise ValueError(f"table {self.name!r}: python origin needs python_source")
         if self.origin == "sql" and not self.query_sql_path:

@@ -21,6 +21,8 @@ that another job has published to between the two steps is not overwritten
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,6 +37,8 @@ from cxlake.sources.scans import read_sql_text
 _ACTION = "_merge_action"
 VERSION = "cxlake.version"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# off: a join on (month, class, OT) may keep a table's buckets by (class, OT)
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 class EmptyResultError(ValueError):
@@ -60,6 +64,11 @@ def _quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def bucket_columns(tdef: TableDef) -> list[str]:
+    """The key columns that deal rows into buckets: a partition column is a folder, and no bucket column."""
+    return [k for k in tdef.primary_key if k != tdef.partition_by]
+
+
 class TableStore:
     """Saves DataFrames into catalog tables according to a ``TableDef``."""
 
@@ -97,7 +106,9 @@ class TableStore:
         fields = self.spark.createDataFrame([], schema).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         partitioned = f" PARTITIONED BY (`{tdef.partition_by}`)" if tdef.partition_by else ""
-        self.spark.sql(f"CREATE TABLE {_quote(tdef.full_name)} ({columns}) USING {self.provider}{partitioned}")
+        keys = ", ".join(f"`{k}`" for k in bucket_columns(tdef))
+        bucketed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {tdef.buckets} BUCKETS" if tdef.buckets else ""
+        self.spark.sql(f"CREATE TABLE {_quote(tdef.full_name)} ({columns}) USING {self.provider}{partitioned}{bucketed}")
 
     def drop(self, tdef: TableDef) -> None:
         """Drop the table with its files."""
@@ -107,6 +118,18 @@ class TableStore:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {_quote(tdef.full_name)}").where(F.col("key") == VERSION).collect()
         return int(rows[0]["value"]) if rows else 0
 
+    @contextmanager
+    def _settings(self, values: dict[str, str]) -> Iterator[None]:
+        """Session settings for one write, put back right after."""
+        before = {k: self.spark.conf.get(k) for k in values}
+        try:
+            for k, v in values.items():
+                self.spark.conf.set(k, v)
+            yield
+        finally:
+            for k, v in before.items():
+                self.spark.conf.set(k, v)
+
     # -- staging and publishing ---------------------------------------------------
 
     def _stage(self, df: DataFrame, tdef: TableDef, metrics: dict, counted: str) -> tuple[str, dict]:
@@ -130,20 +153,19 @@ class TableStore:
         self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{version + 1}')")
         # positional insert: in the order of the table, which has the partition column last
         rows = self.spark.read.parquet(path).select(*self.spark.table(tdef.full_name).columns)
-        if tdef.partition_by:
+        if tdef.buckets:
+            # a task holds one bucket, of all partitions, and makes one file of each
+            rows = rows.repartition(tdef.buckets, *bucket_columns(tdef))
+        elif tdef.partition_by:
             # rows of a partition meet in few tasks and make few files; AQE
             # splits a partition that holds much of the table
             rows = rows.hint("rebalance", tdef.partition_by)
-        if tdef.cluster_by:
+        if tdef.cluster_by and not tdef.buckets:
             # sorted inside each file: tight row-group statistics
             rows = rows.sortWithinPartitions(*tdef.cluster_by)
-        # insertInto heeds the session's mode only; it is put back right after
-        before = self.spark.conf.get(OVERWRITE_MODE)
-        self.spark.conf.set(OVERWRITE_MODE, "dynamic" if how == "partitions" else "static")
-        try:
+        # insertInto heeds the session's mode only
+        with self._settings({OVERWRITE_MODE: "dynamic" if how == "partitions" else "static"}):
             rows.write.insertInto(tdef.full_name, overwrite=how != "append")
-        finally:
-            self.spark.conf.set(OVERWRITE_MODE, before)
         self.spark.catalog.refreshTable(tdef.full_name)
         remove_path(self.spark, path)
 
@@ -173,7 +195,8 @@ class TableStore:
         inside a partition that the source has: only those are read, merged and
         replaced. The source is written to the shared folder first, since its
         partition values (a list bounded by the table's partitions) prune the
-        target's scan."""
+        target's scan. A table with buckets is joined where its rows lie: only the
+        source is shuffled."""
         if not tdef.primary_key:
             raise ValueError(f"table {tdef.full_name}: merge needs a primary key")
         self.create(tdef, tdef.schema_ddl or df.schema)
@@ -198,7 +221,8 @@ class TableStore:
             "copied": F.count_if(action == ACTION_COPIED),
             "source_rows": F.count_if(action != ACTION_COPIED),
         }
-        path, m = self._stage(merged, tdef, metrics, "source_rows")
+        with self._settings({CO_PARTITION: "false"} if tdef.buckets else {}):
+            path, m = self._stage(merged, tdef, metrics, "source_rows")
         self._publish(path, tdef, version, "partitions" if some else "all")
         if source_path:
             remove_path(self.spark, source_path)

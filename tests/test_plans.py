@@ -146,3 +146,38 @@ def test_filters_and_columns_reach_the_scans(full_metadata, tmp_path):
     assert msg and all("GreaterThanOrEqual(message_timestamp" in x for x in msg)
     srv = [x for x in scans if "Fecha" in x]
     assert srv and all("GreaterThanOrEqual(Fecha" in x and "EqualTo(AtencionIA,Si)" in x for x in srv)
+
+
+@pytest.mark.parametrize("partition_by", [None, "Mes"])
+def test_a_merge_into_buckets_shuffles_the_source_alone(static_plans, partition_by, monkeypatch):
+    """The plan that the store itself runs: the bucketed table's scan has no exchange above it."""
+    from dataclasses import replace
+
+    from cxlake.plans import queries as Q
+    from cxlake.sinks import tables
+
+    store, tdef = tables.TableStore(static_plans), Q._own_def("claim_detail", partition_by=partition_by, buckets=6)
+    prev, cur = Q._loads(static_plans, SF)
+    store.save(prev, tdef)
+    plans, stage = [], tables.TableStore._stage
+
+    def watched(self, df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(self, df, *rest)
+
+    monkeypatch.setattr(tables.TableStore, "_stage", watched)
+    merged = store.save(cur, tdef)
+    assert merged.updated > 0 and merged.inserted > 0
+    above = plans[0][plans[0].index("FullOuter") : plans[0].index("Bucketed: true")]
+    target = above[above.rindex("Sort [") :]  # from the join's sort of the stored side down to its scan
+    assert "_t_Usuario" in target and "Exchange" not in target
+    rows = static_plans.table(tdef.full_name)
+    plain = Q._own_def("claim_detail")
+    store.save(prev, plain)
+    store.save(cur, plain)
+    columns = sorted(rows.columns)
+    assert sorted(rows.select(*columns).collect(), key=str) == sorted(static_plans.table(plain.full_name).select(*columns).collect(), key=str)
+    for t in (tdef, plain):
+        store.drop(t)
+    with pytest.raises(ValueError):
+        replace(tdef, buckets=0)
