@@ -153,8 +153,8 @@ def first_per_ot(candidates: DataFrame, tie_breaker: str | None = "log_id") -> D
     )
 
 
-def to_detail(first: DataFrame) -> DataFrame:
-    """First records -> the detail table's six columns and types."""
+def to_detail(first: DataFrame, *more: str) -> DataFrame:
+    """First records -> the detail table's six columns and types (then the columns ``more``, as they are)."""
     return first.select(
         month_key(F.col("event_ts")).alias("Mes"),
         F.col("clasificacion").alias("Clasificacion"),
@@ -162,6 +162,7 @@ def to_detail(first: DataFrame) -> DataFrame:
         F.round(F.col("valor"), DECIMALS).alias("Valor_Declarado_CLP"),
         truncate_to_second(F.col("event_ts")).alias("Fecha_Creacion"),
         F.col("usuario").alias("Usuario"),
+        *more,
     )
 
 
@@ -201,46 +202,54 @@ def _average(total: Column, count: Column) -> Column:
     return half_up_average(total, count, DECIMALS)
 
 
-def claim_summary(detail: DataFrame) -> DataFrame:
-    """Per (Mes, Clasificacion): Cantidad, Suma_Total_CLP, Promedio_CLP."""
-    agg = detail.groupBy("Mes", "Clasificacion").agg(
-        F.count(F.lit(1)).alias("_n"), _money_sum().alias("_sum")
-    )
-    return agg.select(
+def _state(detail: DataFrame, *by: str) -> DataFrame:
+    """Mergeable state of a rollup: how many (``n``) and the exact sum (``total``)."""
+    return detail.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), _money_sum().alias("total"))
+
+
+def summary_of(state: DataFrame) -> DataFrame:
+    return state.select(
         "Mes",
         "Clasificacion",
-        F.col("_n").cast(T.IntegerType()).alias("Cantidad"),
-        F.col("_sum").cast(T.DoubleType()).alias("Suma_Total_CLP"),
-        _average(F.col("_sum"), F.col("_n")).alias("Promedio_CLP"),
+        F.col("n").cast(T.IntegerType()).alias("Cantidad"),
+        F.col("total").cast(T.DoubleType()).alias("Suma_Total_CLP"),
+        _average(F.col("total"), F.col("n")).alias("Promedio_CLP"),
     )
 
 
-def claim_evolution(detail: DataFrame) -> DataFrame:
-    """Per (Mes, Clasificacion): Suma_Total_CLP, Cantidad."""
-    agg = detail.groupBy("Mes", "Clasificacion").agg(
-        F.count(F.lit(1)).alias("_n"), _money_sum().alias("_sum")
-    )
-    return agg.select(
+def evolution_of(state: DataFrame) -> DataFrame:
+    return state.select(
         "Mes",
         "Clasificacion",
-        F.col("_sum").cast(T.DoubleType()).alias("Suma_Total_CLP"),
-        F.col("_n").cast(T.LongType()).alias("Cantidad"),
+        F.col("total").cast(T.DoubleType()).alias("Suma_Total_CLP"),
+        F.col("n").cast(T.LongType()).alias("Cantidad"),
     )
 
 
-def claim_top(detail: DataFrame) -> DataFrame:
-    """Per class over all months (``ranked_top`` puts the largest total first)."""
-    agg = detail.groupBy("Clasificacion").agg(
-        F.count(F.lit(1)).alias("_n"), _money_sum().alias("_sum")
-    )
-    return agg.select(
+def top_of(state: DataFrame) -> DataFrame:
+    return state.select(
         "Clasificacion",
-        F.col("_sum").cast(T.DoubleType()).alias("Suma_Total_CLP"),
-        F.col("_n").cast(T.LongType()).alias("Cantidad"),
-        _average(F.col("_sum"), F.col("_n")).alias("Promedio_CLP"),
+        F.col("total").cast(T.DoubleType()).alias("Suma_Total_CLP"),
+        F.col("n").cast(T.LongType()).alias("Cantidad"),
+        _average(F.col("total"), F.col("n")).alias("Promedio_CLP"),
     )
 
 
+def claim_summary(detail: DataFrame) -> DataFrame:
+    """Per (Mes, Clasificacion): Cantidad, Suma_Total_CLP, Promedio_CLP."""
+    return summary_of(_state(detail, "Mes", "Clasificacion"))
+
+
+def claim_evolution(detail: DataFrame) -> DataFrame:
+    """Per (Mes, Clasificacion): Suma_Total_CLP, Cantidad."""
+    return evolution_of(_state(detail, "Mes", "Clasificacion"))
+
+
+def claim_top(detail: DataFrame) -> DataFrame:
+    """Per class over all months (``ranked_top`` puts the largest total first)."""
+    return top_of(_state(detail, "Clasificacion"))
+
+
 def ranked_top(top: DataFrame) -> DataFrame:
     """Presentation order of ``claim_top``. Only for display sinks."""
     return top.orderBy(F.col("Suma_Total_CLP").desc(), F.col("Clasificacion").asc())

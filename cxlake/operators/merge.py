@@ -67,12 +67,12 @@ def merge_frames(
         *keys,
         *[F.col(c).alias(f"_s_{c}") for c in values],
         F.lit(True).alias("_s"),
-        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_s_n"),
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_source_count"),
     )
     joined = s.join(t, on=keys, how="full_outer")
     matched = F.col("_s").isNotNull() & F.col("_t").isNotNull()
     checked = joined.where(
-        F.when(matched & (F.col("_s_n") > 1), F.raise_error(F.lit(DUPLICATE_SOURCE_ERROR))).otherwise(F.lit(True))
+        F.when(matched & (F.col("_source_count") > 1), F.raise_error(F.lit(DUPLICATE_SOURCE_ERROR))).otherwise(F.lit(True))
     )
     from_source = F.col("_s").isNotNull()
     out = [

@@ -75,7 +75,7 @@ def with_message_date(messages: DataFrame) -> DataFrame:
 
 
 def dedup_messages(
-    dated: DataFrame, patterns: MessagePatterns = MessagePatterns(), extra_keys: tuple[str, ...] = ()
+    dated: DataFrame, patterns: MessagePatterns = MessagePatterns(), extra_keys: tuple[str, ...] = (), count_col: str | None = None
 ) -> DataFrame:
     """Collapse exact duplicate messages; flags per distinct message.
 
@@ -84,6 +84,7 @@ def dedup_messages(
     text, which is part of the dedup key, so the dedup itself only counts
     copies (a hash aggregate with a fixed-width buffer and map-side combine)
     and each pattern runs once per distinct message, not once per copy.
+    ``count_col`` adds the number of copies under that name.
     """
     keys = (*DEDUP_KEY, *extra_keys)
     counted = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
@@ -97,4 +98,5 @@ def dedup_messages(
         flag(content, patterns.case_id).alias("genero_caso"),
         F.regexp_extract(content, patterns.case_id_group, 1).alias("id_reclamo"),
         (flag(low, patterns.claim_creation_error) * copies).alias("error_reclamos"),
+        *([copies.alias(count_col)] if count_col else []),
     )

@@ -74,14 +74,40 @@ def session_metrics(dated: DataFrame, patterns: MessagePatterns = MessagePattern
     holds all messages of a large session-day (or of a day's messages without a
     session), and no message text reaches the session-day aggregate."""
     dedup = dedup_messages(with_join_key(dated), patterns, extra_keys=("_sk", "_sn"))
-    role = F.col("role")
-    agg = dedup.groupBy(*JOIN_KEY).agg(
+    return _session_metrics(session_states(dedup), keep_join_key)
+
+
+# How the columns of a session-day's state merge.
+STATE_MERGES = {
+    "id": "max",
+    "_expires": "max",
+    "_updated": "max",
+    "_n": "sum",
+    "_n_user": "sum",
+    "_n_bot": "sum",
+    "_first_ts": "min",
+    "_last_ts": "max",
+    "_id_reclamo": "max",
+    "_pidio": "sum",
+    "_ss": "sum",
+    "_genero": "max",
+    "_error": "sum",
+}
+
+
+def session_states(dedup: DataFrame, fresh: str | None = None) -> DataFrame:
+    """Distinct messages with their marks -> a mergeable state per session-day (``STATE_MERGES``).
+
+    ``fresh``: a column that is 1 for messages to be counted and 0 for those that were counted
+    before (their further copies still add to the sums of marks)."""
+    role, one = F.col("role"), F.col(fresh) if fresh else F.lit(1).cast("long")
+    return dedup.groupBy(*JOIN_KEY).agg(
         F.max("balancer_mongo_id").alias("id"),
         F.max("conversation_expires_at").alias("_expires"),
         F.max("conversation_updated_at").alias("_updated"),
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(role == F.lit(ROLE_USER)).alias("_n_user"),
-        F.count_if(role == F.lit(ROLE_ASSISTANT)).alias("_n_bot"),
+        F.sum(one).alias("_n"),
+        F.sum(F.when(role == F.lit(ROLE_USER), one).otherwise(0)).alias("_n_user"),
+        F.sum(F.when(role == F.lit(ROLE_ASSISTANT), one).otherwise(0)).alias("_n_bot"),
         F.min("message_timestamp").alias("_first_ts"),
         F.max("message_timestamp").alias("_last_ts"),
         F.max("id_reclamo").alias("_id_reclamo"),
@@ -90,7 +116,11 @@ def session_metrics(dated: DataFrame, patterns: MessagePatterns = MessagePattern
         F.max("genero_caso").alias("_genero"),
         F.sum("error_reclamos").alias("_error"),
     )
-    return _session_metrics(agg, keep_join_key)
+
+
+def metrics_of_states(states: DataFrame) -> DataFrame:
+    """Stored states of session-days -> the rows of ``session_metrics``."""
+    return _session_metrics(states)
 
 
 def session_histories(dated: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from cxlake.functions import documents
 from cxlake.operators import claims, dashboard, messages, sessions, surveys
 from cxlake.plans.catalog import default_table_defs
 from cxlake.plans.job import Inputs, build, builtin_builders, run_table_job, with_load_ts
+from cxlake.plans.ledger import ClaimLedger, SessionLedger
 from cxlake.plans.tabledef import TableDef
 from cxlake.session import ensure_session_defaults, remove_path, staging_path, use_checkpoint_dir
 from cxlake.sinks import files
@@ -258,6 +259,49 @@ def q_table_overwrite_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame
     return _read_and_drop(spark, store, *tdefs, df=parts[0].unionByName(parts[1]))
 
 
+# --- stored states, merged with every load ------------------------------------------
+
+LOADS = 3
+
+
+def _claim_ledger(spark: SparkSession, sf_dir: str, read: Callable[[ClaimLedger], DataFrame]) -> DataFrame:
+    """Three loads of usage logs, in no order of time, the second one repeated; then ``read``."""
+    logs = _logs(spark, sf_dir)
+    ledger = ClaimLedger(TableStore(spark), f"cx_ledger_{uuid.uuid4().hex[:12]}", buckets=8, tie_breaker="log_id", excluded_users=fx.FIXTURE_EXCLUDED_USERS)
+    for i in (0, 1, 1, 2):
+        ledger.load(logs.where(F.pmod(F.hash("log_id"), F.lit(LOADS)) == i), f"load {i}")
+    use_checkpoint_dir(spark)
+    out = read(ledger).checkpoint()
+    ledger.drop()
+    return out
+
+
+def q_claim_detail_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _claim_ledger(spark, sf_dir, ClaimLedger.detail)
+
+
+def q_claim_summary_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _claim_ledger(spark, sf_dir, ClaimLedger.summary)
+
+
+def q_claim_top_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _claim_ledger(spark, sf_dir, ClaimLedger.top)
+
+
+def q_session_days_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of messages; turns of one session-day and copies of one message come in different loads."""
+    ensure_session_defaults(spark)
+    sent = messages.with_message_date(fx.messages(spark, sf_dir, copy_col="copy"))
+    part = F.pmod(F.minute("message_timestamp") + F.col("copy"), F.lit(LOADS))
+    ledger = SessionLedger(TableStore(spark), f"cx_ledger_{uuid.uuid4().hex[:12]}", buckets=8)
+    for i in (0, 1, 1, 2):
+        ledger.load(sent.where(part == i).drop("copy"), f"load {i}")
+    use_checkpoint_dir(spark)
+    out = ledger.session_days().checkpoint()
+    ledger.drop()
+    return out
+
+
 def _job_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(
         usage_logs=lambda s: _logs(s, sf_dir),
@@ -583,6 +627,10 @@ def registry() -> dict[str, Query]:
         "table_merge_bucketed": q_table_merge_bucketed,
         "table_append": q_table_append,
         "table_compact": q_table_compact,
+        "claim_detail_ledger": q_claim_detail_ledger,
+        "claim_summary_ledger": q_claim_summary_ledger,
+        "claim_top_ledger": q_claim_top_ledger,
+        "session_days_ledger": q_session_days_ledger,
         "parquet_scan": q_parquet_scan,
         "sql_limit": q_sql_limit,
         "sql_file_source": q_sql_file_source,

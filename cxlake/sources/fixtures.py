@@ -143,13 +143,13 @@ def usage_log_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("value"))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, copy_col: str | None = None) -> DataFrame:
     """Message history: one row per conversation turn.
 
     Every eighth conversation carries its first message twice (an exact
     duplicate, generated by exploding a one- or two-element array in the same
     scan). Some turns get a phrase appended so that each message flag fires
-    somewhere.
+    somewhere. ``copy_col``: also which copy a row is (1 or 2).
     """
     c = table(spark, sf_dir, "conversations")
     conv = F.col("conv_id")
@@ -177,8 +177,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("timestamp_ntz'2024-01-01 01:00:00' + make_dt_interval(0, 0, conv_id * 397, 0)").alias(
             "conversation_updated_at"
         ),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+        F.explode(copies).alias(copy_col or "_copy"),
+    ).drop(*([] if copy_col else ["_copy"]))
 
 
 def surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
