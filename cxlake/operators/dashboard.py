@@ -14,7 +14,7 @@ Joins of the dashboard:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,6 +72,9 @@ def join_index(days: DataFrame, index: DataFrame) -> DataFrame:
     return days.join(F.broadcast(idx), days["message_date"] == idx["_idx_day"], "left").drop("_idx_day")
 
 
+FIFO_GROUP, FIFO_ORDER = ("id", "_side"), ("_o1", "_o2", "_o3", "_o4")
+
+
 def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None = "event_id") -> DataFrame:
     """Number conversations and surveys per user id and pair n-th with n-th.
 
@@ -85,6 +88,11 @@ def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None
     Output: ``JOIN_KEY`` + orden_conv, orden_enc, fecha_encuesta, eval_ia,
     eval_acceso, resolucion (one row per conversation).
     """
+    return pair_numbered(ordered_numbers(fifo_rows(ends, clean, survey_tie_breaker), FIFO_GROUP, FIFO_ORDER, "_n"))
+
+
+def fifo_rows(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None = "event_id") -> DataFrame:
+    """Conversations and surveys as rows of one shape: id, side (c or s), order columns, keys and values."""
     tie_type = clean.schema[survey_tie_breaker].dataType if survey_tie_breaker else T.LongType()
     tie_col = F.col(survey_tie_breaker) if survey_tie_breaker else F.lit(None).cast(tie_type)
     conv = ends.select(
@@ -116,10 +124,10 @@ def fifo_pairs(ends: DataFrame, clean: DataFrame, survey_tie_breaker: str | None
         "eval_acceso",
         "resolucion",
     )
-    return _pair(ordered_numbers(conv.unionByName(surv), ["id", "_side"], ["_o1", "_o2", "_o3", "_o4"], "_n"))
+    return conv.unionByName(surv)
 
 
-def _pair(numbered: DataFrame) -> DataFrame:
+def pair_numbered(numbered: DataFrame) -> DataFrame:
     """Per (id, ordinal): the conversation row takes the survey row's values.
 
     There is one row of each side at most in such a pair. Conversations without
@@ -153,13 +161,16 @@ def dashboard_base(
     include_history: bool = True,
     survey_tie_breaker: str | None = "event_id",
     include_fifo: bool = True,
+    fifo: Callable[[DataFrame, DataFrame, str | None], DataFrame] = fifo_pairs,
 ) -> DataFrame:
     """Per session-day dashboard row (28 columns; fewer without history or FIFO columns).
 
     The messages are read twice at most: for the metrics, which are written to
     the shared folder and serve both the FIFO pairing and the result, and for
     the histories. The surveys are read for the pairing and for the daily
-    index, which has one row per day of the lookback and is broadcast."""
+    index, which has one row per day of the lookback and is broadcast. ``fifo``
+    pairs conversations with surveys: by their numbers inside the lookback, or, with
+    a ledger's ``pairs``, by their numbers of all time."""
     dated = with_message_date(lookback(messages, "message_timestamp", as_of, days))
     clean = clean_surveys(surveys, as_of, days, tie_breaker=survey_tie_breaker)
     metrics = session_metrics(dated, patterns, keep_join_key=True)
@@ -169,7 +180,7 @@ def dashboard_base(
     wide = session_days(dated, include_history, patterns, keep_join_key=True, metrics=metrics)
     if include_fifo:
         ends = metrics.select(*JOIN_KEY, "session_id", "id", "fecha_fin")
-        wide = wide.join(fifo_pairs(ends, clean, survey_tie_breaker), on=list(JOIN_KEY), how="left")
+        wide = wide.join(fifo(ends, clean, survey_tie_breaker), on=list(JOIN_KEY), how="left")
     out = join_index(wide, satisfaction_daily(clean))
     absent = {*(() if include_history else ("history",)), *(() if include_fifo else FIFO_COLUMNS + SURVEY_COLUMNS)}
     return out.select(*[c for c in DASHBOARD_COLUMNS if c not in absent])

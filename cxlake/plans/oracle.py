@@ -326,6 +326,9 @@ CONVERSATION_STATEMENTS = {
     "fifo_match": _conv(
         "SELECT session_id, message_date, id, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion FROM dashboard"
     ),
+    "fifo_match_windows": _conv(
+        "SELECT session_id, message_date, id, orden_conv, orden_enc, fecha_encuesta, eval_ia, eval_acceso, resolucion FROM dashboard"
+    ),
     "join_status": _conv(f"SELECT session_id, message_date, {STATUS} FROM dashboard"),
     "session_days_ledger": _conv(
         f"SELECT session_id, message_date, id, expires_at, updated_at, {', '.join(SESSION_METRIC_COLUMNS.split(', ')[2:])}, tipo_sesion, {STATUS} FROM days"

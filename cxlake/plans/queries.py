@@ -10,6 +10,7 @@ a checkpoint, and remove what they wrote.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from cxlake.functions import documents
 from cxlake.operators import claims, dashboard, messages, sessions, surveys
 from cxlake.plans.catalog import default_table_defs
+from cxlake.plans.fifo_ledger import FifoLedger
 from cxlake.plans.job import Inputs, build, builtin_builders, run_table_job, with_load_ts
 from cxlake.plans.ledger import ClaimLedger, SessionLedger
 from cxlake.plans.tabledef import TableDef
@@ -571,6 +573,27 @@ def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Two overlapping runs: the first sees the days before FIRST_END, the second looks back to SECOND_START.
+FIRST_END, SECOND_START = dt.date(2024, 1, 12), dt.date(2024, 1, 5)
+
+
+def q_fifo_match_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIFO pairs of two overlapping lookbacks, stored by key; numbers go on across the edge."""
+    metrics = sessions.session_metrics(_dated(spark, sf_dir), keep_join_key=True)
+    ends = metrics.select(*sessions.JOIN_KEY, "session_id", "id", "fecha_fin").checkpoint()
+    clean = _clean_surveys(spark, sf_dir)
+    store, run = TableStore(spark), uuid.uuid4().hex[:12]
+    ledger = FifoLedger(store, f"cx_fifo_{run}")
+    stored = TableDef(f"cx_pairs_{run}", "python", primary_key=sessions.JOIN_KEY, mode="merge", python_source="pairs", fail_if_empty=False)
+    store.save(ledger.pairs(ends.where(F.col("message_date") < F.lit(FIRST_END)), clean.where(F.col("Fecha") < F.lit(FIRST_END))), stored)
+    ledger.advance(ends, clean, SECOND_START)
+    recent = ends.where(F.col("message_date") >= F.lit(SECOND_START)), clean.where(F.col("Fecha") >= F.lit(SECOND_START))
+    store.save(ledger.pairs(*recent), stored)
+    pairs = ends.join(spark.table(stored.full_name), on=list(sessions.JOIN_KEY))
+    out = pairs.select("session_id", "message_date", "id", "orden_conv", "orden_enc", "fecha_encuesta", "eval_ia", "eval_acceso", "resolucion")
+    return _read_and_drop(spark, store, ledger.tdef(), stored, df=out)
+
+
 def q_join_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dashboard(spark, sf_dir, include_history=False, include_fifo=False).select(
         "session_id", "message_date", *sessions.STATUS_COLUMNS
@@ -667,6 +690,7 @@ def registry() -> dict[str, Query]:
         "claim_status": q_claim_status,
         "join_index": q_join_index,
         "fifo_match": q_fifo_match,
+        "fifo_match_windows": q_fifo_match_windows,
         "join_status": q_join_status,
         "dashboard_base": q_dashboard_base,
         "dashboard_recent": q_dashboard_recent,
