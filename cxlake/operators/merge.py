@@ -27,6 +27,8 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+DUPLICATE_IDENTITY_ERROR = "merge: several source rows have one identity"
+ACTION_MOVED = "moved"
 ACTION_INSERTED = "inserted"
 ACTION_UPDATED = "updated"
 ACTION_COPIED = "copied"
@@ -91,6 +93,37 @@ def merge_frames(
     return checked.select(*out).unionByName(t_null).unionByName(s_null)
 
 
+def replace_frames(target: DataFrame, source: DataFrame, identity: Sequence[str], keys: Sequence[str], action_column: str) -> DataFrame:
+    """``source`` and those rows of ``target`` whose identity it doesn't have.
+
+    One full outer join on the identity. A source row that replaces a stored one is updated, or moved
+    if the two differ in ``keys`` (NULLs equal each other there). Rows with a NULL in the identity have
+    none: they replace nothing and are not replaced. Of several stored rows with the identity of a source
+    row (a publish that broke off leaves such) all go."""
+    identity, columns = list(identity), target.columns
+    if sorted(source.columns) != sorted(columns):
+        raise ValueError("merge: source columns differ from target")
+    nameless = _any_null(identity)
+    at = reduce(lambda a, b: a & b, [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys])
+    nth = F.row_number().over(Window.partitionBy(*identity).orderBy(*identity))
+    old = target.where(~nameless).select(*identity, F.struct(*columns).alias("_old"), nth.alias("_nth"))
+    new = source.select(*columns).where(~nameless).select(
+        *identity, F.struct(*columns).alias("_new"), F.count(F.lit(1)).over(Window.partitionBy(*identity)).alias("_source_count")
+    )
+    both = new.join(old, on=identity, how="full_outer").where(F.col("_new").isNull() | (F.coalesce("_nth", F.lit(1)) == 1))
+    checked = both.where(F.when(F.col("_source_count") > 1, F.raise_error(F.lit(DUPLICATE_IDENTITY_ERROR))).otherwise(F.lit(True)))
+    action = (
+        F.when(F.col("_new").isNull(), F.lit(ACTION_COPIED))
+        .when(F.col("_old").isNull(), F.lit(ACTION_INSERTED))
+        .when(at, F.lit(ACTION_UPDATED))
+        .otherwise(F.lit(ACTION_MOVED))
+    )
+    out = checked.select(F.coalesce("_new", "_old").alias("_row"), action.alias(action_column)).select("_row.*", action_column)
+    alone = target.where(nameless).withColumn(action_column, F.lit(ACTION_COPIED))
+    added = source.select(*columns).where(nameless).withColumn(action_column, F.lit(ACTION_INSERTED))
+    return out.unionByName(alone).unionByName(added)
+
+
 def append_frames(target: DataFrame, source: DataFrame) -> DataFrame:
     """Rows of ``target`` followed by ``source`` (by column name)."""
     return target.unionByName(source.select(*target.columns))

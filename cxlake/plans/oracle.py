@@ -395,6 +395,10 @@ STEP_STATEMENTS = {
     "with_load_ts": _two_loads("SELECT * FROM cur_load"),
     "table_merge": _two_loads(MERGED),
     "table_merge_bucketed": _two_loads(MERGED),
+    "table_merge_moved": _two_loads(
+        'SELECT * FROM cur_load UNION ALL SELECT * FROM prev_load p WHERE NOT EXISTS (SELECT 1 FROM cur_load c WHERE c."OT" = p."OT")'
+    ),
+    "table_compact_partitions": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_append": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_compact": _two_loads("SELECT * FROM prev_load UNION ALL SELECT * FROM cur_load"),
     "table_overwrite": _two_loads("SELECT * FROM cur_load"),

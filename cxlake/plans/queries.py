@@ -217,6 +217,24 @@ def q_table_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_and_drop(spark, store, tdef)
 
 
+def q_table_merge_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge by OT: an OT whose month or class has changed leaves its old place (one row per OT)."""
+    store, tdef = TableStore(spark), _own_def("claim_detail", identity=("OT",))
+    prev, cur = _loads(spark, sf_dir)
+    store.save(prev, tdef)
+    store.save(cur, tdef)
+    return _read_and_drop(spark, store, tdef)
+
+
+def q_table_compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appended loads; only the months that hold several small files are rewritten."""
+    store, tdef = TableStore(spark), _own_def("claim_detail", mode="append")
+    for load in _loads(spark, sf_dir):
+        store.save(load, tdef)
+    store.compact(tdef, small_bytes=64 << 20)
+    return _read_and_drop(spark, store, tdef)
+
+
 def q_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, tdef = TableStore(spark), _own_def("claim_detail", mode="append")
     prev, cur = _loads(spark, sf_dir)
@@ -648,6 +666,8 @@ def registry() -> dict[str, Query]:
         "with_load_ts": q_with_load_ts,
         "table_merge": q_table_merge,
         "table_merge_bucketed": q_table_merge_bucketed,
+        "table_merge_moved": q_table_merge_moved,
+        "table_compact_partitions": q_table_compact_partitions,
         "table_append": q_table_append,
         "table_compact": q_table_compact,
         "claim_detail_ledger": q_claim_detail_ledger,

@@ -21,7 +21,9 @@ class TableDef:
     table's CREATE statement (see ``TableStore.create``). ``buckets`` deals the rows
     by the primary key into so many buckets, sorted by it: a merge on that key then
     shuffles its source alone (choose a number that suits the grown table; it
-    can't be changed later). ``params`` are named
+    can't be changed later). ``identity`` are key columns that name a row for good:
+    a merge then replaces the stored row of the same identity wherever it is, also
+    in another partition or under another primary key. ``params`` are named
     parameters of a SQL-origin query; ``lookback_days`` adds ``:dias``.
     """
 
@@ -38,6 +40,7 @@ class TableDef:
     cluster_by: tuple[str, ...] = ()
     ddl_path: str | None = None
     buckets: int | None = None
+    identity: tuple[str, ...] = ()
     params: dict = field(default_factory=dict)
     lookback_days: int | None = None
     description: str = ""
@@ -53,6 +56,8 @@ class TableDef:
             raise ValueError(f"table {self.name!r}: merge mode needs a primary key")
         if self.mode.lower() == "overwrite_partitions" and not self.partition_by:
             raise ValueError(f"table {self.name!r}: overwrite_partitions needs a partition column")
+        if self.identity and self.mode.lower() != "merge":
+            raise ValueError(f"table {self.name!r}: an identity is for merges")
         if self.buckets is not None and (self.buckets < 1 or not self.primary_key):
             raise ValueError(f"table {self.name!r}: buckets need a primary key and a number above 0")
         if self.origin == "python" and not self.python_source:
@@ -80,6 +85,7 @@ def load_table_defs(path: str | Path) -> dict[str, TableDef]:
         item = dict(item)
         item["primary_key"] = tuple(item.get("primary_key") or ())
         item["cluster_by"] = tuple(item.get("cluster_by") or ())
+        item["identity"] = tuple(item.get("identity") or ())
         d = TableDef(**item)
         defs[d.name] = d
     return defs

@@ -25,17 +25,18 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cxlake.operators.merge import ACTION_COPIED, ACTION_INSERTED, ACTION_UPDATED, merge_frames
+from cxlake.operators.merge import ACTION_COPIED, ACTION_INSERTED, ACTION_MOVED, ACTION_UPDATED, merge_frames, replace_frames
 from cxlake.plans.tabledef import TableDef
 from cxlake.session import remove_path, staging_path
 from cxlake.sources.scans import read_sql_text
 
 _ACTION = "_merge_action"
 VERSION = "cxlake.version"
+PLACES_OF = "cxlake.places_of"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 # off: a join on (month, class, OT) may keep a table's buckets by (class, OT)
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
@@ -58,6 +59,7 @@ class SaveResult:
     inserted: int | None = None
     updated: int | None = None
     copied: int | None = None
+    moved: int | None = None
 
 
 def _quote(name: str) -> str:
@@ -69,6 +71,26 @@ def bucket_columns(tdef: TableDef) -> list[str]:
     return [k for k in tdef.primary_key if k != tdef.partition_by]
 
 
+def _inside(part: str, values: list) -> Column:
+    """True for rows of these partitions, the one of NULLs included if it is named."""
+    column = F.col(part)
+    known = F.coalesce(column.isin([v for v in values if v is not None]), F.lit(False))
+    return known | (column.isNull() if None in values else F.lit(False))
+
+
+def _named(tdef: TableDef) -> Column:
+    """True for rows with an identity (no NULL in it)."""
+    return F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in tdef.identity))
+
+
+def _places(tdef: TableDef) -> TableDef:
+    """The table beside ``tdef`` that maps identities to partitions."""
+    return TableDef(
+        f"{tdef.name}_places", "python", primary_key=tdef.identity, mode="merge", catalog=tdef.catalog, database=tdef.database, python_source="places",
+        buckets=tdef.buckets, fail_if_empty=False,
+    )
+
+
 class TableStore:
     """Saves DataFrames into catalog tables according to a ``TableDef``."""
 
@@ -111,11 +133,13 @@ class TableStore:
         self.spark.sql(f"CREATE TABLE {_quote(tdef.full_name)} ({columns}) USING {self.provider}{partitioned}{bucketed}")
 
     def drop(self, tdef: TableDef) -> None:
-        """Drop the table with its files."""
+        """Drop the table with its files (and the map of its rows' places, if it has one)."""
         self.spark.sql(f"DROP TABLE IF EXISTS {_quote(tdef.full_name)}")
+        if tdef.identity:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_quote(_places(tdef).full_name)}")
 
-    def _version(self, tdef: TableDef) -> int:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {_quote(tdef.full_name)}").where(F.col("key") == VERSION).collect()
+    def _version(self, tdef: TableDef, name: str = VERSION) -> int:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {_quote(tdef.full_name)}").where(F.col("key") == name).collect()
         return int(rows[0]["value"]) if rows else 0
 
     @contextmanager
@@ -199,6 +223,8 @@ class TableStore:
         source is shuffled."""
         if not tdef.primary_key:
             raise ValueError(f"table {tdef.full_name}: merge needs a primary key")
+        if tdef.identity:
+            return self._merge_moved(df, tdef)
         self.create(tdef, tdef.schema_ddl or df.schema)
         version = self._version(tdef)
         target, part, source_path = self.spark.table(tdef.full_name), tdef.partition_by, None
@@ -207,11 +233,8 @@ class TableStore:
             source_path = staging_path(self.spark, "merge-source")
             df.write.parquet(source_path)
             df = self.spark.read.parquet(source_path)
-            touched = [r[0] for r in df.select(part).distinct().collect()]
-            column = F.col(part)
-            inside = column.isin([v for v in touched if v is not None])
             # the partition of NULLs is replaced as well if the source adds to it
-            target = target.where(F.coalesce(inside, F.lit(False)) | (column.isNull() if None in touched else F.lit(False)))
+            target = target.where(_inside(part, [r[0] for r in df.select(part).distinct().collect()]))
         merged = merge_frames(target, df, tdef.primary_key, action_column=_ACTION)
         action = F.col(_ACTION)
         metrics = {
@@ -230,15 +253,79 @@ class TableStore:
             tdef.full_name, "merge", m["rows"], m["source_rows"], inserted=m["inserted"], updated=m["updated"], copied=m["copied"]
         )
 
-    def compact(self, tdef: TableDef, num_files: int | None = None) -> SaveResult:
+    def _merge_moved(self, df: DataFrame, tdef: TableDef) -> SaveResult:
+        """Upsert on the identity: the stored row goes, wherever it is, and the source's row comes.
+
+        A map beside the table names the partition of every identity. So only the partitions that
+        the source has, and those where its rows sat before, are read and replaced; a partition
+        that has lost all its rows is dropped. The map carries the table's version; one that is
+        behind (a save broke off, or another mode wrote) is made anew from the table."""
+        self.create(tdef, tdef.schema_ddl or df.schema)
+        version, part, places = self._version(tdef), tdef.partition_by, _places(tdef)
+        target, source_path, touched = self.spark.table(tdef.full_name), staging_path(self.spark, "merge-source"), []
+        df.write.parquet(source_path)
+        df = self.spark.read.parquet(source_path)
+        if part:
+            if not self.exists(places) or self._version(places, PLACES_OF) != version:
+                self.save(target.where(_named(tdef)).select(*tdef.identity, part), replace(places, mode="overwrite"))
+            sat = self.spark.table(places.full_name).join(df.select(*tdef.identity), list(tdef.identity), "left_semi")
+            touched = [r[0] for r in df.select(part).union(sat.select(part)).distinct().collect()]
+            target = target.where(_inside(part, touched))
+        merged = replace_frames(target, df, tdef.identity, tdef.primary_key, _ACTION)
+        counts = {a: F.count_if(F.col(_ACTION) == a) for a in (ACTION_INSERTED, ACTION_UPDATED, ACTION_MOVED, ACTION_COPIED)}
+        metrics = {"rows": F.count(F.lit(1)), "source_rows": F.count_if(F.col(_ACTION) != ACTION_COPIED), **counts}
+        path, m = self._stage(merged, tdef, metrics, "source_rows")
+        left = {r[0] for r in self.spark.read.parquet(path).select(part).distinct().collect()} if part else set()
+        stored = {r[0] for r in self.spark.table(tdef.full_name).where(_inside(part, touched)).select(part).distinct().collect()} if part else set()
+        if self._version(tdef) != version:
+            remove_path(self.spark, path)
+            raise ConcurrentSaveError(f"table {tdef.full_name} has changed since it was read")
+        # before the rows come: if this breaks off, the same save run again brings them
+        for value in stored - left:
+            literal = "NULL" if value is None else self._literal(value)
+            self.spark.sql(f"ALTER TABLE {_quote(tdef.full_name)} DROP IF EXISTS PARTITION (`{part}` = {literal})")
+        self._publish(path, tdef, version, "partitions" if part else "all")
+        if part:
+            self.save(df.where(_named(tdef)).select(*tdef.identity, part), places)
+            self.spark.sql(f"ALTER TABLE {_quote(places.full_name)} SET TBLPROPERTIES ('{PLACES_OF}' = '{version + 1}')")
+        remove_path(self.spark, source_path)
+        return SaveResult(
+            tdef.full_name, "merge", m["rows"], m["source_rows"], inserted=m["inserted"], updated=m["updated"], copied=m["copied"], moved=m["moved"]
+        )
+
+    @staticmethod
+    def _literal(value: object) -> str:
+        if isinstance(value, (bool, int)):
+            return str(value).lower()
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def files(self, tdef: TableDef) -> DataFrame:
+        """(part, file, bytes) of the table's files that hold rows; ``part`` is the partition's value as text."""
+        part = F.col(tdef.partition_by).cast("string") if tdef.partition_by else F.lit(None).cast("string")
+        found = self.spark.table(tdef.full_name).select(part.alias("part"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        return found.distinct()
+
+    def compact(self, tdef: TableDef, num_files: int | None = None, small_bytes: int | None = None) -> SaveResult:
         """Rewrite the table into fewer, larger files (content unchanged).
 
         By default the files are sized by the scan, which packs small files into
-        splits of ``spark.sql.files.maxPartitionBytes``."""
+        splits of ``spark.sql.files.maxPartitionBytes``. With ``small_bytes``, only
+        partitions that have two files or more below that size are read and
+        rewritten; all others keep their files (a table without partitions is
+        one). A result without rows means that nothing was rewritten."""
         rows = self.spark.table(tdef.full_name)
-        version = self._version(tdef)
+        version, how = self._version(tdef), "all"
+        if small_bytes is not None:
+            sizes = self.files(tdef).where(F.col("bytes") < small_bytes).groupBy("part").count().where("count > 1")
+            chosen = [r["part"] for r in sizes.select("part").collect()]  # bounded by the table's partitions
+            if not chosen:
+                return SaveResult(tdef.full_name, "compact", 0, 0)
+            if tdef.partition_by:
+                how = "partitions"
+                named = F.col(tdef.partition_by).cast("string")
+                rows = rows.where(F.coalesce(named.isin([c for c in chosen if c is not None]), F.lit(False)) | (named.isNull() if None in chosen else F.lit(False)))
         if num_files:
             rows = rows.repartition(num_files)
         path, m = self._stage(rows, replace(tdef, fail_if_empty=False), {"rows": F.count(F.lit(1))}, "rows")
-        self._publish(path, tdef, version, "all")
+        self._publish(path, tdef, version, how)
         return SaveResult(tdef.full_name, "compact", m["rows"], m["rows"])

@@ -239,3 +239,96 @@ def test_create_from_a_ddl_file(spark, tmp_path):
     assert spark.table("t_ddl").columns == ["k", "m"] and spark.catalog.listColumns("t_ddl")[1].isPartition
     store.drop(tdef)
     assert not store.exists(tdef)
+
+
+IDENTITY = dict(origin="python", python_source="x", primary_key=("m", "k"), identity=("k",), mode="merge")
+
+
+def everything(spark, store, t):
+    return rows(spark.table(t.full_name).select("k", "m", "v"))
+
+
+@pytest.mark.parametrize("partition_by,buckets", [("m", None), (None, None), ("m", 3), (None, 3)])
+def test_merge_by_identity_moves_rows(spark, partition_by, buckets):
+    import uuid
+
+    store = TableStore(spark)
+    t = TableDef(f"t_{uuid.uuid4().hex[:10]}", partition_by=partition_by, buckets=buckets, **IDENTITY)
+    store.save(mk(spark, [("a", "1", 1.0), ("b", "1", 2.0), ("c", "2", 3.0), ("d", None, 4.0), (None, "1", 9.0), ("e", "it's", 5.0)]), t)
+    r = store.save(mk(spark, [("a", "3", 10.0), ("b", "1", 20.0), ("c", "1", 30.0), ("f", "1", 6.0), ("d", "1", 40.0), ("e", None, 50.0), (None, "1", 8.0)]), t)
+    # months 2 and it's have lost their rows, and so has the one of NULLs before e came
+    assert everything(spark, store, t) == rows(mk(spark, [
+        ("a", "3", 10.0), ("b", "1", 20.0), ("c", "1", 30.0), ("d", "1", 40.0), ("e", None, 50.0), ("f", "1", 6.0), (None, "1", 9.0), (None, "1", 8.0)
+    ]))
+    assert (r.inserted, r.updated, r.moved, r.copied) == (2, 1, 4, 1)
+    with pytest.raises(PySparkException, match="several source rows have one identity"):
+        store.save(mk(spark, [("a", "1", 1.0), ("a", "2", 2.0)]), t)
+    store.drop(t)
+    assert not spark.catalog.tableExists(f"{t.full_name}_places")
+
+
+def test_merge_by_identity_reads_and_replaces_touched_partitions_only(spark):
+    import uuid
+
+    store = TableStore(spark)
+    t = TableDef(f"t_{uuid.uuid4().hex[:10]}", partition_by="m", **IDENTITY)
+    store.save(mk(spark, [(f"k{i}", str(i % 6), float(i)) for i in range(60)]), t)
+    before = {r["file"]: r["part"] for r in store.files(t).collect()}
+    # k0 sat in month 0 and comes to month 1; k7 stays in month 1
+    r = store.save(mk(spark, [("k0", "1", 100.0), ("k7", "1", 70.0)]), t)
+    after = {r["file"] for r in store.files(t).collect()}
+    assert {part for f, part in before.items() if f not in after} == {"0", "1"}
+    assert (r.moved, r.updated, r.copied) == (1, 1, 18)
+    # the map is made anew when another mode has written
+    from dataclasses import replace as changed
+
+    store.save(mk(spark, [("k1", "5", 1.5), ("new", "4", 0.0)]), changed(t, mode="append", identity=()))
+    store.save(mk(spark, [("new", "0", 1.0), ("k1", "2", 2.0)]), t)  # k1 was in two months
+    got = everything(spark, store, t)
+    assert ("new", "0", 1.0) in got and [x for x in got if x[0] in ("k1", "new")] == [("k1", "2", 2.0), ("new", "0", 1.0)]
+    assert len(got) == 61
+    store.drop(t)
+
+
+def test_a_merge_by_identity_that_breaks_off_is_repaired_by_the_same_save(spark, monkeypatch):
+    import uuid
+
+    store = TableStore(spark)
+    t = TableDef(f"t_{uuid.uuid4().hex[:10]}", partition_by="m", **IDENTITY)
+    store.save(mk(spark, [("a", "1", 1.0), ("b", "2", 2.0), ("c", "2", 3.0)]), t)
+    publish = TableStore._publish
+
+    def lost(self, path, tdef, version, how):
+        if tdef.name == t.name:
+            raise RuntimeError("lost")
+        return publish(self, path, tdef, version, how)
+
+    source = mk(spark, [("a", "2", 10.0)])
+    monkeypatch.setattr(TableStore, "_publish", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        store.save(source, t)
+    monkeypatch.setattr(TableStore, "_publish", publish)
+    for _ in range(2):
+        store.save(source, t)
+        assert everything(spark, store, t) == [("a", "2", 10.0), ("b", "2", 2.0), ("c", "2", 3.0)]
+    store.drop(t)
+
+
+def test_compaction_leaves_good_partitions_alone(spark):
+    import uuid
+
+    store = TableStore(spark)
+    t = TableDef(f"t_{uuid.uuid4().hex[:10]}", "python", python_source="x", mode="append", partition_by="m")
+    for parts in ("1234", "12", "1"):
+        store.save(mk(spark, [(f"k{i}", p, float(i)) for p in parts for i in range(5)] + ([("n", None, 0.0)] if parts != "12" else [])), t)
+    files = lambda: {(r["part"], r["file"]) for r in store.files(t).collect()}
+    content, before = rows(spark.table(t.full_name)), files()
+    many = {p for p, _ in before if sum(q == p for q, _ in before) > 1}
+    assert many == {"1", "2", None}
+    r = store.compact(t, small_bytes=1 << 20)
+    after = files()
+    assert {p for p, f in before & after} == {"3", "4"} and not {p for p, f in before & after} & many
+    assert len(after) == 5 and r.rows_written == 15 + 10 + 2
+    assert rows(spark.table(t.full_name)) == content
+    assert store.compact(t, small_bytes=1 << 20).rows_written == 0 and files() == after
+    store.drop(t)
