@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--messages")
     ap.add_argument("--surveys")
     ap.add_argument("--exclude-user", action="append", default=[])
+    ap.add_argument("--exclude-user-list", help="path or table whose first column has names to exclude, any number of them")
     ap.add_argument("--as-of", help="last day of lookbacks (default: today)")
     ap.add_argument("--log-tie-breaker", default="_id")
     ap.add_argument("--survey-tie-breaker")
@@ -70,6 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         messages=_loader(args.messages),
         surveys=_loader(args.surveys),
         excluded_users=tuple(args.exclude_user),
+        excluded_user_list=_loader(args.exclude_user_list),
         log_tie_breaker=args.log_tie_breaker,
         survey_tie_breaker=args.survey_tie_breaker,
         as_of=args.as_of,

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from cxlake.functions import documents
 from cxlake.functions.casts import half_up_average, money, number_or_zero
 from cxlake.functions.dates import month_key, resolve_event_date, truncate_to_second
+from cxlake.session import use_checkpoint_dir
 
 # Class label for a missing class, user label for a missing
 # user, the class spellings that are excluded, and the money precision.
@@ -31,6 +32,9 @@ DECIMALS = 3
 
 USER_FIELDS: tuple[str, ...] = ("user", "usuario", "username", "user_id")
 
+# Bits of the bitmap of an exclusion list (at most 2^19 words are broadcast), and salts of a listed name.
+EXCLUSION_MARKS, EXCLUSION_SALTS = 1 << 25, 16
+
 
 def _col_or_null(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
     """A document field that may be missing from the source schema."""
@@ -82,14 +86,45 @@ def not_excluded_user(logs: DataFrame, excluded_users: Sequence[str]) -> Column:
     return keep
 
 
-def without_users(logs: DataFrame, excluded: DataFrame) -> DataFrame:
+def without_users(logs: DataFrame, excluded: DataFrame, marks: int = EXCLUSION_MARKS, fields: Sequence[str] = USER_FIELDS) -> DataFrame:
     """As ``not_excluded_user`` for a list of any size: ``excluded`` has the names in its first column.
 
-    One anti join per user field; the engine broadcasts a list that is small enough."""
-    names = excluded.select(F.col(excluded.columns[0]).cast(T.StringType()).alias("_excluded")).where("_excluded is not null").distinct()
-    for c in (c for c in USER_FIELDS if c in logs.columns):
-        logs = logs.join(names, _text(logs, c) == names["_excluded"], "left_anti")
-    return logs
+    A bitmap of ``marks`` bits (a multiple of 64) has the hashes of the names set. It is held as
+    words of 64 bits, so its broadcast has at most ``marks / 64`` rows whatever the list. Rows none
+    of whose users is marked pass where they lie; only the others (those with a listed user, and a
+    share that grows with the list's length over ``marks``) are shuffled and compared with the names.
+    The logs are read once: the marked rows are a checkpoint, so pass the columns that are needed.
+    A name of many rows is spread over salts. Nulls, in the list or the logs, exclude nothing."""
+    fields = [c for c in fields if c in logs.columns]
+    if not fields:
+        return logs
+    names = excluded.select(F.col(excluded.columns[0]).cast(T.StringType()).alias("_name")).where("_name is not null").distinct()
+
+    def place(name: Column) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(name), F.lit(marks))
+        return F.shiftright(at, 6), (at % 64).cast("int")
+
+    word, bit = place(F.col("_name"))
+    marked_bit = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = names.groupBy(word.alias("_word")).agg(F.bit_or(marked_bit).alias("_mask"))
+    rows, suspected = logs, []
+    for i, c in enumerate(fields):
+        user = _text(logs, c)
+        word, bit = place(user)
+        known = F.broadcast(words.select(F.col("_word").alias(f"_word{i}"), F.col("_mask").alias(f"_mask{i}")))
+        rows = rows.join(known, F.when(user.isNotNull(), word) == known[f"_word{i}"], "left")
+        suspected.append(F.when(F.getbit(F.col(f"_mask{i}"), bit) == 1, user))
+    use_checkpoint_dir(logs.sparkSession)
+    rows = rows.select(*logs.columns, F.array_compact(F.array(*suspected)).alias("_users"), F.monotonically_increasing_id().alias("_row")).checkpoint()
+
+    suspects = rows.where(F.size("_users") > 0)
+    carried = suspects.select("_row", F.explode("_users").alias("_name"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(EXCLUSION_SALTS - 1))).alias("_salt")
+    listed = carried.select("_name").distinct().join(names, "_name", "left_semi").select("_name", salts)
+    salted = carried.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(EXCLUSION_SALTS)).cast("int"))
+    gone = salted.join(listed, ["_name", "_salt"], "left_semi").select("_row")
+    kept = suspects.join(gone, "_row", "left_anti").select(*logs.columns)
+    return rows.where(F.size("_users") == 0).select(*logs.columns).unionByName(kept)
 
 
 def declared_value(logs: DataFrame, value_field: str = "valor_declarado") -> Column:
@@ -108,7 +143,7 @@ def user_or_default(logs: DataFrame) -> Column:
 
 def claim_candidates(
     logs: DataFrame,
-    excluded_users: Sequence[str] = (),
+    excluded_users: Sequence[str] | DataFrame = (),
     excluded_classes: Sequence[str] = EXCLUDED_CLASSES,
     date_field: str = "created_at",
     fallback_date_field: str = "fecha_escaneo",
@@ -119,13 +154,17 @@ def claim_candidates(
 
     Output columns: ot, event_ts, clasificacion, valor, usuario and the tie
     breaker (when given). Order of the steps matters and follows the source:
-    date -> OT -> excluded users -> defaults -> excluded classes.
+    date -> OT -> excluded users -> defaults -> excluded classes. Users in a
+    DataFrame (a list of any size, see ``without_users``) are excluded last, when
+    the rows are few and narrow: all these steps are filters on single rows.
     """
+    as_table = isinstance(excluded_users, DataFrame)
+    user_fields = [c for c in USER_FIELDS if as_table and c in logs.columns]
     df = (
         logs.withColumn("_event_ts", event_date(logs, date_field, fallback_date_field))
         .where(F.col("_event_ts").isNotNull())
         .where(valid_ot(logs))
-        .where(not_excluded_user(logs, excluded_users))
+        .where(not_excluded_user(logs, () if as_table else excluded_users))
     )
     df = df.select(
         _text(logs, "ot").alias("ot"),
@@ -134,9 +173,13 @@ def claim_candidates(
         declared_value(logs, value_field).alias("valor"),
         user_or_default(logs).alias("usuario"),
         *([_tie_breaker(logs, tie_breaker)] if tie_breaker else []),
+        *[_text(logs, c).alias(f"_user_{c}") for c in user_fields],
     )
     if excluded_classes:
         df = df.where(~F.col("clasificacion").isin(list(excluded_classes)))
+    if as_table:
+        names = [f"_user_{c}" for c in user_fields]
+        df = without_users(df, excluded_users, fields=names).drop(*names)
     return df
 
 
@@ -168,7 +211,7 @@ def to_detail(first: DataFrame, *more: str) -> DataFrame:
 
 def claim_detail(
     logs: DataFrame,
-    excluded_users: Sequence[str] = (),
+    excluded_users: Sequence[str] | DataFrame = (),
     excluded_classes: Sequence[str] = EXCLUDED_CLASSES,
     tie_breaker: str | None = "log_id",
 ) -> DataFrame:

@@ -43,6 +43,8 @@ class Inputs:
     messages: Loader | None = None
     surveys: Loader | None = None
     excluded_users: tuple[str, ...] = ()
+    # names in the first column of a table, any number of them; ``excluded_users`` are added
+    excluded_user_list: Loader | None = None
     excluded_classes: tuple[str, ...] = claims.EXCLUDED_CLASSES
     log_tie_breaker: str | None = "_id"
     survey_tie_breaker: str | None = None
@@ -72,9 +74,14 @@ def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
         if "detail" in shared:
             return shared["detail"]
         logs = need(inputs.usage_logs, "usage-log")(spark)
+        excluded: tuple[str, ...] | DataFrame = inputs.excluded_users
+        if inputs.excluded_user_list is not None:
+            listed = inputs.excluded_user_list(spark)
+            listed = listed.select(F.col(listed.columns[0]).cast(T.StringType()).alias("name"))
+            excluded = listed.union(spark.createDataFrame([(u,) for u in inputs.excluded_users], "name STRING"))
         df = claims.claim_detail(
             logs,
-            excluded_users=inputs.excluded_users,
+            excluded_users=excluded,
             excluded_classes=inputs.excluded_classes,
             tie_breaker=inputs.log_tie_breaker,
         )

@@ -86,10 +86,11 @@ EVENT_TS = f"CASE WHEN created_at IS NULL THEN {_event_text('fecha_escaneo')} EL
 
 
 def _claim_ctes(
-    excluded_users: tuple[str, ...] = ("u3", "u7"), date_cutoff: str | None = None, prefix: str = ""
+    excluded_users: tuple[str, ...] | str = ("u3", "u7"), date_cutoff: str | None = None, prefix: str = ""
 ) -> str:
+    """``excluded_users``: the names, or a query of one column of names."""
     if excluded_users:
-        lst = ", ".join(f"'{u}'" for u in excluded_users)
+        lst = excluded_users if isinstance(excluded_users, str) else ", ".join(f"'{u}'" for u in excluded_users)
         user_filter = " ".join(
             f'AND NOT coalesce({c} IN ({lst}), false)' for c in ('"user"', "usuario", "username", "user_id")
         )
@@ -346,6 +347,7 @@ CONVERSATION_STATEMENTS = {
 USER_KEEP = " AND ".join(
     f"NOT coalesce({c} IN ('u3', 'u7'), false)" for c in ('"user"', "usuario", "username", "user_id")
 )
+LISTED_USERS = "SELECT concat('u', CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_acctbal < 0"
 PREVIOUS_CUTOFF = "1998-01-01"
 LOADS = f"""
 prev_load AS (SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS fecha_carga FROM prev_claim_detail),
@@ -380,6 +382,10 @@ STEP_STATEMENTS = {
     " WHERE event_ts IS NOT NULL AND ot IS NOT NULL AND ot <> ''",
     "claim_user_exclusion": _with(USAGE_LOGS)
     + f'\nSELECT log_id, "user", usuario, username, user_id FROM usage_logs WHERE {USER_KEEP}',
+    "claim_user_exclusion_list": _with(USAGE_LOGS)
+    + f'\nSELECT log_id, "user", usuario, username, user_id FROM usage_logs WHERE '
+    + " AND ".join(f"NOT coalesce({c} IN ({LISTED_USERS}), false)" for c in ('"user"', "usuario", "username", "user_id")),
+    "claim_detail_exclusion_list": _with(USAGE_LOGS, _claim_ctes(LISTED_USERS)) + "\nSELECT * FROM claim_detail",
     "claim_month": _claims(
         "SELECT log_id, CAST(year(event_ts) AS INTEGER) AS year_num, CAST(month(event_ts) AS INTEGER) AS month_num,"
         " strftime(event_ts, '%Y-%m') AS \"Mes\" FROM claim_kept"

@@ -77,6 +77,17 @@ def q_claim_user_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("log_id", *claims.USER_FIELDS)
 
 
+def q_claim_user_exclusion_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs without the users of a list that is a table."""
+    logs = _logs(spark, sf_dir).select("log_id", *claims.USER_FIELDS)
+    return claims.without_users(logs, fx.excluded_users(spark, sf_dir))
+
+
+def q_claim_detail_exclusion_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claim detail, users excluded by a list that is a table."""
+    return claims.claim_detail(_logs(spark, sf_dir), excluded_users=fx.excluded_users(spark, sf_dir))
+
+
 def q_claim_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("event_ts")
     return _candidates(spark, sf_dir).select(
@@ -653,6 +664,8 @@ def registry() -> dict[str, Query]:
         "claim_event_date": q_claim_event_date,
         "claim_valid": q_claim_valid,
         "claim_user_exclusion": q_claim_user_exclusion,
+        "claim_user_exclusion_list": q_claim_user_exclusion_list,
+        "claim_detail_exclusion_list": q_claim_detail_exclusion_list,
         "claim_month": q_claim_month,
         "claim_class": q_claim_class,
         "claim_value": q_claim_value,

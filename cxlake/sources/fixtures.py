@@ -68,6 +68,12 @@ def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def excluded_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of user names, one per customer in debt; few of them occur in the logs."""
+    c = table(spark, sf_dir, "customer")
+    return c.where(F.col("c_acctbal") < 0).select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("name"))
+
+
 def usage_log_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document per order, as a collection export writes them: one text column, ``value``.
 

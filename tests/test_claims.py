@@ -172,7 +172,24 @@ def test_exclusion_list_as_a_table(spark):
     df = logs(spark, rows)
     names = spark.createDataFrame([("bad",), ("worse",), (None,)], "name STRING")
     want = df.where(claims.not_excluded_user(df, ["bad", "worse", None]))
-    assert sorted(claims.without_users(df, names).collect(), key=str) == sorted(want.collect(), key=str)
+    for marks in (claims.EXCLUSION_MARKS, 64):  # 64: most rows are marked, none may go for that
+        assert sorted(claims.without_users(df, names, marks).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_long_exclusion_list_with_a_hot_name(spark):
+    # a third of the rows has one listed name; repeated rows stay repeated
+    rows = [(i, f"OT{i % 50}", "2024-01-01", None, "X", "1", "hot" if i % 3 == 0 else f"u{i % 40}", None, None, f"v{i % 7}") for i in range(900)]
+    df = logs(spark, rows + rows[1:30])
+    listed = ["hot", "v3", *(f"nobody{i}" for i in range(3000))]
+    names = spark.createDataFrame([(n,) for n in listed * 2], "name STRING")
+    want = sorted(df.where(claims.not_excluded_user(df, listed)).collect(), key=str)
+    for marks in (claims.EXCLUSION_MARKS, 128):
+        assert sorted(claims.without_users(df, names, marks).collect(), key=str) == want
+    got = claims.claim_detail(df, excluded_users=names)
+    assert sorted(got.collect()) == sorted(claims.claim_detail(df, excluded_users=listed).collect())
+    # an empty list, and rows without user fields
+    assert claims.without_users(df, names.limit(0)).count() == df.count()
+    assert claims.without_users(df.drop(*claims.USER_FIELDS), names).count() == df.count()
 
 
 def test_json_usage_logs_with_typed_schema(spark, scratch, tmp_path):

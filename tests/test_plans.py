@@ -28,6 +28,20 @@ def exchange_inputs(plan: str) -> list[str]:
     return out
 
 
+def plans_of_checkpoints(monkeypatch) -> list[str]:
+    """The formatted plans of the checkpoints made from here on."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, checkpoint = [], DataFrame.checkpoint
+
+    def watched(self, *args, **kwargs):
+        plans.append(formatted(self))
+        return checkpoint(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", watched)
+    return plans
+
+
 @pytest.fixture
 def static_plans(spark):
     # no runtime re-planning and no size-based broadcast: the plan a large
@@ -42,16 +56,7 @@ def static_plans(spark):
 
 def test_dashboard_reads_each_input_twice_at_most(static_plans, monkeypatch):
     """Metrics once (their checkpoint serves pairing and result), histories once; surveys for pairing and index."""
-    from pyspark.sql import DataFrame
-
-    plans = []
-    checkpoint = DataFrame.checkpoint
-
-    def watched(self, *args, **kwargs):
-        plans.append(formatted(self))
-        return checkpoint(self, *args, **kwargs)
-
-    monkeypatch.setattr(DataFrame, "checkpoint", watched)
+    plans = plans_of_checkpoints(monkeypatch)
     plans.append(formatted(entry.queries()["dashboard_base"](static_plans, SF)))
     both = "".join(plans)
     assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*conversations", both)) <= 2
@@ -181,3 +186,15 @@ def test_a_merge_into_buckets_shuffles_the_source_alone(static_plans, partition_
         store.drop(t)
     with pytest.raises(ValueError):
         replace(tdef, buckets=0)
+
+
+def test_exclusion_list_reads_the_logs_once_and_moves_marked_rows_alone(static_plans, monkeypatch):
+    plans = plans_of_checkpoints(monkeypatch)
+    result = formatted(entry.queries()["claim_user_exclusion_list"](static_plans, SF))
+    assert len(plans) == 1 and "orders" not in result
+    assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*orders", plans[0])) == 1
+    # on the way to the checkpoint only the list and its words are shuffled
+    assert not [i for i in exchange_inputs(plans[0]) if "o_orderkey" in i or "log_id" in i]
+    # past it, rows with log_id are shuffled by their number, after the test of their marks
+    assert sum("log_id" in i for i in exchange_inputs(result)) == 1
+    assert re.search(r"Condition : \(size\(_users#\d+L?, false\) > 0\)", result)
