@@ -1,12 +1,12 @@
 """Shards of near-equal bytes by sampled splitters (DataFrame functions only).
 
-Records are ordered by a key, (hash of the text, doc_id): equal texts are
-neighbours, and a group of any size can still be cut between two documents.
+Records are ordered by a key, (hash of the text, doc_id, a number of the row): equal
+texts are neighbours, and a group of any size can still be cut, even between equal rows.
 
 1. A size-weighted sample of keys is drawn: a record is taken with a chance in
-   proportion to its size, decided by a hash of its key (about ``SAMPLE`` keys,
-   whatever the input).
-2. Quantiles of the sample weights become splitters, ``RANGES`` ranges a shard.
+   proportion to its size, decided by a hash of its key (about ``SAMPLE`` keys a range).
+2. Quantiles of the sample weights become splitters: ``RANGES`` ranges a shard, or
+   as many as have ``RANGE_ROWS`` rows each on average, if that is more.
 3. Bytes and rows of every range are counted exactly. Overfull ranges (twice
    the mean or more) are sampled again, more densely, and subdivided.
 4. A record's shard follows from the bytes before it: those of earlier ranges
@@ -15,39 +15,42 @@ neighbours, and a group of any size can still be cut between two documents.
    total, so sizes differ from the mean by less than one record; its slot is
    its place among them.
 
-The driver holds splitters and range totals only: a few thousand numbers.
+The driver holds the sample, splitters and range totals only: a few thousand keys,
+or ``SAMPLE / RANGE_ROWS`` of the rows in large inputs (20 keys a million rows).
 
 Defined results: a null text has no bytes, crc 0 and size 16; a null doc_id
-sorts first among equal texts; rows with equal keys stay together in one range
-and get neighbouring slots; an empty table gives an empty result.
+sorts first among equal texts; rows with equal doc_id and text get neighbouring
+places, in any order among them; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cxlake.llm.shared import keep_on_disk
 
 RECORD_BYTES = 16
-RANGES, SAMPLE = 8, 20
-FINE = 16
+RANGES, SAMPLE, RANGE_ROWS = 8, 20, 1_000_000
 ROUNDS = 4
 
-Key = tuple[int, int | None]
+KEY = ("hash", "doc_id", "nth")
+Key = tuple[int, int | None, int]
 
 
 def _order(key: Key) -> tuple:
     """Python order of keys as Spark has it: nulls first."""
-    return key[0], key[1] is not None, key[1] or 0
+    return key[0], key[1] is not None, key[1] or 0, key[2]
 
 
 def _draw(records: DataFrame, rate: Column, seed: int) -> list[tuple[Key, float]]:
-    """Distinct sampled keys with the bytes that each stands for."""
+    """Sampled keys with the bytes that each stands for."""
     chance = F.least(F.lit(1.0), F.col("size") * rate)
-    uniform = F.pmod(F.xxhash64("hash", "doc_id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    drawn = records.where(uniform < chance).groupBy("hash", "doc_id").agg(F.sum(F.col("size") / chance).alias("weight"))
-    return [((r["hash"], r["doc_id"]), r["weight"]) for r in drawn.collect()]
+    uniform = F.pmod(F.xxhash64(*KEY, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    drawn = records.where(uniform < chance).select(*KEY, (F.col("size") / chance).alias("weight"))
+    return [(tuple(r[c] for c in KEY), r["weight"]) for r in drawn.collect()]
 
 
 def choose_splitters(sample: list[tuple[Key, float]], parts: int) -> list[Key]:
@@ -62,21 +65,15 @@ def choose_splitters(sample: list[tuple[Key, float]], parts: int) -> list[Key]:
 
 
 def _range_of(splitters: list[Key]) -> Column:
-    """Number of splitters at or below the record's key, found in two steps of about a root of their number."""
+    """Number of splitters at or below the record's key, by binary search.
+
+    The splitters travel as one text, which the optimizer reads once into a literal."""
     if not splitters:
         return F.lit(0)
-
-    def literal(keys: list[Key]) -> Column:
-        return F.array(*[F.struct(F.lit(h).cast("long").alias("hash"), F.lit(i).cast("long").alias("doc_id")) for h, i in keys])
-
-    key = F.struct(F.col("hash"), F.col("doc_id"))
-
-    def below(keys: Column) -> Column:
-        return F.size(F.filter(keys, lambda s: s <= key))
-
-    coarse = below(literal(splitters[FINE - 1 :: FINE]))
-    blocks = F.array(*[literal(splitters[a : a + FINE]) for a in range(0, len(splitters), FINE)], F.array().cast("array<struct<hash:bigint,doc_id:bigint>>"))
-    return coarse * FINE + below(F.element_at(blocks, coarse + 1))
+    keys = F.from_json(F.lit(json.dumps([dict(zip(KEY, s)) for s in splitters])), "array<struct<hash:bigint,doc_id:bigint,nth:bigint>>")
+    key = F.struct(*KEY)
+    widths = F.array(*[F.lit(1 << k) for k in reversed(range(len(splitters).bit_length()))])
+    return F.aggregate(widths, F.lit(0), lambda low, width: F.when(F.get(keys, low + width - 1) <= key, low + width).otherwise(low))
 
 
 def _totals(records: DataFrame, splitters: list[Key]) -> list[tuple[int, int, int]]:
@@ -85,10 +82,11 @@ def _totals(records: DataFrame, splitters: list[Key]) -> list[tuple[int, int, in
     return sorted((r["range"], r["bytes"], r["rows"]) for r in found.collect())
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 40, ranges: int = RANGES, sample: int = SAMPLE) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = 40, ranges: int = RANGES, sample: int = SAMPLE, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of ``docs``.
 
-    ``ranges`` per shard and about ``sample`` sampled keys per range."""
+    At least ``ranges`` per shard, of ``range_rows`` rows at most on average, and about
+    ``sample`` sampled keys per range."""
     text = F.coalesce(docs["text"], F.lit(""))
     records = keep_on_disk(
         docs.select(
@@ -96,9 +94,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, ranges: int = RANGES, samp
             (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("hash"),
+            F.monotonically_increasing_id().alias("nth"),
         )
     )
-    total = records.agg(F.sum("size")).first()[0] or 0
+    total, rows = (n or 0 for n in records.agg(F.sum("size"), F.count(F.lit(1))).first())
+    ranges = max(ranges, -(-rows // (shards * range_rows)))
     if not total:
         total, splitters = 1, []
     else:
@@ -130,17 +130,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, ranges: int = RANGES, samp
         before, rows_before = before + size, rows_before + rows
     offsets = F.broadcast(spark.createDataFrame(starts, "range int, bytes_before bigint, rows_before bigint"))
 
-    in_range = Window.partitionBy("range").orderBy("hash", "doc_id")
+    in_range = Window.partitionBy("range").orderBy(*KEY)
     so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
         records.withColumn("range", _range_of(splitters))
         .withColumn("end", F.sum("size").over(so_far))
-        .withColumn("nth", F.row_number().over(in_range))
+        .withColumn("place", F.row_number().over(in_range))
         .join(offsets, "range")
         .select(
             "doc_id", "size", "text_crc32",
             F.floor((F.col("bytes_before") + F.col("end") - F.col("size")) * shards / F.lit(total)).cast("int").alias("shard"),
-            (F.col("rows_before") + F.col("nth") - 1).alias("at"),
+            (F.col("rows_before") + F.col("place") - 1).alias("at"),
         )
     )
     placed = keep_on_disk(placed)

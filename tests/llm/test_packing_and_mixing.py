@@ -216,6 +216,34 @@ def test_shards_split_a_large_group_of_copies(spark):
     assert len(shards) > 1 and shards == list(range(shards[0], shards[-1] + 1))
 
 
+@pytest.mark.parametrize("options", [{}, {"range_rows": 5}, {"ranges": 1, "sample": 1}])
+def test_shards_are_those_of_a_sorted_prefix_sum(spark, options):
+    """Shard and slot of every row, equal rows (a third of all) included, whatever the ranges."""
+    rows = [(i, f"text {i % 200} " * (i % 11)) for i in range(600)] + [(7, "one row again and again")] * 300 + [(None, "no id"), (8, None)]
+    docs = documents(spark, rows)
+    got = sharding.shard_by_bytes(docs, 12, **options).collect()
+    check_shards(got, rows, 12)
+    hashed = docs.selectExpr("xxhash64(coalesce(text, '')) AS h", "doc_id", "octet_length(coalesce(text, '')) + 16 AS size").collect()
+    ordered = sorted(hashed, key=lambda r: (r["h"], r["doc_id"] is not None, r["doc_id"] or 0))
+    total, so_far, slots, want = sum(r["size"] for r in ordered), 0, {}, []
+    for r in ordered:
+        shard = so_far * 12 // total
+        want.append((r["doc_id"], r["size"], shard, slots.get(shard, 0)))
+        slots[shard] = slots.get(shard, 0) + 1
+        so_far += r["size"]
+    assert sorted(((r["doc_id"], r["size"], r["shard"], r["slot"]) for r in got), key=repr) == sorted(want, key=repr)
+    assert len({r["shard"] for r in got if r["doc_id"] == 7 and r["size"] == 39}) > 1  # equal rows can part
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 64])
+def test_range_search(spark, n):
+    rng = random.Random(n)
+    keys = [(rng.randint(-3, 3), rng.choice([None, -1, 0, 2]), rng.randint(0, 4)) for _ in range(300)]
+    splitters = sorted(set(keys), key=sharding._order)[:n]
+    found = spark.createDataFrame(keys, "hash bigint, doc_id bigint, nth bigint").select("*", sharding._range_of(splitters).alias("range")).collect()
+    assert all(r["range"] == sum(sharding._order(s) <= sharding._order(r[:3]) for s in splitters) for r in found)
+
+
 def test_shards_awkward(spark):
     docs = awkward(spark)
     rows = sharding.shard_by_bytes(docs, 4).collect()
