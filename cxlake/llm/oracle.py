@@ -62,7 +62,7 @@ FROM sized GROUP BY conv_id
 """
 
 # op7: per kind, gaps and matches of a split by the pattern; the link test is a
-# range window over the parts of a document.
+# join of the parts of a document on the gap between them.
 SECRETS = (
     (r"""(?i:password|passwd|secret|token|api_?key)["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 1, "length(v[i]) >= 6"),
     (r"AKIA[A-Z0-9]{16,}", 0, "true"),
@@ -90,10 +90,10 @@ WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
   SELECT doc_id, if(ok, kind, NULL) AS part, sum(gap + len) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e, len FROM hits
 ), parts AS (SELECT doc_id, part, CAST(e - len AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM placed WHERE part IS NOT NULL
 ), met AS (
-  SELECT *, coalesce(bool_or(part IN (0, 2, 3)) OVER near, false) AS secret, coalesce(bool_or(part IN (1, 4)) OVER near, false) AS ident,
-    coalesce(bool_or(part = 5) OVER near, false) AS endpoint,
-    coalesce((SELECT bool_or(b.s < p.e AND b.e > p.s) FROM parts b WHERE b.doc_id = p.doc_id AND b.part < 3), false) AS inside
-  FROM parts p WINDOW near AS (PARTITION BY doc_id ORDER BY s RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)
+  SELECT p.doc_id, p.part, p.s, p.e, bool_or(o.part IN (0, 2, 3)) AS secret, bool_or(o.part IN (1, 4)) AS ident, bool_or(o.part = 5) AS endpoint,
+    bool_or(o.part < 3 AND o.s < p.e AND o.e > p.s) AS inside
+  FROM parts p JOIN parts o ON o.doc_id = p.doc_id AND o.s <= p.e + 200 AND o.e >= p.s - 200
+  GROUP BY p.doc_id, p.part, p.s, p.e
 ), found AS (
   SELECT doc_id, part, s, concat(['assign', 'access', 'hex', 'linked_secret', 'linked_account', 'linked_endpoint'][part + 1], ':', s, ':', e) AS span
   FROM met WHERE part < 3 OR (NOT inside AND CASE part WHEN 3 THEN ident OR endpoint WHEN 4 THEN secret ELSE ident AND secret END)
