@@ -14,9 +14,12 @@ On unit vectors that is a Euclidean distance of at most
 4. *Recursive interval join*: starting from one pair of whole sequences, pairs
    of nodes of a tree over the intervals are expanded level by level; a pair
    whose boxes are further apart than ``eps`` is skipped, and all below it.
-   Surviving pairs of intervals meet, split further into leaves under the same
-   test in all dimensions, and the remaining leaf pairs are compared by matrix products.
-5. A pair of intervals returns link counts per entry and a spanning forest of
+   Surviving pairs of intervals meet and split further into leaves under the same
+   test in all dimensions.
+5. *Partial distances*: vectors of the remaining leaf pairs are first compared in the
+   ``PART_DIMS`` leading dimensions alone, as products of narrow matrices in single precision
+   with room for its errors. Only pairs that these leave in reach get a cosine, in double precision.
+6. A pair of intervals returns link counts per entry and a spanning forest of
    its links, never the links themselves, so a large group costs a count and
    one forest link per entry.
 
@@ -40,6 +43,9 @@ from pyspark.sql import functions as F
 from cxlake.llm.shared import components, keep_on_disk, small_batches
 
 INTERVAL, LEAF, FANOUT, GRID_DIMS, BOX_DIMS = 4096, 128, 8, 6, 16
+# leading dimensions of partial distances, room for their rounding in single precision (unit vectors
+# err by some 1e-6), and pairs whose vectors are gathered at a time
+PART_DIMS, PART_ROOM, GATHER = 16, 1e-4, 16384
 # rounding room of box tests: far above double rounding, far below any useful distance
 SLACK = 1e-9
 # least side of a grid cell (a cosine of 1 leaves no distance)
@@ -147,33 +153,82 @@ def _near_intervals(intervals: DataFrame, dims: int, eps: float) -> DataFrame:
     return pairs
 
 
+Node = tuple[int, int, np.ndarray, np.ndarray]
+
+
+class Boxes:
+    """Bounding boxes of the halves of a sequence, each worked out once."""
+
+    def __init__(self, rows: np.ndarray) -> None:
+        self.rows, self.known = rows, {}
+
+    def node(self, start: int, end: int) -> Node:
+        if (start, end) not in self.known:
+            part = self.rows[start:end]
+            self.known[start, end] = (start, end, part.min(axis=0), part.max(axis=0))
+        return self.known[start, end]
+
+    def halves(self, node: Node) -> list[Node]:
+        start, end = node[:2]
+        if end - start <= LEAF:
+            return [node]
+        half = start + -(-(end - start) // (2 * LEAF)) * LEAF
+        return [self.node(start, half), self.node(half, end)]
+
+
 def leaf_pairs(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[slice, slice]]:
     """Recursive sequence join of two intervals (``y is x``: of one with itself, each pair once).
 
     Gives the pairs of leaf slices whose boxes are within ``eps``."""
-
-    def box(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return r.min(axis=0), r.max(axis=0)
-
-    stack = [(0, len(x), *box(x), 0, len(y), *box(y))]
+    own = y is x
+    left = Boxes(x)
+    right = left if own else Boxes(y)
+    stack = [(left.node(0, len(x)), right.node(0, len(y)))]
     while stack:
-        a, b, lo, hi, c, d, lo2, hi2 = stack.pop()
+        p, q = stack.pop()
+        (a, b, lo, hi), (c, d, lo2, hi2) = p, q
         gap = np.maximum(0.0, np.maximum(lo - hi2, lo2 - hi))
-        if gap @ gap > (eps + SLACK) ** 2 or (x is y and d <= a):
+        if gap @ gap > (eps + SLACK) ** 2 or (own and d <= a):
             continue
         if b - a <= LEAF and d - c <= LEAF:
             yield slice(a, b), slice(c, d)
             continue
-        left = [(s, e, *box(x[s:e])) for s, e in _halves(a, b)]
-        right = [(s, e, *box(y[s:e])) for s, e in _halves(c, d)]
-        stack.extend((*p, *q) for p in left for q in right)
-
-
-def _halves(a: int, b: int) -> list[tuple[int, int]]:
-    if b - a <= LEAF:
-        return [(a, b)]
-    half = a + -(-(b - a) // (2 * LEAF)) * LEAF
-    return [(a, half), (half, b)]
+        stack.extend((f, g) for f in left.halves(p) for g in right.halves(q))
+
+
+def _runs(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[slice, slice]]:
+    """The leaf pairs with neighbouring leaves of ``y`` taken together."""
+    met: dict[tuple[int, int], list[slice]] = {}
+    for p, q in leaf_pairs(x, y, eps):
+        met.setdefault((p.start, p.stop), []).append(q)
+    for (start, stop), leaves in met.items():
+        leaves.sort(key=lambda q: q.start)
+        first = leaves[0]
+        for q in leaves[1:]:
+            if q.start == first.stop:
+                first = slice(first.start, q.stop)
+            else:
+                yield slice(start, stop), first
+                first = q
+        yield slice(start, stop), first
+
+
+def _partial(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows a, b such that ``a @ b.T`` are squared distances in the leading dimensions."""
+    lead = r[:, :PART_DIMS]
+    square, one = (lead * lead).sum(axis=1, keepdims=True), np.ones((len(r), 1))
+    return tuple(np.hstack(c).astype(np.float32) for c in ((lead, square, one), (-2 * lead, one, square)))
+
+
+def _hits(u: np.ndarray, v: np.ndarray, near: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs marked in ``near`` whose cosine, in double precision, reaches ``cosine``."""
+    at = np.flatnonzero(near)
+    if 8 * len(at) > near.size:
+        at = np.flatnonzero(near & (u @ v.T >= cosine))
+        return at // len(v), at % len(v)
+    i, j = at // len(v), at % len(v)
+    hit = np.concatenate([np.zeros(0, dtype=bool), *[np.einsum("ij,ij->i", u[i[s : s + GATHER]], v[j[s : s + GATHER]]) >= cosine for s in range(0, len(at), GATHER)]])
+    return i[hit], j[hit]
 
 
 def join_intervals(x, y, rotation: np.ndarray, cosine: float, eps: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,6 +244,9 @@ def join_intervals(x, y, rotation: np.ndarray, cosine: float, eps: float) -> tup
     shift = 0 if own else len(ux)
     count = np.zeros(shift + len(uy), dtype=np.int64)
     root = np.arange(len(count))
+    # what single precision may get wrong is far below the room given
+    left, right = _partial(rx)[0], _partial(ry)[1]
+    reach = np.float32((eps + SLACK) ** 2 + PART_ROOM)
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -196,20 +254,21 @@ def join_intervals(x, y, rotation: np.ndarray, cosine: float, eps: float) -> tup
             i = root[i]
         return i
 
-    for p, q in leaf_pairs(rx, ry, eps):
-        hit = ux[p] @ uy[q].T >= cosine
-        same = own and p == q
-        if same:
-            np.fill_diagonal(hit, False)
-        rows = np.flatnonzero(hit.any(axis=1))
-        if not len(rows):
+    for p, q in _runs(rx, ry, eps):
+        near = left[p] @ right[q].T <= reach
+        if own:
+            # each pair once, from its earlier entry
+            near &= np.arange(q.start, q.stop)[None, :] > np.arange(p.start, p.stop)[:, None]
+        i, j = _hits(ux[p], uy[q], near, cosine)
+        if not len(i):
             continue
-        count[p] += hit @ copies_y[q]
-        if not same:
-            count[shift + q.start : shift + q.stop] += hit.T @ copies_x[p]
-        for r in rows:
-            here = find(p.start + int(r))
-            for o in np.unique(root[shift + q.start + np.flatnonzero(hit[r])]):
+        i, j = i + p.start, j + q.start
+        count += np.bincount(i, copies_y[j], len(count)).astype(np.int64)
+        count += np.bincount(j + shift, copies_x[i], len(count)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(i, prepend=-1))
+        for first, end in zip(starts, [*starts[1:], len(i)]):
+            here = find(int(i[first]))
+            for o in np.unique(root[shift + j[first:end]]):
                 there = find(int(o))
                 if there != here:
                     root[max(there, here)] = min(there, here)
