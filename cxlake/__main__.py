@@ -20,7 +20,7 @@ if __package__ in (None, ""):  # run as a file (spark-submit cxlake/__main__.py)
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from cxlake.plans.catalog import default_table_defs  # noqa: E402
-from cxlake.plans.job import Inputs, builtin_builders, run_tables  # noqa: E402
+from cxlake.plans.job import Inputs, builtin_builders, run_table_graph, run_tables  # noqa: E402
 from cxlake.plans.tabledef import load_table_defs  # noqa: E402
 from cxlake.session import ensure_session_defaults  # noqa: E402
 from cxlake.sinks.tables import TableStore  # noqa: E402
@@ -56,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--log-tie-breaker", default="_id")
     ap.add_argument("--survey-tie-breaker")
     ap.add_argument("--param", action="append", default=[], metavar="NAME=VALUE", help="parameter of SQL-origin tables")
+    ap.add_argument("--parallel", type=int, help="so many tables at a time, after those they depend on (default: in the order given)")
     args = ap.parse_args(argv)
 
     spark = ensure_session_defaults(SparkSession.builder.appName("cxlake").getOrCreate())
@@ -78,6 +79,11 @@ def main(argv: list[str] | None = None) -> int:
     )
     # parameters of SQL-origin tables: the day that lookbacks end, and name=value pairs
     sql_params = {**({"as_of": args.as_of} if args.as_of else {}), **dict(p.split("=", 1) for p in args.param)}
+    if args.parallel:
+        runs = run_table_graph(spark, args.tables, defs, builtin_builders(inputs), TableStore(spark), sql_params, parallel=args.parallel)
+        for r in runs:
+            print(json.dumps({"table": r.name, "status": r.status, "error": r.error, **(r.result.__dict__ if r.result else {})}))
+        return int(any(r.status != "saved" for r in runs))
     results = run_tables(spark, args.tables, defs, builtin_builders(inputs), TableStore(spark), sql_params)
     for r in results:
         print(json.dumps(r.__dict__))

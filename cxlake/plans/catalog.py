@@ -87,6 +87,7 @@ def default_table_defs(database: str | None = None) -> dict[str, TableDef]:
             name="dashboard_recent",
             origin="sql",
             query_sql_path="dashboard_recent.sql",
+            depends_on=("dashboard_base",),
             database=database,
             mode="overwrite",
             lookback_days=3,

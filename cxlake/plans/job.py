@@ -7,9 +7,13 @@ while the result is staged, not from a separate ``count()``.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from graphlib import TopologicalSorter
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,10 +73,14 @@ def builtin_builders(inputs: Inputs) -> dict[str, Builder]:
         return loader
 
     shared: dict[str, DataFrame] = {}
+    # jobs that run at the same time wait for the one that builds the detail
+    building = threading.Lock()
 
     def detail(spark: SparkSession, tdef: TableDef) -> DataFrame:
-        if "detail" in shared:
-            return shared["detail"]
+        with building:
+            return shared["detail"] if "detail" in shared else built_detail(spark)
+
+    def built_detail(spark: SparkSession) -> DataFrame:
         logs = need(inputs.usage_logs, "usage-log")(spark)
         excluded: tuple[str, ...] | DataFrame = inputs.excluded_users
         if inputs.excluded_user_list is not None:
@@ -167,3 +175,60 @@ def run_tables(
     return [
         run_table_job(spark, get_table_def(defs, n), builders, store, sql_params, load_ts) for n in names
     ]
+
+
+@dataclass(frozen=True)
+class TableRun:
+    """What became of one table of a run: saved, failed (with the error) or skipped (``error`` names the table it waited for)."""
+
+    name: str
+    status: str
+    result: SaveResult | None = None
+    error: str | None = None
+
+
+def run_table_graph(
+    spark: SparkSession,
+    names: Iterable[str],
+    defs: dict[str, TableDef],
+    builders: dict[str, Builder],
+    store: TableStore,
+    sql_params: dict | None = None,
+    load_ts: dt.datetime | str | None = None,
+    parallel: int = 4,
+) -> list[TableRun]:
+    """Run the jobs of several tables, each after the tables of this run that it depends on.
+
+    Up to ``parallel`` tables without an open dependency run at the same time, as Spark
+    jobs of their own; what the builders share is built once. A table that fails stops
+    only those that depend on it. A circle of dependencies is an error before anything
+    runs. Outcomes come in the order of ``names``."""
+    names = list(dict.fromkeys(names))
+    needs = {n: [d for d in get_table_def(defs, n).depends_on if d in names] for n in names}
+    graph = TopologicalSorter(needs)
+    graph.prepare()
+    done: dict[str, TableRun] = {}
+    running: dict[Future, str] = {}
+
+    def job(name: str) -> SaveResult:
+        return run_table_job(spark, get_table_def(defs, name), builders, store, sql_params, load_ts)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        while graph.is_active():
+            for name in graph.get_ready():
+                missing = next((d for d in needs[name] if done[d].status != "saved"), None)
+                if missing is not None:
+                    done[name] = TableRun(name, "skipped", error=missing)
+                    graph.done(name)
+                else:
+                    running[pool.submit(inheritable_thread_target(spark)(job), name)] = name
+            if not running:
+                continue
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name, failure = running.pop(future), future.exception()
+                if failure is None:
+                    done[name] = TableRun(name, "saved", result=future.result())
+                else:
+                    done[name] = TableRun(name, "failed", error=f"{type(failure).__name__}: {failure}")
+                graph.done(name)
+    return [done[n] for n in names]

@@ -547,6 +547,17 @@ def oracle_statements() -> dict[str, str]:
         "claim_summary": CLAIM_SUMMARY,
         "claim_evolution": CLAIM_EVOLUTION,
         "claim_top": CLAIM_TOP,
+        "table_graph": " UNION ALL ".join(
+            f"SELECT '{name}' AS tabla, count(*) AS filas, CAST({measure} AS BIGINT) AS medida FROM ({statement})"
+            for name, measure, statement in (
+                ("claim_detail", 'count(DISTINCT "OT")', CLAIM_DETAIL),
+                ("claim_summary", 'sum("Cantidad")', CLAIM_SUMMARY),
+                ("claim_evolution", 'sum("Cantidad")', CLAIM_EVOLUTION),
+                ("claim_top", 'sum("Cantidad")', CLAIM_TOP),
+                ("dashboard_base", "sum(cantidad_mensajes)", CONVERSATION_STATEMENTS["dashboard_base"]),
+                ("dashboard_recent", "count(DISTINCT session_id)", CONVERSATION_STATEMENTS["dashboard_recent"]),
+            )
+        ),
         "claim_detail_ledger": CLAIM_DETAIL,
         "claim_summary_ledger": CLAIM_SUMMARY,
         "claim_top_ledger": CLAIM_TOP,

@@ -22,7 +22,7 @@ from cxlake.functions import documents
 from cxlake.operators import claims, dashboard, messages, sessions, surveys
 from cxlake.plans.catalog import default_table_defs
 from cxlake.plans.fifo_ledger import FifoLedger
-from cxlake.plans.job import Inputs, build, builtin_builders, run_table_job, with_load_ts
+from cxlake.plans.job import Inputs, build, builtin_builders, run_table_graph, run_table_job, with_load_ts
 from cxlake.plans.ledger import ClaimLedger, SessionLedger
 from cxlake.plans.tabledef import TableDef
 from cxlake.session import ensure_session_defaults, remove_path, staging_path, use_checkpoint_dir
@@ -352,6 +352,36 @@ def q_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_and_drop(spark, store, tdef)
 
 
+# An exact measure of each table of the run.
+GRAPH_MEASURES = {
+    "claim_detail": "count(DISTINCT OT)",
+    "claim_summary": "sum(Cantidad)",
+    "claim_evolution": "sum(Cantidad)",
+    "claim_top": "sum(Cantidad)",
+    "dashboard_base": "sum(cantidad_mensajes)",
+    "dashboard_recent": "count(DISTINCT session_id)",
+}
+
+
+def q_table_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six tables in one run, several at a time, each after those it reads; rows and a measure of every stored table."""
+    ensure_session_defaults(spark)
+    store, defs = TableStore(spark), {n: _own_def(n) for n in GRAPH_MEASURES}
+    defs["dashboard_base"] = replace(defs["dashboard_base"], lookback_days=DAYS)
+    recent = {"source_table": defs["dashboard_base"].full_name, "as_of": AS_OF, "dias": RECENT_DAYS}
+    defs["dashboard_recent"] = replace(defs["dashboard_recent"], params=recent)
+    runs = run_table_graph(spark, reversed(defs), defs, builtin_builders(_job_inputs(spark, sf_dir)), store, load_ts=CURRENT_LOAD_TS)
+    failed = [r for r in runs if r.status != "saved"]
+    if failed:
+        raise RuntimeError(f"tables not saved: {failed}")
+    told = None
+    for n, d in defs.items():
+        one = spark.table(d.full_name).agg(F.count(F.lit(1)).alias("filas"), F.expr(GRAPH_MEASURES[n]).cast("long").alias("medida"))
+        one = one.select(F.lit(n).alias("tabla"), "filas", "medida")
+        told = one if told is None else told.unionByName(one)
+    return _read_and_drop(spark, store, *defs.values(), df=told)
+
+
 def q_python_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered builder that a definition names, with the load stamp (not saved)."""
     builders = builtin_builders(_job_inputs(spark, sf_dir))
@@ -700,6 +730,7 @@ def registry() -> dict[str, Query]:
         "table_overwrite_partitioned": q_table_overwrite_partitioned,
         "table_create": q_table_create,
         "table_job": q_table_job,
+        "table_graph": q_table_graph,
         "python_source": q_python_source,
         "normalize_source": q_normalize_source,
         "message_scan": q_message_scan,

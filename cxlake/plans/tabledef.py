@@ -24,7 +24,8 @@ class TableDef:
     can't be changed later). ``identity`` are key columns that name a row for good:
     a merge then replaces the stored row of the same identity wherever it is, also
     in another partition or under another primary key. ``params`` are named
-    parameters of a SQL-origin query; ``lookback_days`` adds ``:dias``.
+    parameters of a SQL-origin query; ``lookback_days`` adds ``:dias``. ``depends_on``
+    are the tables that this one reads: in a run that has them it comes after them.
     """
 
     name: str
@@ -41,6 +42,7 @@ class TableDef:
     ddl_path: str | None = None
     buckets: int | None = None
     identity: tuple[str, ...] = ()
+    depends_on: tuple[str, ...] = ()
     params: dict = field(default_factory=dict)
     lookback_days: int | None = None
     description: str = ""
@@ -86,6 +88,7 @@ def load_table_defs(path: str | Path) -> dict[str, TableDef]:
         item["primary_key"] = tuple(item.get("primary_key") or ())
         item["cluster_by"] = tuple(item.get("cluster_by") or ())
         item["identity"] = tuple(item.get("identity") or ())
+        item["depends_on"] = tuple(item.get("depends_on") or ())
         d = TableDef(**item)
         defs[d.name] = d
     return defs

@@ -20,6 +20,7 @@ that another job has published to between the two steps is not overwritten
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -42,6 +43,10 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
+# Settings belong to the session, which jobs in several threads share: a write that needs some has them for itself.
+_SETTINGS = threading.RLock()
+
+
 class EmptyResultError(ValueError):
     """The DataFrame to save had no rows and the table forbids that."""
 
@@ -144,15 +149,19 @@ class TableStore:
 
     @contextmanager
     def _settings(self, values: dict[str, str]) -> Iterator[None]:
-        """Session settings for one write, put back right after."""
-        before = {k: self.spark.conf.get(k) for k in values}
-        try:
-            for k, v in values.items():
-                self.spark.conf.set(k, v)
+        """Session settings for one write, put back right after; one write at a time."""
+        if not values:
             yield
-        finally:
-            for k, v in before.items():
-                self.spark.conf.set(k, v)
+            return
+        with _SETTINGS:
+            before = {k: self.spark.conf.get(k) for k in values}
+            try:
+                for k, v in values.items():
+                    self.spark.conf.set(k, v)
+                yield
+            finally:
+                for k, v in before.items():
+                    self.spark.conf.set(k, v)
 
     # -- staging and publishing ---------------------------------------------------
 
