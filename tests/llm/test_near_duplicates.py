@@ -152,6 +152,30 @@ def test_embeddings_match_brute_force(spark, monkeypatch, cosine):
     assert got == brute_vectors(rows, cosine)
 
 
+@pytest.mark.parametrize(("spread", "share"), [(0.02, 0.02), (0.02, 1.0), (0.3, 0.5)])
+def test_partial_distances_lose_no_link(spread, share):
+    """Intervals in more dimensions than the partial distances have: few links, all pairs linked, and links at the edge."""
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(700, 40))
+    copies = rng.random(700) < share
+    v[copies] = v[0] + rng.normal(scale=spread, size=(int(copies.sum()), 40))
+    u = ego_join._unit(v)
+    rotation = np.linalg.eigh(np.cov(u.T, bias=True))[1][:, ::-1]
+    eps, many = float(np.sqrt(0.1)), rng.integers(1, 4, 700)
+    x, y = ((np.arange(700)[s], many[s], u[s]) for s in (slice(0, 300), slice(300, 700)))
+    linked = u @ u.T >= 0.95
+    np.fill_diagonal(linked, False)
+    for p, q, part in ((x, x, linked[:300, :300]), (x, y, linked[:300, 300:])):
+        ids, top, links = ego_join.join_intervals(p, q, rotation, 0.95, eps)
+        want = {int(i): int(n) for i, n in zip(p[0], part @ q[1]) if n}
+        if q is y:
+            want |= {int(i): int(n) for i, n in zip(q[0], part.T @ p[1]) if n}
+        assert dict(zip(ids.tolist(), links.tolist())) == want and want
+        pairs = [(int(p[0][i]), int(q[0][j])) for i, j in zip(*np.nonzero(part))]
+        low = groups(list(want), pairs)
+        assert {frozenset(ids[top == t].tolist()) for t in top} == {frozenset(i for i in low if low[i] == r) for r in low.values()}
+
+
 def test_embeddings_awkward(spark):
     rows = [(None, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], None), (3, [1e-38, 0.0], 0)]
     got = sorted((tuple(r) for r in ego_join.near_duplicates(vectors(spark, rows), 0.95).collect()), key=repr)
