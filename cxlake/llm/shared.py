@@ -91,6 +91,18 @@ def labelled_sample(rows: DataFrame, ids: DataFrame) -> pd.DataFrame:
     return found.sort_values("doc_id", kind="stable").reset_index(drop=True)
 
 
+def labelled_rows(rows: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """Every row of ``rows`` whose doc_id has the value 0 or 1 in ``labels[label]``, outside fold 0, and
+    that value as ``label``; ids whose labels contradict each other are left out. Kept on disk."""
+    known = (
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % FOLDS != 0))
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("_most"))
+        .where(F.col("label") == F.col("_most"))
+    )
+    return keep_on_disk(rows.join(known, rows["doc_id"] == known["_id"]).drop("_id", "_most"))
+
+
 def spanning_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Star links (node, smallest node of its piece) equivalent to the given links."""
     nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -114,3 +114,41 @@ def test_classifier_with_one_kind_of_label(spark, label):
     docs = awkward(spark)
     labels = spark.createDataFrame([(i, label, 0) for i in range(1, 10)], "doc_id bigint, quality int, toxic int")
     assert {r["predicted"] for r in pairwise_quality.classify(docs, labels).collect()} == {label}
+
+
+def count_rows(spark, n):
+    """(n rows of counts, labels of all of them, 3 in 4 accepted); the ids are outside fold 0."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(2 * n).where("crc32(cast(cast(id as string) as binary)) % 5 != 0").limit(n).select(F.col("id").alias("doc_id"))
+    rows = ids.select("doc_id", *[(F.xxhash64("doc_id", F.lit(c)) % 40 + 50).alias(c) for c in text_stats.COUNTS])
+    return rows.localCheckpoint(), rows.select("doc_id", F.when(F.col("doc_id") % 4 > 0, 1).otherwise(0).alias("quality"))
+
+
+def test_every_labelled_row_grows_the_forest(spark, monkeypatch):
+    rows, labels = count_rows(spark, 45_000)
+    known = isolation.labelled_rows(rows, labels, "quality")
+    assert known.count() == 45_000
+    seen = []
+
+    def roots(measure, total, trees, tree_rows, seed):
+        empty = isolation.Forest(np.full(trees, -1), np.zeros(trees), np.zeros(trees, int), np.zeros(trees, int), np.zeros(trees), trees, 1.0)
+        seen.append((total * trees, *measure(empty, 0)))
+        return empty
+
+    monkeypatch.setattr(isolation, "grow", roots)
+    isolation.grow_from_rows(known, 33_750, 11_250, 100, 256, 0.5)
+    ((total, nodes, found),) = seen
+    assert total == found[:, 0].sum() == 45_000 and nodes.tolist() == list(range(100))
+    sample = rows.toPandas()
+    x = text_stats.rates({c: sample[c] for c in text_stats.COUNTS})[:, : isolation.FOREST_RATES]
+    assert np.array_equal(found[:, 1 : 1 + x.shape[1]].min(axis=0), x.min(axis=0))
+    assert np.array_equal(found[:, 1 + x.shape[1] :].max(axis=0), x.max(axis=0))
+
+
+def test_anomaly_cut_counts_every_row():
+    level, accepted, rejected = np.array([3, 5, 9]), np.array([50_000, 10, 0]), np.array([1, 0, 30_000])
+    cut = isolation.calibrate(level, accepted, rejected) * isolation.GRID
+    assert 5 <= cut <= 8
+    assert isolation.calibrate(level, accepted, rejected * 0) == float("inf")
+
