@@ -20,14 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cxlake.llm import mixing, ngram_join, packing, pairwise_quality, secret_scan
-from cxlake.llm.shared import use_checkpoint_dir
+from cxlake.llm.shared import small_batches, use_checkpoint_dir
+from cxlake.llm.text_stats import text_counts
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ranker = pairwise_quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    small_batches(spark)
+    ranker = pairwise_quality.train(text_counts(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = pairwise_quality.score_documents(docs, ranker, carry=COLUMNS)
     return scored.where(F.col("score") >= pairwise_quality.THRESHOLD).select(*COLUMNS)
 

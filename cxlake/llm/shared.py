@@ -1,4 +1,4 @@
-"""What several operators need: lineage cuts, bounded labelled samples, connected components."""
+"""What several operators need: lineage cuts, labelled rows, connected components."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,34 +62,6 @@ def id_hash(col: Column) -> Column:
 FOLDS = 5
 
 
-def sample_ids(labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(_id, label): up to ``most`` ids for each value 0 and 1 of ``labels[label]``, outside fold 0.
-
-    The ids with the lowest hashes are taken, so the sample is the same on every
-    run; ids whose labels contradict each other are left out. The driver gets
-    little more than the sample: a hash threshold from the counts thins the ids
-    before they are ordered."""
-    known = keep_on_disk(
-        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % FOLDS != 0))
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("_most"))
-        .where(F.col("label") == F.col("_most"))
-        .select("_id", "label", F.pmod(F.xxhash64("_id"), F.lit(1 << 40)).alias("_place"))
-    )
-    rows = []
-    for value, n in known.groupBy("label").count().collect():
-        enough = min(1.0, (most + 8 * most**0.5 + 8) / n)
-        few = known.where((F.col("label") == value) & (F.col("_place") < int(enough * (1 << 40)) + 1))
-        rows += [(r["_id"], r["label"]) for r in few.orderBy("_place", "_id").limit(most).collect()]
-    return labels.sparkSession.createDataFrame(sorted(rows), f"_id {known.schema['_id'].dataType.simpleString()}, label int")
-
-
-def labelled_sample(rows: DataFrame, ids: DataFrame) -> pd.DataFrame:
-    """One row of ``rows`` for each sampled id, with its ``label``, as pandas (bounded by the sample)."""
-    found = rows.join(F.broadcast(ids), rows["doc_id"] == ids["_id"]).drop("_id").dropDuplicates(["doc_id"]).toPandas()
-    return found.sort_values("doc_id", kind="stable").reset_index(drop=True)
-
-
 def labelled_rows(rows: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """Every row of ``rows`` whose doc_id has the value 0 or 1 in ``labels[label]``, outside fold 0, and
     that value as ``label``; ids whose labels contradict each other are left out. Kept on disk."""

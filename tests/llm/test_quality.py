@@ -152,3 +152,23 @@ def test_anomaly_cut_counts_every_row():
     assert 5 <= cut <= 8
     assert isolation.calibrate(level, accepted, rejected * 0) == float("inf")
 
+
+def test_pairwise_fit_minimises_the_loss_of_all_pairs():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3)) * [1.0, 4.0, 0.5] + 2
+    good = x @ np.array([1.0, -0.3, 0.5]) + rng.normal(scale=1.5, size=300) > 1.5
+    ranker = pairwise_quality.fit_pairs(x, good)
+    z = (x - ranker.mean) / ranker.spread
+    diff = (z[good][:, None, :] - z[~good][None, :, :]).reshape(-1, 3)
+    slope = pairwise_quality.RIDGE * ranker.weights - (diff / (1 + np.exp(diff @ ranker.weights))[:, None]).mean(axis=0)
+    assert np.abs(slope).max() < 5e-4
+
+
+def test_every_labelled_row_trains_the_classifier(spark):
+    rows, labels = count_rows(spark, 45_000)
+    ranker = pairwise_quality.train(rows, labels)
+    sample = rows.join(labels, "doc_id").toPandas()
+    x, good = pairwise_quality.features({c: sample[c] for c in text_stats.COUNTS}), sample["quality"].to_numpy() == 1
+    assert np.allclose(ranker.mean, x.mean(axis=0), rtol=1e-12)
+    local = pairwise_quality.fit_pairs(x, good)
+    assert np.allclose(ranker.weights, local.weights, atol=1e-4) and abs(ranker.cut - local.cut) <= 2 * pairwise_quality.FINE
