@@ -39,7 +39,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -55,6 +55,7 @@ SLOTS = 1 << SLOT_BITS
 LEAD, NEAR, RUN, BLOCK = 4, 64, 2000, 2048
 HASH = np.uint64((1 << LEVEL_SHIFT) - 1)
 MARKS = 1 << 25
+PAIRS = 1 << 16  # a batch of candidate pairs goes out when it has so many
 
 
 def shingles(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -374,12 +375,12 @@ def _pack(rows: np.ndarray, long: bool) -> pa.RecordBatch:
     )
 
 
-def block_pairs(a: np.ndarray, b: np.ndarray, percent: int, inner: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of documents x < y from the postings (comp, n, pos, x) of two blocks of a list that may link through it.
+def block_pairs(a: np.ndarray, b: np.ndarray, percent: int, inner: bool) -> Iterator[np.ndarray]:
+    """Pairs (x, y) of documents x < y from the postings (comp, n, pos, x) of two blocks of a list that may
+    link through it, a posting of ``a`` at a time.
 
     Sets of sizes n and m with an overlap of ``need`` or more share one of the
     first ``n - need + 1`` shingles of the one and ``m - need + 1`` of the other."""
-    found = []
     for i in range(len(a)):
         c, n, pos, x = a[i]
         other = b[i + 1 :] if inner else b
@@ -387,12 +388,25 @@ def block_pairs(a: np.ndarray, b: np.ndarray, percent: int, inner: bool) -> tupl
         need = least_overlap(n, m, percent)
         bound = np.minimum(pos, at) + np.minimum(n - pos, m - at)
         hit = (other[:, 0] != c) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (pos <= n - need) & (at <= m - need) & (bound >= need)
-        if hit.any():
-            y = other[hit, 3]
-            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
-    out = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-    out = out[out[:, 0] != out[:, 1]]
-    return out[:, 0], out[:, 1]
+        y = other[hit & (other[:, 3] != x), 3]
+        if len(y):
+            yield np.column_stack([np.minimum(x, y), np.maximum(x, y)])
+
+
+def pair_batches(found: Iterable[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The pairs as batches of about ``PAIRS``: two blocks can give millions, which neither a worker nor an executor need hold at once."""
+    held: list[np.ndarray] = []
+    size = 0
+    for pairs in found:
+        held.append(pairs)
+        size += len(pairs)
+        if size >= PAIRS:
+            out = np.concatenate(held)
+            held, size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["x", "y"])
+    if held:
+        out = np.concatenate(held)
+        yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["x", "y"])
 
 
 def enough_in_prefix(n: int, m: int, p: np.ndarray, q: np.ndarray, percent: int) -> bool:
@@ -415,17 +429,14 @@ def _cross_pairs(blocks: DataFrame, indexed: DataFrame, percent: int) -> DataFra
     def postings(value: pa.Scalar) -> np.ndarray:
         return np.frombuffer(value.as_buffer(), dtype=np.int64).reshape(-1, 4)
 
-    def made(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        x, y = (np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for c in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names)
-
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield made([block_pairs(r, r, percent, True) for r in map(postings, batch.column(0))])
+            yield from pair_batches(p for r in map(postings, batch.column(0)) for p in block_pairs(r, r, percent, True))
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield made([block_pairs(postings(v), postings(w), percent, False) for v, w in zip(batch.column(0), batch.column(1), strict=True)])
+            both = zip(map(postings, batch.column(0)), map(postings, batch.column(1)), strict=True)
+            yield from pair_batches(p for v, w in both for p in block_pairs(v, w, percent, False))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -504,12 +515,15 @@ def _by_marks(docs: DataFrame, marks: np.ndarray, marked: bool, id_col: str = "d
 def _text_ids(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``_id``: the doc_id, or a number above all doc_ids for every further text of a doc_id.
 
-    Only rows whose doc_id has unlike texts (told by a bitmap of such ids) are shuffled. Texts are told
-    apart by 128 bits of hash."""
+    Only rows whose doc_id has unlike texts (told by a bitmap of such ids) are shuffled, and only if there are
+    any do texts go through Python here: the result is then kept on disk, so that later steps, which read
+    it several times, need no second Python worker a task. Texts are told apart by 128 bits of hash."""
     text = F.coalesce("text", F.lit(""))
     hashes = [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
     told = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*hashes).alias("h"))
     unlike = keep_on_disk(told.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("doc_id", "low"))
+    if unlike.isEmpty():
+        return docs.withColumn("_id", F.col("doc_id").cast("long"))
     last = told.agg(F.max("doc_id")).first()[0]
     marks = _marks(unlike.select(F.col("doc_id").alias("id")))
     again = _by_marks(docs, marks, True).withColumns({c: h for c, h in zip(("_h1", "_h2"), hashes)})
@@ -521,7 +535,7 @@ def _text_ids(docs: DataFrame) -> DataFrame:
     named = again.join(numbers, same, "left").withColumn("_id", F.coalesce(above, F.col("doc_id").cast("long"))).select(*docs.columns, "_id")
     plain = _by_marks(docs, marks, False).withColumn("_id", F.col("doc_id").cast("long"))
     nameless = docs.where("doc_id is null").withColumn("_id", F.lit(None).cast("long"))
-    return plain.unionByName(named).unionByName(nameless)
+    return keep_on_disk(plain.unionByName(named).unionByName(nameless))
 
 
 def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

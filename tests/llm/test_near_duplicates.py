@@ -219,3 +219,23 @@ def test_components_of_a_star_and_a_chain_with_a_million_links(spark):
     assert {r["component"] for r in found} == {0, 10 * n}
     assert {r["component"]: r["count"] for r in found if r["component"]} in ({10 * n: n // 10}, {10 * n: n // 10 + 1})
     assert next(r["count"] for r in found if r["component"] == 0) in (n, n + 1)
+
+
+def test_candidate_pairs_go_out_in_small_batches(monkeypatch):
+    n = 300
+    rows = np.column_stack([np.arange(n), np.full(n, 100), np.zeros(n, dtype=np.int64), np.arange(n)])
+    monkeypatch.setattr(ngram_join, "PAIRS", 1000)
+    for inner, want in ((True, n * (n - 1) // 2), (False, n * (n - 1))):
+        batches = list(ngram_join.pair_batches(ngram_join.block_pairs(rows, rows, 80, inner)))
+        assert max(b.num_rows for b in batches) < 1000 + n
+        pairs = [(x, y) for b in batches for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        assert len(pairs) == want and set(pairs) == set(itertools.combinations(range(n), 2))
+    assert list(ngram_join.pair_batches(ngram_join.block_pairs(rows[:1], rows[:1], 80, False))) == []
+
+
+def test_texts_under_ids_of_their_own_need_no_python_worker(spark):
+    docs = documents(spark, [(1, "a b c d e f"), (2, "a b c d e g"), (None, "x")])
+    named = ngram_join._text_ids(docs)
+    assert "MapInArrow" not in named._jdf.queryExecution().toString()
+    assert sorted((r["doc_id"], r["_id"]) for r in named.where("doc_id is not null").collect()) == [(1, 1), (2, 2)]
+    assert named.where("_id is null").count() == 1
